@@ -7,10 +7,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.cells import parse_collection
+from ..operators import items as I
 from ..operators import ordinal as K
 from ..operators import profile as P
+from ..operators import sets as T
+from ..operators import split as S
+from ..operators import upsert as U
+from ..sinks import ledger as L
+from ..sources import catalog as C
 from . import oracle as O
-from .common import as_text, table
+from .common import (
+    EXISTING_SQL,
+    LEDGER_SQL,
+    LISTING_SQL,
+    as_text,
+    existing_tables,
+    ledger_rows,
+    listing,
+    table,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -168,3 +184,316 @@ def row_range_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = K.row_range(table(spark, sf_dir, "orders"), "o_orderkey", *ROW_RANGE, ordinal_name="row_position")
     cols = [c for c in out.columns if c != "row_position"]
     return out.select("row_position", *cols)
+
+
+# --------------------------------------------------------------------------
+# Sidecar projection, items and collections
+# --------------------------------------------------------------------------
+
+PART_COLS = ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"]
+
+
+@register(
+    "apply_metadata_part",
+    "SELECT CAST(p_partkey AS BIGINT) AS P_PARTKEY, p_name AS P_NAME, p_brand AS P_BRAND, "
+    "p_type AS P_TYPE, CAST(p_size AS BIGINT) AS P_SIZE FROM part",
+)
+def apply_metadata_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-12, O-16: a sidecar made by profiling ``part`` read as text, renamed
+    (upper case) and one column short, applied by position: names, types,
+    and the trailing column dropped."""
+    from pyspark.sql import functions as F
+
+    text = as_text(table(spark, sf_dir, "part"))
+    meta = (
+        P.profile_minimal(text, columns=PART_COLS)
+        .filter(F.col("column_index") < len(PART_COLS) - 1)
+        .withColumn("column_name", F.upper("column_name"))
+    )
+    return I.apply_metadata(text, meta)
+
+
+@register(
+    "tagged_cells_events",
+    "\nUNION ALL\n".join(
+        f"SELECT CAST(event_id AS VARCHAR) AS event_id, '{c}' AS attribute, '{t}' AS tag, {v} AS value "
+        f"FROM events WHERE {v} IS NOT NULL"
+        for c, t, v in [
+            ("event_id", "N", "CAST(event_id AS VARCHAR)"),
+            ("ts", "S", "CAST(ts AS VARCHAR)"),
+            ("user_id", "N", "CAST(user_id AS VARCHAR)"),
+            ("event_type", "S", "nullif(event_type, 'error')"),
+            ("value", "N", "CAST(value AS VARCHAR)"),
+            ("props", "S", "props"),
+        ]
+    ),
+)
+def tagged_cells_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-13, O-14: every present cell of ``events`` as (key, attribute, tag,
+    value) with the tags the profile infers; missing cells are left out."""
+    ev = as_text(table(spark, sf_dir, "events"), nulls=EVENTS_NULLS)
+    meta = P.profile_minimal(ev, columns=EVENTS_COLS)
+    return I.tagged_cells(ev, meta)
+
+
+@register(
+    "parse_map_props",
+    "SELECT event_id, k AS key, json_extract_string(props, '$.\"' || k || '\"') AS value "
+    "FROM events, unnest(json_keys(props)) AS t(k)",
+)
+def parse_map_props(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-15 (``M``): the JSON object in ``events.props`` as a map, exploded."""
+    from pyspark.sql import functions as F
+
+    ev = table(spark, sf_dir, "events")
+    m = ev.select("event_id", parse_collection(F.col("props"), "M").alias("m"))
+    return m.select("event_id", F.explode("m").alias("key", "value"))
+
+
+@register(
+    "parse_set_part_name",
+    "SELECT p_partkey, unnest(list_distinct(string_split(p_name, ' '))) AS element FROM part",
+)
+def parse_set_part_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-15 (``SS``): ``p_name`` written as a quoted string set
+    (``'small','ring'``), parsed to a distinct array and exploded."""
+    from pyspark.sql import functions as F
+
+    part = table(spark, sf_dir, "part")
+    quoted = F.concat(F.lit("'"), F.regexp_replace("p_name", " ", "','"), F.lit("'"))
+    s = part.select("p_partkey", parse_collection(quoted, "SS").alias("s"))
+    return s.select("p_partkey", F.explode("s").alias("element"))
+
+
+# --------------------------------------------------------------------------
+# Splitting
+# --------------------------------------------------------------------------
+
+THRESHOLD = 10000
+
+
+@register(
+    "split_plan_all",
+    "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, n AS n_rows, (SELECT CAST(min(k) AS INTEGER) FROM range(0, 11) r(k) "
+        f"WHERE n / pow(2, k) + k <= {THRESHOLD}) AS halvings FROM (SELECT count(*) AS n FROM {t})"
+        for t, _ in [("region", 0), ("nation", 0), ("customer", 0), ("supplier", 0), ("part", 0), ("orders", 0),
+                     ("lineitem", 0), ("events", 0), ("documents", 0), ("embeddings", 0), ("pages", 0),
+                     ("benchmark", 0), ("labels", 0), ("conversations", 0)]
+    ),
+)
+def split_plan_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-36, O-40: rows of every table and the halvings its split needs at
+    the default threshold (n <= threshold is one part)."""
+    from functools import reduce
+
+    from pyspark.sql import functions as F
+
+    from .common import TABLES
+
+    counts = reduce(
+        DataFrame.unionAll,
+        [table(spark, sf_dir, t).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(t).alias("table_name"), "n_rows") for t in TABLES],
+    )
+    return counts.select("table_name", "n_rows", S.split_plan_col("n_rows", THRESHOLD).alias("halvings"))
+
+
+SPLIT_PARTS_SQL = f"""
+WITH RECURSIVE n AS (SELECT count(*) AS n FROM lineitem),
+k AS (SELECT (SELECT min(k) FROM range(0, 11) r(k) WHERE n / pow(2, k) + k <= {THRESHOLD}) AS k FROM n),
+parts(lo, hi, depth, part) AS (
+  SELECT 0::BIGINT, n, 0, 1::BIGINT FROM n
+  UNION ALL
+  SELECT CASE WHEN s.side = 1 THEN p.lo ELSE p.lo + greatest((p.hi - p.lo) // 2 - 1, 0) END,
+         CASE WHEN s.side = 1 THEN p.lo + greatest((p.hi - p.lo) // 2 - 1, 0) ELSE p.hi END,
+         p.depth + 1,
+         CASE WHEN s.side = 1 THEN p.part * 2 - 1 ELSE p.part * 2 END
+  FROM parts p, (VALUES (1), (2)) s(side), k WHERE p.depth < k.k
+),
+leaf AS (SELECT lo, hi, part FROM parts, k WHERE depth = k.k),
+ord AS (SELECT row_number() OVER (ORDER BY {', '.join(LINEITEM_COLS)}) - 1 AS pos FROM lineitem)
+SELECT CAST(leaf.part AS INTEGER) AS part, printf('lineitem_split__%03d.csv', leaf.part) AS part_name,
+       count(*) AS n_rows, min(pos) AS first_row, max(pos) AS last_row
+FROM ord JOIN leaf ON ord.pos >= leaf.lo AND ord.pos < leaf.hi
+GROUP BY leaf.part
+"""
+
+
+@register("split_parts_lineitem", SPLIT_PARTS_SQL)
+def split_parts_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-41, O-42, O-43: ``lineitem`` (whole-row order) cut into contiguous
+    parts by repeated halving; rows, first and last position per part."""
+    from pyspark.sql import functions as F
+
+    li = table(spark, sf_dir, "lineitem")
+    parts = S.assign_parts(li, None, THRESHOLD, ordinal_col="pos")
+    names = F.format_string("lineitem_split__%03d.csv", F.col("part"))
+    return parts.groupBy("part").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("pos").alias("first_row"), F.max("pos").alias("last_row")
+    ).select(F.col("part").cast("int").alias("part"), names.alias("part_name"), "n_rows", "first_row", "last_row")
+
+
+# --------------------------------------------------------------------------
+# Sets and upsert
+# --------------------------------------------------------------------------
+
+
+@register(
+    "combine_parts_customer_supplier",
+    "SELECT 'part1' AS part, c_custkey AS key, c_name AS name, c_nationkey AS nationkey, c_acctbal AS acctbal, "
+    "c_mktsegment AS mktsegment FROM customer "
+    "UNION ALL BY NAME "
+    "SELECT 'part2' AS part, s_suppkey AS key, s_name AS name, s_nationkey AS nationkey, s_acctbal AS acctbal FROM supplier",
+)
+def combine_parts_customer_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-50: two parts of one table, the second lacking a column, appended by
+    column name in part-name order."""
+    from pyspark.sql import functions as F
+
+    c = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("key"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("nationkey"),
+        F.col("c_acctbal").alias("acctbal"), F.col("c_mktsegment").alias("mktsegment"),
+    )
+    s = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("key"), F.col("s_name").alias("name"), F.col("s_nationkey").alias("nationkey"),
+        F.col("s_acctbal").alias("acctbal"),
+    )
+    return T.combine_parts([s, c], ["part2", "part1"], part_col="part")
+
+
+UPSERT_SQL = """
+WITH b AS (
+  SELECT o_custkey AS c_custkey, o_totalprice AS c_acctbal, o_orderpriority AS c_mktsegment,
+         row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+  FROM orders
+), last AS (SELECT c_custkey, c_acctbal, c_mktsegment FROM b WHERE rn = 1)
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer
+WHERE NOT EXISTS (SELECT 1 FROM last WHERE last.c_custkey = customer.c_custkey)
+UNION ALL
+SELECT c_custkey, CAST(NULL AS VARCHAR) AS c_name, CAST(NULL AS INTEGER) AS c_nationkey, c_acctbal, c_mktsegment FROM last
+"""
+
+
+@register("upsert_customer", UPSERT_SQL)
+def upsert_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-61: every order puts an item (key, balance, segment) into
+    ``customer``; keys repeat in the batch, the last order (date, key) wins,
+    and a put replaces the whole item, so name and nation become empty."""
+    from pyspark.sql import functions as F
+
+    cust = table(spark, sf_dir, "customer")
+    batch = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("c_custkey"), F.col("o_totalprice").alias("c_acctbal"),
+        F.col("o_orderpriority").alias("c_mktsegment"), "o_orderdate", "o_orderkey",
+    )
+    return U.upsert(cust, batch, "c_custkey", order=["o_orderdate", "o_orderkey"])
+
+
+# --------------------------------------------------------------------------
+# Catalogue, ledger, report
+# --------------------------------------------------------------------------
+
+CATALOG_SQL = f"""
+WITH listing AS ({LISTING_SQL}),
+c1 AS (SELECT path, n_rows, regexp_extract(path, '([^/]*)$', 1) AS name FROM listing),
+c2 AS (SELECT *, starts_with(name, 'metadata_') AS is_metadata,
+              CASE WHEN starts_with(name, 'metadata_') THEN substr(name, 10) ELSE name END AS data_name FROM c1),
+catalog AS (SELECT *, regexp_replace(data_name, '(_split__[0-9]{{3}})?[.]csv$', '') AS table_name,
+             CAST(nullif(regexp_extract(data_name, '_split__([0-9]{{3}})[.]csv$', 1), '') AS INTEGER) AS part FROM c2),
+ledger AS ({LEDGER_SQL}),
+existing AS ({EXISTING_SQL})
+"""
+
+
+def _catalog(spark, sf_dir):
+    return C.catalog_from_paths(listing(spark, sf_dir).withColumn("length", _null_long())).join(
+        listing(spark, sf_dir).select("path", "n_rows"), on="path"
+    )
+
+
+def _null_long():
+    from pyspark.sql import functions as F
+
+    return F.lit(None).cast("long")
+
+
+@register(
+    "catalog_names",
+    CATALOG_SQL + "SELECT path, name, is_metadata, data_name, table_name, part FROM catalog",
+)
+def catalog_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-03, O-06: classify every landed file (sidecar or data, table, part)."""
+    return _catalog(spark, sf_dir).select("path", "name", "is_metadata", "data_name", "table_name", "part")
+
+
+@register("tables_to_load", CATALOG_SQL + "SELECT DISTINCT table_name FROM catalog WHERE NOT is_metadata")
+def tables_to_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-07: distinct table names of the data files."""
+    return C.tables_to_load(_catalog(spark, sf_dir))
+
+
+@register(
+    "invalid_table_names",
+    CATALOG_SQL
+    + "SELECT DISTINCT table_name FROM catalog WHERE NOT is_metadata AND NOT regexp_full_match(table_name, '[A-Za-z0-9_.-]{3,255}')",
+)
+def invalid_table_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-09: table names the key-value store would refuse."""
+    return C.invalid_table_names(_catalog(spark, sf_dir))
+
+
+@register(
+    "files_without_metadata",
+    CATALOG_SQL
+    + "SELECT path, name, table_name FROM catalog d WHERE NOT is_metadata AND NOT EXISTS "
+    "(SELECT 1 FROM catalog m WHERE m.is_metadata AND m.data_name = d.name)",
+)
+def files_without_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-08: data files that still need a generated sidecar."""
+    return C.files_without_metadata(_catalog(spark, sf_dir)).select("path", "name", "table_name")
+
+
+@register(
+    "name_collisions",
+    CATALOG_SQL
+    + "SELECT DISTINCT table_name FROM catalog c WHERE NOT is_metadata AND EXISTS "
+    "(SELECT 1 FROM existing e WHERE e.table_name = c.table_name)",
+)
+def name_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-10: tables to load that already exist."""
+    return C.name_collisions(_catalog(spark, sf_dir), existing_tables(spark, sf_dir))
+
+
+@register(
+    "tables_to_create",
+    CATALOG_SQL
+    + "SELECT DISTINCT table_name FROM catalog c WHERE NOT is_metadata AND NOT EXISTS "
+    "(SELECT 1 FROM existing e WHERE e.table_name = c.table_name)",
+)
+def tables_to_create(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-11: tables to load that must be created first."""
+    return C.tables_to_create(_catalog(spark, sf_dir), existing_tables(spark, sf_dir))
+
+
+@register(
+    "remaining_files",
+    CATALOG_SQL
+    + "SELECT path, table_name FROM catalog c WHERE NOT is_metadata AND NOT EXISTS "
+    "(SELECT 1 FROM ledger l WHERE l.path = c.path AND l.status = 'done')",
+)
+def remaining_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-71: data files a rerun still has to load."""
+    return C.remaining_files(_catalog(spark, sf_dir), ledger_rows(spark, sf_dir)).select("path", "table_name")
+
+
+@register(
+    "run_report",
+    CATALOG_SQL
+    + """, st AS (SELECT path, CASE WHEN bool_or(status = 'done') THEN 'done' ELSE 'failed' END AS status
+               FROM ledger GROUP BY path)
+SELECT table_name, coalesce(st.status, 'pending') AS status, count(*) AS n_files, CAST(sum(n_rows) AS BIGINT) AS n_rows
+FROM catalog c LEFT JOIN st USING (path) WHERE NOT is_metadata GROUP BY 1, 2""",
+)
+def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-70, O-72: files and rows per table: done, failed, still to go."""
+    return L.run_report(_catalog(spark, sf_dir), ledger_rows(spark, sf_dir))
