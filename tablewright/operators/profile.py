@@ -168,6 +168,7 @@ def column_stats(
     by: Sequence[str] = (),
     na_tokens: Iterable[str] = NA_TOKENS,
     with_dup: bool = True,
+    with_example: bool = True,
 ) -> DataFrame:
     """Type, missing, duplicate and first-cell statistics per column.
 
@@ -177,7 +178,7 @@ def column_stats(
     by = list(by)
     na_tokens = tuple(na_tokens)
     if not with_dup:
-        return _finish(_wide_stats(df, columns, order, by, na_tokens), by, False, na_tokens)
+        return _finish(_wide_stats(df, columns, order, by, na_tokens, with_example), by, False, na_tokens)
 
     cells = text_cells(df, columns, False, by)
     cell = F.col("cell")
@@ -226,13 +227,17 @@ def column_stats(
         F.max(F.when(present, F.col("n"))).alias("max_typed"),
         F.max(F.when(present, F.col("n_canon"))).alias("max_canon"),
     )
-    stats = level_b.join(level_a2, on=keys, how="left").join(
-        first_cells(df, columns, order, by), on=[*by, "column_index"], how="left"
-    )
+    stats = _with_first(level_b.join(level_a2, on=keys, how="left"), df, columns, order, by, with_example)
     return _finish(stats, by, True, na_tokens)
 
 
-def _wide_stats(df: DataFrame, columns, order, by, na_tokens) -> DataFrame:
+def _with_first(stats: DataFrame, df: DataFrame, columns, order, by, with_example: bool) -> DataFrame:
+    if not with_example:
+        return stats.withColumn("first_cell", F.lit(None).cast("string"))
+    return stats.join(first_cells(df, columns, order, by), on=[*by, "column_index"], how="left")
+
+
+def _wide_stats(df: DataFrame, columns, order, by, na_tokens, with_example: bool = True) -> DataFrame:
     """Per-column accumulators in one aggregate row (per ``by`` group), then
     reshaped to one row per column."""
     cols = _value_columns(df, columns, by)
@@ -262,16 +267,16 @@ def _wide_stats(df: DataFrame, columns, order, by, na_tokens) -> DataFrame:
         for i, c in enumerate(cols)
     ]
     long = wide.unpivot([*by, "n_rows"], values, "column_name", "_v")
-    return long.select(
+    long = long.select(
         *by,
         "column_name",
         "n_rows",
-        *[F.col(f"_v.{f}").alias(f) for f in ("column_index", "n_missing", "all_int", "all_i64", "all_u64", "all_float", "all_bool")],
-    ).join(first_cells(df, columns, order, by), on=[*by, "column_index"], how="left").withColumn("all_int", F.coalesce("all_int", F.lit(True))).withColumn(
-        "all_i64", F.coalesce("all_i64", F.lit(True))
-    ).withColumn("all_u64", F.coalesce("all_u64", F.lit(True))).withColumn(
-        "all_float", F.coalesce("all_float", F.lit(True))
-    ).withColumn("all_bool", F.coalesce("all_bool", F.lit(True)))
+        F.col("_v.column_index").alias("column_index"),
+        F.col("_v.n_missing").alias("n_missing"),
+        # bool_and over no rows is null: an empty column has every property
+        *[F.coalesce(F.col(f"_v.{f}"), F.lit(True)).alias(f) for f in ("all_int", "all_i64", "all_u64", "all_float", "all_bool")],
+    )
+    return _with_first(long, df, columns, order, by, with_example)
 
 
 # --------------------------------------------------------------------------
@@ -304,7 +309,7 @@ def profile_minimal(df: DataFrame, order=None, by: Sequence[str] = (), columns=N
 
 def infer_types(df: DataFrame, by: Sequence[str] = (), columns=None, na_tokens=NA_TOKENS) -> DataFrame:
     """O-20: inferred pandas dtype of each column."""
-    st = column_stats(df, columns, None, by, na_tokens, with_dup=False)
+    st = column_stats(df, columns, None, by, na_tokens, with_dup=False, with_example=False)
     return st.select(*by, "column_index", "column_name", "pandas_column_dtype")
 
 
@@ -337,13 +342,13 @@ def missing_flags(df: DataFrame, by: Sequence[str] = (), columns=None, na_tokens
 def duplicate_flags(df: DataFrame, by: Sequence[str] = (), columns=None, na_tokens=NA_TOKENS) -> DataFrame:
     """O-23: a present value occurs twice (typed compare; missing cells are
     not duplicates of each other)."""
-    st = column_stats(df, columns, None, by, na_tokens, with_dup=True)
+    st = column_stats(df, columns, None, by, na_tokens, with_dup=True, with_example=False)
     return st.select(*by, "column_index", "column_name", "duplicate_data_flag_list")
 
 
 def mixed_flags(df: DataFrame, by: Sequence[str] = (), columns=None, na_tokens=NA_TOKENS) -> DataFrame:
     """O-24: the reference rule: every ``object`` (text) column is mixed."""
-    st = column_stats(df, columns, None, by, na_tokens, with_dup=False)
+    st = column_stats(df, columns, None, by, na_tokens, with_dup=False, with_example=False)
     return st.select(*by, "column_index", "column_name", "mixed_datatype_flag_list")
 
 
@@ -364,7 +369,7 @@ def primary_key_flags(
     by = list(by)
     if key is None:
         key = [c for c in df.columns if c not in set(by)][0]
-    st = column_stats(df, [key], None, by, na_tokens, with_dup=True)
+    st = column_stats(df, [key], None, by, na_tokens, with_dup=True, with_example=False)
     mixed = F.col("mixed_datatype_flag_list") if strict else F.lit(False)
     flags = F.array_compact(
         F.array(
