@@ -47,21 +47,22 @@ def typed_column(c, tag: str, dtype: str | None):
     return c
 
 
-def apply_metadata(df: DataFrame, meta: DataFrame | Sequence, na_tokens=NA_TOKENS) -> DataFrame:
+def apply_metadata(df: DataFrame, meta: DataFrame | Sequence, na_tokens=NA_TOKENS, keep: Sequence[str] = ()) -> DataFrame:
     """O-12: rename and type the data columns from the sidecar, by position.
 
     A shorter sidecar drops the trailing data columns; missing cells (NA
     tokens) become nulls. ``meta`` may be a sidecar DataFrame or a list of
     ``(name, tag[, dtype])`` tuples."""
     rows = sidecar_rows(meta) if isinstance(meta, DataFrame) else [tuple(r) + (None,) * (3 - len(r)) for r in meta]
-    if len(rows) > len(df.columns):
-        raise ValueError(f"sidecar has {len(rows)} columns, data has {len(df.columns)}")
+    data_cols = [c for c in df.columns if c not in set(keep)]
+    if len(rows) > len(data_cols):
+        raise ValueError(f"sidecar has {len(rows)} columns, data has {len(data_cols)}")
     out = []
-    for src, (name, tag, dtype) in zip(df.columns, rows):
+    for src, (name, tag, dtype) in zip(data_cols, rows):
         c = F.col(f"`{src}`").cast("string")
         c = F.when(is_missing(c, na_tokens), F.lit(None).cast("string")).otherwise(c)
         out.append(typed_column(c, tag, dtype).alias(name))
-    return df.select(*out)
+    return df.select(*out, *[F.col(f"`{k}`") for k in keep])
 
 
 def tagged_cells(df: DataFrame, meta: DataFrame | Sequence, key: str | None = None, na_tokens=NA_TOKENS) -> DataFrame:

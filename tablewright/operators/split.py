@@ -109,6 +109,7 @@ def write_parts(
     max_rows: int = DEFAULT_SPLIT_THRESHOLD,
     order=None,
     header: bool = True,
+    drop=(),
 ) -> None:
     """O-44: write CSV parts of at most ``max_rows`` rows, one folder per part
     (``part=N``), contiguous in row order."""
@@ -117,7 +118,7 @@ def write_parts(
     (
         parts.repartition("part")
         .sortWithinPartitions("part", "_pos")
-        .drop("_pos")
+        .drop("_pos", *drop)
         .write.mode("errorifexists")
         .option("header", header)
         .option("escape", '"')

@@ -15,7 +15,10 @@ from ..operators import sets as T
 from ..operators import split as S
 from ..operators import upsert as U
 from ..sinks import ledger as L
+from ..session import scratch_path
 from ..sources import catalog as C
+from ..sources import delimited as D
+from ..streaming.ingest import ingest_stream
 from . import oracle as O
 from .common import (
     EXISTING_SQL,
@@ -497,3 +500,105 @@ FROM catalog c LEFT JOIN st USING (path) WHERE NOT is_metadata GROUP BY 1, 2""",
 def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O-70, O-72: files and rows per table: done, failed, still to go."""
     return L.run_report(_catalog(spark, sf_dir), ledger_rows(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------
+# Round trips through files (written under the shared checkpoint folder)
+# --------------------------------------------------------------------------
+
+CUSTOMER_COLS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+
+
+def _write_csv(df: DataFrame, path: str, encoding: str | None = None) -> None:
+    w = df.write.mode("errorifexists").option("header", True).option("escape", '"')
+    if encoding:
+        w = w.option("encoding", encoding)
+    w.csv(path)
+
+
+@register(
+    "csv_roundtrip_customer",
+    O.profile_sql(O.text_table_sql("customer", CUSTOMER_COLS, "c_custkey"), CUSTOMER_COLS),
+)
+def csv_roundtrip_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-01, O-26: ``customer`` written as CSV files in key order, read back
+    (all text, names from the header, file order kept) and profiled."""
+    from pyspark.sql import functions as F
+
+    path = scratch_path(spark, "csv-customer")
+    _write_csv(table(spark, sf_dir, "customer").orderBy("c_custkey"), path)
+    df = D.read_delimited(spark, path, file_order=True)
+    return P.profile(df, order=[F.col(c) for c in D.FILE_ORDER], columns=CUSTOMER_COLS)
+
+
+@register(
+    "write_parts_lineitem",
+    SPLIT_PARTS_SQL.replace(
+        "SELECT CAST(leaf.part AS INTEGER) AS part, printf('lineitem_split__%03d.csv', leaf.part) AS part_name,\n"
+        "       count(*) AS n_rows, min(pos) AS first_row, max(pos) AS last_row",
+        "SELECT CAST(leaf.part AS INTEGER) AS part, count(*) AS n_rows",
+    ),
+)
+def write_parts_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-44: ``lineitem`` written as CSV parts under the row threshold (one
+    folder per part), read back and counted per part."""
+    from pyspark.sql import functions as F
+
+    path = scratch_path(spark, "parts-lineitem")
+    S.write_parts(table(spark, sf_dir, "lineitem"), path, THRESHOLD)
+    back = spark.read.option("header", True).option("escape", '"').csv(path)
+    return back.groupBy(F.col("part").cast("int").alias("part")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+CUSTOMER_META = [
+    ("c_custkey", "N", "int64"),
+    ("c_name", "S", "object"),
+    ("c_nationkey", "N", "int64"),
+    ("c_acctbal", "N", "float64"),
+    ("c_mktsegment", "S", "object"),
+]
+
+
+@register(
+    "stream_ingest_customer",
+    "SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, c_mktsegment FROM customer",
+)
+def stream_ingest_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-73 (with O-61, O-70): ``customer`` landed as several CSV files,
+    ingested by an available-now stream (one file per trigger) that upserts
+    into a keyed parquet table and archives the files; the table is read
+    back."""
+    root = scratch_path(spark, "stream-customer")
+    _write_csv(table(spark, sf_dir, "customer").repartition(4), f"{root}/landing")
+    ingest_stream(
+        spark,
+        f"{root}/landing",
+        CUSTOMER_COLS,
+        f"{root}/table",
+        f"{root}/checkpoint",
+        f"{root}/ledger",
+        meta=CUSTOMER_META,
+        archive_dir=f"{root}/archive",
+        max_files_per_trigger=1,
+    )
+    return spark.read.parquet(f"{root}/table")
+
+
+@register("encoding_choice_documents")
+def encoding_choice_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-02: ``documents`` landed twice, as UTF-8 and as ISO-8859-1 files;
+    each file's encoding is chosen from its bytes, each encoding group is
+    read with its own scan (whole texts, multi-line fields) and rows are
+    counted per chosen encoding. Rows-only check."""
+    from pyspark.sql import functions as F
+
+    root = scratch_path(spark, "enc-documents")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    _write_csv(docs, f"{root}/utf8")
+    _write_csv(docs, f"{root}/latin1", encoding="ISO-8859-1")
+    paths = [f"{root}/utf8/*.csv", f"{root}/latin1/*.csv"]
+    enc = D.choose_encoding(spark, paths)
+    back = D.read_with_encodings(spark, paths, multi_line=True, file_order=True)
+    return back.join(enc.withColumnRenamed("path", D.FILE_COL), on=D.FILE_COL).groupBy("encoding").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct(D.FILE_COL).alias("n_files")
+    )
