@@ -103,18 +103,24 @@ def load_folder(spark: SparkSession, opts: LoadOptions) -> DataFrame:
         todo = [p for p in paths if p not in done_paths]
         if not todo:
             continue
-        df = read_with_encodings(spark, todo, opts.sep, file_order=True)
-        cols = [c for c in df.columns if c not in FILE_ORDER]
-        data = df.select(*cols)
-        first_name = todo[0].rsplit("/", 1)[-1]
-        if first_name in sidecars:
-            meta = read_metadata(spark, sidecars[first_name], opts.sep)
-        else:
-            meta = profile.profile(df, order=[F.col(c) for c in FILE_ORDER], columns=cols)
         try:
-            profile.require_primary_key(data, strict=opts.strict_key)
-            if opts.profile_only:
+            df = read_with_encodings(spark, todo, opts.sep, file_order=True)
+            cols = [c for c in df.columns if c not in FILE_ORDER]
+            # Key gate per file (one result row per file); a key repeated in a
+            # later part of a multi-part table is an update, not a fault.
+            kf = profile.primary_key_flags(df.select(FILE_COL, *cols), key=cols[0], by=[FILE_COL], strict=opts.strict_key)
+            bad = {r[FILE_COL]: list(r["warning_flags"]) for r in kf.filter(F.size("warning_flags") > 0).collect()}
+            if bad:
+                rows = [(p, table, None, "failed", f"key column {cols[0]!r}: {w}") for p, w in bad.items()]
+                led.append_ledger(spark, opts.ledger, spark.createDataFrame(rows, "path string, table_name string, n_rows bigint, status string, message string"))
+                df = df.filter(~F.col(FILE_COL).isin(list(bad)))
+            if opts.profile_only or len(bad) == len(todo):
                 continue
+            first_name = todo[0].rsplit("/", 1)[-1]
+            if first_name in sidecars:
+                meta = read_metadata(spark, sidecars[first_name], opts.sep)
+            else:
+                meta = profile.profile(df, order=[F.col(c) for c in FILE_ORDER], columns=cols)
             typed = items.apply_metadata(df, meta, keep=FILE_ORDER)
             order = [F.col(c) for c in FILE_ORDER]
             if opts.row_range is not None:
@@ -126,9 +132,9 @@ def load_folder(spark: SparkSession, opts: LoadOptions) -> DataFrame:
             tables.upsert_table(spark, target, typed, key, order=order, schema=schema)
             counts = df.groupBy(F.col(FILE_COL).alias("path")).agg(F.count(F.lit(1)).alias("n_rows"))
             led.append_ledger(spark, opts.ledger, counts.select("path", F.lit(table).alias("table_name"), "n_rows", F.lit("done").alias("status")))
-        except Exception as e:  # the reference reports and moves on
-            rows = spark.createDataFrame([(p, table, None, "failed", str(e)[:500]) for p in todo], "path string, table_name string, n_rows bigint, status string, message string")
-            led.append_ledger(spark, opts.ledger, rows)
+        except Exception as e:  # the reference reports the table and moves on
+            rows = [(p, table, None, "failed", str(e)[:500]) for p in todo]
+            led.append_ledger(spark, opts.ledger, spark.createDataFrame(rows, "path string, table_name string, n_rows bigint, status string, message string"))
     listing_rows = cat.data_files(catalog).select("path", "table_name", "is_metadata")
     counts = led.read_ledger(spark, opts.ledger).groupBy("path").agg(F.max("n_rows").alias("n_rows"))
     report_cat = listing_rows.join(counts, on="path", how="left")

@@ -139,7 +139,8 @@ def upsert_table(
     if path_exists(spark, path):
         target = spark.read.parquet(path)
     else:
-        sch = schema or T.StructType([f for f in batch.schema.fields if not f.name.startswith("_")])
+        onames = {order} if isinstance(order, str) else {o for o in (order or []) if isinstance(o, str)}
+        sch = schema or T.StructType([f for f in batch.schema.fields if not f.name.startswith("_") and f.name not in onames])
         target = spark.createDataFrame([], sch)
     new = upsert(target, batch, key, order)
     staged = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex[:12]}"
