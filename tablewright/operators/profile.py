@@ -138,21 +138,29 @@ def _finish(stats: DataFrame, by: Sequence[str], with_dup: bool, na_tokens=NA_TO
     return out.select(*cols)
 
 
-def first_cells(df: DataFrame, columns=None, order=None, by: Sequence[str] = ()) -> DataFrame:
+# Largest number of groups (files) whose least-order keys are broadcast.
+MAX_BROADCAST_GROUPS = 100_000
+
+
+def first_cells(
+    df: DataFrame, columns=None, order=None, by: Sequence[str] = (), n_groups: int | None = None
+) -> DataFrame:
     """O-25 helper: the cells of each group's first row (least ``order``),
     as ``(by…, column_index, first_cell)``.
 
-    Without groups this is one streaming aggregate. With groups (files) the
-    least order value per group is found by a hash aggregate and the rows
-    are picked by a broadcast join: the broadcast side has one row per group,
-    so its size is bounded by the number of files, not by the data.
+    Without groups this is one streaming aggregate. With groups (files) and a
+    known group count within ``MAX_BROADCAST_GROUPS``, the least order value
+    per group is found by a hash aggregate and the rows are picked by a
+    broadcast semi-join (one row per group is broadcast). Otherwise the row is
+    a ``min_by`` per group, combined map-side, with no broadcast at all.
     """
     by = list(by)
     cols = _value_columns(df, columns, by)
     texts = [F.col(f"`{c}`").cast("string").alias(str(i)) for i, c in enumerate(cols)]
-    if not by:
-        row = df.select(_order_col(order).alias(ORD), F.struct(*texts).alias("_r")).agg(F.min_by("_r", ORD).alias("_r"))
-        wide = row.select(*[F.col(f"_r.`{i}`").alias(str(i)) for i in range(len(cols))])
+    if not by or n_groups is None or n_groups > MAX_BROADCAST_GROUPS:
+        row = df.select(*[F.col(b) for b in by], _order_col(order).alias(ORD), F.struct(*texts).alias("_r"))
+        row = row.groupBy(*by).agg(F.min_by("_r", ORD).alias("_r"))
+        wide = row.select(*by, *[F.col(f"_r.`{i}`").alias(str(i)) for i in range(len(cols))])
     else:
         o = df.select(*[F.col(b) for b in by], _order_col(order).alias(ORD), *texts)
         mins = o.groupBy(*by).agg(F.min(ORD).alias(ORD))
@@ -169,6 +177,7 @@ def column_stats(
     na_tokens: Iterable[str] = NA_TOKENS,
     with_dup: bool = True,
     with_example: bool = True,
+    n_groups: int | None = None,
 ) -> DataFrame:
     """Type, missing, duplicate and first-cell statistics per column.
 
@@ -178,7 +187,7 @@ def column_stats(
     by = list(by)
     na_tokens = tuple(na_tokens)
     if not with_dup:
-        return _finish(_wide_stats(df, columns, order, by, na_tokens, with_example), by, False, na_tokens)
+        return _finish(_wide_stats(df, columns, order, by, na_tokens, with_example, n_groups), by, False, na_tokens)
 
     cells = text_cells(df, columns, False, by)
     cell = F.col("cell")
@@ -227,17 +236,17 @@ def column_stats(
         F.max(F.when(present, F.col("n"))).alias("max_typed"),
         F.max(F.when(present, F.col("n_canon"))).alias("max_canon"),
     )
-    stats = _with_first(level_b.join(level_a2, on=keys, how="left"), df, columns, order, by, with_example)
+    stats = _with_first(level_b.join(level_a2, on=keys, how="left"), df, columns, order, by, with_example, n_groups)
     return _finish(stats, by, True, na_tokens)
 
 
-def _with_first(stats: DataFrame, df: DataFrame, columns, order, by, with_example: bool) -> DataFrame:
+def _with_first(stats: DataFrame, df: DataFrame, columns, order, by, with_example: bool, n_groups=None) -> DataFrame:
     if not with_example:
         return stats.withColumn("first_cell", F.lit(None).cast("string"))
-    return stats.join(first_cells(df, columns, order, by), on=[*by, "column_index"], how="left")
+    return stats.join(first_cells(df, columns, order, by, n_groups), on=[*by, "column_index"], how="left")
 
 
-def _wide_stats(df: DataFrame, columns, order, by, na_tokens, with_example: bool = True) -> DataFrame:
+def _wide_stats(df: DataFrame, columns, order, by, na_tokens, with_example: bool = True, n_groups=None) -> DataFrame:
     """Per-column accumulators in one aggregate row (per ``by`` group), then
     reshaped to one row per column."""
     cols = _value_columns(df, columns, by)
@@ -276,7 +285,7 @@ def _wide_stats(df: DataFrame, columns, order, by, na_tokens, with_example: bool
         # bool_and over no rows is null: an empty column has every property
         *[F.coalesce(F.col(f"_v.{f}"), F.lit(True)).alias(f) for f in ("all_int", "all_i64", "all_u64", "all_float", "all_bool")],
     )
-    return _with_first(long, df, columns, order, by, with_example)
+    return _with_first(long, df, columns, order, by, with_example, n_groups)
 
 
 # --------------------------------------------------------------------------
@@ -295,9 +304,12 @@ PROFILE_COLUMNS = (
 )
 
 
-def profile(df: DataFrame, order=None, by: Sequence[str] = (), columns=None, na_tokens=NA_TOKENS) -> DataFrame:
-    """O-26: the 7-column metadata sidecar (plus ``column_index``)."""
-    st = column_stats(df, columns, order, by, na_tokens, with_dup=True)
+def profile(
+    df: DataFrame, order=None, by: Sequence[str] = (), columns=None, na_tokens=NA_TOKENS, n_groups: int | None = None
+) -> DataFrame:
+    """O-26: the 7-column metadata sidecar (plus ``column_index``).
+    ``n_groups``: number of ``by`` groups (files) when known, see ``first_cells``."""
+    st = column_stats(df, columns, order, by, na_tokens, with_dup=True, n_groups=n_groups)
     return st.select(*by, *PROFILE_COLUMNS)
 
 

@@ -43,7 +43,7 @@ def profile_folder(spark: SparkSession, path: str, sep: str = ",", with_key_flag
     for table, paths in _table_files(catalog).items():
         df = read_with_encodings(spark, paths, sep, file_order=True)
         cols = [c for c in df.columns if c not in FILE_ORDER]
-        prof = profile.profile(df, order=[F.col("_block"), F.col("_row")], by=[FILE_COL], columns=cols)
+        prof = profile.profile(df, order=[F.col("_block"), F.col("_row")], by=[FILE_COL], columns=cols, n_groups=len(paths))
         if with_key_flags:
             kf = profile.primary_key_flags(df.select(FILE_COL, *cols), key=cols[0], by=[FILE_COL])
             prof = prof.join(kf.select(FILE_COL, F.concat_ws(",", "warning_flags").alias("key_warnings")), on=FILE_COL, how="left")
