@@ -8,6 +8,7 @@ through the driver.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -81,7 +82,51 @@ def add_key_to_file(spark: SparkSession, src: str, dst: str, name: str = "Row_Nu
     tables.write_keyed(keyed.select(name, *cols), dst)
 
 
-def load_folder(spark: SparkSession, opts: LoadOptions) -> DataFrame:
+def _load_table(spark: SparkSession, opts: LoadOptions, table: str, todo: list[str], sidecars: dict[str, str]) -> None:
+    """One table of O-65: key gate per file, sidecar, create, upsert, ledger."""
+    fail_schema = "path string, table_name string, n_rows bigint, status string, message string"
+    try:
+        df = read_with_encodings(spark, todo, opts.sep, file_order=True)
+        cols = [c for c in df.columns if c not in FILE_ORDER]
+        # Key gate per file (one result row per file); a key repeated in a
+        # later part of a multi-part table is an update, not a fault.
+        kf = profile.column_stats(df.select(FILE_COL, *cols), [cols[0]], None, [FILE_COL], opts.na_tokens, with_example=False)
+        gate = []
+        for r in kf.collect():
+            flags = [n for n, v in (("mixed_datatype_flag", r["mixed_datatype_flag_list"] and opts.strict_key),
+                                     ("missing_data_flag", r["missing_data_flag_list"]),
+                                     ("duplicate_data_flag", r["duplicate_data_flag_list"])) if v]
+            gate.append((r[FILE_COL], r["n_rows"], flags))
+        bad = {p: f for p, _, f in gate if f}
+        if bad:
+            rows = [(p, table, None, "failed", f"key column {cols[0]!r}: {f}") for p, f in bad.items()]
+            led.append_ledger(spark, opts.ledger, spark.createDataFrame(rows, fail_schema))
+            df = df.filter(~F.col(FILE_COL).isin(list(bad)))
+        if opts.profile_only or len(bad) == len(todo):
+            return
+        first_name = todo[0].rsplit("/", 1)[-1]
+        if first_name in sidecars:
+            meta = read_metadata(spark, sidecars[first_name], opts.sep)
+        else:
+            meta = profile.profile(df, order=[F.col(c) for c in FILE_ORDER], columns=cols)
+        meta_rows = items.sidecar_rows(meta)
+        typed = items.apply_metadata(df, meta_rows, opts.na_tokens, keep=FILE_ORDER)
+        order = [F.col(c) for c in FILE_ORDER]
+        if opts.row_range is not None:
+            typed = ordinal.row_range(typed, order, *opts.row_range, ordinal_name="_pos")
+            order = [F.col("_pos")]
+        key = typed.columns[0]
+        target = f"{opts.output_path.rstrip('/')}/{table}"
+        schema = tables.create_table(spark, meta_rows, target)
+        tables.upsert_table(spark, target, typed, key, order=order, schema=schema)
+        done = [(p, table, n, "done", None) for p, n, f in gate if not f]
+        led.append_ledger(spark, opts.ledger, spark.createDataFrame(done, fail_schema))
+    except Exception as e:  # the reference reports the table and moves on
+        rows = [(p, table, None, "failed", str(e)[:500]) for p in todo]
+        led.append_ledger(spark, opts.ledger, spark.createDataFrame(rows, fail_schema))
+
+
+def load_folder(spark: SparkSession, opts: LoadOptions, parallel_tables: int = 4) -> DataFrame:
     """O-65: key gate, names, sidecars, create, upsert, ledger, report.
 
     Returns the run report (O-72) over the folder's catalogue."""
@@ -99,42 +144,12 @@ def load_folder(spark: SparkSession, opts: LoadOptions) -> DataFrame:
     sidecars = _sidecars(catalog)
     done_paths = {r["path"] for r in led.file_status(led.read_ledger(spark, opts.ledger)).filter("status = 'done'").collect()}
 
-    for table, paths in _table_files(catalog).items():
-        todo = [p for p in paths if p not in done_paths]
-        if not todo:
-            continue
-        try:
-            df = read_with_encodings(spark, todo, opts.sep, file_order=True)
-            cols = [c for c in df.columns if c not in FILE_ORDER]
-            # Key gate per file (one result row per file); a key repeated in a
-            # later part of a multi-part table is an update, not a fault.
-            kf = profile.primary_key_flags(df.select(FILE_COL, *cols), key=cols[0], by=[FILE_COL], strict=opts.strict_key)
-            bad = {r[FILE_COL]: list(r["warning_flags"]) for r in kf.filter(F.size("warning_flags") > 0).collect()}
-            if bad:
-                rows = [(p, table, None, "failed", f"key column {cols[0]!r}: {w}") for p, w in bad.items()]
-                led.append_ledger(spark, opts.ledger, spark.createDataFrame(rows, "path string, table_name string, n_rows bigint, status string, message string"))
-                df = df.filter(~F.col(FILE_COL).isin(list(bad)))
-            if opts.profile_only or len(bad) == len(todo):
-                continue
-            first_name = todo[0].rsplit("/", 1)[-1]
-            if first_name in sidecars:
-                meta = read_metadata(spark, sidecars[first_name], opts.sep)
-            else:
-                meta = profile.profile(df, order=[F.col(c) for c in FILE_ORDER], columns=cols)
-            typed = items.apply_metadata(df, meta, keep=FILE_ORDER)
-            order = [F.col(c) for c in FILE_ORDER]
-            if opts.row_range is not None:
-                typed = ordinal.row_range(typed, order, *opts.row_range, ordinal_name="_pos")
-                order = [F.col("_pos")]
-            key = typed.columns[0]
-            target = f"{opts.output_path.rstrip('/')}/{table}"
-            schema = tables.create_table(spark, meta, target)
-            tables.upsert_table(spark, target, typed, key, order=order, schema=schema)
-            counts = df.groupBy(F.col(FILE_COL).alias("path")).agg(F.count(F.lit(1)).alias("n_rows"))
-            led.append_ledger(spark, opts.ledger, counts.select("path", F.lit(table).alias("table_name"), "n_rows", F.lit("done").alias("status")))
-        except Exception as e:  # the reference reports the table and moves on
-            rows = [(p, table, None, "failed", str(e)[:500]) for p in todo]
-            led.append_ledger(spark, opts.ledger, spark.createDataFrame(rows, "path string, table_name string, n_rows bigint, status string, message string"))
+    work = [(t, [p for p in ps if p not in done_paths]) for t, ps in _table_files(catalog).items()]
+    work = [(t, ps) for t, ps in work if ps]
+    # Tables are independent: their jobs are submitted from a few threads so
+    # small tables do not leave the cluster idle.
+    with ThreadPoolExecutor(max_workers=max(1, min(parallel_tables, len(work) or 1))) as pool:
+        list(pool.map(lambda tw: _load_table(spark, opts, tw[0], tw[1], sidecars), work))
     listing_rows = cat.data_files(catalog).select("path", "table_name", "is_metadata")
     counts = led.read_ledger(spark, opts.ledger).groupBy("path").agg(F.max("n_rows").alias("n_rows"))
     report_cat = listing_rows.join(counts, on="path", how="left")

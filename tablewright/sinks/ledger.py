@@ -9,6 +9,7 @@ folder being empty.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,14 +27,18 @@ def append_ledger(spark: SparkSession, ledger_path: str, rows: DataFrame) -> Non
             out = out.withColumn(c, F.lit(None).cast(t))
     if "ts" not in out.columns:
         out = out.withColumn("ts", F.lit(_dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)).cast("timestamp"))
-    out.select(*[c for c in ("path", "table_name", "n_rows", "status", "message", "ts") if c in cols]).write.mode("append").parquet(ledger_path)
+    # Each append is its own folder (``attempt=<id>``), so concurrent writers
+    # (tables loaded in parallel, stream batches) never share a commit folder.
+    target = f"{ledger_path.rstrip('/')}/attempt={uuid.uuid4().hex}"
+    out.select(*[c for c in ("path", "table_name", "n_rows", "status", "message", "ts") if c in cols]).write.mode("errorifexists").parquet(target)
 
 
 def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
     try:
-        return spark.read.schema(LEDGER_SCHEMA).parquet(ledger_path)
+        df = spark.read.parquet(ledger_path)
     except Exception:  # no ledger yet
         return spark.createDataFrame([], LEDGER_SCHEMA)
+    return df.select("path", "table_name", "n_rows", "status", "message", "ts")
 
 
 def file_status(ledger: DataFrame) -> DataFrame:

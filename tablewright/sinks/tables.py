@@ -148,3 +148,26 @@ def upsert_table(
     n = spark.read.parquet(staged).count()
     swap_in(spark, staged, path)
     return n
+
+
+def land_as_files(spark: SparkSession, df: DataFrame, folder: str, table: str, parts: int = 1, sep: str = ",") -> list[str]:
+    """Write ``df`` as CSV files named like landed uploads (``table.csv`` or
+    ``table_split__###.csv``) in ``folder``: Spark writes the part files, and
+    the driver only renames them (file metadata, one call per file)."""
+    from ..operators.split import part_name
+
+    staging = f"{folder.rstrip('/')}/_staging_{table}_{uuid.uuid4().hex[:8]}"
+    out = df.repartition(parts) if parts > 1 else df.coalesce(1)
+    out.write.mode("errorifexists").option("header", True).option("escape", '"').option("sep", sep).csv(staging)
+    fs, sp = _fs(spark, staging)
+    files = sorted(str(s.getPath()) for s in fs.listStatus(sp) if s.getPath().getName().endswith(".csv"))
+    jvm = spark.sparkContext._jvm
+    names = []
+    for i, f in enumerate(files, start=1):
+        name = f"{table}.csv" if len(files) == 1 else part_name(table, i)
+        dst = f"{folder.rstrip('/')}/{name}"
+        if not fs.rename(jvm.org.apache.hadoop.fs.Path(f), jvm.org.apache.hadoop.fs.Path(dst)):
+            raise OSError(f"could not land {f} as {dst}")
+        names.append(dst)
+    fs.delete(sp, True)
+    return names

@@ -602,3 +602,69 @@ def encoding_choice_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.join(enc.withColumnRenamed("path", D.FILE_COL), on=D.FILE_COL).groupBy("encoding").agg(
         F.count(F.lit(1)).alias("n_rows"), F.countDistinct(D.FILE_COL).alias("n_files")
     )
+
+
+# --------------------------------------------------------------------------
+# Folder flows over landed files
+# --------------------------------------------------------------------------
+
+FOLDER_TABLES = {
+    "region": ["r_regionkey", "r_name"],
+    "nation": ["n_nationkey", "n_name", "n_regionkey"],
+    "supplier": ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"],
+    "customer": CUSTOMER_COLS,
+}
+
+
+def _land_tables(spark: SparkSession, sf_dir: str, folder: str, parts: dict[str, int]) -> None:
+    from ..sinks.tables import land_as_files
+
+    for t, cols in FOLDER_TABLES.items():
+        land_as_files(spark, table(spark, sf_dir, t).select(*cols).orderBy(cols[0]), folder, t, parts.get(t, 1))
+
+
+def _profile_folder_sql() -> str:
+    parts = []
+    for t, cols in FOLDER_TABLES.items():
+        inner = O.profile_sql(O.text_table_sql(t, cols, cols[0]), cols)
+        parts.append(
+            f"SELECT '{t}' AS table_name, column_index, column_name, AWS_column_dtype, pandas_column_dtype, "
+            f"example_item_list, mixed_datatype_flag_list, missing_data_flag_list, duplicate_data_flag_list FROM ({inner})"
+        )
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("profile_folder_tables", _profile_folder_sql())
+def profile_folder_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-35 (with O-01…O-03, O-26, O-28): four tables landed as CSV files in
+    one folder (each one file), profiled per file in one grouped job per table,
+    with the key warnings per file."""
+    from ..plans.folder import profile_folder
+
+    root = scratch_path(spark, "folder-profile")
+    _land_tables(spark, sf_dir, root, {})
+    prof = profile_folder(spark, root)
+    return prof.select(
+        "table_name", "column_index", "column_name", "AWS_column_dtype", "pandas_column_dtype", "example_item_list",
+        "mixed_datatype_flag_list", "missing_data_flag_list", "duplicate_data_flag_list",
+    )
+
+
+@register(
+    "load_folder_customer",
+    "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
+)
+def load_folder_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-65 (with O-03, O-07…O-11, O-28/29, O-26, O-12, O-60, O-61, O-70/72):
+    a folder with ``customer`` landed in three parts plus three single-file
+    tables is loaded into keyed parquet tables; ``customer`` is read back."""
+    from ..options import LoadOptions
+    from ..plans.folder import load_folder
+
+    root = scratch_path(spark, "folder-load")
+    _land_tables(spark, sf_dir, f"{root}/landing", {"customer": 3})
+    report = load_folder(spark, LoadOptions(input_path=f"{root}/landing", output_path=f"{root}/warehouse"))
+    bad = [r for r in report.collect() if r["status"] != "done"]
+    if bad:
+        raise RuntimeError(f"load did not finish: {bad}")
+    return spark.read.parquet(f"{root}/warehouse/customer")
