@@ -56,6 +56,18 @@ def with_ordinal(
     ``order`` defaults to all columns (whole rows), which is a total order up
     to identical rows; identical rows get distinct, interchangeable numbers.
     """
+    return with_ordinal_and_count(df, order, name, num_partitions, tiebreak)[0]
+
+
+def with_ordinal_and_count(
+    df: DataFrame,
+    order=None,
+    name: str = "_ordinal",
+    num_partitions: int | None = None,
+    tiebreak: bool = True,
+) -> tuple[DataFrame, int]:
+    """``with_ordinal`` plus the row count, read from the per-partition
+    counts (one row per partition) instead of another pass over the data."""
     cols = _order_cols(df, order)
     n = _partitions(df, num_partitions)
     keys = list(cols)
@@ -78,7 +90,20 @@ def with_ordinal(
     )
     out = s.join(F.broadcast(offsets), pid == F.col("_pid"), "inner")
     out = out.withColumn(name, F.col("_off") + F.col("_mid").bitwiseAND(F.lit(_LOW33)))
-    return out.drop("_pid", "_off", "_mid", "_tb")
+    return out.drop("_pid", "_off", "_mid", "_tb"), _Count(counts)
+
+
+class _Count:
+    """Row count computed on first use from the per-partition counts."""
+
+    def __init__(self, counts: DataFrame):
+        self._counts = counts
+        self._n = None
+
+    def __int__(self) -> int:
+        if self._n is None:
+            self._n = int(self._counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0])
+        return self._n
 
 
 def add_row_key(df: DataFrame, order=None, name: str = ROW_KEY_NAME, num_partitions: int | None = None) -> DataFrame:

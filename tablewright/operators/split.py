@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.patterns import DEFAULT_SPLIT_THRESHOLD, MAX_PARTS, SPLIT_NAME_FORMAT
-from .ordinal import with_ordinal
+from .ordinal import with_ordinal_and_count
 
 MAX_HALVINGS = 9  # 2**9 = 512 <= 999 < 2**10
 
@@ -93,12 +93,11 @@ def assign_parts(
 ) -> DataFrame:
     """O-42: contiguous part numbers in row order so that no part exceeds
     the threshold. ``n`` (row count) is counted when not given."""
-    if n is None:
-        n = df.count()
+    name = ordinal_col or "_ordinal"
+    out, count = with_ordinal_and_count(df, order, name)
+    n = int(count) if n is None else n  # from the checkpointed partition counts
     k = split_plan(n, threshold)
     bounds = split_bounds(n, k)
-    name = ordinal_col or "_ordinal"
-    out = with_ordinal(df, order, name)
     out = out.withColumn(part_col, part_of(name, bounds))
     return out if ordinal_col else out.drop(name)
 
