@@ -35,19 +35,27 @@ def _sidecars(catalog: DataFrame) -> dict[str, str]:
     return {r["data_name"]: r["path"] for r in cat.metadata_files(catalog).select("data_name", "path").collect()}
 
 
-def profile_folder(spark: SparkSession, path: str, sep: str = ",", with_key_flags: bool = True) -> DataFrame:
+def profile_folder(
+    spark: SparkSession, path: str, sep: str = ",", with_key_flags: bool = True, per_file: bool = True
+) -> DataFrame:
     """O-35: the profile of every data file in a folder (``_file`` column),
     plus its key flags; one scan per table, one grouped job per table, all
-    unioned into one result."""
+    unioned into one result. ``per_file=False`` profiles each table as a
+    whole (all its parts, in file order)."""
     catalog = cat.file_catalog(spark, path)
     outs = []
     for table, paths in _table_files(catalog).items():
         df = read_with_encodings(spark, paths, sep, file_order=True)
         cols = [c for c in df.columns if c not in FILE_ORDER]
-        prof = profile.profile(df, order=[F.col("_block"), F.col("_row")], by=[FILE_COL], columns=cols, n_groups=len(paths))
+        if per_file:
+            by, order, keyed = [FILE_COL], [F.col("_block"), F.col("_row")], df.select(FILE_COL, *cols)
+        else:
+            by, order, keyed = [], [F.col(c) for c in FILE_ORDER], df.select(*cols)
+        prof = profile.profile(df, order=order, by=by, columns=cols, n_groups=len(paths))
         if with_key_flags:
-            kf = profile.primary_key_flags(df.select(FILE_COL, *cols), key=cols[0], by=[FILE_COL])
-            prof = prof.join(kf.select(FILE_COL, F.concat_ws(",", "warning_flags").alias("key_warnings")), on=FILE_COL, how="left")
+            kf = profile.primary_key_flags(keyed, key=cols[0], by=by)
+            kf = kf.select(*by, F.concat_ws(",", "warning_flags").alias("key_warnings"))
+            prof = prof.join(kf, on=by, how="left") if by else prof.crossJoin(kf)
         outs.append(prof.withColumn("table_name", F.lit(table)))
     if not outs:
         raise ValueError(f"no data files under {path}")

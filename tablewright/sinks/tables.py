@@ -150,14 +150,16 @@ def upsert_table(
     return n
 
 
-def land_as_files(spark: SparkSession, df: DataFrame, folder: str, table: str, parts: int = 1, sep: str = ",") -> list[str]:
+def land_as_files(spark: SparkSession, df: DataFrame, folder: str, table: str, parts: int | None = None, sep: str = ",") -> list[str]:
     """Write ``df`` as CSV files named like landed uploads (``table.csv`` or
-    ``table_split__###.csv``) in ``folder``: Spark writes the part files, and
-    the driver only renames them (file metadata, one call per file)."""
+    ``table_split__###.csv``, in partition order) in ``folder``: Spark writes
+    the part files, and the driver only renames them (one call per file).
+    ``parts`` repartitions first; by default the frame's own partitioning
+    (e.g. an ``orderBy``) is kept, so no task holds a whole table."""
     from ..operators.split import part_name
 
     staging = f"{folder.rstrip('/')}/_staging_{table}_{uuid.uuid4().hex[:8]}"
-    out = df.repartition(parts) if parts > 1 else df.coalesce(1)
+    out = df.repartition(parts) if parts else df
     out.write.mode("errorifexists").option("header", True).option("escape", '"').option("sep", sep).csv(staging)
     fs, sp = _fs(spark, staging)
     files = sorted(str(s.getPath()) for s in fs.listStatus(sp) if s.getPath().getName().endswith(".csv"))

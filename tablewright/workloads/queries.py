@@ -620,7 +620,7 @@ def _land_tables(spark: SparkSession, sf_dir: str, folder: str, parts: dict[str,
     from ..sinks.tables import land_as_files
 
     for t, cols in FOLDER_TABLES.items():
-        land_as_files(spark, table(spark, sf_dir, t).select(*cols).orderBy(cols[0]), folder, t, parts.get(t, 1))
+        land_as_files(spark, table(spark, sf_dir, t).select(*cols).orderBy(cols[0]), folder, t, parts.get(t))
 
 
 def _profile_folder_sql() -> str:
@@ -636,14 +636,14 @@ def _profile_folder_sql() -> str:
 
 @register("profile_folder_tables", _profile_folder_sql())
 def profile_folder_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """O-35 (with O-01…O-03, O-26, O-28): four tables landed as CSV files in
-    one folder (each one file), profiled per file in one grouped job per table,
-    with the key warnings per file."""
+    """O-35 (with O-01…O-03, O-26, O-28): four tables landed as ordered CSV
+    files (one or more parts each) in one folder, each profiled as a whole
+    in file order in one grouped job per table, with its key warnings."""
     from ..plans.folder import profile_folder
 
     root = scratch_path(spark, "folder-profile")
     _land_tables(spark, sf_dir, root, {})
-    prof = profile_folder(spark, root)
+    prof = profile_folder(spark, root, per_file=False)
     return prof.select(
         "table_name", "column_index", "column_name", "AWS_column_dtype", "pandas_column_dtype", "example_item_list",
         "mixed_datatype_flag_list", "missing_data_flag_list", "duplicate_data_flag_list",
@@ -668,3 +668,46 @@ def load_folder_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     if bad:
         raise RuntimeError(f"load did not finish: {bad}")
     return spark.read.parquet(f"{root}/warehouse/customer")
+
+
+def _sidecar_text_sql() -> str:
+    inner = O.profile_sql(O.text_table_sql("events", EVENTS_COLS, "event_id", EVENTS_NULLS), EVENTS_COLS)
+    return (
+        "SELECT column_index, column_name, AWS_column_dtype, pandas_column_dtype, example_item_list, "
+        "lower(CAST(mixed_datatype_flag_list AS VARCHAR)) AS mixed_datatype_flag_list, "
+        "lower(CAST(missing_data_flag_list AS VARCHAR)) AS missing_data_flag_list, "
+        f"lower(CAST(duplicate_data_flag_list AS VARCHAR)) AS duplicate_data_flag_list FROM ({inner})"
+    )
+
+
+@register("metadata_roundtrip_events", _sidecar_text_sql())
+def metadata_roundtrip_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-63, O-04: the ``events`` profile written as a sidecar CSV and read
+    back (all text, line order as ``column_index``)."""
+    from pyspark.sql import functions as F
+
+    from ..sinks.tables import write_metadata
+
+    ev = as_text(table(spark, sf_dir, "events"), order_col="event_id", nulls=EVENTS_NULLS)
+    path = scratch_path(spark, "sidecar-events")
+    write_metadata(P.profile(ev, order="_o", columns=EVENTS_COLS), path)
+    back = D.read_metadata(spark, path)
+    return back.select(F.col("column_index").cast("int").alias("column_index"), *[c for c in back.columns if c != "column_index"])
+
+
+@register(
+    "add_key_file_customer",
+    "SELECT CAST(row_number() OVER (ORDER BY c_custkey) AS VARCHAR) AS Row_Number, CAST(c_custkey AS VARCHAR) AS c_custkey, "
+    "c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey, CAST(c_acctbal AS VARCHAR) AS c_acctbal, c_mktsegment FROM customer",
+)
+def add_key_file_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entry 3 (O-01, O-31, O-64): ``customer`` landed as CSV files in key
+    order gets a ``Row_Number`` first column in file order (file, offset,
+    row), is written to a new path and read back as text."""
+    from ..plans.folder import add_key_to_file
+    from ..sinks.tables import land_as_files
+
+    root = scratch_path(spark, "add-key")
+    land_as_files(spark, table(spark, sf_dir, "customer").orderBy("c_custkey"), f"{root}/in", "customer")
+    add_key_to_file(spark, f"{root}/in", f"{root}/out")
+    return D.read_delimited(spark, f"{root}/out")
