@@ -21,6 +21,7 @@ class LoadOptions:
     profile_only: bool = False
     strict_key: bool = True
     sep: str = ","
+    encoding: str | None = None  # None: choose per file (an extra text pass)
     na_tokens: tuple[str, ...] = NA_TOKENS
 
     def __post_init__(self):

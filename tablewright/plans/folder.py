@@ -20,7 +20,7 @@ from ..options import LoadOptions
 from ..sinks import ledger as led
 from ..sinks import tables
 from ..sources import catalog as cat
-from ..sources.delimited import FILE_COL, FILE_ORDER, read_delimited, read_metadata, read_with_encodings
+from ..sources.delimited import FILE_COL, FILE_ORDER, header_groups, read_delimited, read_metadata, read_with_encodings
 
 
 def _table_files(catalog: DataFrame) -> dict[str, list[str]]:
@@ -36,7 +36,12 @@ def _sidecars(catalog: DataFrame) -> dict[str, str]:
 
 
 def profile_folder(
-    spark: SparkSession, path: str, sep: str = ",", with_key_flags: bool = True, per_file: bool = True
+    spark: SparkSession,
+    path: str,
+    sep: str = ",",
+    with_key_flags: bool = True,
+    per_file: bool = True,
+    encoding: str | None = None,
 ) -> DataFrame:
     """O-35: the profile of every data file in a folder (``_file`` column),
     plus its key flags; one scan per table, one grouped job per table, all
@@ -44,8 +49,14 @@ def profile_folder(
     whole (all its parts, in file order)."""
     catalog = cat.file_catalog(spark, path)
     outs = []
-    for table, paths in _table_files(catalog).items():
-        df = read_with_encodings(spark, paths, sep, file_order=True)
+    tables_of = {r["path"]: r["table_name"] for r in cat.data_files(catalog).select("path", "table_name").collect()}
+    if per_file:
+        # One multi-path scan per distinct header line, however many files.
+        units = [(None, ps) for ps in header_groups(spark, list(tables_of))]
+    else:
+        units = list(_table_files(catalog).items())
+    for table, paths in units:
+        df = read_with_encodings(spark, paths, sep, file_order=True, encoding=encoding)
         cols = [c for c in df.columns if c not in FILE_ORDER]
         if per_file:
             by, order, keyed = [FILE_COL], [F.col("_block"), F.col("_row")], df.select(FILE_COL, *cols)
@@ -56,7 +67,12 @@ def profile_folder(
             kf = profile.primary_key_flags(keyed, key=cols[0], by=by)
             kf = kf.select(*by, F.concat_ws(",", "warning_flags").alias("key_warnings"))
             prof = prof.join(kf, on=by, how="left") if by else prof.crossJoin(kf)
-        outs.append(prof.withColumn("table_name", F.lit(table)))
+        if table is None:
+            names = F.create_map(*[x for p in paths for x in (F.lit(p), F.lit(tables_of[p]))])
+            prof = prof.withColumn("table_name", F.element_at(names, F.col(FILE_COL)))
+        else:
+            prof = prof.withColumn("table_name", F.lit(table))
+        outs.append(prof)
     if not outs:
         raise ValueError(f"no data files under {path}")
     return reduce(lambda a, b: a.unionByName(b), outs)
@@ -94,7 +110,7 @@ def _load_table(spark: SparkSession, opts: LoadOptions, table: str, todo: list[s
     """One table of O-65: key gate per file, sidecar, create, upsert, ledger."""
     fail_schema = "path string, table_name string, n_rows bigint, status string, message string"
     try:
-        df = read_with_encodings(spark, todo, opts.sep, file_order=True)
+        df = read_with_encodings(spark, todo, opts.sep, file_order=True, encoding=opts.encoding)
         cols = [c for c in df.columns if c not in FILE_ORDER]
         # Key gate per file (one result row per file); a key repeated in a
         # later part of a multi-part table is an update, not a fault.

@@ -95,6 +95,29 @@ def read_delimited(
     return df
 
 
+def file_headers(spark: SparkSession, paths) -> DataFrame:
+    """``(path, header)``: the first line of every file, from one text scan
+    of all files (the line with the least position in the file's first
+    split), so files can be grouped by header before they are parsed."""
+    lines = spark.read.text(_paths(paths)).select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("_b"),
+        F.monotonically_increasing_id().alias("_r"),
+        "value",
+    )
+    first = lines.filter(F.col("_b") == 0).groupBy("path").agg(F.min_by("value", "_r").alias("header"))
+    return first.select("path", F.regexp_replace("header", "\r$", "").alias("header"))
+
+
+def header_groups(spark: SparkSession, paths) -> list[list[str]]:
+    """Paths grouped by identical header line (one row per file is read to
+    the driver: bounded by the file count)."""
+    groups: dict[str, list[str]] = {}
+    for r in file_headers(spark, paths).orderBy("path").collect():
+        groups.setdefault(r["header"], []).append(r["path"])
+    return [ps for _, ps in sorted(groups.items(), key=lambda kv: kv[1][0])]
+
+
 def choose_encoding(spark: SparkSession, paths, fallback: str = "ISO-8859-1") -> DataFrame:
     """O-02: ``(path, encoding)``: UTF-8 when every line is valid UTF-8,
     else the fallback. One grouped pass over the raw lines of all files."""
@@ -102,9 +125,21 @@ def choose_encoding(spark: SparkSession, paths, fallback: str = "ISO-8859-1") ->
     return lines.groupBy("path").agg(F.when(F.bool_and("ok"), F.lit("UTF-8")).otherwise(F.lit(fallback)).alias("encoding"))
 
 
-def read_with_encodings(spark: SparkSession, paths, sep: str = ",", multi_line: bool = False, file_order: bool = False) -> DataFrame:
+def read_with_encodings(
+    spark: SparkSession,
+    paths,
+    sep: str = ",",
+    multi_line: bool = False,
+    file_order: bool = False,
+    encoding: str | None = None,
+) -> DataFrame:
     """O-01 + O-02: one scan per encoding group, unioned. The list of paths
-    per encoding is one row per file (bounded by the file count)."""
+    per encoding is one row per file (bounded by the file count).
+
+    Detection reads every byte once more as text; pass ``encoding`` when the
+    folder's encoding is known to skip that pass."""
+    if encoding:
+        return read_delimited(spark, paths, sep, encoding, multi_line, None, file_order)
     enc = choose_encoding(spark, paths).collect()
     groups: dict[str, list[str]] = {}
     for r in enc:

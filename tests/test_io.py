@@ -124,3 +124,16 @@ def test_profile_folder_and_add_key(spark, tmp_dir):
     folder.add_key_to_file(spark, f"{inp}/sm_salary6.csv", f"{tmp_dir}/keyed", name="id", prefix="Test")
     back = spark.read.option("header", True).csv(f"{tmp_dir}/keyed").orderBy("id").collect()
     assert [(r["id"], r["Salary"]) for r in back] == [("Test_1", "39343"), ("Test_2", "46205")]
+
+
+def test_profile_folder_groups_files_by_header(spark, tmp_dir):
+    inp = f"{tmp_dir}/in4"
+    _write(f"{inp}/day1.csv", "id,v\n1,a\n2,b\n")
+    _write(f"{inp}/day2.csv", "id,v\n3,c\n3,d\n")
+    _write(f"{inp}/other.csv", "k,flag\nx,True\n")
+    groups = D.header_groups(spark, inp)
+    assert sorted(len(g) for g in groups) == [1, 2]
+    prof = folder.profile_folder(spark, inp)
+    rows = {(r["table_name"], r["column_name"]): r for r in prof.collect()}
+    assert rows[("day1", "id")]["key_warnings"] == "" and rows[("day2", "id")]["key_warnings"] == "duplicate_data_flag"
+    assert rows[("other", "flag")]["pandas_column_dtype"] == "bool"
