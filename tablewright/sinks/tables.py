@@ -74,12 +74,10 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
 
 
 def create_table(spark: SparkSession, meta, path: str, key: str | None = None) -> T.StructType:
-    """O-60: an empty table whose schema comes from the sidecar (first column
-    is the key). Existing tables are left alone."""
-    schema = schema_from_sidecar(meta)
-    if not path_exists(spark, path):
-        spark.createDataFrame([], schema).write.mode("errorifexists").parquet(path)
-    return schema
+    """O-60: the schema a new table gets from its sidecar (first column is
+    the key). The folder itself is made by the first put (``upsert_table``),
+    which writes the bucket layout; an existing table keeps its schema."""
+    return schema_from_sidecar(meta)
 
 
 def existing_tables(spark: SparkSession, warehouse: str) -> DataFrame:
@@ -113,7 +111,9 @@ def swap_in(spark: SparkSession, staged: str, path: str) -> None:
     staged_p = jvm.org.apache.hadoop.fs.Path(staged)
     old = None
     if fs.exists(target):
-        old = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.old-{uuid.uuid4().hex[:8]}")
+        # hidden name (leading dot): readers and table listings skip it
+        parent, name = path.rstrip("/").rsplit("/", 1)
+        old = jvm.org.apache.hadoop.fs.Path(f"{parent}/.old-{name}-{uuid.uuid4().hex[:8]}")
         if not fs.rename(target, old):
             raise OSError(f"could not move {path} aside")
     if not fs.rename(staged_p, target):
@@ -124,6 +124,47 @@ def swap_in(spark: SparkSession, staged: str, path: str) -> None:
         fs.delete(old, True)
 
 
+BUCKET_COL = "_bucket"
+DEFAULT_BUCKETS = 64
+TABLE_META = "_table.json"
+
+
+def bucket_of(keys: Sequence[str], n_buckets: int):
+    """Hash bucket of a key: fixed per table, so a put touches one bucket."""
+    return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(n_buckets)).cast("int")
+
+
+def _read_meta(spark: SparkSession, path: str) -> dict | None:
+    import json
+
+    fs, p = _fs(spark, f"{path.rstrip('/')}/{TABLE_META}")
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        reader = spark.sparkContext._jvm.java.io.BufferedReader(spark.sparkContext._jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        return json.loads(reader.readLine())
+    finally:
+        stream.close()
+
+
+def _write_meta(spark: SparkSession, path: str, meta: dict) -> None:
+    import json
+
+    fs, p = _fs(spark, f"{path.rstrip('/')}/{TABLE_META}")
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(json.dumps(meta).encode("utf-8")))
+    finally:
+        out.close()
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A keyed table without its bucket column."""
+    df = spark.read.parquet(path)
+    return df.drop(BUCKET_COL) if BUCKET_COL in df.columns else df
+
+
 def upsert_table(
     spark: SparkSession,
     path: str,
@@ -131,23 +172,55 @@ def upsert_table(
     key: str | Sequence[str],
     order=None,
     schema: T.StructType | None = None,
+    n_buckets: int = DEFAULT_BUCKETS,
 ) -> int:
-    """O-61 on storage: put every batch row into the table at ``path`` (last
-    row per key wins, whole-item replace), via a staged write and a swap.
-    Re-running the same batch gives the same table (idempotent retry).
-    Returns the number of rows written."""
-    if path_exists(spark, path):
-        target = spark.read.parquet(path)
-    else:
-        onames = {order} if isinstance(order, str) else {o for o in (order or []) if isinstance(o, str)}
+    """O-61 on storage: put every batch row into the keyed table at ``path``
+    (last row per key wins, whole-item replace).
+
+    The table is stored in ``_bucket=N`` folders by key hash. Only buckets
+    the batch touches are read (partition pruning), rewritten to a staging
+    folder and swapped in, so the cost follows the batch, not the table. A
+    batch applied twice gives the same table (idempotent retry), which also
+    makes an interrupted swap safe to finish by re-running the batch.
+    Returns the number of distinct keys in the batch."""
+    from ..operators.upsert import last_per_key
+
+    keys = [key] if isinstance(key, str) else list(key)
+    meta = _read_meta(spark, path) if path_exists(spark, path) else None
+    if meta is not None:
+        n_buckets = int(meta["buckets"])
+    if order is not None:
+        batch = last_per_key(batch, keys, order)
+    onames = {order} if isinstance(order, str) else {o for o in (order or []) if isinstance(o, str)}
+    if meta is None:
         sch = schema or T.StructType([f for f in batch.schema.fields if not f.name.startswith("_") and f.name not in onames])
-        target = spark.createDataFrame([], sch)
-    new = upsert(target, batch, key, order)
-    staged = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex[:12]}"
-    new.write.mode("errorifexists").parquet(staged)
-    n = spark.read.parquet(staged).count()
-    swap_in(spark, staged, path)
-    return n
+        target_cols = [f.name for f in sch.fields]
+        target = spark.createDataFrame([], T.StructType(sch.fields + [T.StructField(BUCKET_COL, T.IntegerType())]))
+    else:
+        target = spark.read.parquet(path)
+        target_cols = [c for c in target.columns if c != BUCKET_COL]
+    batch = batch.select(
+        *[(F.col(f"`{c}`") if c in batch.columns else F.lit(None)).cast(target.schema[c].dataType).alias(c) for c in target_cols]
+    ).withColumn(BUCKET_COL, bucket_of(keys, n_buckets))
+    touched = sorted(r[0] for r in batch.select(BUCKET_COL).distinct().collect())  # at most n_buckets rows
+    if not touched:
+        return 0
+    current = target.filter(F.col(BUCKET_COL).isin(touched))
+    new = upsert(current, batch, keys)
+    parent, name = path.rstrip("/").rsplit("/", 1)
+    staged = f"{parent}/.staging-{name}-{uuid.uuid4().hex[:12]}"
+    new.write.mode("errorifexists").partitionBy(BUCKET_COL).parquet(staged)
+    fs, _ = _fs(spark, path)
+    if meta is None:
+        fs.mkdirs(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path))
+    for b in touched:
+        src = f"{staged}/{BUCKET_COL}={b}"
+        if path_exists(spark, src):
+            swap_in(spark, src, f"{path.rstrip('/')}/{BUCKET_COL}={b}")
+    fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(staged), True)
+    if meta is None:
+        _write_meta(spark, path, {"buckets": n_buckets, "key": keys})
+    return len(touched)
 
 
 def land_as_files(spark: SparkSession, df: DataFrame, folder: str, table: str, parts: int | None = None, sep: str = ",") -> list[str]:

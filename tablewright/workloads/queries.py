@@ -16,6 +16,7 @@ from ..operators import split as S
 from ..operators import upsert as U
 from ..sinks import ledger as L
 from ..session import scratch_path
+from ..sinks.tables import read_table
 from ..sources import catalog as C
 from ..sources import delimited as D
 from ..streaming.ingest import ingest_stream
@@ -581,7 +582,7 @@ def stream_ingest_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
         archive_dir=f"{root}/archive",
         max_files_per_trigger=1,
     )
-    return spark.read.parquet(f"{root}/table")
+    return read_table(spark, f"{root}/table")
 
 
 @register("encoding_choice_documents")
@@ -667,7 +668,7 @@ def load_folder_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     bad = [r for r in report.collect() if r["status"] != "done"]
     if bad:
         raise RuntimeError(f"load did not finish: {bad}")
-    return spark.read.parquet(f"{root}/warehouse/customer")
+    return read_table(spark, f"{root}/warehouse/customer")
 
 
 def _sidecar_text_sql() -> str:

@@ -61,7 +61,7 @@ def test_upsert_table_swap_is_idempotent(spark, tmp_dir):
     b2 = spark.createDataFrame([(2, "b2", 1), (2, "b3", 2), (3, "c", 1)], "k long, v string, o int")
     tables.upsert_table(spark, path, b2, "k", order="o")
     tables.upsert_table(spark, path, b2, "k", order="o")  # a retried batch
-    got = sorted(tuple(r) for r in spark.read.parquet(path).collect())
+    got = sorted(tuple(r) for r in tables.read_table(spark, path).collect())
     assert got == [(1, "a"), (2, "b3"), (3, "c")]
 
 
@@ -85,7 +85,7 @@ def test_stream_ingest_two_runs(spark, tmp_dir):
     ingest_stream(spark, land, **args)
     _write(f"{land}/c.csv", "k,v\n3,w\n1,q\n")
     ingest_stream(spark, land, **args)
-    got = sorted(tuple(r) for r in spark.read.parquet(f"{tmp_dir}/t").collect())
+    got = sorted(tuple(r) for r in tables.read_table(spark, f"{tmp_dir}/t").collect())
     assert got[0][0] == 1 and got[0][1] == "q" and len(got) == 3
     files = ledger.read_ledger(spark, f"{tmp_dir}/led").select("path").distinct().count()
     assert files == 3  # each file delivered once
@@ -100,7 +100,7 @@ def test_load_folder_flow(spark, tmp_dir):
     rep = folder.load_folder(spark, LoadOptions(input_path=inp, output_path=out))
     r = {(x["table_name"], x["status"]): x["n_files"] for x in rep.collect()}
     assert r == {("people", "done"): 2, ("orders", "done"): 1}
-    people = sorted(tuple(x) for x in spark.read.parquet(f"{out}/people").collect())
+    people = sorted(tuple(x) for x in tables.read_table(spark, f"{out}/people").collect())
     assert people == [(1, "ann", 1.5), (2, "bo", 3.0), (3, "cy", 2.0)]
     # a rerun loads nothing new
     rep2 = folder.load_folder(spark, LoadOptions(input_path=inp, output_path=out, append=True))
@@ -137,3 +137,24 @@ def test_profile_folder_groups_files_by_header(spark, tmp_dir):
     rows = {(r["table_name"], r["column_name"]): r for r in prof.collect()}
     assert rows[("day1", "id")]["key_warnings"] == "" and rows[("day2", "id")]["key_warnings"] == "duplicate_data_flag"
     assert rows[("other", "flag")]["pandas_column_dtype"] == "bool"
+
+
+def test_upsert_rewrites_only_touched_buckets(spark, tmp_dir):
+    path = f"{tmp_dir}/bk"
+    first = spark.range(0, 1000).selectExpr("id AS k", "'v0' AS v")
+    tables.upsert_table(spark, path, first, "k", n_buckets=16)
+    import os as _os
+
+    def mtimes():
+        root = path.replace("file:", "")
+        return {d: _os.path.getmtime(f"{root}/{d}") for d in _os.listdir(root) if d.startswith("_bucket=")}
+
+    before = mtimes()
+    assert len(before) == 16
+    upd = spark.createDataFrame([(5, "v1")], "k long, v string")
+    assert tables.upsert_table(spark, path, upd, "k") == 1
+    after = mtimes()
+    changed = [d for d in after if after[d] != before[d]]
+    assert len(changed) == 1
+    got = {r["k"]: r["v"] for r in tables.read_table(spark, path).collect()}
+    assert len(got) == 1000 and got[5] == "v1" and got[6] == "v0"
