@@ -142,7 +142,8 @@ def _load_table(spark: SparkSession, opts: LoadOptions, table: str, todo: list[s
         key = typed.columns[0]
         target = f"{opts.output_path.rstrip('/')}/{table}"
         schema = tables.create_table(spark, meta_rows, target)
-        tables.upsert_table(spark, target, typed, key, order=order, schema=schema)
+        n_rows = sum(n for _, n, f in gate if not f)
+        tables.upsert_table(spark, target, typed, key, order=order, schema=schema, expected_rows=n_rows)
         done = [(p, table, n, "done", None) for p, n, f in gate if not f]
         led.append_ledger(spark, opts.ledger, spark.createDataFrame(done, fail_schema))
     except Exception as e:  # the reference reports the table and moves on

@@ -125,10 +125,16 @@ def swap_in(spark: SparkSession, staged: str, path: str) -> None:
 
 
 BUCKET_COL = "_bucket"
-DEFAULT_BUCKETS = 64
+ROWS_PER_BUCKET = 2_000_000
+MAX_BUCKETS = 1024
 TABLE_META = "_table.json"
 
 
+def buckets_for(n_rows: int) -> int:
+    """Bucket count of a new table: about ``ROWS_PER_BUCKET`` rows each."""
+    return max(1, min(MAX_BUCKETS, -(-int(n_rows) // ROWS_PER_BUCKET)))
+
+
 def bucket_of(keys: Sequence[str], n_buckets: int):
     """Hash bucket of a key: fixed per table, so a put touches one bucket."""
     return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(n_buckets)).cast("int")
@@ -172,7 +178,8 @@ def upsert_table(
     key: str | Sequence[str],
     order=None,
     schema: T.StructType | None = None,
-    n_buckets: int = DEFAULT_BUCKETS,
+    n_buckets: int | None = None,
+    expected_rows: int | None = None,
 ) -> int:
     """O-61 on storage: put every batch row into the keyed table at ``path``
     (last row per key wins, whole-item replace).
@@ -182,7 +189,8 @@ def upsert_table(
     folder and swapped in, so the cost follows the batch, not the table. A
     batch applied twice gives the same table (idempotent retry), which also
     makes an interrupted swap safe to finish by re-running the batch.
-    Returns the number of distinct keys in the batch."""
+    A new table gets ``n_buckets`` (default: sized from ``expected_rows`` or
+    the first batch). Returns the number of buckets rewritten."""
     from ..operators.upsert import last_per_key
 
     keys = [key] if isinstance(key, str) else list(key)
@@ -191,6 +199,9 @@ def upsert_table(
         n_buckets = int(meta["buckets"])
     if order is not None:
         batch = last_per_key(batch, keys, order)
+    if n_buckets is None:
+        # a new table is sized from its first batch (the initial load)
+        n_buckets = buckets_for(expected_rows if expected_rows is not None else batch.count())
     onames = {order} if isinstance(order, str) else {o for o in (order or []) if isinstance(o, str)}
     if meta is None:
         sch = schema or T.StructType([f for f in batch.schema.fields if not f.name.startswith("_") and f.name not in onames])
