@@ -59,9 +59,11 @@ def text_cells(
     columns: Sequence[str] | None = None,
     order=None,
     by: Sequence[str] = (),
+    with_names: bool = True,
 ) -> DataFrame:
     """Unpivot a table to one row per cell: ``(by…, _ord, column_name,
-    column_index, cell)``; cells are text (columns are cast to string)."""
+    column_index, cell)``; cells are text (columns are cast to string).
+    ``with_names=False`` leaves the name out (it follows from the index)."""
     by = list(by)
     cols = _value_columns(df, columns, by)
     # Columns are renamed to their positions: the unpivot label is then the
@@ -78,9 +80,14 @@ def text_cells(
     pairs = ", ".join(f"{i}, `{i}`" for i in range(len(cols)))
     keep = [*by, *([ORD] if ords else [])]
     long = base.select(*keep, F.expr(f"stack({len(cols)}, {pairs})").alias("column_index", "cell"))
-    idx = F.col("column_index")
-    names = F.array(*[F.lit(c) for c in cols])
-    return long.select(*keep, F.element_at(names, idx + 1).alias("column_name"), idx.alias("column_index"), "cell")
+    if not with_names:
+        return long
+    return long.select(*keep, column_name_of(cols).alias("column_name"), "column_index", "cell")
+
+
+def column_name_of(cols: Sequence[str], index_col: str = "column_index") -> Column:
+    """Name of a column from its position (a literal array lookup)."""
+    return F.element_at(F.array(*[F.lit(c) for c in cols]), F.col(index_col) + 1)
 
 
 def _cell_flags(cell: Column, na_tokens) -> dict[str, Column]:
@@ -189,13 +196,15 @@ def column_stats(
     if not with_dup:
         return _finish(_wide_stats(df, columns, order, by, na_tokens, with_example, n_groups), by, False, na_tokens)
 
-    cells = text_cells(df, columns, False, by)
+    cols = _value_columns(df, columns, by)
+    # Grouping keys carry the column position only; names are attached to
+    # the one-row-per-column result, which keeps shuffled rows small.
+    cells = text_cells(df, cols, False, by, with_names=False)
     cell = F.col("cell")
     fl = _cell_flags(cell, na_tokens)
     cells = cells.select(
         *by,
         "column_index",
-        "column_name",
         "cell",
         typed_key(cell, na_tokens).alias("k"),
         fl["missing"].alias("m"),
@@ -205,7 +214,7 @@ def column_stats(
         fl["float"].alias("ff"),
         fl["bool"].alias("fb"),
     )
-    keys = [*by, "column_index", "column_name"]
+    keys = [*by, "column_index"]
     # Level A: one row per (column, typed value).
     level_a = cells.groupBy(*keys, "k").agg(
         F.count(F.lit(1)).alias("n"),
@@ -236,7 +245,8 @@ def column_stats(
         F.max(F.when(present, F.col("n"))).alias("max_typed"),
         F.max(F.when(present, F.col("n_canon"))).alias("max_canon"),
     )
-    stats = _with_first(level_b.join(level_a2, on=keys, how="left"), df, columns, order, by, with_example, n_groups)
+    level_b = level_b.withColumn("column_name", column_name_of(cols))
+    stats = _with_first(level_b.join(level_a2, on=keys, how="left"), df, cols, order, by, with_example, n_groups)
     return _finish(stats, by, True, na_tokens)
 
 
