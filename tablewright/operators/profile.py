@@ -185,16 +185,28 @@ def column_stats(
     with_dup: bool = True,
     with_example: bool = True,
     n_groups: int | None = None,
+    plan: str = "rescan",
 ) -> DataFrame:
     """Type, missing, duplicate and first-cell statistics per column.
 
     ``with_dup=False`` takes the wide path: a single map-side aggregate with
     a handful of accumulators per column and no Expand or value shuffle.
+
+    ``plan``: ``"rescan"`` (default) shuffles cells once by (column, typed
+    value) and re-reads the source for the few non-canonical cells and the
+    first row; ``"one_scan"`` reads the source once but shuffles twice (a
+    second pass over the distinct values). Measured on sf0.1 events
+    (parquet) and lineitem (CSV, 6.6M cells) on local[8], ``rescan`` was
+    1.4-1.5x faster: re-reading costs less than a second value shuffle.
     """
     by = list(by)
     na_tokens = tuple(na_tokens)
     if not with_dup:
         return _finish(_wide_stats(df, columns, order, by, na_tokens, with_example, n_groups), by, False, na_tokens)
+    if plan == "one_scan":
+        if not _one_scan_ok(df, order, by, with_example, n_groups):
+            raise ValueError("plan='one_scan' needs one fixed-width order column and a bounded group count")
+        return _finish(_one_scan_stats(df, columns, order, by, na_tokens, with_example), by, True, na_tokens)
 
     cols = _value_columns(df, columns, by)
     # Grouping keys carry the column position only; names are attached to
@@ -250,6 +262,92 @@ def column_stats(
     return _finish(stats, by, True, na_tokens)
 
 
+_FIXED_WIDTH = ("bigint", "int", "smallint", "tinyint", "timestamp", "timestamp_ntz", "date", "double", "float")
+
+
+def _one_scan_ok(df: DataFrame, order, by, with_example: bool, n_groups) -> bool:
+    """The one-scan plan needs a fixed-width order key (hash aggregation
+    keeps ``min`` of it) and, with groups, a known bound on their number
+    (one row per group and column is broadcast)."""
+    if by and with_example and (n_groups is None or n_groups > MAX_BROADCAST_GROUPS):
+        return False
+    if order is None:
+        return True
+    if isinstance(order, (list, tuple)):
+        if len(order) != 1:
+            return False
+        order = order[0]
+    if not isinstance(order, str):
+        return False
+    return dict(df.dtypes).get(order) in _FIXED_WIDTH
+
+
+def _one_scan_stats(df: DataFrame, columns, order, by, na_tokens, with_example: bool) -> DataFrame:
+    """All profile statistics from one scan of the source.
+
+    * Level A groups cells by ``(column, typed key, nc)`` where ``nc`` is the
+      raw text when it differs from the typed key (or is missing), so a level-A
+      row is exactly one raw text: its count is that text's multiplicity
+      (text duplicates), and ``coalesce(nc, k)`` gives the text back.
+    * Level B groups by ``(column, typed key)``: typed duplicates.
+    * Level C is one row per column; the first row's cell is the level-A row
+      holding the column's least order value, found by joining level A's
+      (already shuffled, reused) output with one broadcast row per column.
+    """
+    by = list(by)
+    cols = _value_columns(df, columns, by)
+    cells = text_cells(df, cols, order if order is not None else None, by, with_names=False)
+    cell = F.col("cell")
+    fl = _cell_flags(cell, na_tokens)
+    k = typed_key(cell, na_tokens)
+    cells = cells.select(
+        *by,
+        "column_index",
+        F.col(ORD).alias("_o"),
+        k.alias("k"),
+        fl["int"].alias("fi"),
+        fl["i64"].alias("f64"),
+        fl["u64"].alias("fu64"),
+        fl["float"].alias("ff"),
+        fl["bool"].alias("fb"),
+        cell.alias("cell"),
+    ).withColumn("nc", F.when(F.col("k").isNull() | (F.col("cell") != F.col("k")), F.col("cell")))
+    keys = [*by, "column_index"]
+    level_a = cells.groupBy(*keys, "k", "nc").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("_o").alias("min_o"),
+        F.bool_and("fi").alias("all_int"),
+        F.bool_and("f64").alias("all_i64"),
+        F.bool_and("fu64").alias("all_u64"),
+        F.bool_and("ff").alias("all_float"),
+        F.bool_and("fb").alias("all_bool"),
+    )
+    present = F.col("k").isNotNull()
+    level_b = level_a.groupBy(*keys, "k").agg(
+        F.sum("n").alias("total"),
+        F.max("n").alias("max_n"),
+        F.min("min_o").alias("min_o"),
+        *[F.bool_and(c).alias(c) for c in ("all_int", "all_i64", "all_u64", "all_float", "all_bool")],
+    )
+    level_c = level_b.groupBy(*keys).agg(
+        F.sum("total").alias("n_rows"),
+        F.coalesce(F.sum(F.when(~present, F.col("total"))), F.lit(0)).alias("n_missing"),
+        *[F.bool_and(c).alias(c) for c in ("all_int", "all_i64", "all_u64", "all_float", "all_bool")],
+        F.max(F.when(present, F.col("total"))).alias("max_typed"),
+        F.max(F.when(present, F.col("max_n"))).alias("max_canon"),
+        F.min("min_o").alias("first_o"),
+    ).withColumn("noncanon_dup", F.lit(False)).withColumn("column_name", column_name_of(cols))
+    if not with_example:
+        return level_c.withColumn("first_cell", F.lit(None).cast("string"))
+    firsts = F.broadcast(level_c.select(*keys, F.col("first_o").alias("min_o")))
+    first = (
+        level_a.join(firsts, on=[*keys, "min_o"], how="left_semi")
+        .select(*keys, F.coalesce("nc", "k").alias("first_cell"))
+        .dropDuplicates(keys)
+    )
+    return level_c.join(first, on=keys, how="left")
+
+
 def _with_first(stats: DataFrame, df: DataFrame, columns, order, by, with_example: bool, n_groups=None) -> DataFrame:
     if not with_example:
         return stats.withColumn("first_cell", F.lit(None).cast("string"))
@@ -315,11 +413,18 @@ PROFILE_COLUMNS = (
 
 
 def profile(
-    df: DataFrame, order=None, by: Sequence[str] = (), columns=None, na_tokens=NA_TOKENS, n_groups: int | None = None
+    df: DataFrame,
+    order=None,
+    by: Sequence[str] = (),
+    columns=None,
+    na_tokens=NA_TOKENS,
+    n_groups: int | None = None,
+    plan: str = "rescan",
 ) -> DataFrame:
     """O-26: the 7-column metadata sidecar (plus ``column_index``).
-    ``n_groups``: number of ``by`` groups (files) when known, see ``first_cells``."""
-    st = column_stats(df, columns, order, by, na_tokens, with_dup=True, n_groups=n_groups)
+    ``n_groups``: number of ``by`` groups (files) when known, see ``first_cells``;
+    ``plan``: see ``column_stats``."""
+    st = column_stats(df, columns, order, by, na_tokens, with_dup=True, n_groups=n_groups, plan=plan)
     return st.select(*by, *PROFILE_COLUMNS)
 
 

@@ -132,3 +132,14 @@ def test_profile_by_file_groups(spark):
     r = {x["f"]: x for x in P.profile(df, order="_o", by=["f"], columns=["x"]).collect()}
     assert r["a"]["pandas_column_dtype"] == "int64" and r["a"]["duplicate_data_flag_list"] is True
     assert r["b"]["pandas_column_dtype"] == "object" and r["b"]["duplicate_data_flag_list"] is False
+
+
+def test_one_scan_plan_matches_default(spark, prof):
+    df = text_frame(spark, CASES)
+    one = {r["column_name"]: r for r in P.profile(df, order="_o", columns=list(CASES), plan="one_scan").collect()}
+    for c in CASES:
+        assert one[c].asDict() == prof[c].asDict(), c
+    grouped = text_frame(spark, {"f": ["a", "a", "b"], "x": ["007", "7", "x"]})
+    a = P.profile(grouped, order="_o", by=["f"], columns=["x"], n_groups=2, plan="one_scan").orderBy("f").collect()
+    b = P.profile(grouped, order="_o", by=["f"], columns=["x"], n_groups=2).orderBy("f").collect()
+    assert [r.asDict() for r in a] == [r.asDict() for r in b]
