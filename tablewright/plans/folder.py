@@ -11,7 +11,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import items, ordinal, profile
@@ -59,19 +59,28 @@ def profile_folder(
         df = read_with_encodings(spark, paths, sep, file_order=True, encoding=encoding)
         cols = [c for c in df.columns if c not in FILE_ORDER]
         if per_file:
-            by, order, keyed = [FILE_COL], [F.col("_block"), F.col("_row")], df.select(FILE_COL, *cols)
+            by, order = [FILE_COL], [F.col("_block"), F.col("_row")]
         else:
-            by, order, keyed = [], [F.col(c) for c in FILE_ORDER], df.select(*cols)
+            by, order = [], [F.col(c) for c in FILE_ORDER]
         prof = profile.profile(df, order=order, by=by, columns=cols, n_groups=len(paths))
-        if with_key_flags:
-            kf = profile.primary_key_flags(keyed, key=cols[0], by=by)
-            kf = kf.select(*by, F.concat_ws(",", "warning_flags").alias("key_warnings"))
-            prof = prof.join(kf, on=by, how="left") if by else prof.crossJoin(kf)
         if table is None:
             names = F.create_map(*[x for p in paths for x in (F.lit(p), F.lit(tables_of[p]))])
             prof = prof.withColumn("table_name", F.element_at(names, F.col(FILE_COL)))
         else:
             prof = prof.withColumn("table_name", F.lit(table))
+        if with_key_flags:
+            # The key tests are the profile's own flags of column 0 (strict
+            # rule), so no second pass over the data is needed.
+            # A window over the profile rows (one per column and file) carries
+            # column 0's warnings to every row of its file or table.
+            warn = F.concat_ws(
+                ",",
+                F.when(F.col("mixed_datatype_flag_list"), F.lit("mixed_datatype_flag")),
+                F.when(F.col("missing_data_flag_list"), F.lit("missing_data_flag")),
+                F.when(F.col("duplicate_data_flag_list"), F.lit("duplicate_data_flag")),
+            )
+            w = Window.partitionBy(*by, "table_name")
+            prof = prof.withColumn("key_warnings", F.max(F.when(F.col("column_index") == 0, warn)).over(w))
         outs.append(prof)
     if not outs:
         raise ValueError(f"no data files under {path}")

@@ -213,7 +213,10 @@ def upsert_table(
     batch = batch.select(
         *[(F.col(f"`{c}`") if c in batch.columns else F.lit(None)).cast(target.schema[c].dataType).alias(c) for c in target_cols]
     ).withColumn(BUCKET_COL, bucket_of(keys, n_buckets))
-    touched = sorted(r[0] for r in batch.select(BUCKET_COL).distinct().collect())  # at most n_buckets rows
+    if n_buckets == 1:
+        touched = [0] if batch.take(1) else []
+    else:
+        touched = sorted(r[0] for r in batch.select(BUCKET_COL).distinct().collect())  # at most n_buckets rows
     if not touched:
         return 0
     current = target.filter(F.col(BUCKET_COL).isin(touched))
