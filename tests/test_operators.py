@@ -145,3 +145,20 @@ def test_ledger_report(spark):
     rep = {(r["table_name"], r["status"]): r["n_files"] for r in ledger.run_report(cat, led).collect()}
     assert rep == {("aaa", "done"): 1, ("bbb", "failed"): 1, ("ccc", "pending"): 1}
     assert [r["path"] for r in catalog.remaining_files(cat, led).orderBy("path").collect()] == ["/in/bbb.csv", "/in/ccc.csv"]
+
+
+def test_preview_dtypes_and_options(spark):
+    from tablewright.options import LoadOptions
+    from tablewright.session import cluster_conf
+    from tablewright.sources.delimited import dedupe_names, dtypes, preview
+
+    df = spark.range(0, 50).withColumnRenamed("id", "k")
+    assert preview(df, 3).count() == 3
+    assert [tuple(r) for r in dtypes(df).collect()] == [("k", "bigint")]
+    assert dedupe_names(["a", "a", "", "a"]) == ["a", "a.1", "Unnamed: 2", "a.2"]
+    with pytest.raises(ValueError):
+        LoadOptions(input_path="in/", output_path="out/", split=True, row_range=(0, 5))
+    with pytest.raises(ValueError):
+        LoadOptions(input_path="", output_path="out/")
+    conf = cluster_conf(100 * (1 << 40), 8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
