@@ -126,7 +126,7 @@ def swap_in(spark: SparkSession, staged: str, path: str) -> None:
 
 BUCKET_COL = "_bucket"
 ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 1024
+MAX_BUCKETS = 16384
 TABLE_META = "_table.json"
 
 
