@@ -32,29 +32,39 @@ def main() -> None:
     names = [n for n in names.split(",") if n] if names else list(QUERIES)
 
     # warm-up (JVM, codegen of common operators)
-    QUERIES["duplicate_keys_lineitem"](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    try:
+        QUERIES["duplicate_keys_lineitem"](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    except Exception as e:  # a failed warm-up must not lose the bench line
+        print(f"warm-up failed: {e}", file=sys.stderr, flush=True)
 
-    times: dict[str, float] = {}
+    times: dict[str, float | None] = {}
+    failed: dict[str, str] = {}
     for n in names:
         best = None
-        for _ in range(runs):
-            t0 = time.perf_counter()
-            QUERIES[n](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            dt = time.perf_counter() - t0
-            best = dt if best is None else min(best, dt)
-        times[n] = round(best, 3)
+        try:
+            for _ in range(runs):
+                t0 = time.perf_counter()
+                QUERIES[n](spark, sf_dir).write.format("noop").mode("overwrite").save()
+                dt = time.perf_counter() - t0
+                best = dt if best is None else min(best, dt)
+            times[n] = round(best, 3)
+        except Exception as e:
+            times[n] = None
+            failed[n] = str(e).splitlines()[0][:300] if str(e) else type(e).__name__
         print(f"{n}: {times[n]}s", file=sys.stderr, flush=True)
 
     m = re.search(r"sf([0-9.]+)", sf_dir)
     out = {
         "metric": "total_query_seconds",
-        "value": round(sum(times.values()), 3),
+        "value": round(sum(v for v in times.values() if v is not None), 3),
         "unit": "sec",
         "queries": times,
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": cpus,
         "runs": runs,
     }
+    if failed:
+        out["failed"] = failed
     print(json.dumps(out))
     spark.stop()
 
