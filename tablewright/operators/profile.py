@@ -155,23 +155,29 @@ def first_cells(
     """O-25 helper: the cells of each group's first row (least ``order``),
     as ``(by…, column_index, first_cell)``.
 
-    Without groups this is one streaming aggregate. With groups (files) and a
-    known group count within ``MAX_BROADCAST_GROUPS``, the least order value
-    per group is found by a hash aggregate and the rows are picked by a
-    broadcast semi-join (one row per group is broadcast). Otherwise the row is
-    a ``min_by`` per group, combined map-side, with no broadcast at all.
+    The least order value (per group) is found by an aggregate that reads
+    only the order column, and the rows holding it are picked by a broadcast
+    semi-join; only those rows are cast to text. The broadcast side is one
+    row without groups, or one row per group when the group count is known
+    and within ``MAX_BROADCAST_GROUPS``. With more (or unknown) groups the
+    row is a ``min_by`` per group, combined map-side, with no broadcast.
     """
     by = list(by)
     cols = _value_columns(df, columns, by)
     texts = [F.col(f"`{c}`").cast("string").alias(str(i)) for i, c in enumerate(cols)]
-    if not by or n_groups is None or n_groups > MAX_BROADCAST_GROUPS:
+    if by and (n_groups is None or n_groups > MAX_BROADCAST_GROUPS):
         row = df.select(*[F.col(b) for b in by], _order_col(order).alias(ORD), F.struct(*texts).alias("_r"))
         row = row.groupBy(*by).agg(F.min_by("_r", ORD).alias("_r"))
         wide = row.select(*by, *[F.col(f"_r.`{i}`").alias(str(i)) for i in range(len(cols))])
     else:
-        o = df.select(*[F.col(b) for b in by], _order_col(order).alias(ORD), *texts)
+        # The least order value per group (one row per group; a single row
+        # without groups) is broadcast and the matching rows picked by a
+        # semi-join: only those rows are cast to text.
+        o = df.select(*[F.col(b) for b in by], _order_col(order).alias(ORD), *[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(cols)])
         mins = o.groupBy(*by).agg(F.min(ORD).alias(ORD))
-        wide = o.join(F.broadcast(mins), on=[*by, ORD], how="left_semi").dropDuplicates(by).drop(ORD)
+        picked = o.join(F.broadcast(mins), on=[*by, ORD], how="left_semi")
+        picked = picked.dropDuplicates(by) if by else picked.limit(1)
+        wide = picked.select(*by, *[F.col(f"_c{i}").cast("string").alias(str(i)) for i in range(len(cols))])
     pairs = ", ".join(f"{i}, `{i}`" for i in range(len(cols)))
     return wide.select(*by, F.expr(f"stack({len(cols)}, {pairs})").alias("column_index", "first_cell"))
 
