@@ -123,7 +123,9 @@ def _load_table(spark: SparkSession, opts: LoadOptions, table: str, todo: list[s
         cols = [c for c in df.columns if c not in FILE_ORDER]
         # Key gate per file (one result row per file); a key repeated in a
         # later part of a multi-part table is an update, not a fault.
-        kf = profile.column_stats(df.select(FILE_COL, *cols), [cols[0]], None, [FILE_COL], opts.na_tokens, with_example=False)
+        kf = profile.column_stats(
+            df.select(FILE_COL, *cols), [cols[0]], None, [FILE_COL], opts.na_tokens, with_example=False, plan="one_scan"
+        )
         gate = []
         for r in kf.collect():
             flags = [n for n, v in (("mixed_datatype_flag", r["mixed_datatype_flag_list"] and opts.strict_key),
