@@ -158,3 +158,19 @@ def test_upsert_rewrites_only_touched_buckets(spark, tmp_dir):
     assert len(changed) == 1
     got = {r["k"]: r["v"] for r in tables.read_table(spark, path).collect()}
     assert len(got) == 1000 and got[5] == "v1" and got[6] == "v0"
+
+
+def test_write_profiles_and_split_folder(spark, tmp_dir):
+    inp = f"{tmp_dir}/in5"
+    _write(f"{inp}/alpha.csv", "id,v\n" + "".join(f"{i},x{i}\n" for i in range(25)))
+    _write(f"{inp}/beta.csv", "id,w\n1,2\n")
+    _write(f"{inp}/metadata_beta.csv", "column_name,AWS_column_dtype\nid,N\nw,N\n")
+    written = folder.write_profiles(spark, inp, f"{tmp_dir}/side")
+    assert [w.rsplit("/", 1)[-1] for w in written] == ["metadata_alpha.csv"]  # beta already has one
+    side = D.read_metadata(spark, written[0]).orderBy("column_index").collect()
+    assert [(r["column_name"], r["AWS_column_dtype"]) for r in side] == [("id", "N"), ("v", "S")]
+    folder.split_folder(spark, inp, f"{tmp_dir}/parts", max_rows=10)
+    back = spark.read.option("header", True).csv(f"{tmp_dir}/parts/alpha")
+    sizes = sorted(r["count"] for r in back.groupBy("part").count().collect())
+    assert sum(sizes) == 25 and max(sizes) <= 10
+    assert sorted(int(r["id"]) for r in back.filter("part = 1").collect()) == list(range(sizes and len(back.filter("part = 1").collect())))
