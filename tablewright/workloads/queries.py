@@ -511,7 +511,13 @@ CUSTOMER_COLS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegmen
 
 
 def _write_csv(df: DataFrame, path: str, encoding: str | None = None) -> None:
-    w = df.write.mode("errorifexists").option("header", True).option("escape", '"')
+    w = (
+        df.write.mode("errorifexists")
+        .option("header", True)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+    )
     if encoding:
         w = w.option("encoding", encoding)
     w.csv(path)
@@ -585,23 +591,40 @@ def stream_ingest_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, f"{root}/table")
 
 
-@register("encoding_choice_documents")
+ENCODING_SQL = r"""
+SELECT 'utf8' AS copy, lang, count(*) AS n_docs, count(*) AS n_same FROM documents GROUP BY lang
+UNION ALL
+SELECT 'latin1' AS copy, lang, count(*) AS n_docs,
+       count(*) FILTER (WHERE regexp_full_match(text, '[\x{0}-\x{ff}]*')) AS n_same
+FROM documents GROUP BY lang
+"""
+
+
+@register("encoding_choice_documents", ENCODING_SQL)
 def encoding_choice_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O-02: ``documents`` landed twice, as UTF-8 and as ISO-8859-1 files;
     each file's encoding is chosen from its bytes, each encoding group is
-    read with its own scan (whole texts, multi-line fields) and rows are
-    counted per chosen encoding. Rows-only check."""
+    read with its own scan (whole texts, multi-line fields), and every text
+    read back is compared with the original: per copy and language, the
+    documents and how many came back unchanged (a Latin-1 copy can only keep
+    texts that Latin-1 can spell)."""
     from pyspark.sql import functions as F
 
     root = scratch_path(spark, "enc-documents")
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     _write_csv(docs, f"{root}/utf8")
     _write_csv(docs, f"{root}/latin1", encoding="ISO-8859-1")
-    paths = [f"{root}/utf8/*.csv", f"{root}/latin1/*.csv"]
-    enc = D.choose_encoding(spark, paths)
-    back = D.read_with_encodings(spark, paths, multi_line=True, file_order=True)
-    return back.join(enc.withColumnRenamed("path", D.FILE_COL), on=D.FILE_COL).groupBy("encoding").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.countDistinct(D.FILE_COL).alias("n_files")
+    back = D.read_with_encodings(spark, [f"{root}/utf8/*.csv", f"{root}/latin1/*.csv"], multi_line=True, file_order=True)
+    back = back.select(
+        F.when(F.col(D.FILE_COL).contains("/latin1/"), F.lit("latin1")).otherwise(F.lit("utf8")).alias("copy"),
+        F.col("doc_id").alias("doc_key"),
+        F.col("text").alias("text_back"),
+    )
+    orig = docs.select(F.col("doc_id").cast("string").alias("doc_key"), "lang", "text")
+    joined = back.join(orig, on="doc_key", how="inner")
+    return joined.groupBy("copy", "lang").agg(
+        F.count(F.lit(1)).alias("n_docs"),
+        F.count_if(F.col("text_back") == F.col("text")).alias("n_same"),
     )
 
 
