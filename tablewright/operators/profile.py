@@ -34,6 +34,7 @@ from ..functions.cells import (
     typed_key,
 )
 from ..functions.patterns import KEY_FLAG_NAMES, NA_TOKENS
+from .partitioning import ensure_parallelism
 
 ORD = "_ord"
 
@@ -207,6 +208,12 @@ def column_stats(
     """
     by = list(by)
     na_tokens = tuple(na_tokens)
+    columns = _value_columns(df, columns, by)
+    # The file order is fixed as a column before rows are spread over tasks.
+    if order is None and (with_example or plan == "one_scan"):
+        df = df.withColumn("_scan_pos", F.monotonically_increasing_id())
+        order = "_scan_pos"
+    df = ensure_parallelism(df)
     if not with_dup:
         return _finish(_wide_stats(df, columns, order, by, na_tokens, with_example, n_groups), by, False, na_tokens)
     if plan == "one_scan":
@@ -451,6 +458,7 @@ def null_counts(df: DataFrame, by: Sequence[str] = (), columns=None, na_tokens=N
     as one map-side aggregate with one counter per column."""
     by = list(by)
     cols = _value_columns(df, columns, by)
+    df = ensure_parallelism(df)
     wide = df.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_rows"),
         *[F.count_if(is_missing(F.col(f"`{c}`").cast("string"), na_tokens)).alias(f"m{i}") for i, c in enumerate(cols)],
