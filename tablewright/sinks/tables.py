@@ -194,7 +194,10 @@ def upsert_table(
     from ..operators.upsert import last_per_key
 
     keys = [key] if isinstance(key, str) else list(key)
-    meta = _read_meta(spark, path) if path_exists(spark, path) else None
+    exists = path_exists(spark, path)
+    meta = _read_meta(spark, path) if exists else None
+    if exists and meta is None:
+        raise ValueError(f"{path} exists but is not a keyed table (no {TABLE_META}); load it into a new path")
     if meta is not None:
         n_buckets = int(meta["buckets"])
     if order is not None:

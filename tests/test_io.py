@@ -174,3 +174,11 @@ def test_write_profiles_and_split_folder(spark, tmp_dir):
     sizes = sorted(r["count"] for r in back.groupBy("part").count().collect())
     assert sum(sizes) == 25 and max(sizes) <= 10
     assert sorted(int(r["id"]) for r in back.filter("part = 1").collect()) == list(range(sizes and len(back.filter("part = 1").collect())))
+
+
+def test_upsert_refuses_foreign_folder(spark, tmp_dir):
+    import pytest
+
+    spark.range(3).write.parquet(f"{tmp_dir}/plain")
+    with pytest.raises(ValueError):
+        tables.upsert_table(spark, f"{tmp_dir}/plain", spark.range(1).withColumnRenamed("id", "k"), "k")
