@@ -19,7 +19,6 @@ copy; a lost executor re-reads it instead of re-sampling.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F

@@ -90,7 +90,3 @@ def remaining_files(catalog: DataFrame, ledger: DataFrame) -> DataFrame:
     """O-71: data files the ledger does not mark ``done``."""
     done = ledger.filter(F.col("status") == "done").select("path")
     return data_files(catalog).join(done, on="path", how="left_anti")
-
-
-def _q(c: str) -> str:
-    return f"`{c}`"
