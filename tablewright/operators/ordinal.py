@@ -126,9 +126,11 @@ def add_prefixed_key(
     return out.select(key.alias(name), *[F.col(f"`{c}`") for c in cols])
 
 
-# Ranges ending at or below this are cut with a top-k (each task keeps at most
-# ``to`` rows); longer ranges take the distributed ordinal.
-TOPK_LIMIT = 100_000
+# A top-k keeps at most ``stop`` rows per input partition, and its last step
+# merges all of them in one task: it is used only while ``stop`` times the
+# partition count stays within this many rows; otherwise the distributed
+# ordinal is used.
+TOPK_MERGE_ROWS = 10_000_000
 
 
 def row_range(
@@ -144,7 +146,7 @@ def row_range(
     if start < 0 or stop < start:
         raise ValueError("row_range needs 0 <= start <= stop")
     cols = _order_cols(df, order)
-    if ordinal_name is None and stop <= TOPK_LIMIT:
+    if ordinal_name is None and stop * max(1, df.rdd.getNumPartitions()) <= TOPK_MERGE_ROWS:
         return df.orderBy(*cols).offset(start).limit(stop - start)
     name = ordinal_name or "_ordinal"
     out = with_ordinal(df, cols, name, num_partitions)

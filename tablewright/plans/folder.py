@@ -50,13 +50,17 @@ def profile_folder(
     catalog = cat.file_catalog(spark, path)
     outs = []
     tables_of = {r["path"]: r["table_name"] for r in cat.data_files(catalog).select("path", "table_name").collect()}
+    encodings = None
     if per_file:
-        # One multi-path scan per distinct header line, however many files.
-        units = [(None, ps) for ps in header_groups(spark, list(tables_of))]
+        # One multi-path scan per distinct header line, however many files;
+        # the same text scan detects each file's encoding.
+        groups, found = header_groups(spark, list(tables_of), with_encodings=True)
+        units = [(None, ps) for ps in groups]
+        encodings = None if encoding else found
     else:
         units = list(_table_files(catalog).items())
     for table, paths in units:
-        df = read_with_encodings(spark, paths, sep, file_order=True, encoding=encoding)
+        df = read_with_encodings(spark, paths, sep, file_order=True, encoding=encoding, encodings=encodings)
         cols = [c for c in df.columns if c not in FILE_ORDER]
         if per_file:
             by, order = [FILE_COL], [F.col("_block"), F.col("_row")]

@@ -95,27 +95,42 @@ def read_delimited(
     return df
 
 
-def file_headers(spark: SparkSession, paths) -> DataFrame:
-    """``(path, header)``: the first line of every file, from one text scan
-    of all files (the line with the least position in the file's first
-    split), so files can be grouped by header before they are parsed."""
+def file_facts(spark: SparkSession, paths, fallback: str = "ISO-8859-1") -> DataFrame:
+    """``(path, header, encoding)`` of every file from one text scan: the
+    first line (least position in the file's first split) and the O-02
+    encoding test, so grouping by header and choosing encodings cost one
+    read of the bytes, not two."""
     lines = spark.read.text(_paths(paths)).select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("_b"),
         F.monotonically_increasing_id().alias("_r"),
         "value",
     )
-    first = lines.filter(F.col("_b") == 0).groupBy("path").agg(F.min_by("value", "_r").alias("header"))
-    return first.select("path", F.regexp_replace("header", "\r$", "").alias("header"))
+    first = F.col("_b") == 0
+    # min_by skips rows whose ordering is null: only first-split lines count.
+    facts = lines.groupBy("path").agg(
+        F.min_by(F.when(first, F.col("value")), F.when(first, F.col("_r"))).alias("header"),
+        F.when(F.bool_and(F.is_valid_utf8("value")), F.lit("UTF-8")).otherwise(F.lit(fallback)).alias("encoding"),
+    )
+    return facts.select("path", F.regexp_replace("header", "\r$", "").alias("header"), "encoding")
+
+
+def file_headers(spark: SparkSession, paths) -> DataFrame:
+    """``(path, header)``: the first line of every file (see ``file_facts``)."""
+    return file_facts(spark, paths).select("path", "header")
 
 
-def header_groups(spark: SparkSession, paths) -> list[list[str]]:
+def header_groups(spark: SparkSession, paths, with_encodings: bool = False):
     """Paths grouped by identical header line (one row per file is read to
-    the driver: bounded by the file count)."""
+    the driver: bounded by the file count). ``with_encodings`` also returns
+    ``{path: encoding}`` from the same scan."""
     groups: dict[str, list[str]] = {}
-    for r in file_headers(spark, paths).orderBy("path").collect():
+    enc: dict[str, str] = {}
+    for r in file_facts(spark, paths).orderBy("path").collect():
         groups.setdefault(r["header"], []).append(r["path"])
-    return [ps for _, ps in sorted(groups.items(), key=lambda kv: kv[1][0])]
+        enc[r["path"]] = r["encoding"]
+    out = [ps for _, ps in sorted(groups.items(), key=lambda kv: kv[1][0])]
+    return (out, enc) if with_encodings else out
 
 
 def choose_encoding(spark: SparkSession, paths, fallback: str = "ISO-8859-1") -> DataFrame:
@@ -132,18 +147,23 @@ def read_with_encodings(
     multi_line: bool = False,
     file_order: bool = False,
     encoding: str | None = None,
+    encodings: dict[str, str] | None = None,
 ) -> DataFrame:
     """O-01 + O-02: one scan per encoding group, unioned. The list of paths
     per encoding is one row per file (bounded by the file count).
 
     Detection reads every byte once more as text; pass ``encoding`` when the
-    folder's encoding is known to skip that pass."""
+    folder's encoding is known, or ``encodings`` (``{path: encoding}``, e.g.
+    from ``header_groups``) when it was already detected, to skip that pass."""
     if encoding:
         return read_delimited(spark, paths, sep, encoding, multi_line, None, file_order)
-    enc = choose_encoding(spark, paths).collect()
+    if encodings is not None:
+        pairs = [(p, encodings[p]) for p in _paths(paths)]
+    else:
+        pairs = [(r["path"], r["encoding"]) for r in choose_encoding(spark, paths).collect()]
     groups: dict[str, list[str]] = {}
-    for r in enc:
-        groups.setdefault(r["encoding"], []).append(r["path"])
+    for p, e in pairs:
+        groups.setdefault(e, []).append(p)
     if not groups:
         raise ValueError("no input files")
     first_enc, first_paths = sorted(groups.items())[0]

@@ -139,6 +139,31 @@ def test_profile_folder_groups_files_by_header(spark, tmp_dir):
     assert rows[("other", "flag")]["pandas_column_dtype"] == "bool"
 
 
+def test_file_facts_one_scan_headers_and_encodings(spark, tmp_dir):
+    inp = f"{tmp_dir}/facts"
+    _write(f"{inp}/a.csv", "id,v\n1,café\n", "utf-8")
+    _write(f"{inp}/b.csv", "id,v\n2,café\n", "latin-1")
+    _write(f"{inp}/c.csv", "k,w\r\nx,y\r\n")
+    # a file cut into several splits: only its first split's first line counts
+    _write(f"{inp}/d.csv", "id,v\n" + "".join(f"{i},row{i}\n" for i in range(20000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        facts = {os.path.basename(r["path"]): (r["header"], r["encoding"]) for r in D.file_facts(spark, inp).collect()}
+        groups, enc = D.header_groups(spark, inp, with_encodings=True)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert facts == {
+        "a.csv": ("id,v", "UTF-8"),
+        "b.csv": ("id,v", "ISO-8859-1"),
+        "c.csv": ("k,w", "UTF-8"),
+        "d.csv": ("id,v", "UTF-8"),
+    }
+    assert sorted(sorted(os.path.basename(p) for p in g) for g in groups) == [["a.csv", "b.csv", "d.csv"], ["c.csv"]]
+    df = D.read_with_encodings(spark, groups[0], encodings=enc)
+    assert sorted(r["v"] for r in df.filter("v LIKE 'caf%'").collect()) == ["café", "café"]
+
+
 def test_upsert_rewrites_only_touched_buckets(spark, tmp_dir):
     path = f"{tmp_dir}/bk"
     first = spark.range(0, 1000).selectExpr("id AS k", "'v0' AS v")

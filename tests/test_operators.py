@@ -47,6 +47,15 @@ def test_row_range_half_open(spark):
         ordinal.row_range(df, "k", 5, 2)
 
 
+def test_row_range_large_merge_takes_the_ordinal(spark, monkeypatch):
+    # 8 input partitions x stop 15 exceeds the merge bound: same rows, no top-k
+    df = spark.range(0, 100, numPartitions=8).withColumnRenamed("id", "k")
+    monkeypatch.setattr(ordinal, "TOPK_MERGE_ROWS", 100)
+    out = ordinal.row_range(df, "k", 10, 15)
+    assert "TakeOrderedAndProject" not in out._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r["k"] for r in out.collect()) == [10, 11, 12, 13, 14]
+
+
 @pytest.mark.parametrize(
     "n,t,k",
     [(0, 10000, 0), (1, 10000, 0), (10000, 10000, 0), (10001, 10000, 1), (19998, 10000, 1), (20000, 10000, 2), (60000, 10000, 3)],
