@@ -22,16 +22,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.cells import (
+    double_text,
     fits_uint64,
-    int_value,
     is_bool_text,
     is_float_text,
     is_int_text,
     is_missing,
-    long_value,
     render_cell,
+    stripped,
     type_tag,
-    typed_key,
 )
 from ..functions.patterns import KEY_FLAG_NAMES, NA_TOKENS
 from .partitioning import ensure_parallelism
@@ -91,20 +90,69 @@ def column_name_of(cols: Sequence[str], index_col: str = "column_index") -> Colu
     return F.element_at(F.array(*[F.lit(c) for c in cols]), F.col(index_col) + 1)
 
 
-def _cell_flags(cell: Column, na_tokens) -> dict[str, Column]:
-    missing = is_missing(cell, na_tokens)
-    lv = long_value(cell)
-    isint = is_int_text(cell)
-    # decimals are parsed only for integers beyond int64
-    u64 = F.when(lv.isNotNull(), lv >= 0).otherwise(fits_uint64(int_value(cell)))
-    return {
-        "missing": missing,
-        "int": missing | isint,
-        "i64": missing | (isint & lv.isNotNull()),
-        "u64": missing | (isint & u64),
-        "float": missing | is_float_text(cell),
-        "bool": missing | is_bool_text(cell),
-    }
+FACT_COLUMNS = ("m", "k", "fi", "f64", "fu64", "ff", "fb")
+
+
+def with_cell_facts(df: DataFrame, cell="cell", na_tokens=NA_TOKENS, prefix: str = "") -> DataFrame:
+    """Add the per-cell facts the profile aggregates: ``m`` (missing), ``k``
+    (the typed key) and the type flags ``fi f64 fu64 ff fb``.
+
+    ``cell`` is a column name, or a list of them with ``prefix`` a matching
+    list of name prefixes (one set of facts per column).
+
+    Each regex test and each cast runs once per cell: the tests are columns
+    of one projection and the casts, key and flags read those columns in the
+    next ones. Catalyst does not merge a projection into its consumer when
+    that would repeat a costly expression, so the stages stay apart, and all
+    of them still run in one whole-stage-codegen function. (Nested as one
+    expression, the integer pattern ran about eight times per cell.)
+    """
+    cells = [cell] if isinstance(cell, str) else list(cell)
+    prefixes = [prefix] if isinstance(prefix, str) else list(prefix)
+    temp = ("_ii", "_if", "_ib", "_lv", "_dec", "_iok", "_dv")
+
+    def stage(make) -> dict[str, Column]:
+        out = {}
+        for cname, p in zip(cells, prefixes):
+            c = F.col(cname)
+            col = lambda x, p=p: F.col(f"{p}{x}")
+            for name, expr in make(c, col).items():
+                out[f"{p}{name}"] = expr
+        return out
+
+    out = df.withColumns(
+        stage(lambda c, col: {"m": is_missing(c, na_tokens), "_ii": is_int_text(c), "_if": is_float_text(c), "_ib": is_bool_text(c)})
+    )
+    # numeric casts only where the pattern matched (see functions.cells)
+    out = out.withColumns(stage(lambda c, col: {"_lv": F.when(col("_ii"), stripped(c).try_cast("bigint"))}))
+    out = out.withColumns(
+        stage(lambda c, col: {"_dec": F.when(col("_ii") & col("_lv").isNull(), stripped(c).try_cast("decimal(38,0)"))})
+    )
+    out = out.withColumns(stage(lambda c, col: {"_iok": col("_ii") & (col("_lv").isNotNull() | col("_dec").isNotNull())}))
+    out = out.withColumns(stage(lambda c, col: {"_dv": F.when(col("_if") & ~col("_iok"), stripped(c).try_cast("double"))}))
+
+    def facts(c, col):
+        m, ii, lv, dec = col("m"), col("_ii"), col("_lv"), col("_dec")
+        int_text = F.when(lv.isNotNull(), lv.cast("string")).otherwise(dec.cast("string"))
+        key = (
+            F.when(m, F.lit(None).cast("string"))
+            .when(col("_iok"), int_text)
+            .when(col("_if"), double_text(col("_dv")))
+            .when(col("_ib"), F.lower(c))
+            .otherwise(c)
+        )
+        u64 = F.when(lv.isNotNull(), lv >= 0).otherwise(fits_uint64(dec))
+        return {
+            "k": key,
+            "fi": m | ii,
+            "f64": m | (ii & lv.isNotNull()),
+            "fu64": m | (ii & u64),
+            "ff": m | col("_if"),
+            "fb": m | col("_ib"),
+        }
+
+    out = out.withColumns(stage(facts))
+    return out.drop(*(f"{p}{x}" for p in prefixes for x in temp))
 
 
 def _finish(stats: DataFrame, by: Sequence[str], with_dup: bool, na_tokens=NA_TOKENS) -> DataFrame:
@@ -225,20 +273,7 @@ def column_stats(
     # Grouping keys carry the column position only; names are attached to
     # the one-row-per-column result, which keeps shuffled rows small.
     cells = text_cells(df, cols, False, by, with_names=False)
-    cell = F.col("cell")
-    fl = _cell_flags(cell, na_tokens)
-    cells = cells.select(
-        *by,
-        "column_index",
-        "cell",
-        typed_key(cell, na_tokens).alias("k"),
-        fl["missing"].alias("m"),
-        fl["int"].alias("fi"),
-        fl["i64"].alias("f64"),
-        fl["u64"].alias("fu64"),
-        fl["float"].alias("ff"),
-        fl["bool"].alias("fb"),
-    )
+    cells = with_cell_facts(cells, "cell", na_tokens).select(*by, "column_index", "cell", *FACT_COLUMNS)
     keys = [*by, "column_index"]
     # Level A: one row per (column, typed value).
     level_a = cells.groupBy(*keys, "k").agg(
@@ -310,20 +345,8 @@ def _one_scan_stats(df: DataFrame, columns, order, by, na_tokens, with_example:
     by = list(by)
     cols = _value_columns(df, columns, by)
     cells = text_cells(df, cols, order if order is not None else None, by, with_names=False)
-    cell = F.col("cell")
-    fl = _cell_flags(cell, na_tokens)
-    k = typed_key(cell, na_tokens)
-    cells = cells.select(
-        *by,
-        "column_index",
-        F.col(ORD).alias("_o"),
-        k.alias("k"),
-        fl["int"].alias("fi"),
-        fl["i64"].alias("f64"),
-        fl["u64"].alias("fu64"),
-        fl["float"].alias("ff"),
-        fl["bool"].alias("fb"),
-        cell.alias("cell"),
+    cells = with_cell_facts(cells, "cell", na_tokens).select(
+        *by, "column_index", F.col(ORD).alias("_o"), "k", "fi", "f64", "fu64", "ff", "fb", "cell"
     ).withColumn("nc", F.when(F.col("k").isNull() | (F.col("cell") != F.col("k")), F.col("cell")))
     keys = [*by, "column_index"]
     level_a = cells.groupBy(*keys, "k", "nc").agg(
@@ -372,16 +395,17 @@ def _wide_stats(df: DataFrame, columns, order, by, na_tokens, with_example: bool
     reshaped to one row per column."""
     cols = _value_columns(df, columns, by)
     base = df.select(*[F.col(b) for b in by], *[F.col(f"`{c}`").cast("string").alias(f"c{i}") for i, c in enumerate(cols)])
+    # the typed key is not used here and is pruned away
+    base = with_cell_facts(base, [f"c{i}" for i in range(len(cols))], na_tokens, [f"x{i}_" for i in range(len(cols))])
     aggs = [F.count(F.lit(1)).alias("n_rows")]
     for i in range(len(cols)):
-        fl = _cell_flags(F.col(f"c{i}"), na_tokens)
         aggs += [
-            F.count_if(fl["missing"]).alias(f"m{i}"),
-            F.bool_and(fl["int"]).alias(f"i{i}"),
-            F.bool_and(fl["i64"]).alias(f"s{i}"),
-            F.bool_and(fl["u64"]).alias(f"u{i}"),
-            F.bool_and(fl["float"]).alias(f"f{i}"),
-            F.bool_and(fl["bool"]).alias(f"b{i}"),
+            F.count_if(f"x{i}_m").alias(f"m{i}"),
+            F.bool_and(f"x{i}_fi").alias(f"i{i}"),
+            F.bool_and(f"x{i}_f64").alias(f"s{i}"),
+            F.bool_and(f"x{i}_fu64").alias(f"u{i}"),
+            F.bool_and(f"x{i}_ff").alias(f"f{i}"),
+            F.bool_and(f"x{i}_fb").alias(f"b{i}"),
         ]
     wide = base.groupBy(*by).agg(*aggs)
     values = [
