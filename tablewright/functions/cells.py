@@ -29,6 +29,11 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def sql_string(s: str) -> str:
+    """A Spark SQL string literal holding ``s`` exactly."""
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def full_match(col, pattern: str) -> Column:
     """Whole-string regex match (``rlike`` only searches)."""
     return _c(col).rlike("^(?:" + pattern + ")$")

@@ -21,18 +21,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.cells import (
-    double_text,
-    fits_uint64,
-    is_bool_text,
-    is_float_text,
-    is_int_text,
-    is_missing,
-    render_cell,
-    stripped,
-    type_tag,
-)
-from ..functions.patterns import KEY_FLAG_NAMES, NA_TOKENS
+from ..functions.cells import is_missing, render_cell, sql_string, type_tag
+from ..functions.patterns import BOOL_PATTERN, EXACT_DOUBLE_INT, FLOAT_PATTERN, INT_PATTERN, KEY_FLAG_NAMES, NA_TOKENS, UINT64_MAX
 from .partitioning import ensure_parallelism
 
 ORD = "_ord"
@@ -106,53 +96,71 @@ def with_cell_facts(df: DataFrame, cell="cell", na_tokens=NA_TOKENS, prefix: str
     that would repeat a costly expression, so the stages stay apart, and all
     of them still run in one whole-stage-codegen function. (Nested as one
     expression, the integer pattern ran about eight times per cell.)
+
+    The stages are written as SQL expressions (one ``selectExpr`` each): the
+    same expressions built from ``Column`` objects cost thousands of driver
+    round trips to the JVM for a wide table.
     """
     cells = [cell] if isinstance(cell, str) else list(cell)
     prefixes = [prefix] if isinstance(prefix, str) else list(prefix)
-    temp = ("_ii", "_if", "_ib", "_lv", "_dec", "_iok", "_dv")
+    tokens = ", ".join(sql_string(t) for t in na_tokens)
+    blank = sql_string(" \t")
 
-    def stage(make) -> dict[str, Column]:
-        out = {}
+    def full(c: str, pattern: str) -> str:
+        return f"{c} RLIKE {sql_string('^(?:' + pattern + ')$')}"
+
+    def stage(out: DataFrame, make) -> DataFrame:
+        exprs = []
         for cname, p in zip(cells, prefixes):
-            c = F.col(cname)
-            col = lambda x, p=p: F.col(f"{p}{x}")
-            for name, expr in make(c, col).items():
-                out[f"{p}{name}"] = expr
-        return out
-
-    out = df.withColumns(
-        stage(lambda c, col: {"m": is_missing(c, na_tokens), "_ii": is_int_text(c), "_if": is_float_text(c), "_ib": is_bool_text(c)})
-    )
+            c = f"`{cname}`"
+            col = lambda x, p=p: f"`{p}{x}`"
+            exprs += [f"{e} AS `{p}{name}`" for name, e in make(c, col).items()]
+        return out.selectExpr("*", *exprs)
+
+    def tests(c, col):
+        missing = f"({c} IS NULL OR {c} IN ({tokens}))" if tokens else f"({c} IS NULL)"
+        return {"m": missing, "_ii": full(c, INT_PATTERN), "_if": full(c, FLOAT_PATTERN), "_ib": full(c, BOOL_PATTERN)}
+
     # numeric casts only where the pattern matched (see functions.cells)
-    out = out.withColumns(stage(lambda c, col: {"_lv": F.when(col("_ii"), stripped(c).try_cast("bigint"))}))
-    out = out.withColumns(
-        stage(lambda c, col: {"_dec": F.when(col("_ii") & col("_lv").isNull(), stripped(c).try_cast("decimal(38,0)"))})
+    trim = lambda c: f"btrim({c}, {blank})"
+    out = stage(df, tests)
+    out = stage(out, lambda c, col: {"_lv": f"CASE WHEN {col('_ii')} THEN try_cast({trim(c)} AS BIGINT) END"})
+    out = stage(
+        out,
+        lambda c, col: {
+            "_dec": f"CASE WHEN {col('_ii')} AND {col('_lv')} IS NULL THEN try_cast({trim(c)} AS DECIMAL(38,0)) END"
+        },
+    )
+    out = stage(out, lambda c, col: {"_iok": f"{col('_ii')} AND ({col('_lv')} IS NOT NULL OR {col('_dec')} IS NOT NULL)"})
+    out = stage(
+        out, lambda c, col: {"_dv": f"CASE WHEN {col('_if')} AND NOT {col('_iok')} THEN try_cast({trim(c)} AS DOUBLE) END"}
     )
-    out = out.withColumns(stage(lambda c, col: {"_iok": col("_ii") & (col("_lv").isNotNull() | col("_dec").isNotNull())}))
-    out = out.withColumns(stage(lambda c, col: {"_dv": F.when(col("_if") & ~col("_iok"), stripped(c).try_cast("double"))}))
 
     def facts(c, col):
-        m, ii, lv, dec = col("m"), col("_ii"), col("_lv"), col("_dec")
-        int_text = F.when(lv.isNotNull(), lv.cast("string")).otherwise(dec.cast("string"))
+        m, ii, lv, dec, dv = col("m"), col("_ii"), col("_lv"), col("_dec"), col("_dv")
+        int_text = f"CASE WHEN {lv} IS NOT NULL THEN CAST({lv} AS STRING) ELSE CAST({dec} AS STRING) END"
+        # a double prints as an integer when it is whole and within 2**53
+        whole = f"abs({dv}) <= CAST({EXACT_DOUBLE_INT} AS DOUBLE) AND {dv} = floor({dv})"
+        dbl_text = f"CASE WHEN {whole} THEN CAST(CAST({dv} AS BIGINT) AS STRING) ELSE CAST({dv} AS STRING) END"
         key = (
-            F.when(m, F.lit(None).cast("string"))
-            .when(col("_iok"), int_text)
-            .when(col("_if"), double_text(col("_dv")))
-            .when(col("_ib"), F.lower(c))
-            .otherwise(c)
+            f"CASE WHEN {m} THEN CAST(NULL AS STRING) WHEN {col('_iok')} THEN {int_text} "
+            f"WHEN {col('_if')} THEN {dbl_text} WHEN {col('_ib')} THEN lower({c}) ELSE {c} END"
+        )
+        u64 = (
+            f"CASE WHEN {lv} IS NOT NULL THEN {lv} >= 0 ELSE {dec} BETWEEN CAST(0 AS DECIMAL(38,0)) "
+            f"AND CAST('{UINT64_MAX}' AS DECIMAL(38,0)) END"
         )
-        u64 = F.when(lv.isNotNull(), lv >= 0).otherwise(fits_uint64(dec))
         return {
             "k": key,
-            "fi": m | ii,
-            "f64": m | (ii & lv.isNotNull()),
-            "fu64": m | (ii & u64),
-            "ff": m | col("_if"),
-            "fb": m | col("_ib"),
+            "fi": f"{m} OR {ii}",
+            "f64": f"{m} OR ({ii} AND {lv} IS NOT NULL)",
+            "fu64": f"{m} OR ({ii} AND ({u64}))",
+            "ff": f"{m} OR {col('_if')}",
+            "fb": f"{m} OR {col('_ib')}",
         }
 
-    out = out.withColumns(stage(facts))
-    return out.drop(*(f"{p}{x}" for p in prefixes for x in temp))
+    out = stage(out, facts)
+    return out.drop(*(f"{p}{x}" for p in prefixes for x in ("_ii", "_if", "_ib", "_lv", "_dec", "_iok", "_dv")))
 
 
 def _finish(stats: DataFrame, by: Sequence[str], with_dup: bool, na_tokens=NA_TOKENS) -> DataFrame:
