@@ -194,6 +194,7 @@ def upsert_table(
     from ..operators.upsert import last_per_key
 
     keys = [key] if isinstance(key, str) else list(key)
+    raw = batch
     exists = path_exists(spark, path)
     meta = _read_meta(spark, path) if exists else None
     if exists and meta is None:
@@ -213,28 +214,51 @@ def upsert_table(
     else:
         target = spark.read.parquet(path)
         target_cols = [c for c in target.columns if c != BUCKET_COL]
-    batch = batch.select(
-        *[(F.col(f"`{c}`") if c in batch.columns else F.lit(None)).cast(target.schema[c].dataType).alias(c) for c in target_cols]
-    ).withColumn(BUCKET_COL, bucket_of(keys, n_buckets))
-    if n_buckets == 1:
-        touched = [0] if batch.take(1) else []
+    def typed(df: DataFrame, cols) -> DataFrame:
+        return df.select(
+            *[(F.col(f"`{c}`") if c in df.columns else F.lit(None)).cast(target.schema[c].dataType).alias(c) for c in cols]
+        )
+
+    batch = typed(batch, target_cols).withColumn(BUCKET_COL, bucket_of(keys, n_buckets))
+    if meta is None:
+        # A new table: every bucket the write produces is new, so the
+        # touched buckets are read from the staged folder afterwards (no
+        # pass over the batch before the write).
+        current = target
     else:
-        touched = sorted(r[0] for r in batch.select(BUCKET_COL).distinct().collect())  # at most n_buckets rows
-    if not touched:
-        return 0
-    current = target.filter(F.col(BUCKET_COL).isin(touched))
+        # The buckets follow from the keys alone: this pass reads only the
+        # key columns of the raw batch (before its per-key dedupe) and
+        # returns at most ``n_buckets`` rows.
+        bkeys = typed(raw, keys).select(bucket_of(keys, n_buckets).alias(BUCKET_COL))
+        if n_buckets == 1:
+            touched = [0] if bkeys.take(1) else []
+        else:
+            touched = sorted(r[0] for r in bkeys.distinct().collect())
+        if not touched:
+            return 0
+        current = target.filter(F.col(BUCKET_COL).isin(touched))
     new = upsert(current, batch, keys)
     parent, name = path.rstrip("/").rsplit("/", 1)
     staged = f"{parent}/.staging-{name}-{uuid.uuid4().hex[:12]}"
     new.write.mode("errorifexists").partitionBy(BUCKET_COL).parquet(staged)
-    fs, _ = _fs(spark, path)
+    fs, sp = _fs(spark, staged)
+    jvm = spark.sparkContext._jvm
+    prefix = f"{BUCKET_COL}="
+    written = sorted(
+        int(st.getPath().getName()[len(prefix):])
+        for st in fs.listStatus(sp)
+        if st.isDirectory() and st.getPath().getName().startswith(prefix)
+    )
     if meta is None:
-        fs.mkdirs(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path))
+        touched = written
+        if not touched:
+            fs.delete(sp, True)
+            return 0
+        fs.mkdirs(jvm.org.apache.hadoop.fs.Path(path))
     for b in touched:
-        src = f"{staged}/{BUCKET_COL}={b}"
-        if path_exists(spark, src):
-            swap_in(spark, src, f"{path.rstrip('/')}/{BUCKET_COL}={b}")
-    fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(staged), True)
+        if b in written:
+            swap_in(spark, f"{staged}/{prefix}{b}", f"{path.rstrip('/')}/{prefix}{b}")
+    fs.delete(sp, True)
     if meta is None:
         _write_meta(spark, path, {"buckets": n_buckets, "key": keys})
     return len(touched)
