@@ -11,10 +11,13 @@ A global position is computed without moving every row into one partition
    running offsets, and broadcast back (size bounded by the partition count).
 
 Range bounds are sampled with a seed that depends on the RDD id, so two
-branches of one plan may cut the data differently. The sorted, numbered rows
-are therefore written once with a reliable ``checkpoint()`` (to the shared
-``spark.checkpoint.dir``) and both the counts and the numbering read that one
-copy; a lost executor re-reads it instead of re-sampling.
+branches of one plan may cut the data differently. The sorted rows, with
+their (partition, index) id, are therefore written once as a parquet table in
+the shared ``spark.checkpoint.dir`` and both the counts and the numbering
+read that one copy; a lost executor re-reads it instead of re-sampling.
+Parquet rather than an RDD ``checkpoint()``: the count pass then reads the
+id column alone, not every serialized row. (Columns parquet cannot store
+fall back to ``checkpoint()``.)
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.patterns import ROW_KEY_NAME
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, scratch_path
 
 _LOW33 = (1 << 33) - 1
 
@@ -64,6 +67,7 @@ def with_ordinal_and_count(
     name: str = "_ordinal",
     num_partitions: int | None = None,
     tiebreak: bool = True,
+    store: str = "parquet",
 ) -> tuple[DataFrame, int]:
     """``with_ordinal`` plus the row count, read from the per-partition
     counts (one row per partition) instead of another pass over the data."""
@@ -74,9 +78,15 @@ def with_ordinal_and_count(
     if tiebreak:
         base = df.withColumn("_tb", F.monotonically_increasing_id())
         keys = keys + [F.col("_tb")]
-    ensure_checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
     s = base.repartitionByRange(n, *keys).sortWithinPartitions(*keys).withColumn("_mid", F.monotonically_increasing_id())
-    s = s.checkpoint(eager=True)
+    if store == "parquet" and _parquet_ok(s):
+        path = scratch_path(spark, "ordinal")
+        s.write.parquet(path)
+        s = spark.read.parquet(path)
+    else:
+        s = s.checkpoint(eager=True)
     pid = F.shiftright(F.col("_mid"), 33)
     counts = s.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
     # One row per partition: a single-partition window here is bounded.
@@ -92,6 +102,14 @@ def with_ordinal_and_count(
     return out.drop("_pid", "_off", "_mid", "_tb"), _Count(counts)
 
 
+def _parquet_ok(df: DataFrame) -> bool:
+    """Parquet stores every column type here but ``void`` and intervals."""
+    from pyspark.sql import types as T
+
+    bad = (T.NullType, T.DayTimeIntervalType, T.YearMonthIntervalType, T.CalendarIntervalType)
+    return not any(isinstance(f.dataType, bad) for f in df.schema.fields)
+
+
 class _Count:
     """Row count computed on first use from the per-partition counts."""
 

@@ -171,3 +171,19 @@ def test_preview_dtypes_and_options(spark):
         LoadOptions(input_path="", output_path="out/")
     conf = cluster_conf(100 * (1 << 40), 8000)
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+
+
+def test_ordinal_stores_agree_and_void_falls_back(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.range(0, 500, numPartitions=4).select((F.col("id") % 7).alias("a"), F.col("id").alias("b"))
+    got = {}
+    for store in ("parquet", "checkpoint"):
+        out, n = ordinal.with_ordinal_and_count(df, ["a", "b"], "pos", 4, True, store)
+        assert int(n) == 500
+        got[store] = sorted((r["pos"], r["a"], r["b"]) for r in out.collect())
+    assert got["parquet"] == got["checkpoint"]
+    assert [p for p, _, _ in got["parquet"]] == list(range(500))
+    voided = df.withColumn("v", F.lit(None))
+    out = ordinal.with_ordinal(voided, ["a", "b"], "pos", 4)
+    assert sorted(r["pos"] for r in out.collect()) == list(range(500))
