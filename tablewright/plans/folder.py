@@ -20,7 +20,7 @@ from ..options import LoadOptions
 from ..sinks import ledger as led
 from ..sinks import tables
 from ..sources import catalog as cat
-from ..sources.delimited import FILE_COL, FILE_ORDER, header_groups, read_delimited, read_metadata, read_with_encodings
+from ..sources.delimited import FILE_COL, FILE_ORDER, choose_encoding, header_groups, read_delimited, read_metadata, read_with_encodings
 
 
 def _table_files(catalog: DataFrame) -> dict[str, list[str]]:
@@ -59,6 +59,7 @@ def profile_folder(
         encodings = None if encoding else found
     else:
         units = list(_table_files(catalog).items())
+        encodings = None if encoding or not units else detect_encodings(spark, list(tables_of))
     for table, paths in units:
         df = read_with_encodings(spark, paths, sep, file_order=True, encoding=encoding, encodings=encodings)
         cols = [c for c in df.columns if c not in FILE_ORDER]
@@ -91,6 +92,11 @@ def profile_folder(
     return reduce(lambda a, b: a.unionByName(b), outs)
 
 
+def detect_encodings(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """O-02 for a whole folder in one text pass (one row per file)."""
+    return {r["path"]: r["encoding"] for r in choose_encoding(spark, paths).collect()}
+
+
 def write_profiles(spark: SparkSession, path: str, out_dir: str, sep: str = ",") -> list[str]:
     """Entry 2 (profile only): a sidecar for every data file that has none."""
     catalog = cat.file_catalog(spark, path)
@@ -119,11 +125,13 @@ def add_key_to_file(spark: SparkSession, src: str, dst: str, name: str = "Row_Nu
     tables.write_keyed(keyed.select(name, *cols), dst)
 
 
-def _load_table(spark: SparkSession, opts: LoadOptions, table: str, todo: list[str], sidecars: dict[str, str]) -> None:
+def _load_table(
+    spark: SparkSession, opts: LoadOptions, table: str, todo: list[str], sidecars: dict[str, str], encodings=None
+) -> None:
     """One table of O-65: key gate per file, sidecar, create, upsert, ledger."""
     fail_schema = "path string, table_name string, n_rows bigint, status string, message string"
     try:
-        df = read_with_encodings(spark, todo, opts.sep, file_order=True, encoding=opts.encoding)
+        df = read_with_encodings(spark, todo, opts.sep, file_order=True, encoding=opts.encoding, encodings=encodings)
         cols = [c for c in df.columns if c not in FILE_ORDER]
         # Key gate per file (one result row per file); a key repeated in a
         # later part of a multi-part table is an update, not a fault.
@@ -186,10 +194,12 @@ def load_folder(spark: SparkSession, opts: LoadOptions, parallel_tables: int = 4
 
     work = [(t, [p for p in ps if p not in done_paths]) for t, ps in _table_files(catalog).items()]
     work = [(t, ps) for t, ps in work if ps]
+    # one text pass detects the encoding of every file still to load
+    encodings = None if opts.encoding or not work else detect_encodings(spark, [p for _, ps in work for p in ps])
     # Tables are independent: their jobs are submitted from a few threads so
     # small tables do not leave the cluster idle.
     with ThreadPoolExecutor(max_workers=max(1, min(parallel_tables, len(work) or 1))) as pool:
-        list(pool.map(lambda tw: _load_table(spark, opts, tw[0], tw[1], sidecars), work))
+        list(pool.map(lambda tw: _load_table(spark, opts, tw[0], tw[1], sidecars, encodings), work))
     listing_rows = cat.data_files(catalog).select("path", "table_name", "is_metadata")
     counts = led.read_ledger(spark, opts.ledger).groupBy("path").agg(F.max("n_rows").alias("n_rows"))
     report_cat = listing_rows.join(counts, on="path", how="left")

@@ -157,10 +157,11 @@ def read_with_encodings(
     from ``header_groups``) when it was already detected, to skip that pass."""
     if encoding:
         return read_delimited(spark, paths, sep, encoding, multi_line, None, file_order)
-    if encodings is not None:
-        pairs = [(p, encodings[p]) for p in _paths(paths)]
-    else:
-        pairs = [(r["path"], r["encoding"]) for r in choose_encoding(spark, paths).collect()]
+    known = encodings or {}
+    pairs = [(p, known[p]) for p in _paths(paths) if p in known]
+    rest = [p for p in _paths(paths) if p not in known]
+    if rest:
+        pairs += [(r["path"], r["encoding"]) for r in choose_encoding(spark, rest).collect()]
     groups: dict[str, list[str]] = {}
     for p, e in pairs:
         groups.setdefault(e, []).append(p)
