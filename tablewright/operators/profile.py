@@ -266,7 +266,7 @@ def column_stats(
     na_tokens = tuple(na_tokens)
     columns = _value_columns(df, columns, by)
     # The file order is fixed as a column before rows are spread over tasks.
-    if order is None and (with_example or plan == "one_scan"):
+    if order is None and with_example:
         df = df.withColumn("_scan_pos", F.monotonically_increasing_id())
         order = "_scan_pos"
     df = ensure_parallelism(df)
@@ -325,7 +325,9 @@ def _one_scan_ok(df: DataFrame, order, by, with_example: bool, n_groups) -> bool
     """The one-scan plan needs a fixed-width order key (hash aggregation
     keeps ``min`` of it) and, with groups, a known bound on their number
     (one row per group and column is broadcast)."""
-    if by and with_example and (n_groups is None or n_groups > MAX_BROADCAST_GROUPS):
+    if not with_example:
+        return True  # the order is only used for the example cell
+    if by and (n_groups is None or n_groups > MAX_BROADCAST_GROUPS):
         return False
     if order is None:
         return True
@@ -352,14 +354,17 @@ def _one_scan_stats(df: DataFrame, columns, order, by, na_tokens, with_example:
     """
     by = list(by)
     cols = _value_columns(df, columns, by)
-    cells = text_cells(df, cols, order if order is not None else None, by, with_names=False)
+    # Without an example cell no row order is needed: no position column
+    # and no ``min`` of it is carried through the three levels.
+    ords = [F.col(ORD).alias("_o")] if with_example else []
+    cells = text_cells(df, cols, order if with_example else False, by, with_names=False)
     cells = with_cell_facts(cells, "cell", na_tokens).select(
-        *by, "column_index", F.col(ORD).alias("_o"), "k", "fi", "f64", "fu64", "ff", "fb", "cell"
+        *by, "column_index", *ords, "k", "fi", "f64", "fu64", "ff", "fb", "cell"
     ).withColumn("nc", F.when(F.col("k").isNull() | (F.col("cell") != F.col("k")), F.col("cell")))
     keys = [*by, "column_index"]
     level_a = cells.groupBy(*keys, "k", "nc").agg(
         F.count(F.lit(1)).alias("n"),
-        F.min("_o").alias("min_o"),
+        *([F.min("_o").alias("min_o")] if with_example else []),
         F.bool_and("fi").alias("all_int"),
         F.bool_and("f64").alias("all_i64"),
         F.bool_and("fu64").alias("all_u64"),
@@ -370,7 +375,7 @@ def _one_scan_stats(df: DataFrame, columns, order, by, na_tokens, with_example:
     level_b = level_a.groupBy(*keys, "k").agg(
         F.sum("n").alias("total"),
         F.max("n").alias("max_n"),
-        F.min("min_o").alias("min_o"),
+        *([F.min("min_o").alias("min_o")] if with_example else []),
         *[F.bool_and(c).alias(c) for c in ("all_int", "all_i64", "all_u64", "all_float", "all_bool")],
     )
     level_c = level_b.groupBy(*keys).agg(
@@ -379,7 +384,7 @@ def _one_scan_stats(df: DataFrame, columns, order, by, na_tokens, with_example:
         *[F.bool_and(c).alias(c) for c in ("all_int", "all_i64", "all_u64", "all_float", "all_bool")],
         F.max(F.when(present, F.col("total"))).alias("max_typed"),
         F.max(F.when(present, F.col("max_n"))).alias("max_canon"),
-        F.min("min_o").alias("first_o"),
+        *([F.min("min_o").alias("first_o")] if with_example else []),
     ).withColumn("noncanon_dup", F.lit(False)).withColumn("column_name", column_name_of(cols))
     if not with_example:
         return level_c.withColumn("first_cell", F.lit(None).cast("string"))
