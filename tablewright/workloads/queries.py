@@ -694,6 +694,31 @@ def load_folder_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, f"{root}/warehouse/customer")
 
 
+ORDERS_PART_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
+
+
+@register("union_load_new_orders", f"SELECT {', '.join(ORDERS_PART_COLS)} FROM orders")
+def union_load_new_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-51, O-62 (with O-01): ``orders`` landed as four CSV parts, read as
+    one table by a single multi-path scan, written with ``load_new`` (fails
+    if the table exists) and read back; integers typed again."""
+    from pyspark.sql import functions as F
+
+    from ..sinks.tables import land_as_files, load_new
+
+    root = scratch_path(spark, "union-load-new")
+    paths = land_as_files(spark, table(spark, sf_dir, "orders").select(*ORDERS_PART_COLS), f"{root}/landing", "orders", 4)
+    whole = T.union_table(spark, paths, D.read_delimited)
+    load_new(whole, f"{root}/tables/orders")
+    back = spark.read.parquet(f"{root}/tables/orders")
+    return back.select(
+        F.col("o_orderkey").cast("bigint").alias("o_orderkey"),
+        F.col("o_custkey").cast("bigint").alias("o_custkey"),
+        "o_orderstatus",
+        "o_orderpriority",
+    )
+
+
 def _sidecar_text_sql() -> str:
     inner = O.profile_sql(O.text_table_sql("events", EVENTS_COLS, "event_id", EVENTS_NULLS), EVENTS_COLS)
     return (

@@ -207,3 +207,18 @@ def test_upsert_refuses_foreign_folder(spark, tmp_dir):
     spark.range(3).write.parquet(f"{tmp_dir}/plain")
     with pytest.raises(ValueError):
         tables.upsert_table(spark, f"{tmp_dir}/plain", spark.range(1).withColumnRenamed("id", "k"), "k")
+
+
+def test_union_table_and_load_new_refuses_existing(spark, tmp_dir):
+    import pytest
+
+    from tablewright.operators import sets
+
+    _write(f"{tmp_dir}/u/t_split__001.csv", "id,v\n1,a\n")
+    _write(f"{tmp_dir}/u/t_split__002.csv", "id,v\n2,b\n3,c\n")
+    whole = sets.union_table(spark, [f"{tmp_dir}/u/t_split__001.csv", f"{tmp_dir}/u/t_split__002.csv"], D.read_delimited)
+    assert sorted((r["id"], r["v"]) for r in whole.collect()) == [("1", "a"), ("2", "b"), ("3", "c")]
+    tables.load_new(whole, f"{tmp_dir}/new_t")
+    assert spark.read.parquet(f"{tmp_dir}/new_t").count() == 3
+    with pytest.raises(Exception):
+        tables.load_new(whole, f"{tmp_dir}/new_t")
