@@ -165,6 +165,33 @@ def _write_meta(spark: SparkSession, path: str, meta: dict) -> None:
         out.close()
 
 
+def _bucket_dirs(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory() and st.getPath().getName().startswith(f"{BUCKET_COL}=")]
+
+
+def _recover_swaps(spark: SparkSession, path: str) -> None:
+    """Finish bucket swaps a failed driver left half done: a bucket moved
+    aside (``.old-_bucket=N-…``) goes back when its new copy never arrived,
+    and is removed when it did."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return
+    jvm = spark.sparkContext._jvm
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if not (st.isDirectory() and name.startswith(f".old-{BUCKET_COL}=")):
+            continue
+        bucket = name[len(".old-"):].rsplit("-", 1)[0]
+        live = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{bucket}")
+        if fs.exists(live):
+            fs.delete(st.getPath(), True)
+        elif not fs.rename(st.getPath(), live):
+            raise OSError(f"could not restore {bucket} of {path}")
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """A keyed table without its bucket column."""
     df = spark.read.parquet(path)
@@ -196,6 +223,8 @@ def upsert_table(
     keys = [key] if isinstance(key, str) else list(key)
     raw = batch
     exists = path_exists(spark, path)
+    if exists:
+        _recover_swaps(spark, path)
     meta = _read_meta(spark, path) if exists else None
     if exists and meta is None:
         raise ValueError(f"{path} exists but is not a keyed table (no {TABLE_META}); load it into a new path")
@@ -211,6 +240,11 @@ def upsert_table(
         sch = schema or T.StructType([f for f in batch.schema.fields if not f.name.startswith("_") and f.name not in onames])
         target_cols = [f.name for f in sch.fields]
         target = spark.createDataFrame([], T.StructType(sch.fields + [T.StructField(BUCKET_COL, T.IntegerType())]))
+    elif "schema" in meta and not _bucket_dirs(spark, path):
+        # created, but its first put stopped before any bucket was swapped in
+        sch = T.StructType.fromJson(meta["schema"])
+        target_cols = [f.name for f in sch.fields]
+        target = spark.createDataFrame([], T.StructType(sch.fields + [T.StructField(BUCKET_COL, T.IntegerType())]))
     else:
         target = spark.read.parquet(path)
         target_cols = [c for c in target.columns if c != BUCKET_COL]
@@ -255,12 +289,14 @@ def upsert_table(
             fs.delete(sp, True)
             return 0
         fs.mkdirs(jvm.org.apache.hadoop.fs.Path(path))
+        # The table is declared before its buckets arrive, so a put that
+        # stops part-way is finished by re-running it as an update.
+        schema_json = T.StructType([f for f in target.schema.fields if f.name != BUCKET_COL]).jsonValue()
+        _write_meta(spark, path, {"buckets": n_buckets, "key": keys, "schema": schema_json})
     for b in touched:
         if b in written:
             swap_in(spark, f"{staged}/{prefix}{b}", f"{path.rstrip('/')}/{prefix}{b}")
     fs.delete(sp, True)
-    if meta is None:
-        _write_meta(spark, path, {"buckets": n_buckets, "key": keys})
     return len(touched)
 
 

@@ -222,3 +222,33 @@ def test_union_table_and_load_new_refuses_existing(spark, tmp_dir):
     assert spark.read.parquet(f"{tmp_dir}/new_t").count() == 3
     with pytest.raises(Exception):
         tables.load_new(whole, f"{tmp_dir}/new_t")
+
+
+def test_put_resumes_after_a_failed_driver(spark, tmp_dir, monkeypatch):
+    path = f"{tmp_dir}/resume"
+    rows = spark.range(0, 200).selectExpr("id AS k", "concat('v', id) AS v")
+    real_swap = tables.swap_in
+    calls = {"n": 0}
+
+    def dying_swap(*a):
+        calls["n"] += 1
+        if calls["n"] == 2:
+            raise RuntimeError("driver lost")
+        return real_swap(*a)
+
+    monkeypatch.setattr(tables, "swap_in", dying_swap)
+    try:
+        tables.upsert_table(spark, path, rows, "k", n_buckets=4)
+    except RuntimeError:
+        pass
+    monkeypatch.setattr(tables, "swap_in", real_swap)
+    tables.upsert_table(spark, path, rows, "k", n_buckets=4)  # the rerun finishes the load
+    back = tables.read_table(spark, path)
+    assert back.count() == 200 and back.select("k").distinct().count() == 200
+    # a bucket moved aside by a swap that stopped half way is restored
+    root = path.replace("file:", "")
+    b = sorted(d for d in os.listdir(root) if d.startswith("_bucket="))[0]
+    os.rename(f"{root}/{b}", f"{root}/.old-{b}-deadbeef")
+    tables.upsert_table(spark, path, spark.createDataFrame([(0, "new")], "k long, v string"), "k")
+    back = {r["k"]: r["v"] for r in tables.read_table(spark, path).collect()}
+    assert len(back) == 200 and back[0] == "new" and back[199] == "v199"
