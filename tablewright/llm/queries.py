@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import simhash_anchor, token_files
+from . import license_scan, mix_wfq, prefix_counts, simhash_anchor, token_files
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,12 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+@register("op2_license_scan")
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and notices of every document."""
+    return license_scan.license_scan(documents(spark, sf_dir))
+
+
 @register("op4_token_binary")
 def op4_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token packs of all documents, written and read back."""
@@ -44,3 +50,17 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     found = simhash_anchor.simhash_components(documents(spark, sf_dir))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@register("op9_token_counts")
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document from its prefix table."""
+    limit = 2048
+    tables = prefix_counts.prefix_tables(documents(spark, sf_dir), TOKENIZER, limit)
+    return tables.withColumn("over_limit", F.col("n_tokens") > limit)
+
+
+@register("op10_source_mixing")
+def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of every document."""
+    return mix_wfq.mix(documents(spark, sf_dir))

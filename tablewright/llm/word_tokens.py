@@ -47,7 +47,7 @@ BYTE_SYMBOL = byte_symbols()
 
 
 def symbols(text: str) -> str:
-    if text.isascii():
+    if text.isascii() and text.isprintable() and " " not in text:
         return text
     return "".join([BYTE_SYMBOL[b] for b in text.encode()])
 
