@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import license_scan, mix_wfq, prefix_counts, simhash_anchor, token_files
-from .common import documents
+from . import language_id, license_scan, mix_wfq, prefix_counts, quality_gam, simhash_anchor, token_files
+from .common import crc_bucket, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -52,6 +52,25 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@register("op6_language_id")
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned without the held-out quarter."""
+    docs = documents(spark, sf_dir)
+    held_out = crc_bucket(F.col("doc_id"), 4) == 2
+    model = language_id.train(docs, ~held_out)
+    return language_id.identified(docs, model, F.coalesce(held_out, F.lit(False)).alias("held_out"))
+
+
+@register("op8_quality_classifier")
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned without the held-out fifth."""
+    docs = documents(spark, sf_dir)
+    held_out = crc_bucket(F.col("doc_id"), 5) == 0
+    model = quality_gam.train(docs, documents(spark, sf_dir, "labels"), ~held_out)
+    scores = quality_gam.scored(docs, model, F.coalesce(held_out, F.lit(False)).alias("held_out"))
+    return scores.withColumn("predicted", F.when(F.col("score") >= 0.3, 1).otherwise(0))
+
+
 @register("op9_token_counts")
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every document from its prefix table."""
