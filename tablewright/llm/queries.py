@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import language_id, license_scan, mix_wfq, prefix_counts, quality_gam, simhash_anchor, token_files
+from . import decontam_qgram, language_id, license_scan, mix_wfq, prefix_counts, quality_gam, simhash_anchor, token_files
 from .common import crc_bucket, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,12 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+@register("op1_benchmark_decontamination")
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a region of a benchmark item."""
+    return decontam_qgram.contaminated(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
 @register("op2_license_scan")
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence phrases and notices of every document."""
