@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontam_qgram, language_id, license_scan, mix_wfq, prefix_counts, quality_gam, simhash_anchor, token_files
+from . import decontam_qgram, language_id, license_scan, mix_wfq, pii_bootstrap, prefix_counts, quality_gam, simhash_anchor, token_files
 from .common import crc_bucket, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +43,12 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(documents(spark, sf_dir))
 
 
+@register("op3_pii_bootstrap")
+def op3_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return pii_bootstrap.personal_data(documents(spark, sf_dir))
+
+
 @register("op4_token_binary")
 def op4_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token packs of all documents, written and read back."""
