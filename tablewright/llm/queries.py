@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontam_qgram, language_id, license_scan, mix_wfq, pii_bootstrap, prefix_counts, quality_gam, simhash_anchor, token_files
+from . import decontam_qgram, language_id, license_scan, mix_wfq, pii_bootstrap, prefix_counts, quality_gam, quality_llr, simhash_anchor, token_files
 from .common import crc_bucket, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,6 +73,14 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identified(docs, model, F.coalesce(held_out, F.lit(False)).alias("held_out"))
 
 
+@register("op7_quality_rules")
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and verdict of every document; trusted are the documents
+    labelled as good."""
+    trusted = documents(spark, sf_dir, "labels").where("quality = 1")
+    return quality_llr.quality_rules(documents(spark, sf_dir), trusted)
+
+
 @register("op8_quality_classifier")
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document, learned without the held-out fifth."""

@@ -130,7 +130,8 @@ def keep_one_per_component(docs: DataFrame, shingle: int = 3, max_bits: int = 3)
     id is the component's. Rows that repeat its id are reduced to one of
     them; rows without an id cannot be named as copies and stay."""
     comp = written(simhash_components(docs, shingle, max_bits), "simhash-components")
-    gone = comp.where("doc_id <> component_id").select("doc_id").distinct()
+    # written, so that Spark knows its size when it chooses the join
+    gone = written(comp.where("doc_id <> component_id").select("doc_id").distinct(), "simhash-gone")
     repeated = comp.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id")
     if repeated.isEmpty():
         return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
