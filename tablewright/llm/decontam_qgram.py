@@ -263,7 +263,8 @@ def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     clean = docs.join(found, "doc_id", "left_anti").select(docs.columns)
     if found.where("doc_id IS NULL").isEmpty():
         return clean
-    named = clean.where("doc_id IS NOT NULL")
-    unnamed = docs.where("doc_id IS NULL").withColumn("_row", F.xxhash64("text"))
-    dirty = contaminated(unnamed.drop("doc_id").withColumn("doc_id", F.col("_row")), benchmark).select(F.col("doc_id").alias("_row")).distinct()
-    return named.unionByName(unnamed.join(dirty, "_row", "left_anti").select(docs.columns))
+    # rows without an id: named by their text's hash for this judgement
+    unnamed = docs.where("doc_id IS NULL").select(F.struct(*docs.columns).alias("doc"), F.xxhash64("text").alias("doc_id"), "text")
+    dirty = written(contaminated(unnamed, benchmark).select("doc_id").distinct(), "contaminated")
+    rest = unnamed.join(dirty, "doc_id", "left_anti").select("doc.*")
+    return clean.where("doc_id IS NOT NULL").unionByName(rest)

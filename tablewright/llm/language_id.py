@@ -176,8 +176,8 @@ def train(docs: DataFrame, learnable: Column | None = None, sample_rows: int = 3
     # at most sample_rows ids: a bounded broadcast
     rows = texts(docs, "lang").join(F.broadcast(picked), "doc_id").where("lang = given").select("doc_id", "given", "text")
     got = rows.mapInArrow(run, "doc_id long, given string, buckets array<int>, counts array<int>").toPandas()
-    got = got[[len(x) > 0 for x in got["buckets"]]].sort_values(["doc_id", "given"], kind="stable")
-    return LanguageModel().fit(list(zip(got["buckets"], got["counts"], got["given"])))
+    got = got.sort_values(["doc_id", "given"], kind="stable")
+    return LanguageModel().fit([r for r in zip(got["buckets"], got["counts"], got["given"]) if len(r[0])])
 
 
 def identified(docs: DataFrame, model: LanguageModel, *more: Column) -> DataFrame:

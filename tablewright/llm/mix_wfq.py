@@ -121,22 +121,24 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share
     Rows that repeat an id are given their shares in order of size and
     text."""
     shares = written(mix(docs, weights, share, max_repeats).select("doc_id", "size", "taken"), "mix-shares")
-    order = Window.partitionBy("doc_id").orderBy("size", "taken")
     repeated = shares.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL")
-    rows = docs.withColumn("_size", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"))
-    given = shares.select(F.col("doc_id").alias("_id"), "taken")
-    same = F.col("doc_id") == F.col("_id")
+    # the document travels as one struct, so its columns clash with nothing here
+    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), F.col("doc_id").alias("id"), F.col("text").alias("body"), size.alias("words"))
+    given = shares.select(F.col("doc_id").alias("of"), "taken")
+    same = F.col("id") == F.col("of")
     if not repeated.isEmpty():
-        rows = rows.withColumn("_copy", F.row_number().over(Window.partitionBy("doc_id").orderBy("_size", F.xxhash64("text"))))
-        given = shares.select(F.col("doc_id").alias("_id"), "taken", F.row_number().over(order).alias("_of"))
-        same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_copy") == F.col("_of"))
+        rows = rows.withColumn("copy", F.row_number().over(Window.partitionBy("id").orderBy("words", F.xxhash64("body"))))
+        nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("size", "taken"))
+        given = shares.select(F.col("doc_id").alias("of"), "taken", nth.alias("nth"))
+        same = F.col("id").eqNullSafe(F.col("of")) & (F.col("copy") == F.col("nth"))
     rows = rows.join(given.where("taken > 0"), same)
-    rows = rows.withColumn("_words", F.expr("transform(sequence(0L, (taken - 1) div _size), p -> least(_size, taken - p * _size))"))
-    rows = rows.withColumn("_words", F.explode("_words")).withColumn("_cut", F.col("_words") < F.col("_size"))
-    pieces = F.slice(F.regexp_extract_all("text", F.lit(f"[\\x20\\x09-\\x0D]*{WORD}"), F.lit(0)), F.lit(1), F.col("_words").cast("int"))
-    out = {c: F.col(c) for c in docs.columns}
-    out["text"] = F.when(F.col("_cut"), F.array_join(pieces, "")).otherwise(F.col("text"))
+    rows = rows.withColumn("served", F.explode(F.expr("transform(sequence(0L, (taken - 1) div words), p -> least(words, taken - p * words))")))
+    cut = F.col("served") < F.col("words")
+    pieces = F.slice(F.regexp_extract_all("body", F.lit(f"[\\x20\\x09-\\x0D]*{WORD}"), F.lit(0)), F.lit(1), F.col("served").cast("int"))
+    text = F.when(cut, F.array_join(pieces, "")).otherwise(F.col("body"))
+    out = {c: F.col("doc").getField(c) for c in docs.columns}
+    out["text"] = text
     if "n_chars" in out:
-        kind = docs.schema["n_chars"].dataType
-        out["n_chars"] = F.when(F.col("_cut"), F.char_length(out["text"]).cast(kind)).otherwise(F.col("n_chars"))
+        out["n_chars"] = F.when(cut, F.char_length(text).cast(docs.schema["n_chars"].dataType)).otherwise(out["n_chars"])
     return rows.select(*[x.alias(c) for c, x in out.items()])
