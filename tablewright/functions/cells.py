@@ -107,6 +107,26 @@ def double_text(d: Column) -> Column:
     return F.when(whole, d.cast("bigint").cast("string")).otherwise(d.cast("string"))
 
 
+def float_text(d: Column) -> Column:
+    """Text of a double as Python prints it: plain decimals from 1e-4 up to
+    1e16, a two-digit exponent beyond. Spark's own text holds the same digits
+    with an exponent from 1e7 on and below 1e-3."""
+    text = d.cast("string")
+    plain = F.regexp_replace(text.try_cast("decimal(38,21)").cast("string"), "0+$", "")
+    plain = F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain)
+    mantissa = F.regexp_replace(F.substring_index(text, "E", 1), r"\.0$", "")
+    power = F.substring_index(text, "E", -1)
+    exponent = F.concat(F.when(power.startswith("-"), F.lit("e-")).otherwise(F.lit("e+")), F.lpad(F.replace(power, F.lit("-"), F.lit("")), 2, "0"))
+    size = F.abs(d)
+    return (
+        F.when(F.isnan(d), F.lit("nan"))
+        .when(size == F.lit(float("inf")), F.when(d > 0, F.lit("inf")).otherwise(F.lit("-inf")))
+        .when(~text.contains("E"), text)
+        .when((size >= F.lit(1e-4)) & (size < F.lit(1e16)), plain)
+        .otherwise(F.concat(mantissa, exponent))
+    )
+
+
 def typed_key(col, na_tokens: Iterable[str] = NA_TOKENS) -> Column:
     """Canonical text that is equal for two cells exactly when the cells are
     equal under the type their column turns out to have.
@@ -129,15 +149,15 @@ def typed_key(col, na_tokens: Iterable[str] = NA_TOKENS) -> Column:
 def render_cell(col, dtype) -> Column:
     """O-13: text of a cell as the inferred column type prints it.
 
-    Integers print without ``.0`` (decision D3), floats as Spark prints a
-    double, booleans as ``True``/``False``, text unchanged.
+    Integers print without ``.0`` (decision D3), floats as Python prints
+    them, booleans as ``True``/``False``, text unchanged.
     """
     c = _c(col)
     t = _c(dtype) if not isinstance(dtype, str) or dtype not in _DTYPES else F.lit(dtype)
     return (
         F.when(c.isNull(), F.lit(None).cast("string"))
         .when(t.isin("int64", "uint64"), int_text(c))
-        .when(t == "float64", double_value(c).cast("string"))
+        .when(t == "float64", float_text(double_value(c)))
         .when(t == "bool", F.when(F.lower(c) == "true", F.lit("True")).otherwise(F.lit("False")))
         .otherwise(c)
     )
@@ -167,17 +187,21 @@ def base_name(col) -> Column:
 def parse_collection(col, tag: str) -> Column:
     """O-15: declared collection tags from their text form.
 
-    ``SS``/``NS``: quoted list ``'one','two'`` (or bare comma list) -> distinct
-    array; ``NS`` elements become doubles. ``L``: JSON array of strings.
+    ``SS``/``NS``/``BS``: quoted list ``'one','two'`` (commas inside quotes
+    belong to the item) or bare comma list -> distinct array; ``NS`` elements
+    become doubles, ``BS`` elements binary. ``L``: JSON array of strings.
     ``M``: JSON object -> map<string,string>.
     """
     c = _c(col)
     if tag in ("SS", "NS", "BS"):
-        parts = F.split(c, r"\s*,\s*")
-        items = F.transform(parts, lambda x: F.regexp_replace(x, r"^\s*'|'\s*$", ""))
+        quoted = F.regexp_extract_all(c, F.lit("'([^']*)'"), F.lit(1))
+        bare = F.transform(F.split(c, ","), lambda x: F.trim(x))
+        items = F.when(c.contains("'"), quoted).otherwise(bare)
         items = F.filter(items, lambda x: x != "")
         if tag == "NS":
             items = F.transform(items, lambda x: x.try_cast("double"))
+        if tag == "BS":
+            items = F.transform(items, lambda x: x.cast("binary"))
         return F.array_distinct(items)
     if tag == "L":
         return F.from_json(c, "array<string>")

@@ -68,9 +68,8 @@ META_COLUMNS = (
 KEY_FLAG_NAMES = ("mixed_datatype_flag", "missing_data_flag", "duplicate_data_flag")
 
 # --- fixed values: multi-part file naming -----------------------------------
-SPLIT_SUFFIX_PATTERN = r"(_split__[0-9]{3})?\.csv$"
+SPLIT_SUFFIX_PATTERN = r"(_split__[0-9]{3,})?\.csv$"
 SPLIT_NAME_FORMAT = "%s_split__%03d.csv"
-MAX_PARTS = 999
 METADATA_PREFIX = "metadata_"
 TABLE_NAME_PATTERN = r"^[A-Za-z0-9_.-]{3,255}$"
 DEFAULT_SPLIT_THRESHOLD = 10000

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.cells import double_value, is_missing, long_value, parse_collection, render_cell
+from ..functions.cells import double_value, int_value, is_missing, long_value, parse_collection, render_cell
 from ..functions.patterns import NA_TOKENS
 
 COLLECTION_TAGS = ("SS", "NS", "BS", "L", "M")
@@ -47,6 +47,38 @@ def typed_column(c, tag: str, dtype: str | None):
     return c
 
 
+def with_number_types(df: DataFrame, rows, na_tokens=NA_TOKENS) -> list[tuple]:
+    """Sidecar rows in which every number column has a dtype: a sidecar
+    without one (the minimal form) leaves it to the data, and whole numbers
+    must keep all their digits. One pass over those columns, if there are
+    any."""
+    from .profile import infer_types
+
+    data_cols = list(df.columns)[: len(rows)]
+    open_ = [src for src, (_, tag, dtype) in zip(data_cols, rows) if tag == "N" and not dtype]
+    if not open_:
+        return list(rows)
+    found = {r["column_name"]: r["pandas_column_dtype"] for r in infer_types(df.select(*[F.col(f"`{c}`") for c in open_]), columns=open_, na_tokens=na_tokens).collect()}
+    numbers = {c: t if t in ("int64", "uint64", "float64") else "float64" for c, t in found.items()}
+    return [(n, tag, numbers.get(src) if src in numbers else dtype) for src, (n, tag, dtype) in zip(data_cols, rows)]
+
+
+def misfits(df: DataFrame, rows, na_tokens=NA_TOKENS):
+    """A row's number of cells that are there but are not what the sidecar
+    says they are (they would become null)."""
+    out = F.lit(0)
+    for src, (_, tag, dtype) in zip(df.columns, rows):
+        if tag == "S":
+            continue
+        c = F.col(f"`{src}`").cast("string")
+        wrong = typed_column(c, tag, dtype).isNull()
+        if tag == "N" and dtype not in ("int64", "uint64"):
+            # a whole number that the double would round
+            wrong = wrong | F.coalesce(double_value(c).cast("decimal(38,0)") != int_value(c), F.lit(False))
+        out = out + (~is_missing(c, na_tokens) & wrong).cast("int")
+    return out
+
+
 def apply_metadata(df: DataFrame, meta: DataFrame | Sequence, na_tokens=NA_TOKENS, keep: Sequence[str] = ()) -> DataFrame:
     """O-12: rename and type the data columns from the sidecar, by position.
 
@@ -57,6 +89,7 @@ def apply_metadata(df: DataFrame, meta: DataFrame | Sequence, na_tokens=NA_TOKEN
     data_cols = [c for c in df.columns if c not in set(keep)]
     if len(rows) > len(data_cols):
         raise ValueError(f"sidecar has {len(rows)} columns, data has {len(data_cols)}")
+    rows = with_number_types(df.select(*[F.col(f"`{c}`") for c in data_cols]), rows, na_tokens)
     out = []
     for src, (name, tag, dtype) in zip(data_cols, rows):
         c = F.col(f"`{src}`").cast("string")
@@ -86,16 +119,20 @@ def tagged_cells(df: DataFrame, meta: DataFrame | Sequence, key: str | None = No
 
 def tagged_item(df: DataFrame, meta: DataFrame | Sequence, key: str | None = None, na_tokens=NA_TOKENS) -> DataFrame:
     """O-14 (item form): ``(key, item)`` where ``item`` maps attribute ->
-    struct(tag, value) and leaves missing cells out (a sparse item)."""
+    struct(tag, value, BOOL, SS, NS, BS, L, M) and leaves missing cells out
+    (a sparse item). ``value`` is the cell's text (numbers as printed);
+    booleans, sets, lists and maps also stand in the member of their tag."""
     rows = sidecar_rows(meta) if isinstance(meta, DataFrame) else [tuple(r) + (None,) * (3 - len(r)) for r in meta]
     cols = df.columns[: len(rows)]
     key = key or cols[0]
     keyname = rows[cols.index(key)][0]
+    kinds = {"BOOL": "boolean", "SS": "array<string>", "NS": "array<double>", "BS": "array<binary>", "L": "array<string>", "M": "map<string,string>"}
     pairs = []
     for src, (name, tag, dtype) in zip(cols, rows):
         c = F.col(f"`{src}`").cast("string")
         v = F.when(is_missing(c, na_tokens), F.lit(None).cast("string")).otherwise(render_cell(c, dtype or ("object" if tag != "N" else "float64")))
-        pairs += [F.lit(name), F.struct(F.lit(tag).alias("tag"), v.alias("value"))]
+        native = [(typed_column(c, tag, dtype) if t == tag else F.lit(None)).cast(kind).alias(t) for t, kind in kinds.items()]
+        pairs += [F.lit(name), F.struct(F.lit(tag).alias("tag"), v.alias("value"), *native)]
     item = F.map_filter(F.create_map(*pairs), lambda k, s: s["value"].isNotNull() & (s["value"] != ""))
     return df.select(F.col(f"`{key}`").alias(keyname), item.alias("item"))
 

@@ -30,6 +30,8 @@ from ..functions.patterns import ROW_KEY_NAME
 from ..session import ensure_checkpoint_dir, scratch_path
 
 _LOW33 = (1 << 33) - 1
+#: Columns of a scan in file order (``sources.delimited``): file, split, row.
+FILE_ORDER = ("_file", "_block", "_row")
 
 
 def _order_cols(df: DataFrame, order) -> list[Column]:
@@ -71,6 +73,8 @@ def with_ordinal_and_count(
 ) -> tuple[DataFrame, int]:
     """``with_ordinal`` plus the row count, read from the per-partition
     counts (one row per partition) instead of another pass over the data."""
+    if _is_file_order(df, order):
+        return with_file_ordinal(df, name)
     cols = _order_cols(df, order)
     n = _partitions(df, num_partitions)
     keys = list(cols)
@@ -102,6 +106,28 @@ def with_ordinal_and_count(
     return out.drop("_pid", "_off", "_mid", "_tb"), _Count(counts)
 
 
+def with_file_ordinal(df: DataFrame, name: str = "_ordinal") -> tuple[DataFrame, "_Count"]:
+    """O-30 for rows that are already in file order (a scan with ``_file``,
+    ``_block`` and ``_row``): rows are counted per file and split, the counts
+    are summed in order, and a row's position is its split's start plus its
+    place in the split. Two scans, no sort, no shuffle of rows and no copy;
+    the counts are one row per split."""
+    counts = df.groupBy(*FILE_ORDER[:2]).agg(F.count(F.lit(1)).alias("_n"), F.min(FILE_ORDER[2]).alias("_first"))
+    before = Window.orderBy(*FILE_ORDER[:2]).rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(*[F.col(c).alias(f"_of{c}") for c in FILE_ORDER[:2]], "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    path = scratch_path(df.sparkSession, "file-ordinal")
+    starts.coalesce(1).write.parquet(path)  # of known size: broadcast only if small
+    starts = df.sparkSession.read.schema(starts.schema).parquet(path)
+    same = (F.col(FILE_ORDER[0]) == F.col(f"_of{FILE_ORDER[0]}")) & (F.col(FILE_ORDER[1]) == F.col(f"_of{FILE_ORDER[1]}"))
+    out = df.join(starts, same).withColumn(name, F.col("_start") + F.col(FILE_ORDER[2]) - F.col("_first"))
+    return out.select(*df.columns, name), _Count(counts)
+
+
+def _is_file_order(df: DataFrame, order) -> bool:
+    names = order if isinstance(order, (list, tuple)) else [order]
+    return all(isinstance(o, str) for o in names) and tuple(names) == FILE_ORDER and set(FILE_ORDER) <= set(df.columns)
+
+
 def _parquet_ok(df: DataFrame) -> bool:
     """Parquet stores every column type here but ``void`` and intervals."""
     from pyspark.sql import types as T
@@ -144,13 +170,6 @@ def add_prefixed_key(
     return out.select(key.alias(name), *[F.col(f"`{c}`") for c in cols])
 
 
-# A top-k keeps at most ``stop`` rows per input partition, and its last step
-# merges all of them in one task: it is used only while ``stop`` times the
-# partition count stays within this many rows; otherwise the distributed
-# ordinal is used.
-TOPK_MERGE_ROWS = 10_000_000
-
-
 def row_range(
     df: DataFrame,
     order,
@@ -160,13 +179,11 @@ def row_range(
     num_partitions: int | None = None,
 ) -> DataFrame:
     """O-17: rows at 0-based positions ``start <= n < stop`` under ``order``
-    (half-open, as the reference slices). ``ordinal_name`` keeps ``n``."""
+    (half-open). Rows that tie under ``order`` keep their scan order, however
+    long the slice is. ``ordinal_name`` keeps ``n``."""
     if start < 0 or stop < start:
         raise ValueError("row_range needs 0 <= start <= stop")
-    cols = _order_cols(df, order)
-    if ordinal_name is None and stop * max(1, df.rdd.getNumPartitions()) <= TOPK_MERGE_ROWS:
-        return df.orderBy(*cols).offset(start).limit(stop - start)
     name = ordinal_name or "_ordinal"
-    out = with_ordinal(df, cols, name, num_partitions)
+    out = with_ordinal(df, order, name, num_partitions)
     out = out.filter((F.col(name) >= start) & (F.col(name) < stop))
     return out if ordinal_name else out.drop(name)

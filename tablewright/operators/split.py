@@ -5,7 +5,7 @@ with ``n / 2**k + k <= threshold``; a part of m rows is cut at
 ``m // 2 - 1`` (the first half is one row short); part x of a level becomes
 parts 2x-1 and 2x of the next, so part numbers follow row order. Decisions:
 ``n <= threshold`` is one part (D5), one halving is allowed (D4), names use
-``%03d`` and more than 999 parts is an error (D6).
+``%03d``, which widens by itself; the number of parts has no limit.
 """
 
 from __future__ import annotations
@@ -13,11 +13,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.patterns import DEFAULT_SPLIT_THRESHOLD, MAX_PARTS, SPLIT_NAME_FORMAT
+from ..functions.patterns import DEFAULT_SPLIT_THRESHOLD, SPLIT_NAME_FORMAT
 from .ordinal import with_ordinal_and_count
 
-MAX_HALVINGS = 9  # 2**9 = 512 <= 999 < 2**10
-
 
 def split_plan(n: int, threshold: int = DEFAULT_SPLIT_THRESHOLD) -> int:
     """O-40: number of halvings k for n rows (driver arithmetic)."""
@@ -26,21 +24,24 @@ def split_plan(n: int, threshold: int = DEFAULT_SPLIT_THRESHOLD) -> int:
     k = 0
     while n / (2**k) + k > threshold:
         k += 1
-        if k > MAX_HALVINGS:
-            raise ValueError(f"{n} rows need more than {MAX_PARTS} parts at threshold {threshold}")
+        if k > threshold:  # k alone is over the threshold from here on
+            raise ValueError(f"no halving brings {n} rows under a threshold of {threshold}")
     return k
 
 
 def split_plan_col(n, threshold) -> "F.Column":
-    """O-40 as a column: least k in 0..10 with n/2^k + k <= threshold."""
+    """O-40 as a column: the least k with n/2^k + k <= threshold; 64 halvings
+    bring any 64-bit count under one row. An error where no k will do, as
+    ``split_plan`` raises."""
     n = F.col(n) if isinstance(n, str) else n
     t = F.lit(threshold) if isinstance(threshold, int) else threshold
-    ks = F.filter(F.sequence(F.lit(0), F.lit(MAX_HALVINGS + 1)), lambda k: n / F.pow(F.lit(2.0), k) + k <= t)
-    return F.array_min(ks)
+    ks = F.filter(F.sequence(F.lit(0), F.lit(64)), lambda k: n / F.pow(F.lit(2.0), k) + k <= t)
+    return F.when(n.isNotNull(), F.coalesce(F.array_min(ks), F.raise_error(F.lit("no halving brings the rows under the threshold")).cast("int")))
 
 
 def split_bounds(n: int, k: int) -> list[tuple[int, int, int]]:
-    """O-41: ``(part, lo, hi)`` half-open ordinal ranges after k halvings."""
+    """O-41: ``(part, lo, hi)`` half-open ordinal ranges after k halvings
+    (a listing for reports; rows are assigned by ``part_of``)."""
     parts = [(0, n)]
     for _ in range(k):
         nxt = []
@@ -48,15 +49,13 @@ def split_bounds(n: int, k: int) -> list[tuple[int, int, int]]:
             cut = max((hi - lo) // 2 - 1, 0)
             nxt += [(lo, lo + cut), (lo + cut, hi)]
         parts = nxt
-    if len(parts) > MAX_PARTS:
-        raise ValueError(f"{len(parts)} parts exceed the {MAX_PARTS}-part limit")
     return [(i + 1, lo, hi) for i, (lo, hi) in enumerate(parts)]
 
 
 def part_name(table: str, part: int) -> str:
-    """O-43: ``table_split__###.csv``."""
-    if not 1 <= part <= MAX_PARTS:
-        raise ValueError(f"part {part} outside 1..{MAX_PARTS}")
+    """O-43: ``table_split__###.csv`` (more digits from part 1000 on)."""
+    if part < 1:
+        raise ValueError("parts are numbered from 1")
     return SPLIT_NAME_FORMAT % (table, part)
 
 
@@ -64,23 +63,26 @@ def part_names(table: str, k: int) -> list[str]:
     return [part_name(table, p) for p in range(1, 2**k + 1)]
 
 
-def part_of(ordinal_col, bounds: list[tuple[int, int, int]]):
-    """Part number of an ordinal: a binary search over the (at most 999)
-    driver-side bounds written as a balanced ``CASE`` tree, so each row makes
-    log2(parts) comparisons and no join or broadcast is needed."""
+def part_of(ordinal_col, n: int, k: int):
+    """Part number of an ordinal: k halving steps by arithmetic, each going
+    left (part 2p - 1) or right (part 2p) of the cut; no list of bounds, no
+    join."""
     o = F.col(ordinal_col) if isinstance(ordinal_col, str) else ordinal_col
+    kind = "int" if k < 31 else "bigint"
+    if k == 0:
+        return F.lit(1).cast(kind)
+    state = F.struct(F.lit(0).cast("bigint").alias("lo"), F.lit(n).cast("bigint").alias("size"), F.lit(1).cast("bigint").alias("part"))
 
-    def build(lo_i: int, hi_i: int):
-        if lo_i == hi_i:
-            return F.lit(bounds[lo_i][0])
-        mid = (lo_i + hi_i + 1) // 2
-        return F.when(o >= F.lit(bounds[mid][1]), build(mid, hi_i)).otherwise(build(lo_i, mid - 1))
+    def halve(s, _):
+        cut = F.greatest(F.floor(s["size"] / 2) - 1, F.lit(0)).cast("bigint")
+        left = o < s["lo"] + cut
+        return F.struct(
+            F.when(left, s["lo"]).otherwise(s["lo"] + cut).alias("lo"),
+            F.when(left, cut).otherwise(s["size"] - cut).alias("size"),
+            F.when(left, s["part"] * 2 - 1).otherwise(s["part"] * 2).alias("part"),
+        )
 
-    nonempty = [b for b in bounds if b[2] > b[1]]
-    if not nonempty:
-        return F.lit(None).cast("int")
-    bounds = nonempty
-    return build(0, len(bounds) - 1)
+    return F.aggregate(F.sequence(F.lit(1), F.lit(k)), state, halve, lambda s: s["part"].cast(kind))
 
 
 def assign_parts(
@@ -97,8 +99,7 @@ def assign_parts(
     out, count = with_ordinal_and_count(df, order, name)
     n = int(count) if n is None else n  # from the checkpointed partition counts
     k = split_plan(n, threshold)
-    bounds = split_bounds(n, k)
-    out = out.withColumn(part_col, part_of(name, bounds))
+    out = out.withColumn(part_col, part_of(name, n, k))
     return out if ordinal_col else out.drop(name)
 
 
@@ -109,10 +110,19 @@ def write_parts(
     order=None,
     header: bool = True,
     drop=(),
-) -> None:
-    """O-44: write CSV parts of at most ``max_rows`` rows, one folder per part
-    (``part=N``), contiguous in row order."""
+    table: str | None = None,
+    sep: str = ",",
+) -> list[str]:
+    """O-44: write CSV parts of at most ``max_rows`` rows, contiguous in row
+    order, as files ``<table>_split__###.csv`` in ``path``, so that a folder load
+    reads them as one table.
+    ``table`` defaults to the folder's name. Spark writes the files; the
+    driver renames each. Returns the file paths in part order."""
+    from ..sinks.tables import rename_parts
+
     parts = assign_parts(df, order, max_rows, ordinal_col="_pos")
+    folder, name = path.rstrip("/"), table or path.rstrip("/").rsplit("/", 1)[-1]
+    staging = f"{folder}/_staging_{name}"
     # A part holds at most ``max_rows`` rows, so one task per part is bounded.
     (
         parts.repartition("part")
@@ -121,6 +131,8 @@ def write_parts(
         .write.mode("errorifexists")
         .option("header", header)
         .option("escape", '"')
+        .option("sep", sep)
         .partitionBy("part")
-        .csv(path)
+        .csv(staging)
     )
+    return rename_parts(df.sparkSession, staging, folder, name)

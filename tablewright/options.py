@@ -13,7 +13,6 @@ class LoadOptions:
     input_path: str
     output_path: str
     ledger_path: str | None = None
-    archive_path: str | None = None
     append: bool = False  # multi-part mode: existing tables are upserted into
     row_range: tuple[int, int] | None = None  # half-open [from, to)
     max_rows_per_part: int = DEFAULT_SPLIT_THRESHOLD
@@ -22,6 +21,8 @@ class LoadOptions:
     strict_key: bool = True
     sep: str = ","
     encoding: str | None = None  # None: choose per file (an extra text pass)
+    multi_line: bool = False  # cells may hold quoted line breaks
+    make_sidecars: bool = False  # write a sidecar for each file that has none
     na_tokens: tuple[str, ...] = NA_TOKENS
 
     def __post_init__(self):

@@ -13,14 +13,17 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..functions.cells import base_name, table_name_of
+from ..functions.patterns import KEY_FLAG_NAMES, all_type_tags
 from ..operators import items, ordinal, profile
 from ..operators.split import write_parts
 from ..options import LoadOptions
 from ..sinks import ledger as led
 from ..sinks import tables
 from ..sources import catalog as cat
-from ..sources.delimited import FILE_COL, FILE_ORDER, choose_encoding, header_groups, read_delimited, read_metadata, read_with_encodings
+from ..sources.delimited import CORRUPT_COL, FILE_COL, FILE_ORDER, choose_encoding, file_facts, header_groups, is_ragged, read_delimited, read_metadata, read_with_encodings
 
 
 def _table_files(catalog: DataFrame) -> dict[str, list[str]]:
@@ -42,6 +45,7 @@ def profile_folder(
     with_key_flags: bool = True,
     per_file: bool = True,
     encoding: str | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """O-35: the profile of every data file in a folder (``_file`` column),
     plus its key flags; one scan per table, one grouped job per table, all
@@ -61,7 +65,7 @@ def profile_folder(
         units = list(_table_files(catalog).items())
         encodings = None if encoding or not units else detect_encodings(spark, list(tables_of))
     for table, paths in units:
-        df = read_with_encodings(spark, paths, sep, file_order=True, encoding=encoding, encodings=encodings)
+        df = read_with_encodings(spark, paths, sep, multi_line, file_order=True, encoding=encoding, encodings=encodings)
         cols = [c for c in df.columns if c not in FILE_ORDER]
         if per_file:
             by, order = [FILE_COL], [F.col("_block"), F.col("_row")]
@@ -69,8 +73,7 @@ def profile_folder(
             by, order = [], [F.col(c) for c in FILE_ORDER]
         prof = profile.profile(df, order=order, by=by, columns=cols, n_groups=len(paths))
         if table is None:
-            names = F.create_map(*[x for p in paths for x in (F.lit(p), F.lit(tables_of[p]))])
-            prof = prof.withColumn("table_name", F.element_at(names, F.col(FILE_COL)))
+            prof = prof.withColumn("table_name", table_name_of(base_name(F.col(FILE_COL))))
         else:
             prof = prof.withColumn("table_name", F.lit(table))
         if with_key_flags:
@@ -97,119 +100,183 @@ def detect_encodings(spark: SparkSession, paths: list[str]) -> dict[str, str]:
     return {r["path"]: r["encoding"] for r in choose_encoding(spark, paths).collect()}
 
 
-def write_profiles(spark: SparkSession, path: str, out_dir: str, sep: str = ",") -> list[str]:
-    """Entry 2 (profile only): a sidecar for every data file that has none."""
+def write_profiles(spark: SparkSession, path: str, out_dir: str, sep: str = ",", encoding: str | None = None, multi_line: bool = False) -> list[str]:
+    """Entry 2 (profile only): a sidecar file ``metadata_<name>`` in
+    ``out_dir`` for every data file that has none."""
     catalog = cat.file_catalog(spark, path)
     todo = cat.files_without_metadata(catalog).select("path", "name").collect()
     written = []
     for r in todo:
-        df = read_delimited(spark, r["path"], sep, file_order=True)
+        df = read_with_encodings(spark, r["path"], sep, multi_line, file_order=True, encoding=encoding)
         cols = [c for c in df.columns if c not in FILE_ORDER]
         meta = profile.profile(df, order=[F.col("_block"), F.col("_row")], columns=cols)
         target = f"{out_dir.rstrip('/')}/metadata_{r['name']}"
-        tables.write_metadata(meta, target)
-        written.append(target)
+        if not tables.path_exists(spark, target):
+            tables.write_metadata(meta, target)
+            written.append(target)
     return written
 
 
-def add_key_to_file(spark: SparkSession, src: str, dst: str, name: str = "Row_Number", prefix: str | None = None, sep: str = ",") -> None:
+def add_key_to_file(
+    spark: SparkSession, src: str, dst: str, name: str = "Row_Number", prefix: str | None = None, sep: str = ",",
+    encoding: str | None = None, multi_line: bool = False,
+) -> None:
     """Entry 3: number the rows of a file in file order and write it (with the
     key first) to a new path."""
-    df = read_delimited(spark, src, sep, file_order=True)
+    df = read_with_encodings(spark, src, sep, multi_line, file_order=True, encoding=encoding)
     cols = [c for c in df.columns if c not in FILE_ORDER]
-    order = [F.col(c) for c in FILE_ORDER]
     if prefix is None:
-        keyed = ordinal.add_row_key(df, order=order, name=name)
+        keyed = ordinal.add_row_key(df, order=FILE_ORDER, name=name)
     else:
-        keyed = ordinal.add_prefixed_key(df, prefix, order=order, name=name)
+        keyed = ordinal.add_prefixed_key(df, prefix, order=FILE_ORDER, name=name)
     tables.write_keyed(keyed.select(name, *cols), dst)
 
 
-def _load_table(
-    spark: SparkSession, opts: LoadOptions, table: str, todo: list[str], sidecars: dict[str, str], encodings=None
-) -> None:
-    """One table of O-65: key gate per file, sidecar, create, upsert, ledger."""
-    fail_schema = "path string, table_name string, n_rows bigint, status string, message string"
+LEDGER_ROW = "path string, table_name string, n_rows bigint, status string, message string"
+
+
+def _log(spark: SparkSession, opts: LoadOptions, rows: list[tuple]) -> None:
+    if rows:
+        led.append_ledger(spark, opts.ledger, spark.createDataFrame(rows, LEDGER_ROW))
+
+
+def _sidecar_of(path: str, table: str, sidecars: dict[str, str]) -> str | None:
+    """A file's own sidecar, else the one of the whole table (whose parts a
+    split wrote)."""
+    return sidecars.get(path.rsplit("/", 1)[-1]) or sidecars.get(f"{table}.csv")
+
+
+def _load_table(spark: SparkSession, opts: LoadOptions, table: str, todo: list[str], sidecars: dict[str, str], facts: dict[str, tuple]) -> None:
+    """One table of O-65. Files are read in groups of one header and one
+    sidecar, each with its own names; groups meet by column name. A file with
+    a faulty key, a row longer than its header or a cell that is not what its
+    sidecar says fails as a whole, with the count; the others are put."""
     try:
-        df = read_with_encodings(spark, todo, opts.sep, file_order=True, encoding=opts.encoding, encodings=encodings)
-        cols = [c for c in df.columns if c not in FILE_ORDER]
-        # Key gate per file (one result row per file); a key repeated in a
-        # later part of a multi-part table is an update, not a fault.
-        kf = profile.column_stats(
-            df.select(FILE_COL, *cols), [cols[0]], None, [FILE_COL], opts.na_tokens, with_example=False, plan="one_scan"
-        )
-        gate = []
-        for r in kf.collect():
-            flags = [n for n, v in (("mixed_datatype_flag", r["mixed_datatype_flag_list"] and opts.strict_key),
-                                     ("missing_data_flag", r["missing_data_flag_list"]),
-                                     ("duplicate_data_flag", r["duplicate_data_flag_list"])) if v]
-            gate.append((r[FILE_COL], r["n_rows"], flags))
-        bad = {p: f for p, _, f in gate if f}
-        if bad:
-            rows = [(p, table, None, "failed", f"key column {cols[0]!r}: {f}") for p, f in bad.items()]
-            led.append_ledger(spark, opts.ledger, spark.createDataFrame(rows, fail_schema))
-            df = df.filter(~F.col(FILE_COL).isin(list(bad)))
-        if opts.profile_only or len(bad) == len(todo):
+        groups: dict[tuple, list[str]] = {}
+        for p in todo:
+            header, encoding = facts[p]
+            groups.setdefault((_sidecar_of(p, table, sidecars) or "", header or "", opts.encoding or encoding), []).append(p)
+        raw = []
+        for (sidecar, _, encoding), paths in groups.items():
+            df = read_delimited(spark, paths, opts.sep, encoding, opts.multi_line, file_order=True, corrupt=True)
+            meta = items.sidecar_rows(read_metadata(spark, sidecar, opts.sep)) if sidecar else None
+            raw.append((df, [c for c in df.columns if c not in (*FILE_ORDER, CORRUPT_COL)], meta))
+        # files without a sidecar: types by column name over all of them
+        bare = [df.select(FILE_COL, *[F.col(f"`{c}`") for c in cols]) for df, cols, meta in raw if meta is None]
+        types: dict[str, tuple] = {}
+        if bare:
+            whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), bare)
+            names = [c for c in whole.columns if c != FILE_COL]
+            for r in profile.infer_types(whole.select(*[F.col(f"`{c}`") for c in names]), columns=names, na_tokens=opts.na_tokens).collect():
+                tag = all_type_tags()[r["pandas_column_dtype"]]
+                types[r["column_name"]] = (r["column_name"], tag, r["pandas_column_dtype"])
+        key = None
+        typed, gates, faults = [], [], []
+        for df, cols, meta in raw:
+            data = df.select(*[F.col(f"`{c}`") for c in cols])
+            rows = items.with_number_types(data, meta, opts.na_tokens) if meta is not None else [types.get(c, (c, "S", "object")) for c in cols]  # no row at all: text
+            key = key or rows[0][0]
+            key_source = next((c for c, r in zip(cols, rows) if r[0] == key), cols[0])
+            gates.append(df.select(FILE_COL, F.col(f"`{key_source}`").alias("_key")))
+            bad = items.misfits(data, rows, opts.na_tokens)
+            # Spark reads a corrupt record's text only along with a data column
+            parsed = F.length(F.concat_ws("", F.col(f"`{cols[0]}`"))) >= 0
+            faults.append(df.select(FILE_COL, (parsed & is_ragged(len(cols), opts.sep)).cast("int").alias("ragged"), bad.alias("misfit")))
+            typed.append(items.apply_metadata(df.drop(CORRUPT_COL), rows, opts.na_tokens, keep=FILE_ORDER))
+        gate = reduce(DataFrame.unionByName, gates)
+        flags = profile.column_stats(gate, ["_key"], None, [FILE_COL], opts.na_tokens, with_example=False, plan="one_scan")
+        failed, counts = {}, dict.fromkeys(todo, 0)  # a file with a header alone has no row here
+        for r in flags.collect():
+            counts[r[FILE_COL]] = r["n_rows"]
+            warned = [n for n, v in zip(KEY_FLAG_NAMES, (r["mixed_datatype_flag_list"] and opts.strict_key, r["missing_data_flag_list"], r["duplicate_data_flag_list"])) if v]
+            if warned:
+                failed[r[FILE_COL]] = f"key column {key!r}: {warned}"
+        wrong = reduce(DataFrame.unionByName, faults).groupBy(FILE_COL).agg(F.sum("ragged").alias("ragged"), F.sum("misfit").alias("misfit"))
+        for r in wrong.where("ragged > 0 OR misfit > 0").collect():
+            failed.setdefault(r[FILE_COL], f"{r['ragged']} rows longer than the header, {r['misfit']} cells that do not fit their type")
+        _log(spark, opts, [(p, table, None, "failed", why) for p, why in failed.items()])
+        good = [p for p in todo if p not in failed]
+        if not good:
             return
-        first_name = todo[0].rsplit("/", 1)[-1]
-        if first_name in sidecars:
-            meta = read_metadata(spark, sidecars[first_name], opts.sep)
-        else:
-            meta = profile.profile(df, order=[F.col(c) for c in FILE_ORDER], columns=cols)
-        meta_rows = items.sidecar_rows(meta)
-        typed = items.apply_metadata(df, meta_rows, opts.na_tokens, keep=FILE_ORDER)
+        frame = _meet(typed)
+        if failed:
+            out = spark.createDataFrame([(p,) for p in failed], f"{FILE_COL} string")
+            frame = frame.join(F.broadcast(out), FILE_COL, "left_anti").select(frame.columns)  # a row per failed file
         order = [F.col(c) for c in FILE_ORDER]
+        status, note = "done", None
         if opts.row_range is not None:
-            typed = ordinal.row_range(typed, order, *opts.row_range, ordinal_name="_pos")
-            order = [F.col("_pos")]
-        key = typed.columns[0]
+            frame = ordinal.row_range(frame, FILE_ORDER, *opts.row_range, ordinal_name="_pos")
+            order, status, note = [F.col("_pos")], "partial", "rows [{}, {})".format(*opts.row_range)
+            counts = {r[FILE_COL]: r["count"] for r in frame.groupBy(FILE_COL).count().collect()}
+        schema = T.StructType([f for f in frame.schema.fields if f.name not in tables.ENGINE_COLS])
         target = f"{opts.output_path.rstrip('/')}/{table}"
-        schema = tables.create_table(spark, meta_rows, target)
-        n_rows = sum(n for _, n, f in gate if not f)
-        tables.upsert_table(spark, target, typed, key, order=order, schema=schema, expected_rows=n_rows)
-        done = [(p, table, n, "done", None) for p, n, f in gate if not f]
-        led.append_ledger(spark, opts.ledger, spark.createDataFrame(done, fail_schema))
+        tables.create_table(spark, schema, target, key)
+        n_rows = sum(counts.get(p, 0) for p in good)
+        if n_rows:
+            tables.upsert_table(spark, target, frame, key, order=order, expected_rows=n_rows)
+        _log(spark, opts, [(p, table, counts.get(p, 0), status, note) for p in good])
     except Exception as e:  # the reference reports the table and moves on
-        rows = [(p, table, None, "failed", str(e)[:500]) for p in todo]
-        led.append_ledger(spark, opts.ledger, spark.createDataFrame(rows, fail_schema))
+        _log(spark, opts, [(p, table, None, "failed", str(e)) for p in todo])
+
+
+def _meet(frames: list[DataFrame]) -> DataFrame:
+    """Typed groups of one table, by column name, each column in the type
+    that holds all its values."""
+    types: dict[str, T.DataType] = {}
+    for df in frames:
+        for f in df.schema.fields:
+            types[f.name] = tables.common_type(types[f.name], f.dataType, f.name) if f.name in types else f.dataType
+    widened = [df.select(*[tables.lossless(f.name, f.dataType, types[f.name]).alias(f.name) for f in df.schema.fields]) for df in frames]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), widened)
 
 
 def load_folder(spark: SparkSession, opts: LoadOptions, parallel_tables: int = 4) -> DataFrame:
-    """O-65: key gate, names, sidecars, create, upsert, ledger, report.
+    """O-65: what is left to load, key gate, names, sidecars, create, upsert,
+    ledger, report. With ``split`` the tables are first written in parts of
+    at most ``max_rows_per_part`` rows, and the parts are loaded;
+    ``profile_only`` writes sidecars and loads nothing.
 
     Returns the run report (O-72) over the folder's catalogue."""
-    catalog = cat.file_catalog(spark, opts.input_path)
-    has_parts = cat.data_files(catalog).filter(F.col("part").isNotNull()).limit(1).count() > 0
-    append = opts.append or has_parts
-    existing = tables.existing_tables(spark, opts.output_path)
-    if not append:
-        clash = [r["table_name"] for r in cat.name_collisions(catalog, existing).collect()]
-        if clash:
-            raise ValueError(f"tables already exist: {clash}")
+    folder = opts.input_path
+    if opts.profile_only or opts.make_sidecars:
+        write_profiles(spark, folder, folder, opts.sep, opts.encoding, opts.multi_line)
+    sidecars = _sidecars(cat.file_catalog(spark, folder))
+    if opts.split and not opts.profile_only:
+        folder = f"{opts.output_path.rstrip('/')}/_split"
+        if not tables.path_exists(spark, folder):
+            split_folder(spark, opts.input_path, folder, opts.max_rows_per_part, opts.sep, opts.encoding, opts.multi_line)
+    catalog = cat.file_catalog(spark, folder)
     bad = [r["table_name"] for r in cat.invalid_table_names(catalog).collect()]
     if bad:
         raise ValueError(f"invalid table names: {bad}")
-    sidecars = _sidecars(catalog)
-    done_paths = {r["path"] for r in led.file_status(led.read_ledger(spark, opts.ledger)).filter("status = 'done'").collect()}
-
-    work = [(t, [p for p in ps if p not in done_paths]) for t, ps in _table_files(catalog).items()]
-    work = [(t, ps) for t, ps in work if ps]
-    # one text pass detects the encoding of every file still to load
-    encodings = None if opts.encoding or not work else detect_encodings(spark, [p for _, ps in work for p in ps])
-    # Tables are independent: their jobs are submitted from a few threads so
-    # small tables do not leave the cluster idle.
-    with ThreadPoolExecutor(max_workers=max(1, min(parallel_tables, len(work) or 1))) as pool:
-        list(pool.map(lambda tw: _load_table(spark, opts, tw[0], tw[1], sidecars, encodings), work))
+    ledger = led.read_ledger(spark, opts.ledger)
+    left = cat.remaining_files(catalog, ledger)
+    if opts.profile_only:
+        _log(spark, opts, [(r["path"], r["table_name"], None, "profiled", None) for r in left.collect()])
+    else:
+        append = opts.append or opts.row_range is not None or not left.filter(F.col("part").isNotNull()).isEmpty()
+        # a table that this ledger has rows of was begun by an earlier run of this load
+        begun = ledger.where("status IN ('done', 'partial')").select("table_name").distinct()
+        existing = tables.existing_tables(spark, opts.output_path).join(begun, "table_name", "left_anti")
+        clash = [] if append else [r["table_name"] for r in cat.name_collisions(left, existing).collect()]
+        if clash:
+            raise ValueError(f"tables already exist: {clash}")
+        work = list(_table_files(left).items())
+        facts = {r["path"]: (r["header"], r["encoding"]) for r in file_facts(spark, [p for _, ps in work for p in ps]).collect()} if work else {}
+        # Tables are independent: their jobs are submitted from a few threads so
+        # small tables do not leave the cluster idle.
+        with ThreadPoolExecutor(max_workers=max(1, min(parallel_tables, len(work) or 1))) as pool:
+            list(pool.map(lambda tw: _load_table(spark, opts, tw[0], tw[1], sidecars, facts), work))
     listing_rows = cat.data_files(catalog).select("path", "table_name", "is_metadata")
-    counts = led.read_ledger(spark, opts.ledger).groupBy("path").agg(F.max("n_rows").alias("n_rows"))
-    report_cat = listing_rows.join(counts, on="path", how="left")
-    return led.run_report(report_cat, led.read_ledger(spark, opts.ledger))
+    ledger = led.read_ledger(spark, opts.ledger)
+    counts = ledger.groupBy("path").agg(F.max("n_rows").alias("n_rows"))
+    return led.run_report(listing_rows.join(counts, on="path", how="left"), ledger)
 
 
-def split_folder(spark: SparkSession, path: str, out_dir: str, max_rows: int, sep: str = ",") -> None:
-    """O-44 for a folder: write every table in parts of at most ``max_rows``."""
+def split_folder(spark: SparkSession, path: str, out_dir: str, max_rows: int, sep: str = ",", encoding: str | None = None, multi_line: bool = False) -> None:
+    """O-44 for a folder: every table written in ``out_dir`` as part files of
+    at most ``max_rows`` rows, in file order, that load as one table."""
     catalog = cat.file_catalog(spark, path)
     for table, paths in _table_files(catalog).items():
-        df = read_with_encodings(spark, paths, sep, file_order=True)
-        cols = [c for c in df.columns if c not in FILE_ORDER]
-        write_parts(df, f"{out_dir.rstrip('/')}/{table}", max_rows, order=[F.col(c) for c in FILE_ORDER], drop=FILE_ORDER)
+        df = read_with_encodings(spark, paths, sep, multi_line, file_order=True, encoding=encoding)
+        write_parts(df, out_dir, max_rows, order=FILE_ORDER, drop=FILE_ORDER, table=table, sep=sep)

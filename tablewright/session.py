@@ -23,7 +23,7 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "tab
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
     )
@@ -43,6 +43,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = sc.getConf().get(CHECKPOINT_CONF, None)
     if not d:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="tw-ckpt-", dir=os.environ.get("TW_SCRATCH", "/tmp"))
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d

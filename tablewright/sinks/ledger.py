@@ -15,7 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LEDGER_SCHEMA = "path string, table_name string, n_rows bigint, status string, message string, ts timestamp"
-STATUSES = ("done", "failed", "pending")
+#: ``partial``: a row range of the file was loaded; ``profiled``: only its
+#: sidecar was written. Neither marks the file as loaded.
+STATUSES = ("done", "partial", "profiled", "failed", "pending")
 
 
 def append_ledger(spark: SparkSession, ledger_path: str, rows: DataFrame) -> None:
@@ -34,18 +36,24 @@ def append_ledger(spark: SparkSession, ledger_path: str, rows: DataFrame) -> Non
 
 
 def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
-    try:
-        df = spark.read.parquet(ledger_path)
-    except Exception:  # no ledger yet
+    """All attempts; empty where no ledger was written yet. Any other error
+    is the caller's to see: a ledger that cannot be read is not an empty one."""
+    from .tables import list_dirs
+
+    if not list_dirs(spark, ledger_path):
         return spark.createDataFrame([], LEDGER_SCHEMA)
+    df = spark.read.schema(LEDGER_SCHEMA).parquet(ledger_path)
     return df.select("path", "table_name", "n_rows", "status", "message", "ts")
 
 
 def file_status(ledger: DataFrame) -> DataFrame:
-    """Status per file: ``done`` once any attempt finished, else ``failed``."""
-    return ledger.groupBy("path").agg(
-        F.when(F.max(F.when(F.col("status") == "done", 1)) == 1, F.lit("done")).otherwise(F.lit("failed")).alias("status")
-    )
+    """Status per file: ``done`` once any attempt finished, else ``partial``,
+    ``profiled`` or ``failed``, in this order."""
+    had = {x: F.max(F.when(F.col("status") == x, 1)) == 1 for x in ("done", "partial", "profiled")}
+    status = F.lit("failed")
+    for x in ("profiled", "partial", "done"):
+        status = F.when(had[x], F.lit(x)).otherwise(status)
+    return ledger.groupBy("path").agg(status.alias("status"))
 
 
 def run_report(catalog: DataFrame, ledger: DataFrame, rows_col: str = "n_rows") -> DataFrame:

@@ -1,12 +1,16 @@
 """Table sinks: O-60, O-61 (storage side), O-62, O-63, O-64.
 
-Tables are parquet folders. Parquet has no merge, so an upsert writes the
-new version next to the table and then swaps folders with the Hadoop
-FileSystem API; a path being read is never overwritten.
+A keyed table is a folder of parquet buckets by key hash plus numbered
+manifests. A put writes new copies of the buckets it touches beside the old
+ones, one file each, and publishes them by renaming one manifest into place:
+readers see the version before or the version after, and a put that stops
+part-way has changed nothing. The number of buckets doubles as the table
+grows. Superseded buckets go when the next version but one is published.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
 
@@ -14,18 +18,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.patterns import EXACT_DOUBLE_INT, META_COLUMNS
 from ..operators.items import sidecar_rows
 from ..operators.upsert import upsert
 
-PROFILE_SIDECAR_COLUMNS = (
-    "column_name",
-    "AWS_column_dtype",
-    "pandas_column_dtype",
-    "example_item_list",
-    "mixed_datatype_flag_list",
-    "missing_data_flag_list",
-    "duplicate_data_flag_list",
-)
+#: Columns that the engine itself adds to a batch.
+ENGINE_COLS = frozenset(("_file", "_block", "_row", "_pos", "_bucket"))
 
 
 def spark_type(tag: str, dtype: str | None = None) -> T.DataType:
@@ -43,7 +41,7 @@ def spark_type(tag: str, dtype: str | None = None) -> T.DataType:
     if tag == "NS":
         return T.ArrayType(T.DoubleType())
     if tag == "BS":
-        return T.ArrayType(T.StringType())
+        return T.ArrayType(T.BinaryType())
     if tag == "M":
         return T.MapType(T.StringType(), T.StringType())
     return T.StringType()
@@ -74,10 +72,15 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
 
 
 def create_table(spark: SparkSession, meta, path: str, key: str | None = None) -> T.StructType:
-    """O-60: the schema a new table gets from its sidecar (first column is
-    the key). The folder itself is made by the first put (``upsert_table``),
-    which writes the bucket layout; an existing table keeps its schema."""
-    return schema_from_sidecar(meta)
+    """O-60: create an empty keyed table with its sidecar's schema; the key
+    is ``key`` or the first column. An existing table is left as it is.
+    Returns the table's schema."""
+    held = _manifest(spark, path)
+    if held is not None:
+        return T.StructType.fromJson(held["schema"])
+    schema = schema_from_sidecar(meta) if not isinstance(meta, T.StructType) else meta
+    _publish(spark, path, None, {"buckets": 1, "key": [key or schema.names[0]], "schema": schema.jsonValue(), "folders": {}, "rows": {}})
+    return schema
 
 
 def existing_tables(spark: SparkSession, warehouse: str) -> DataFrame:
@@ -91,12 +94,21 @@ def load_new(df: DataFrame, path: str) -> None:
 
 
 def write_metadata(meta: DataFrame, path: str) -> None:
-    """O-63: the sidecar as one CSV with header (one line per column, so a
-    single task is bounded by the column count)."""
-    cols = [c for c in PROFILE_SIDECAR_COLUMNS if c in meta.columns]
+    """O-63: the sidecar as one CSV file at ``path`` with header (one line per
+    column, so a single task is bounded by the column count)."""
+    cols = [c for c in META_COLUMNS if c in meta.columns]
     order = ["column_index"] if "column_index" in meta.columns else []
     out = meta.orderBy(*order).select(*cols) if order else meta.select(*cols)
-    out.coalesce(1).write.mode("errorifexists").option("header", True).option("escape", '"').csv(path)
+    if path_exists(spark := meta.sparkSession, path):
+        raise FileExistsError(f"{path} exists")
+    folder, name = path.rstrip("/").rsplit("/", 1)
+    staging = f"{folder}/_staging_{name}_{uuid.uuid4().hex[:8]}"
+    out.coalesce(1).write.option("header", True).option("escape", '"').csv(staging)
+    fs, sp = _fs(spark, staging)
+    part = next(st.getPath() for st in fs.listStatus(sp) if st.getPath().getName().endswith(".csv"))
+    if not fs.rename(part, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)):
+        raise OSError(f"could not write {path}")
+    fs.delete(sp, True)
 
 
 def write_keyed(df: DataFrame, path: str) -> None:
@@ -104,98 +116,128 @@ def write_keyed(df: DataFrame, path: str) -> None:
     df.write.mode("errorifexists").option("header", True).option("escape", '"').csv(path)
 
 
-def swap_in(spark: SparkSession, staged: str, path: str) -> None:
-    """Replace ``path`` by the fully written ``staged`` folder."""
-    fs, target = _fs(spark, path)
-    jvm = spark.sparkContext._jvm
-    staged_p = jvm.org.apache.hadoop.fs.Path(staged)
-    old = None
-    if fs.exists(target):
-        # hidden name (leading dot): readers and table listings skip it
-        parent, name = path.rstrip("/").rsplit("/", 1)
-        old = jvm.org.apache.hadoop.fs.Path(f"{parent}/.old-{name}-{uuid.uuid4().hex[:8]}")
-        if not fs.rename(target, old):
-            raise OSError(f"could not move {path} aside")
-    if not fs.rename(staged_p, target):
-        if old is not None:
-            fs.rename(old, target)
-        raise OSError(f"could not move {staged} to {path}")
-    if old is not None:
-        fs.delete(old, True)
-
-
 BUCKET_COL = "_bucket"
 ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 16384
-TABLE_META = "_table.json"
+MANIFESTS = "_manifest"
 
 
-def buckets_for(n_rows: int) -> int:
-    """Bucket count of a new table: about ``ROWS_PER_BUCKET`` rows each."""
-    return max(1, min(MAX_BUCKETS, -(-int(n_rows) // ROWS_PER_BUCKET)))
+def buckets_for(n_rows: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
+    """Bucket count of a new table: about ``rows_per_bucket`` rows each."""
+    return max(1, -(-int(n_rows) // rows_per_bucket))
 
 
 def bucket_of(keys: Sequence[str], n_buckets: int):
-    """Hash bucket of a key: fixed per table, so a put touches one bucket."""
+    """Hash bucket of a key; doubling ``n_buckets`` splits each in two."""
     return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(n_buckets)).cast("int")
 
 
-def _read_meta(spark: SparkSession, path: str) -> dict | None:
-    import json
-
-    fs, p = _fs(spark, f"{path.rstrip('/')}/{TABLE_META}")
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    fs, p = _fs(spark, f"{path.rstrip('/')}/{MANIFESTS}")
     if not fs.exists(p):
-        return None
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(p)]
+    return sorted(int(n[1:-5]) for n in names if n.startswith("v") and n.endswith(".json"))
+
+
+def _manifest_path(path: str, version: int) -> str:
+    return f"{path.rstrip('/')}/{MANIFESTS}/v{version:010d}.json"
+
+
+def _manifest(spark: SparkSession, path: str, version: int | None = None) -> dict | None:
+    """The given or newest manifest, with its ``version``."""
+    if version is None:
+        held = _versions(spark, path)
+        if not held:
+            return None
+        version = held[-1]
+    fs, p = _fs(spark, _manifest_path(path, version))
     stream = fs.open(p)
     try:
-        reader = spark.sparkContext._jvm.java.io.BufferedReader(spark.sparkContext._jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        return json.loads(reader.readLine())
+        jvm = spark.sparkContext._jvm
+        text = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
     finally:
         stream.close()
+    return json.loads(text) | {"version": version}
 
 
-def _write_meta(spark: SparkSession, path: str, meta: dict) -> None:
-    import json
-
-    fs, p = _fs(spark, f"{path.rstrip('/')}/{TABLE_META}")
-    out = fs.create(p, True)
+def _publish(spark: SparkSession, path: str, seen: int | None, manifest: dict) -> None:
+    """Make ``manifest`` the version after ``seen`` (None: the first), by one
+    rename; fails if another put has published that version."""
+    version = 1 if seen is None else seen + 1
+    target = _manifest_path(path, version)
+    temp = f"{path.rstrip('/')}/{MANIFESTS}/.{uuid.uuid4().hex}"
+    fs, tp = _fs(spark, temp)
+    out = fs.create(tp, False)
     try:
-        out.write(bytearray(json.dumps(meta).encode("utf-8")))
+        out.write(bytearray(json.dumps({k: v for k, v in manifest.items() if k != "version"}).encode("utf-8")))
     finally:
         out.close()
+    dst = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    if fs.exists(dst) or not fs.rename(tp, dst):
+        fs.delete(tp, False)
+        raise RuntimeError(f"another put published version {version} of {path}")
 
 
-def _bucket_dirs(spark: SparkSession, path: str) -> list[str]:
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return []
-    return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory() and st.getPath().getName().startswith(f"{BUCKET_COL}=")]
+def _tidy(spark: SparkSession, path: str, version: int) -> None:
+    """Drop what neither ``version`` nor the one before it refers to."""
+    old = [v for v in _versions(spark, path) if v < version - 1]
+    if not old:
+        return
+    kept = {f for v in (version - 1, version) for f in _manifest(spark, path, v)["folders"].values()}
+    for v in old:
+        gone = sorted(set(_manifest(spark, path, v)["folders"].values()) - kept)
+        for place in [*(f"{path.rstrip('/')}/{folder}" for folder in gone), _manifest_path(path, v)]:
+            fs, p = _fs(spark, place)
+            fs.delete(p, True)
 
 
-def _recover_swaps(spark: SparkSession, path: str) -> None:
-    """Finish bucket swaps a failed driver left half done: a bucket moved
-    aside (``.old-_bucket=N-…``) goes back when its new copy never arrived,
-    and is removed when it did."""
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return
-    jvm = spark.sparkContext._jvm
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if not (st.isDirectory() and name.startswith(f".old-{BUCKET_COL}=")):
-            continue
-        bucket = name[len(".old-"):].rsplit("-", 1)[0]
-        live = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{bucket}")
-        if fs.exists(live):
-            fs.delete(st.getPath(), True)
-        elif not fs.rename(st.getPath(), live):
-            raise OSError(f"could not restore {bucket} of {path}")
+def _read_buckets(spark: SparkSession, path: str, schema: T.StructType, folders) -> DataFrame:
+    places = [f"{path.rstrip('/')}/{f}" for f in folders]
+    return spark.read.schema(schema).parquet(*places) if places else spark.createDataFrame([], schema)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A keyed table without its bucket column."""
-    df = spark.read.parquet(path)
-    return df.drop(BUCKET_COL) if BUCKET_COL in df.columns else df
+    """The newest published version of a keyed table."""
+    held = _manifest(spark, path)
+    if held is None:
+        raise ValueError(f"{path} is not a keyed table")
+    return _read_buckets(spark, path, T.StructType.fromJson(held["schema"]), held["folders"].values())
+
+
+_INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def common_type(a: T.DataType, b: T.DataType, name: str) -> T.DataType:
+    """The type that holds the values of both; an error if none does. Whole
+    numbers go into a double column only where the double is exact."""
+    if a == b or isinstance(b, T.NullType):
+        return a
+    if isinstance(a, T.NullType):
+        return b
+    whole = [isinstance(t, _INTEGERS) or (isinstance(t, T.DecimalType) and t.scale == 0) for t in (a, b)]
+    if all(isinstance(t, _INTEGERS) for t in (a, b)):
+        return max((a, b), key=lambda t: _INTEGERS.index(type(t)))
+    if all(whole):
+        return T.DecimalType(max(t.precision if isinstance(t, T.DecimalType) else 20 for t in (a, b)), 0)
+    if any(isinstance(t, (T.DoubleType, T.FloatType)) for t in (a, b)) and all(w or isinstance(t, (T.DoubleType, T.FloatType)) for w, t in zip(whole, (a, b))):
+        return T.DoubleType()
+    raise ValueError(f"column {name!r} holds {a.simpleString()} and is given {b.simpleString()}")
+
+
+def lossless(name: str, held: T.DataType, wanted: T.DataType):
+    """A column as a wider type; an inexact value stops the put."""
+    c = F.col(f"`{name}`")
+    if held == wanted:
+        return c
+    if isinstance(wanted, T.DoubleType) and not isinstance(held, T.FloatType):
+        fits = c.isNull() | (F.abs(c.cast("decimal(38,0)")) <= F.lit(EXACT_DOUBLE_INT))
+        c = F.when(fits, c).otherwise(F.raise_error(F.lit(f"a value of column {name!r} is not exact as a double")).cast(held))
+    return c.cast(wanted)
+
+
+def _as_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
+    have = {f.name: f.dataType for f in df.schema.fields}
+    return df.select(*[(lossless(f.name, have[f.name], f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields])
 
 
 def upsert_table(
@@ -207,97 +249,85 @@ def upsert_table(
     schema: T.StructType | None = None,
     n_buckets: int | None = None,
     expected_rows: int | None = None,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> int:
     """O-61 on storage: put every batch row into the keyed table at ``path``
     (last row per key wins, whole-item replace).
 
-    The table is stored in ``_bucket=N`` folders by key hash. Only buckets
-    the batch touches are read (partition pruning), rewritten to a staging
-    folder and swapped in, so the cost follows the batch, not the table. A
-    batch applied twice gives the same table (idempotent retry), which also
-    makes an interrupted swap safe to finish by re-running the batch.
-    A new table gets ``n_buckets`` (default: sized from ``expected_rows`` or
-    the first batch). Returns the number of buckets rewritten."""
-    from ..operators.upsert import last_per_key
+    Only buckets the batch touches are read and written anew, one file each,
+    so the cost follows the batch. Columns new to the table are added; a
+    wider type widens the column (all buckets are then written anew); a type
+    that does not fit fails the put before anything is published. A batch
+    applied twice gives the same table. A new table gets ``n_buckets``
+    (default: by ``expected_rows`` or the batch); later the count doubles
+    until a bucket holds about ``rows_per_bucket``. Returns the number of
+    buckets written."""
+    from ..operators.upsert import last_per_key, upsert
 
     keys = [key] if isinstance(key, str) else list(key)
+    held = _manifest(spark, path)
+    if held is None and path_exists(spark, path):
+        raise ValueError(f"{path} exists but is not a keyed table; load it into a new path")
     raw = batch
-    exists = path_exists(spark, path)
-    if exists:
-        _recover_swaps(spark, path)
-    meta = _read_meta(spark, path) if exists else None
-    if exists and meta is None:
-        raise ValueError(f"{path} exists but is not a keyed table (no {TABLE_META}); load it into a new path")
-    if meta is not None:
-        n_buckets = int(meta["buckets"])
     if order is not None:
         batch = last_per_key(batch, keys, order)
-    if n_buckets is None:
-        # a new table is sized from its first batch (the initial load)
-        n_buckets = buckets_for(expected_rows if expected_rows is not None else batch.count())
-    onames = {order} if isinstance(order, str) else {o for o in (order or []) if isinstance(o, str)}
-    if meta is None:
-        sch = schema or T.StructType([f for f in batch.schema.fields if not f.name.startswith("_") and f.name not in onames])
-        target_cols = [f.name for f in sch.fields]
-        target = spark.createDataFrame([], T.StructType(sch.fields + [T.StructField(BUCKET_COL, T.IntegerType())]))
-    elif "schema" in meta and not _bucket_dirs(spark, path):
-        # created, but its first put stopped before any bucket was swapped in
-        sch = T.StructType.fromJson(meta["schema"])
-        target_cols = [f.name for f in sch.fields]
-        target = spark.createDataFrame([], T.StructType(sch.fields + [T.StructField(BUCKET_COL, T.IntegerType())]))
+    given = schema or T.StructType([f for f in batch.schema.fields if f.name not in ENGINE_COLS])
+    if held is None or not held["folders"]:
+        n = n_buckets or buckets_for(expected_rows if expected_rows is not None else batch.count(), rows_per_bucket)
+        target, everything = given, True
     else:
-        target = spark.read.parquet(path)
-        target_cols = [c for c in target.columns if c != BUCKET_COL]
-    def typed(df: DataFrame, cols) -> DataFrame:
-        return df.select(
-            *[(F.col(f"`{c}`") if c in df.columns else F.lit(None)).cast(target.schema[c].dataType).alias(c) for c in cols]
-        )
-
-    batch = typed(batch, target_cols).withColumn(BUCKET_COL, bucket_of(keys, n_buckets))
-    if meta is None:
-        # A new table: every bucket the write produces is new, so the
-        # touched buckets are read from the staged folder afterwards (no
-        # pass over the batch before the write).
-        current = target
+        old = T.StructType.fromJson(held["schema"])
+        new_types = {f.name: f.dataType for f in given.fields}
+        target = T.StructType([T.StructField(f.name, common_type(f.dataType, new_types[f.name], f.name) if f.name in new_types else f.dataType, True) for f in old.fields])
+        target = T.StructType(target.fields + [T.StructField(f.name, f.dataType, True) for f in given.fields if f.name not in old.names])
+        n = held["buckets"]
+        while sum(held["rows"].values()) > n * rows_per_bucket:
+            n *= 2
+        widened = any(target[f.name].dataType != f.dataType for f in old.fields)
+        everything = widened or n != held["buckets"]
+    batch = _as_schema(batch, target).withColumn(BUCKET_COL, bucket_of(keys, n))
+    folders = dict(held["folders"]) if held else {}
+    if everything:
+        touched, current = list(folders), _read_buckets(spark, path, T.StructType.fromJson(held["schema"]) if held else target, folders.values())
     else:
-        # The buckets follow from the keys alone: this pass reads only the
-        # key columns of the raw batch (before its per-key dedupe) and
-        # returns at most ``n_buckets`` rows.
-        bkeys = typed(raw, keys).select(bucket_of(keys, n_buckets).alias(BUCKET_COL))
-        if n_buckets == 1:
-            touched = [0] if bkeys.take(1) else []
-        else:
-            touched = sorted(r[0] for r in bkeys.distinct().collect())
-        if not touched:
-            return 0
-        current = target.filter(F.col(BUCKET_COL).isin(touched))
-    new = upsert(current, batch, keys)
-    parent, name = path.rstrip("/").rsplit("/", 1)
-    staged = f"{parent}/.staging-{name}-{uuid.uuid4().hex[:12]}"
-    new.write.mode("errorifexists").partitionBy(BUCKET_COL).parquet(staged)
-    fs, sp = _fs(spark, staged)
+        # from the keys alone, at most a row per bucket
+        bucket = _as_schema(raw.select(*[F.col(f"`{k}`") for k in keys]), T.StructType([target[k] for k in keys])).select(bucket_of(keys, n).alias(BUCKET_COL))
+        touched = [str(r[0]) for r in bucket.distinct().collect()]
+        current = _read_buckets(spark, path, target, [folders[b] for b in touched if b in folders])
+    current = _as_schema(current, target).withColumn(BUCKET_COL, bucket_of(keys, n))
+    put = f"data/{uuid.uuid4().hex}"
+    # each bucket's rows in one task, so a bucket is one file
+    upsert(current, batch, keys).repartition(F.col(BUCKET_COL)).write.partitionBy(BUCKET_COL).parquet(f"{path.rstrip('/')}/{put}")
+    rows = spark.read.schema(T.StructType([T.StructField(BUCKET_COL, T.IntegerType())])).parquet(f"{path.rstrip('/')}/{put}")
+    written = {str(r[0]): r[1] for r in rows.groupBy(BUCKET_COL).count().collect()}
+    if not written:
+        return 0
+    counts = {} if everything else {b: c for b, c in held["rows"].items() if b not in touched}
+    folders = {} if everything else {b: f for b, f in folders.items() if b not in touched}
+    folders |= {b: f"{put}/{BUCKET_COL}={b}" for b in written}
+    version = held["version"] if held else None
+    _publish(spark, path, version, {"buckets": n, "key": keys, "schema": target.jsonValue(), "folders": folders, "rows": counts | written})
+    _tidy(spark, path, 1 if version is None else version + 1)
+    return len(written)
+
+
+def rename_parts(spark: SparkSession, staging: str, folder: str, table: str) -> list[str]:
+    """Files of a folder written by ``part`` (one file each), renamed to the
+    part names of ``table`` in ``folder``; paths in part order."""
+    from ..operators.split import part_name
+
     jvm = spark.sparkContext._jvm
-    prefix = f"{BUCKET_COL}="
-    written = sorted(
-        int(st.getPath().getName()[len(prefix):])
-        for st in fs.listStatus(sp)
-        if st.isDirectory() and st.getPath().getName().startswith(prefix)
-    )
-    if meta is None:
-        touched = written
-        if not touched:
-            fs.delete(sp, True)
-            return 0
-        fs.mkdirs(jvm.org.apache.hadoop.fs.Path(path))
-        # The table is declared before its buckets arrive, so a put that
-        # stops part-way is finished by re-running it as an update.
-        schema_json = T.StructType([f for f in target.schema.fields if f.name != BUCKET_COL]).jsonValue()
-        _write_meta(spark, path, {"buckets": n_buckets, "key": keys, "schema": schema_json})
-    for b in touched:
-        if b in written:
-            swap_in(spark, f"{staged}/{prefix}{b}", f"{path.rstrip('/')}/{prefix}{b}")
+    fs, sp = _fs(spark, staging)
+    dirs = sorted((int(st.getPath().getName()[5:]), st.getPath()) for st in fs.listStatus(sp) if st.getPath().getName().startswith("part="))
+    out = []
+    for part, d in dirs:
+        src = next(st.getPath() for st in fs.listStatus(d) if st.getPath().getName().endswith(".csv"))
+        dst = f"{folder}/{part_name(table, part)}"
+        if not fs.rename(src, jvm.org.apache.hadoop.fs.Path(dst)):
+            raise OSError(f"could not write {dst}")
+        out.append(dst)
     fs.delete(sp, True)
-    return len(touched)
+    return out
 
 
 def land_as_files(spark: SparkSession, df: DataFrame, folder: str, table: str, parts: int | None = None, sep: str = ",") -> list[str]:

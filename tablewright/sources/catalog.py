@@ -33,7 +33,7 @@ def catalog_from_paths(listing: DataFrame, path_col: str = "path") -> DataFrame:
     name = base_name(F.col(path_col))
     is_meta = name.startswith(METADATA_PREFIX)
     data_name = F.when(is_meta, F.substring(name, len(METADATA_PREFIX) + 1, 1 << 20)).otherwise(name)
-    part = F.regexp_extract(data_name, r"_split__([0-9]{3})\.csv$", 1)
+    part = F.regexp_extract(data_name, r"_split__([0-9]{3,})\.csv$", 1)
     length = F.col("length") if "length" in listing.columns else F.lit(None).cast("long")
     return listing.select(
         F.col(path_col).alias("path"),
@@ -41,7 +41,7 @@ def catalog_from_paths(listing: DataFrame, path_col: str = "path") -> DataFrame:
         is_meta.alias("is_metadata"),
         data_name.alias("data_name"),
         table_name_of(data_name).alias("table_name"),
-        F.when(part != "", part.cast("int")).alias("part"),
+        F.when(part != "", part.try_cast("bigint")).alias("part"),
         length.alias("length"),
     )
 

@@ -17,6 +17,22 @@ FILE_COL = "_file"
 BLOCK_COL = "_block"
 ROW_COL = "_row"
 FILE_ORDER = (FILE_COL, BLOCK_COL, ROW_COL)
+#: The raw text of a record whose number of cells differs from the header's.
+CORRUPT_COL = "_corrupt"
+
+
+def scan_path():
+    """The path of a scanned file, spelled as the catalogue spells it (the
+    scan's metadata is URL-encoded)."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
+def is_ragged(n_columns: int, sep: str = ","):
+    """More cells than the header (fewer are missing cells): separators
+    outside quotes are counted in the records that did not fit."""
+    bare = F.regexp_replace(F.col(CORRUPT_COL), '"(?:[^"]|"")*"', "")
+    n_seps = F.char_length(bare) - F.char_length(F.replace(bare, F.lit(sep), F.lit("")))
+    return F.coalesce(n_seps >= n_columns * len(sep), F.lit(False))
 
 
 def _paths(paths) -> list[str]:
@@ -74,21 +90,27 @@ def read_delimited(
     multi_line: bool = False,
     names: Sequence[str] | None = None,
     file_order: bool = False,
+    corrupt: bool = False,
 ) -> DataFrame:
     """O-01: header row, quoted fields (``""`` escapes a quote), every column
     as text. Empty fields are null; other NA tokens are kept as text and
     recognised by ``is_missing``. ``file_order`` adds ``_file``, ``_block``
     and ``_row`` whose order is the file order (one split's rows are
-    consecutive in ``_row``)."""
+    consecutive in ``_row``); ``corrupt`` adds ``_corrupt``, the text of
+    records with more or fewer cells than the header, else null."""
     plist = _paths(paths)
     if names is None:
         names = header_names(spark, plist, sep, encoding, multi_line)
     schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
-    df = _reader(spark, sep, encoding, multi_line, header=True).schema(schema).csv(plist)
+    reader = _reader(spark, sep, encoding, multi_line, header=True)
+    if corrupt:
+        schema = schema.add(CORRUPT_COL, T.StringType(), True)
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COL)
+    df = reader.schema(schema).csv(plist)
     if file_order:
         df = df.select(
             "*",
-            F.col("_metadata.file_path").alias(FILE_COL),
+            scan_path().alias(FILE_COL),
             F.col("_metadata.file_block_start").alias(BLOCK_COL),
             F.monotonically_increasing_id().alias(ROW_COL),
         )
@@ -101,7 +123,7 @@ def file_facts(spark: SparkSession, paths, fallback: str = "ISO-8859-1") -> Data
     encoding test, so grouping by header and choosing encodings cost one
     read of the bytes, not two."""
     lines = spark.read.text(_paths(paths)).select(
-        F.col("_metadata.file_path").alias("path"),
+        scan_path().alias("path"),
         F.col("_metadata.file_block_start").alias("_b"),
         F.monotonically_increasing_id().alias("_r"),
         "value",
@@ -136,7 +158,7 @@ def header_groups(spark: SparkSession, paths, with_encodings: bool = False):
 def choose_encoding(spark: SparkSession, paths, fallback: str = "ISO-8859-1") -> DataFrame:
     """O-02: ``(path, encoding)``: UTF-8 when every line is valid UTF-8,
     else the fallback. One grouped pass over the raw lines of all files."""
-    lines = spark.read.text(_paths(paths)).select(F.col("_metadata.file_path").alias("path"), F.is_valid_utf8("value").alias("ok"))
+    lines = spark.read.text(_paths(paths)).select(scan_path().alias("path"), F.is_valid_utf8("value").alias("ok"))
     return lines.groupBy("path").agg(F.when(F.bool_and("ok"), F.lit("UTF-8")).otherwise(F.lit(fallback)).alias("encoding"))
 
 
@@ -148,6 +170,7 @@ def read_with_encodings(
     file_order: bool = False,
     encoding: str | None = None,
     encodings: dict[str, str] | None = None,
+    corrupt: bool = False,
 ) -> DataFrame:
     """O-01 + O-02: one scan per encoding group, unioned. The list of paths
     per encoding is one row per file (bounded by the file count).
@@ -156,7 +179,7 @@ def read_with_encodings(
     folder's encoding is known, or ``encodings`` (``{path: encoding}``, e.g.
     from ``header_groups``) when it was already detected, to skip that pass."""
     if encoding:
-        return read_delimited(spark, paths, sep, encoding, multi_line, None, file_order)
+        return read_delimited(spark, paths, sep, encoding, multi_line, None, file_order, corrupt)
     known = encodings or {}
     pairs = [(p, known[p]) for p in _paths(paths) if p in known]
     rest = [p for p in _paths(paths) if p not in known]
@@ -169,7 +192,7 @@ def read_with_encodings(
         raise ValueError("no input files")
     first_enc, first_paths = sorted(groups.items())[0]
     names = header_names(spark, first_paths, sep, first_enc, multi_line)
-    dfs = [read_delimited(spark, ps, sep, e, multi_line, names, file_order) for e, ps in sorted(groups.items())]
+    dfs = [read_delimited(spark, ps, sep, e, multi_line, names, file_order, corrupt) for e, ps in sorted(groups.items())]
     return reduce(lambda a, b: a.unionByName(b), dfs)
 
 

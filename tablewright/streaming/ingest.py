@@ -16,9 +16,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.cells import base_name, table_name_of
 from ..operators.items import apply_metadata
 from ..sinks import ledger as led
 from ..sinks import tables
+from ..sources.delimited import scan_path
 
 
 def ingest_stream(
@@ -33,6 +35,8 @@ def ingest_stream(
     max_files_per_trigger: int = 1,
     sep: str = ",",
     glob: str = "*.csv",
+    multi_line: bool = False,
+    rows_per_bucket: int = tables.ROWS_PER_BUCKET,
 ) -> None:
     """Run one available-now pass over ``input_path`` and wait for it.
 
@@ -45,6 +49,7 @@ def ingest_stream(
         .option("header", True)
         .option("sep", sep)
         .option("escape", '"')
+        .option("multiLine", multi_line)
         .option("pathGlobFilter", glob)
         .option("maxFilesPerTrigger", max_files_per_trigger)
     )
@@ -52,7 +57,7 @@ def ingest_stream(
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     stream = reader.csv(input_path).select(
         "*",
-        F.col("_metadata.file_path").alias("_file"),
+        scan_path().alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
     )
     key = names[0] if meta is None else (meta[0][0] if not isinstance(meta, DataFrame) else None)
@@ -61,12 +66,12 @@ def ingest_stream(
         b = batch.withColumn("_row", F.monotonically_increasing_id())
         typed = apply_metadata(b, meta, keep=("_file", "_block", "_row")) if meta is not None else b
         k = key or typed.columns[0]
-        tables.upsert_table(spark, table_path, typed, k, order=[F.col("_file"), F.col("_block"), F.col("_row")])
+        tables.upsert_table(spark, table_path, typed, k, order=[F.col("_file"), F.col("_block"), F.col("_row")], rows_per_bucket=rows_per_bucket)
         counts = b.groupBy(F.col("_file").alias("path")).agg(F.count(F.lit(1)).alias("n_rows"))
         led.append_ledger(
             spark,
             ledger_path,
-            counts.select("path", F.lit(None).cast("string").alias("table_name"), "n_rows", F.lit("done").alias("status"),
+            counts.select("path", table_name_of(base_name(F.col("path"))).alias("table_name"), "n_rows", F.lit("done").alias("status"),
                           F.lit(f"batch {batch_id}").alias("message")),
         )
 

@@ -74,7 +74,7 @@ SELECT DISTINCT concat('/landing/', {FILE_NAME_SQL}) AS path,
 FROM documents d JOIN labels l ON l.doc_id = d.doc_id
 """
 EXISTING_SQL = f"""
-SELECT DISTINCT regexp_replace({FILE_NAME_SQL}, '(_split__[0-9]{{3}})?[.]csv$', '') AS table_name
+SELECT DISTINCT regexp_replace({FILE_NAME_SQL}, '(_split__[0-9]{{3,}})?[.]csv$', '') AS table_name
 FROM documents d JOIN labels l ON l.doc_id = d.doc_id WHERE l.toxic = 1
 """
 

@@ -5,9 +5,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 
-from ..functions.cells import parse_collection
+from ..functions.cells import base_name, parse_collection
 from ..operators import items as I
 from ..operators import ordinal as K
 from ..operators import profile as P
@@ -279,8 +279,9 @@ THRESHOLD = 10000
 @register(
     "split_plan_all",
     "\nUNION ALL\n".join(
-        f"SELECT '{t}' AS table_name, n AS n_rows, (SELECT CAST(min(k) AS INTEGER) FROM range(0, 11) r(k) "
-        f"WHERE n / pow(2, k) + k <= {THRESHOLD}) AS halvings FROM (SELECT count(*) AS n FROM {t})"
+        f"SELECT '{t}' AS table_name, n AS n_rows, (SELECT CAST(min(k) AS INTEGER) FROM range(0, 65) r(k) "
+        f"WHERE n / pow(2, k) + k <= {THRESHOLD}) AS halvings, (SELECT CAST(min(k) AS INTEGER) FROM range(0, 65) r(k) "
+        f"WHERE n * 1000 / pow(2, k) + k <= {THRESHOLD}) AS halvings_1000 FROM (SELECT count(*) AS n FROM {t})"
         for t, _ in [("region", 0), ("nation", 0), ("customer", 0), ("supplier", 0), ("part", 0), ("orders", 0),
                      ("lineitem", 0), ("events", 0), ("documents", 0), ("embeddings", 0), ("pages", 0),
                      ("benchmark", 0), ("labels", 0), ("conversations", 0)]
@@ -288,7 +289,8 @@ THRESHOLD = 10000
 )
 def split_plan_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O-36, O-40: rows of every table and the halvings its split needs at
-    the default threshold (n <= threshold is one part)."""
+    the default threshold (n <= threshold is one part), and would need with a
+    thousand times the rows."""
     from functools import reduce
 
     from pyspark.sql import functions as F
@@ -299,12 +301,17 @@ def split_plan_all(spark: SparkSession, sf_dir: str) -> DataFrame:
         DataFrame.unionAll,
         [table(spark, sf_dir, t).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(t).alias("table_name"), "n_rows") for t in TABLES],
     )
-    return counts.select("table_name", "n_rows", S.split_plan_col("n_rows", THRESHOLD).alias("halvings"))
+    return counts.select(
+        "table_name",
+        "n_rows",
+        S.split_plan_col("n_rows", THRESHOLD).alias("halvings"),
+        S.split_plan_col(F.col("n_rows") * 1000, THRESHOLD).alias("halvings_1000"),
+    )
 
 
 SPLIT_PARTS_SQL = f"""
 WITH RECURSIVE n AS (SELECT count(*) AS n FROM lineitem),
-k AS (SELECT (SELECT min(k) FROM range(0, 11) r(k) WHERE n / pow(2, k) + k <= {THRESHOLD}) AS k FROM n),
+k AS (SELECT (SELECT min(k) FROM range(0, 65) r(k) WHERE n / pow(2, k) + k <= {THRESHOLD}) AS k FROM n),
 parts(lo, hi, depth, part) AS (
   SELECT 0::BIGINT, n, 0, 1::BIGINT FROM n
   UNION ALL
@@ -541,20 +548,33 @@ def csv_roundtrip_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "write_parts_lineitem",
     SPLIT_PARTS_SQL.replace(
-        "SELECT CAST(leaf.part AS INTEGER) AS part, printf('lineitem_split__%03d.csv', leaf.part) AS part_name,\n"
-        "       count(*) AS n_rows, min(pos) AS first_row, max(pos) AS last_row",
-        "SELECT CAST(leaf.part AS INTEGER) AS part, count(*) AS n_rows",
-    ),
+        f"ord AS (SELECT row_number() OVER (ORDER BY {', '.join(LINEITEM_COLS)}) - 1 AS pos FROM lineitem)",
+        f"ord AS (SELECT row_number() OVER (ORDER BY {', '.join(LINEITEM_COLS)}) - 1 AS pos, l_orderkey, l_partkey, l_suppkey FROM lineitem)",
+    ).replace(
+        "count(*) AS n_rows, min(pos) AS first_row, max(pos) AS last_row",
+        "CAST(pos - leaf.lo AS BIGINT) AS place, CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(l_partkey AS VARCHAR) AS l_partkey, "
+        "CAST(l_suppkey AS VARCHAR) AS l_suppkey",
+    ).replace("GROUP BY leaf.part", "").replace("CAST(leaf.part AS INTEGER) AS part, ", ""),
 )
 def write_parts_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """O-44: ``lineitem`` written as CSV parts under the row threshold (one
-    folder per part), read back and counted per part."""
+    """O-43, O-44: ``lineitem`` written as CSV part files under the row
+    threshold, read back with every row's part name and place in its part."""
     from pyspark.sql import functions as F
 
     path = scratch_path(spark, "parts-lineitem")
-    S.write_parts(table(spark, sf_dir, "lineitem"), path, THRESHOLD)
-    back = spark.read.option("header", True).option("escape", '"').csv(path)
-    return back.groupBy(F.col("part").cast("int").alias("part")).agg(F.count(F.lit(1)).alias("n_rows"))
+    S.write_parts(table(spark, sf_dir, "lineitem"), path, THRESHOLD, table="lineitem")
+    back = D.read_delimited(spark, path, file_order=True)
+    starts = back.groupBy(D.FILE_COL, D.BLOCK_COL).agg(F.count(F.lit(1)).alias("n"), F.min(D.ROW_COL).alias("first"))
+    w = Window.partitionBy(D.FILE_COL).orderBy(D.BLOCK_COL).rowsBetween(Window.unboundedPreceding, -1)
+    starts = starts.withColumn("before", F.coalesce(F.sum("n").over(w), F.lit(0)))
+    placed = back.join(starts, [D.FILE_COL, D.BLOCK_COL])
+    return placed.select(
+        base_name(F.col(D.FILE_COL)).alias("part_name"),
+        (F.col("before") + F.col(D.ROW_COL) - F.col("first")).alias("place"),
+        "l_orderkey",
+        "l_partkey",
+        "l_suppkey",
+    )
 
 
 CUSTOMER_META = [
@@ -587,6 +607,7 @@ def stream_ingest_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
         meta=CUSTOMER_META,
         archive_dir=f"{root}/archive",
         max_files_per_trigger=1,
+        rows_per_bucket=500,
     )
     return read_table(spark, f"{root}/table")
 
@@ -694,10 +715,10 @@ def load_folder_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, f"{root}/warehouse/customer")
 
 
-ORDERS_PART_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
+ORDERS_PART_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
 
 
-@register("union_load_new_orders", f"SELECT {', '.join(ORDERS_PART_COLS)} FROM orders")
+@register("union_load_new_orders", f"SELECT {', '.join(ORDERS_PART_COLS)}, o_orderdate FROM orders")
 def union_load_new_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O-51, O-62 (with O-01): ``orders`` landed as four CSV parts, read as
     one table by a single multi-path scan, written with ``load_new`` (fails
@@ -707,7 +728,7 @@ def union_load_new_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..sinks.tables import land_as_files, load_new
 
     root = scratch_path(spark, "union-load-new")
-    paths = land_as_files(spark, table(spark, sf_dir, "orders").select(*ORDERS_PART_COLS), f"{root}/landing", "orders", 4)
+    paths = land_as_files(spark, table(spark, sf_dir, "orders").select(*ORDERS_PART_COLS, "o_orderdate"), f"{root}/landing", "orders", 4)
     whole = T.union_table(spark, paths, D.read_delimited)
     load_new(whole, f"{root}/tables/orders")
     back = spark.read.parquet(f"{root}/tables/orders")
@@ -715,7 +736,9 @@ def union_load_new_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").cast("bigint").alias("o_orderkey"),
         F.col("o_custkey").cast("bigint").alias("o_custkey"),
         "o_orderstatus",
+        F.col("o_totalprice").cast("double").alias("o_totalprice"),
         "o_orderpriority",
+        F.col("o_orderdate").cast("timestamp_ntz").alias("o_orderdate"),
     )
 
 
@@ -760,3 +783,6 @@ def add_key_file_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     land_as_files(spark, table(spark, sf_dir, "customer").orderBy("c_custkey"), f"{root}/in", "customer")
     add_key_to_file(spark, f"{root}/in", f"{root}/out")
     return D.read_delimited(spark, f"{root}/out")
+
+
+from . import flow_queries  # noqa: E402, F401  (registers the folder flows)

@@ -45,8 +45,9 @@ def test_metadata_roundtrip(spark, tmp_dir):
     _write(p, "row_number,Years_Experience,Salary\n1,1.1,39343\n2,1.1,46205\n3,2.0,37731\n")
     df = D.read_delimited(spark, p, file_order=True)
     meta = profile.profile(df, order=[F.col(c) for c in D.FILE_ORDER], columns=["row_number", "Years_Experience", "Salary"])
-    tables.write_metadata(meta, f"{tmp_dir}/meta")
-    back = D.read_metadata(spark, f"{tmp_dir}/meta")
+    tables.write_metadata(meta, f"{tmp_dir}/metadata_salary.csv")
+    assert os.path.isfile(f"{tmp_dir}/metadata_salary.csv")  # the catalogue lists it
+    back = D.read_metadata(spark, f"{tmp_dir}/metadata_salary.csv")
     rows = [(r["column_name"], r["AWS_column_dtype"], r["pandas_column_dtype"], r["duplicate_data_flag_list"]) for r in back.orderBy("column_index").collect()]
     assert rows == [("row_number", "N", "int64", "false"), ("Years_Experience", "N", "float64", "true"), ("Salary", "N", "int64", "false")]
     minimal = f"{tmp_dir}/metadata_min.csv"
@@ -62,18 +63,19 @@ def test_upsert_table_swap_is_idempotent(spark, tmp_dir):
     tables.upsert_table(spark, path, b2, "k", order="o")
     tables.upsert_table(spark, path, b2, "k", order="o")  # a retried batch
     got = sorted(tuple(r) for r in tables.read_table(spark, path).collect())
-    assert got == [(1, "a"), (2, "b3"), (3, "c")]
+    assert got == [(1, "a", 1), (2, "b3", 2), (3, "c", 1)]  # the order column is data too
 
 
 def test_write_parts(spark, tmp_dir):
     from tablewright.operators.split import write_parts
 
     df = spark.range(0, 2500).withColumnRenamed("id", "k")
-    write_parts(df, f"{tmp_dir}/parts", 1000, order="k")
-    back = spark.read.option("header", True).csv(f"{tmp_dir}/parts")
-    sizes = {r["part"]: r["count"] for r in back.groupBy("part").count().collect()}
-    assert sorted(sizes.values()) == sorted([hi - lo for _, lo, hi in __import__("tablewright.operators.split", fromlist=["x"]).split_bounds(2500, 2)])
-    assert all(v <= 1000 for v in sizes.values())
+    from tablewright.operators.split import split_bounds
+
+    paths = write_parts(df, f"{tmp_dir}/parts", 1000, order="k", table="nums")
+    assert [os.path.basename(p) for p in paths] == [f"nums_split__00{i}.csv" for i in (1, 2, 3, 4)]
+    sizes = [D.read_delimited(spark, p).count() for p in paths]
+    assert sizes == [hi - lo for _, lo, hi in split_bounds(2500, 2)] and max(sizes) <= 1000
 
 
 def test_stream_ingest_two_runs(spark, tmp_dir):
@@ -168,21 +170,84 @@ def test_upsert_rewrites_only_touched_buckets(spark, tmp_dir):
     path = f"{tmp_dir}/bk"
     first = spark.range(0, 1000).selectExpr("id AS k", "'v0' AS v")
     tables.upsert_table(spark, path, first, "k", n_buckets=16)
-    import os as _os
-
-    def mtimes():
-        root = path.replace("file:", "")
-        return {d: _os.path.getmtime(f"{root}/{d}") for d in _os.listdir(root) if d.startswith("_bucket=")}
-
-    before = mtimes()
+    before = tables._manifest(spark, path)["folders"]
     assert len(before) == 16
     upd = spark.createDataFrame([(5, "v1")], "k long, v string")
     assert tables.upsert_table(spark, path, upd, "k") == 1
-    after = mtimes()
-    changed = [d for d in after if after[d] != before[d]]
-    assert len(changed) == 1
+    after = tables._manifest(spark, path)["folders"]
+    assert len([b for b in after if after[b] != before[b]]) == 1
     got = {r["k"]: r["v"] for r in tables.read_table(spark, path).collect()}
     assert len(got) == 1000 and got[5] == "v1" and got[6] == "v0"
+    # one file per bucket
+    assert len(tables.read_table(spark, path).inputFiles()) == 16
+
+
+def test_buckets_grow_and_old_versions_go(spark, tmp_dir):
+    path = f"{tmp_dir}/grow"
+    for i in range(6):
+        tables.upsert_table(spark, path, spark.range(i * 100, i * 100 + 100).withColumnRenamed("id", "k"), "k", rows_per_bucket=100)
+    held = tables._manifest(spark, path)
+    assert held["buckets"] == 8 and tables.read_table(spark, path).count() == 600 and sum(held["rows"].values()) == 600
+    assert tables._versions(spark, path) == [5, 6]
+
+
+def test_a_reader_keeps_the_version_it_began_with(spark, tmp_dir):
+    path = f"{tmp_dir}/versions"
+    tables.upsert_table(spark, path, spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string"), "k", n_buckets=2)
+    reader = tables.read_table(spark, path)
+    tables.upsert_table(spark, path, spark.createDataFrame([(1, "new"), (3, "c")], "k long, v string"), "k")
+    assert sorted(tuple(r) for r in reader.collect()) == [(1, "a"), (2, "b")]
+    assert sorted(tuple(r) for r in tables.read_table(spark, path).collect()) == [(1, "new"), (2, "b"), (3, "c")]
+
+
+def test_put_widens_adds_and_refuses(spark, tmp_dir):
+    import pytest
+
+    path = f"{tmp_dir}/types"
+    tables.upsert_table(spark, path, spark.createDataFrame([(1, 5, 1)], "k long, v long, ver int"), "k", order="ver")
+    assert tables.read_table(spark, path).columns == ["k", "v", "ver"]  # an order column is data too
+    tables.upsert_table(spark, path, spark.createDataFrame([(2, 2.7, "x")], "k long, v double, extra string"), "k")
+    got = sorted((r["k"], r["v"], r["extra"]) for r in tables.read_table(spark, path).collect())
+    assert got == [(1, 5.0, None), (2, 2.7, "x")]
+    with pytest.raises(ValueError):
+        tables.upsert_table(spark, path, spark.createDataFrame([(3, "text")], "k long, v string"), "k")
+    with pytest.raises(Exception):  # 2**53 + 1 is not exact as a double
+        tables.upsert_table(spark, path, spark.createDataFrame([(3, 9007199254740993)], "k long, v long"), "k")
+    assert tables.read_table(spark, path).count() == 2
+
+
+def test_load_fails_misfit_and_ragged_files_with_counts(spark, tmp_dir):
+    inp, out = f"{tmp_dir}/in 6", f"{tmp_dir}/wh6"
+    _write(f"{inp}/ragged.csv", "id,a\n1,2\n2,3,4\n")
+    _write(f"{inp}/short.csv", "id,a\n1,2\n2\n")  # missing cells are allowed
+    _write(f"{inp}/misfit.csv", "id,a\n1,2.5\n2,abc\n3,4\n")
+    _write(f"{inp}/metadata_misfit.csv", "column_name,AWS_column_dtype,pandas_column_dtype\nid,N,int64\na,N,int64\n")
+    _write(f"{inp}/empty.csv", "id,a\n")
+    rep = {r["table_name"]: r["status"] for r in folder.load_folder(spark, LoadOptions(input_path=inp, output_path=out)).collect()}
+    assert rep == {"ragged": "failed", "short": "done", "misfit": "failed", "empty": "done"}
+    why = {r["table_name"]: r["message"] for r in ledger.read_ledger(spark, f"{out}/_ledger").collect()}
+    assert why["ragged"].startswith("1 rows longer") and "2 cells" in why["misfit"]
+    assert tables.read_table(spark, f"{out}/short").count() == 2 and tables.read_table(spark, f"{out}/empty").count() == 0
+
+
+def test_each_part_uses_its_own_sidecar_and_split_load(spark, tmp_dir):
+    inp, out = f"{tmp_dir}/in7", f"{tmp_dir}/wh7"
+    _write(f"{inp}/people_split__001.csv", "id,n\n1,5\n")
+    _write(f"{inp}/people_split__002.csv", "key,label\n2,6\n")
+    _write(f"{inp}/metadata_people_split__002.csv", "column_name,AWS_column_dtype,pandas_column_dtype\nid,N,int64\nn,N,int64\n")
+    folder.load_folder(spark, LoadOptions(input_path=inp, output_path=out))
+    assert sorted(tuple(r) for r in tables.read_table(spark, f"{out}/people").collect()) == [(1, 5), (2, 6)]
+    _write(f"{tmp_dir}/in8/big.csv", "id,v\n" + "".join(f"{i},x{i}\n" for i in range(50)))
+    rep = folder.load_folder(spark, LoadOptions(input_path=f"{tmp_dir}/in8", output_path=f"{tmp_dir}/wh8", split=True, max_rows_per_part=20))
+    assert [(r["status"], r["n_rows"]) for r in rep.collect()] == [("done", 50)]
+    assert tables.read_table(spark, f"{tmp_dir}/wh8/big").count() == 50
+
+
+def test_quoted_line_breaks_load(spark, tmp_dir):
+    _write(f"{tmp_dir}/in9/notes.csv", 'id,t\n1,"a\nb"\n2,"c"\n')
+    opts = LoadOptions(input_path=f"{tmp_dir}/in9", output_path=f"{tmp_dir}/wh9", multi_line=True)
+    folder.load_folder(spark, opts)
+    assert sorted(tuple(r) for r in tables.read_table(spark, f"{tmp_dir}/wh9/notes").collect()) == [(1, "a\nb"), (2, "c")]
 
 
 def test_write_profiles_and_split_folder(spark, tmp_dir):
@@ -195,10 +260,9 @@ def test_write_profiles_and_split_folder(spark, tmp_dir):
     side = D.read_metadata(spark, written[0]).orderBy("column_index").collect()
     assert [(r["column_name"], r["AWS_column_dtype"]) for r in side] == [("id", "N"), ("v", "S")]
     folder.split_folder(spark, inp, f"{tmp_dir}/parts", max_rows=10)
-    back = spark.read.option("header", True).csv(f"{tmp_dir}/parts/alpha")
-    sizes = sorted(r["count"] for r in back.groupBy("part").count().collect())
-    assert sum(sizes) == 25 and max(sizes) <= 10
-    assert sorted(int(r["id"]) for r in back.filter("part = 1").collect()) == list(range(sizes and len(back.filter("part = 1").collect())))
+    names = sorted(n for n in os.listdir(f"{tmp_dir}/parts") if n.startswith("alpha") and n.endswith(".csv"))
+    parts = [[int(r["id"]) for r in D.read_delimited(spark, f"{tmp_dir}/parts/{n}").collect()] for n in names]
+    assert max(map(len, parts)) <= 10 and sum(parts, []) == list(range(25))  # rows stay in order
 
 
 def test_upsert_refuses_foreign_folder(spark, tmp_dir):
@@ -227,28 +291,19 @@ def test_union_table_and_load_new_refuses_existing(spark, tmp_dir):
 def test_put_resumes_after_a_failed_driver(spark, tmp_dir, monkeypatch):
     path = f"{tmp_dir}/resume"
     rows = spark.range(0, 200).selectExpr("id AS k", "concat('v', id) AS v")
-    real_swap = tables.swap_in
-    calls = {"n": 0}
+    tables.upsert_table(spark, path, rows, "k", n_buckets=4)
+    real = tables._publish
 
-    def dying_swap(*a):
-        calls["n"] += 1
-        if calls["n"] == 2:
-            raise RuntimeError("driver lost")
-        return real_swap(*a)
+    def lost(*a):
+        raise RuntimeError("driver lost")
 
-    monkeypatch.setattr(tables, "swap_in", dying_swap)
+    monkeypatch.setattr(tables, "_publish", lost)
     try:
-        tables.upsert_table(spark, path, rows, "k", n_buckets=4)
+        tables.upsert_table(spark, path, spark.createDataFrame([(0, "new")], "k long, v string"), "k")
     except RuntimeError:
         pass
-    monkeypatch.setattr(tables, "swap_in", real_swap)
-    tables.upsert_table(spark, path, rows, "k", n_buckets=4)  # the rerun finishes the load
-    back = tables.read_table(spark, path)
-    assert back.count() == 200 and back.select("k").distinct().count() == 200
-    # a bucket moved aside by a swap that stopped half way is restored
-    root = path.replace("file:", "")
-    b = sorted(d for d in os.listdir(root) if d.startswith("_bucket="))[0]
-    os.rename(f"{root}/{b}", f"{root}/.old-{b}-deadbeef")
-    tables.upsert_table(spark, path, spark.createDataFrame([(0, "new")], "k long, v string"), "k")
+    assert {r["v"] for r in tables.read_table(spark, path).where("k = 0").collect()} == {"v0"}  # nothing was published
+    monkeypatch.setattr(tables, "_publish", real)
+    tables.upsert_table(spark, path, spark.createDataFrame([(0, "new")], "k long, v string"), "k")  # the rerun
     back = {r["k"]: r["v"] for r in tables.read_table(spark, path).collect()}
     assert len(back) == 200 and back[0] == "new" and back[199] == "v199"

@@ -47,13 +47,13 @@ def test_row_range_half_open(spark):
         ordinal.row_range(df, "k", 5, 2)
 
 
-def test_row_range_large_merge_takes_the_ordinal(spark, monkeypatch):
-    # 8 input partitions x stop 15 exceeds the merge bound: same rows, no top-k
-    df = spark.range(0, 100, numPartitions=8).withColumnRenamed("id", "k")
-    monkeypatch.setattr(ordinal, "TOPK_MERGE_ROWS", 100)
-    out = ordinal.row_range(df, "k", 10, 15)
-    assert "TakeOrderedAndProject" not in out._jdf.queryExecution().executedPlan().toString()
-    assert sorted(r["k"] for r in out.collect()) == [10, 11, 12, 13, 14]
+def test_row_range_ties_keep_scan_order(spark):
+    # the order column is one value: positions follow the scan, whatever the slice's length
+    df = spark.range(0, 40, numPartitions=4).selectExpr("id AS k", "0 AS o")
+    out = ordinal.row_range(df, "o", 5, 10)
+    assert sorted(r["k"] for r in out.collect()) == [5, 6, 7, 8, 9]
+    long = ordinal.row_range(df, "o", 5, 10**12)
+    assert sorted(r["k"] for r in long.collect()) == list(range(5, 40))
 
 
 @pytest.mark.parametrize(
@@ -77,12 +77,50 @@ def test_split_bounds_sizes():
 
 def test_part_names():
     assert split.part_names("b", 2) == ["b_split__001.csv", "b_split__002.csv", "b_split__003.csv", "b_split__004.csv"]
+    assert split.part_name("b", 1000) == "b_split__1000.csv"
     with pytest.raises(ValueError):
-        split.part_name("b", 1000)  # D6
+        split.part_name("b", 0)
     with pytest.raises(ValueError):
         split.split_plan(10**9, 10)
 
 
+def test_split_plan_has_no_cap(spark):
+    sizes = [5_000_000, 6_000_000, 12_000_000, 10**9, 10**15]
+    df = spark.createDataFrame([(n,) for n in sizes], "n long").select("n", split.split_plan_col("n", 10_000).alias("k"))
+    assert {r["n"]: r["k"] for r in df.collect()} == {n: split.split_plan(n, 10_000) for n in sizes}
+    rows = spark.range(0, 5000).select(F.col("id"), split.part_of("id", 5000, 11).alias("part")).groupBy("part").agg(F.min("id").alias("lo"), F.count("*").alias("n")).collect()
+    want = {p: (lo, hi - lo) for p, lo, hi in split.split_bounds(5000, 11) if hi > lo}
+    assert {r["part"]: (r["lo"], r["n"]) for r in rows} == want and max(want) > 999
+
+
+def test_file_ordinal_needs_no_sort(spark, tmp_path):
+    from tablewright.sources import delimited as D
+
+    for name, n in (("a", 3000), ("b", 10), ("c", 1)):  # splits of unequal length
+        (tmp_path / f"{name}.csv").write_text("id\n" + "".join(f"{name}{i}\n" for i in range(n)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        df = ordinal.with_ordinal(D.read_delimited(spark, str(tmp_path), file_order=True), D.FILE_ORDER, "pos")
+        assert "rangepartitioning" not in df._jdf.queryExecution().executedPlan().toString()
+        got = {r["pos"]: r["id"] for r in df.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    want = [f"a{i}" for i in range(3000)] + [f"b{i}" for i in range(10)] + ["c0"]
+    assert got == dict(enumerate(want))
+
+
+def test_float_text_and_quoted_sets(spark):
+    from tablewright.functions import cells
+
+    texts = ["1e7", "100000005e-1", "1.2e-4", "123456789", "0.001", "1e16", "1.5e-5", "-2.5E10", "inf", "0.1", "12345678901234567e-20"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r["i"]: r["x"] for r in df.select("i", cells.float_text(F.col("t").cast("double")).alias("x")).collect()}
+    assert [got[i] for i in range(len(texts))] == [str(float(t)) for t in texts]
+    sets = spark.createDataFrame([("'a,b','c'",), ("x, y",)], "t string").select(cells.parse_collection("t", "SS").alias("s")).collect()
+    assert sorted(r["s"] for r in sets) == [["a,b", "c"], ["x", "y"]]
+
+
 def test_assign_parts_contiguous(spark):
     df = spark.range(0, 2500).withColumnRenamed("id", "k")
     got = split.assign_parts(df, "k", 1000, ordinal_col="pos")
