@@ -163,6 +163,17 @@ def with_cell_facts(df: DataFrame, cell="cell", na_tokens=NA_TOKENS, prefix: str
     return out.drop(*(f"{p}{x}" for p in prefixes for x in ("_ii", "_if", "_ib", "_lv", "_dec", "_iok", "_dv")))
 
 
+#: Texts longer than this are grouped by a digest of this size.
+LONG_KEY = 64
+
+
+def short_key(k: Column) -> Column:
+    """A grouping key of bounded width: long texts (whole documents) go
+    through the shuffle as two independent hashes, 192 bits, and a length."""
+    digest = F.concat_ws(":", F.md5(k.cast("binary")), F.hex(F.xxhash64(k)), F.octet_length(k).cast("string"))
+    return F.when(F.octet_length(k) > LONG_KEY, digest).otherwise(k)
+
+
 def _finish(stats: DataFrame, by: Sequence[str], with_dup: bool, na_tokens=NA_TOKENS) -> DataFrame:
     """One row per column of type statistics -> profile columns."""
     n_present = F.col("n_rows") - F.col("n_missing")
@@ -282,11 +293,12 @@ def column_stats(
     # the one-row-per-column result, which keeps shuffled rows small.
     cells = text_cells(df, cols, False, by, with_names=False)
     cells = with_cell_facts(cells, "cell", na_tokens).select(*by, "column_index", "cell", *FACT_COLUMNS)
+    cells = cells.withColumn("canon", F.col("cell") == F.col("k")).withColumn("k", short_key(F.col("k")))
     keys = [*by, "column_index"]
     # Level A: one row per (column, typed value).
     level_a = cells.groupBy(*keys, "k").agg(
         F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("cell") == F.col("k")).alias("n_canon"),
+        F.count_if("canon").alias("n_canon"),
         F.bool_and("fi").alias("all_int"),
         F.bool_and("f64").alias("all_i64"),
         F.bool_and("fu64").alias("all_u64"),
@@ -295,7 +307,7 @@ def column_stats(
     )
     # Level A': raw-text multiplicity of non-canonical present cells.
     level_a2 = (
-        cells.filter(~F.col("m") & (F.col("cell") != F.col("k")))
+        cells.filter(~F.col("m") & ~F.col("canon"))
         .groupBy(*keys, "cell")
         .agg(F.count(F.lit(1)).alias("n"))
         .groupBy(*keys)

@@ -29,7 +29,8 @@ def list_files(spark: SparkSession, path: str, glob: str = "*.csv", recursive: b
 
 
 def catalog_from_paths(listing: DataFrame, path_col: str = "path") -> DataFrame:
-    """O-03: classify files: sidecar or data, table name, part number."""
+    """O-03: classify files: sidecar or data, table name, part number; other
+    columns of the listing are kept."""
     name = base_name(F.col(path_col))
     is_meta = name.startswith(METADATA_PREFIX)
     data_name = F.when(is_meta, F.substring(name, len(METADATA_PREFIX) + 1, 1 << 20)).otherwise(name)
@@ -43,6 +44,7 @@ def catalog_from_paths(listing: DataFrame, path_col: str = "path") -> DataFrame:
         table_name_of(data_name).alias("table_name"),
         F.when(part != "", part.try_cast("bigint")).alias("part"),
         length.alias("length"),
+        *[c for c in listing.columns if c not in (*CATALOG_COLUMNS, path_col)],
     )
 
 

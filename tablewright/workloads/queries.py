@@ -409,17 +409,15 @@ WITH listing AS ({LISTING_SQL}),
 c1 AS (SELECT path, n_rows, regexp_extract(path, '([^/]*)$', 1) AS name FROM listing),
 c2 AS (SELECT *, starts_with(name, 'metadata_') AS is_metadata,
               CASE WHEN starts_with(name, 'metadata_') THEN substr(name, 10) ELSE name END AS data_name FROM c1),
-catalog AS (SELECT *, regexp_replace(data_name, '(_split__[0-9]{{3}})?[.]csv$', '') AS table_name,
-             CAST(nullif(regexp_extract(data_name, '_split__([0-9]{{3}})[.]csv$', 1), '') AS INTEGER) AS part FROM c2),
+catalog AS (SELECT *, regexp_replace(data_name, '(_split__[0-9]{{3,}})?[.]csv$', '') AS table_name,
+             CAST(nullif(regexp_extract(data_name, '_split__([0-9]{{3,}})[.]csv$', 1), '') AS BIGINT) AS part FROM c2),
 ledger AS ({LEDGER_SQL}),
 existing AS ({EXISTING_SQL})
 """
 
 
 def _catalog(spark, sf_dir):
-    return C.catalog_from_paths(listing(spark, sf_dir).withColumn("length", _null_long())).join(
-        listing(spark, sf_dir).select("path", "n_rows"), on="path"
-    )
+    return C.catalog_from_paths(listing(spark, sf_dir).withColumn("length", _null_long()))
 
 
 def _null_long():
