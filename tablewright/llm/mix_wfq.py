@@ -20,6 +20,7 @@ columns are not read.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 from operator import and_
 
@@ -30,7 +31,7 @@ from .common import written
 
 #: Words: runs of other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
-SEED = "wfq"
+SEED = "wfq:"
 
 
 def sized(docs: DataFrame) -> DataFrame:
@@ -92,7 +93,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
     document in the mix, its repeats counted), a row per document."""
     sizes = written(sized(docs).withColumn("row", F.monotonically_increasing_id()), "mix-sizes")
     targets = written(source_targets(sizes, weights, share, max_repeats).coalesce(1), "mix-targets")
-    queued = sizes.withColumn("shuffled", F.xxhash64(F.lit(SEED), F.col("doc_id")))
+    queued = sizes.withColumn("shuffled", F.md5(F.concat(F.lit(SEED), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary")))
     queued = running_sum(queued, ["source", "shuffled", "doc_id", "size", "row"], "size", ["source"], "cum")
     of_source = targets.select(F.col("source").alias("_source"), "source_size", "target")
     queued = queued.join(of_source, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
@@ -107,7 +108,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
         F.least(F.col("size"), F.ceil(F.col("target") - F.col("start"))).alias("words"),
     )
     stream = running_sum(passes, ["finish", "shuffled", "pass", "row"], "words", [], "sent")
-    budget = targets.agg(F.floor(F.sum("target"))).first()[0] or 0
+    words = targets.agg(F.sum("source_size")).first()[0] or 0
+    budget = min(math.floor(share * words), max_repeats * words)  # the sum of all targets, in whole words
     cut = F.least(F.col("words"), F.lit(budget) - (F.col("sent") - F.col("words")))
     taken = stream.withColumn("words", cut).where("words > 0").groupBy("row").agg(F.sum("words").alias("taken"))
     out = queued.join(taken, "row", "left")

@@ -99,7 +99,40 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.withColumn("over_limit", F.col("n_tokens") > limit)
 
 
-@register("op10_source_mixing")
+MIX_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+         md5(concat('wfq:', CAST(doc_id AS VARCHAR))) AS h
+  FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+total AS (SELECT CAST(sum(source_size) AS BIGINT) AS n FROM s),
+w AS (
+  SELECT *, CAST(list_extract([3, 1, 2], CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS INTEGER)) AS DOUBLE) AS weight,
+         source_size * CAST(2 AS DOUBLE) AS cap FROM s),
+l AS (
+  SELECT *, ((SELECT n FROM total) * CAST(1.5 AS DOUBLE)
+             - coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+         / sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
+top AS (SELECT max(level) AS level FROM l WHERE cap > level * weight),
+t AS (
+  SELECT source, source_size, CASE WHEN top.level IS NULL THEN cap ELSE least(cap, top.level * weight) END AS target FROM l, top),
+q AS (
+  SELECT d.doc_id, d.source, d.size, d.h, t.source_size, t.target,
+         CAST(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h, d.doc_id) AS BIGINT) AS cum
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+p AS (
+  SELECT *, pass * source_size + cum - size AS start FROM q, (VALUES (0), (1)) v(pass) WHERE size > 0),
+served AS (
+  SELECT *, (start + size) / target AS finish, least(size, CAST(ceil(target - start) AS BIGINT)) AS words FROM p WHERE start < target),
+stream AS (SELECT *, sum(words) OVER (ORDER BY finish, h, pass, doc_id ROWS UNBOUNDED PRECEDING) AS sent FROM served),
+b AS (SELECT CAST(floor(n * 1.5) AS BIGINT) AS budget FROM total),
+k AS (SELECT doc_id, sum(least(words, budget - (sent - words))) AS taken FROM stream, b WHERE budget > sent - words GROUP BY doc_id)
+SELECT q.doc_id, q.source, q.size, q.source_size, q.target, CAST(coalesce(k.taken, 0) AS BIGINT) AS taken
+FROM q LEFT JOIN k ON q.doc_id = k.doc_id
+"""
+
+
+@register("op10_source_mixing", MIX_SQL)
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document."""
     return mix_wfq.mix(documents(spark, sf_dir))
