@@ -34,6 +34,12 @@ def _table_files(catalog: DataFrame) -> dict[str, list[str]]:
     return out
 
 
+def _in_threads(run, units, threads: int = 4) -> list:
+    """Submit independent Spark jobs from a few threads."""
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        return list(pool.map(run, units))
+
+
 def _sidecars(catalog: DataFrame) -> dict[str, str]:
     return {r["data_name"]: r["path"] for r in cat.metadata_files(catalog).select("data_name", "path").collect()}
 
@@ -104,17 +110,19 @@ def write_profiles(spark: SparkSession, path: str, out_dir: str, sep: str = ",",
     """Entry 2 (profile only): a sidecar file ``metadata_<name>`` in
     ``out_dir`` for every data file that has none."""
     catalog = cat.file_catalog(spark, path)
-    todo = cat.files_without_metadata(catalog).select("path", "name").collect()
-    written = []
-    for r in todo:
+    todo = cat.files_without_metadata(catalog).select("path", "name").orderBy("path").collect()
+
+    def write(r) -> str | None:
         df = read_with_encodings(spark, r["path"], sep, multi_line, file_order=True, encoding=encoding)
         cols = [c for c in df.columns if c not in FILE_ORDER]
         meta = profile.profile(df, order=[F.col("_block"), F.col("_row")], columns=cols)
         target = f"{out_dir.rstrip('/')}/metadata_{r['name']}"
-        if not tables.path_exists(spark, target):
-            tables.write_metadata(meta, target)
-            written.append(target)
-    return written
+        if tables.path_exists(spark, target):
+            return None
+        tables.write_metadata(meta, target)
+        return target
+
+    return [t for t in _in_threads(write, todo) if t]
 
 
 def add_key_to_file(
@@ -265,8 +273,7 @@ def load_folder(spark: SparkSession, opts: LoadOptions, parallel_tables: int = 4
         facts = {r["path"]: (r["header"], r["encoding"]) for r in file_facts(spark, [p for _, ps in work for p in ps]).collect()} if work else {}
         # Tables are independent: their jobs are submitted from a few threads so
         # small tables do not leave the cluster idle.
-        with ThreadPoolExecutor(max_workers=max(1, min(parallel_tables, len(work) or 1))) as pool:
-            list(pool.map(lambda tw: _load_table(spark, opts, tw[0], tw[1], sidecars, facts), work))
+        _in_threads(lambda tw: _load_table(spark, opts, tw[0], tw[1], sidecars, facts), work, parallel_tables)
     listing_rows = cat.data_files(catalog).select("path", "table_name", "is_metadata")
     ledger = led.read_ledger(spark, opts.ledger)
     counts = ledger.groupBy("path").agg(F.max("n_rows").alias("n_rows"))
@@ -276,7 +283,10 @@ def load_folder(spark: SparkSession, opts: LoadOptions, parallel_tables: int = 4
 def split_folder(spark: SparkSession, path: str, out_dir: str, max_rows: int, sep: str = ",", encoding: str | None = None, multi_line: bool = False) -> None:
     """O-44 for a folder: every table written in ``out_dir`` as part files of
     at most ``max_rows`` rows, in file order, that load as one table."""
-    catalog = cat.file_catalog(spark, path)
-    for table, paths in _table_files(catalog).items():
+
+    def write(table_paths) -> None:
+        table, paths = table_paths
         df = read_with_encodings(spark, paths, sep, multi_line, file_order=True, encoding=encoding)
         write_parts(df, out_dir, max_rows, order=FILE_ORDER, drop=FILE_ORDER, table=table, sep=sep)
+
+    _in_threads(write, _table_files(cat.file_catalog(spark, path)).items())

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,7 +33,7 @@ def ingest_stream(
     ledger_path: str,
     meta=None,
     archive_dir: str | None = None,
-    max_files_per_trigger: int = 1,
+    max_files_per_trigger: int = 100,
     sep: str = ",",
     glob: str = "*.csv",
     multi_line: bool = False,
@@ -63,7 +64,8 @@ def ingest_stream(
     key = names[0] if meta is None else (meta[0][0] if not isinstance(meta, DataFrame) else None)
 
     def put_batch(batch: DataFrame, batch_id: int) -> None:
-        b = batch.withColumn("_row", F.monotonically_increasing_id())
+        # read once for the keys, the put and the ledger's counts
+        b = batch.withColumn("_row", F.monotonically_increasing_id()).persist(StorageLevel.MEMORY_AND_DISK)
         typed = apply_metadata(b, meta, keep=("_file", "_block", "_row")) if meta is not None else b
         k = key or typed.columns[0]
         tables.upsert_table(spark, table_path, typed, k, order=[F.col("_file"), F.col("_block"), F.col("_row")], rows_per_bucket=rows_per_bucket)
@@ -74,6 +76,7 @@ def ingest_stream(
             counts.select("path", table_name_of(base_name(F.col("path"))).alias("table_name"), "n_rows", F.lit("done").alias("status"),
                           F.lit(f"batch {batch_id}").alias("message")),
         )
+        b.unpersist()
 
     q = stream.writeStream.foreachBatch(put_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
