@@ -168,3 +168,43 @@ def license_scan(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(c, k) for c, k in zip(cols, kinds)]], ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"])
 
     return texts(docs).mapInArrow(run, "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double")
+
+
+def oracle_sql(templates=TEMPLATES) -> str:
+    """The scan as DuckDB SQL: every place of every template in every text."""
+
+    def words(ws) -> str:
+        return "[" + ", ".join("'" + w.decode() + "'" for w in ws) + "]"
+
+    places, template_words = [], []
+    for t, x in enumerate(templates):
+        stands = " AND ".join(f"s + {at} >= 0 AND w[s + {at + 1} : s + {at + len(key)}] = {words(key)}" for at, key in x.keys)
+        places.append(f"SELECT n, {t} AS t, '{x.label}' AS label, {x.base} AS base, w, unnest(list_filter(range(-{len(x.words)}, len(w)), lambda s: {stands})) AS start FROM d")
+        template_words += [f"({t}, {i}, '{w.decode()}')" for i, w in enumerate(x.words)]
+    vocabulary = ", ".join(f"('{w.decode()}')" for w in sorted(licence_words(templates)))
+    union = "\n  UNION ALL ".join(places)
+    return rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS n, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+seen AS (SELECT word, count(*) AS df FROM (SELECT DISTINCT n, unnest(w) AS word FROM d) GROUP BY word),
+idf AS (
+  SELECT v.word, ln(((SELECT count(*) FROM d) + 1) / (coalesce(df, 0) + 1)) + 1 AS idf
+  FROM (VALUES {vocabulary}) v(word) LEFT JOIN seen ON seen.word = v.word),
+tw AS (SELECT t, i, x.word, idf FROM (VALUES {', '.join(template_words)}) x(t, i, word) JOIN idf ON idf.word = x.word),
+places AS (
+  {union}),
+shares AS (
+  SELECT p.n, p.label, p.base, p.t, p.start,
+         sum(CASE WHEN start + i >= 0 AND start + i < len(w) AND w[start + i + 1] = tw.word THEN idf ELSE 0 END) / sum(idf) AS share
+  FROM places p JOIN tw ON tw.t = p.t GROUP BY p.n, p.label, p.base, p.t, p.start),
+found AS (
+  SELECT n, count(*) FILTER (WHERE base) AS n_base, min(start) FILTER (WHERE base) AS first_word, max(start) FILTER (WHERE base) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels,
+         0.5 + 0.5 * coalesce(max(share) FILTER (WHERE NOT base), 0) AS score
+  FROM shares GROUP BY n)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, CAST(first_word AS BIGINT) AS first_word,
+       CAST(last_word AS BIGINT) AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       CAST(round(least(coalesce(score, 0), 1), 6) AS DOUBLE) AS score
+FROM d LEFT JOIN found ON found.n = d.n
+"""

@@ -37,10 +37,10 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontam_qgram.contaminated(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
 
 
-@register("op2_license_scan")
+@register("op2_license_scan", license_scan.oracle_sql())
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence phrases and notices of every document."""
-    return license_scan.license_scan(documents(spark, sf_dir))
+    return license_scan.license_scan(documents(spark, sf_dir)).withColumn("score", F.round("score", 6))
 
 
 @register("op3_pii_bootstrap")
