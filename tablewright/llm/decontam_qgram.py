@@ -143,16 +143,20 @@ class BenchmarkIndex:
                 start = stop
 
     def bands(self, codes):
-        """(item, lowest diagonal, highest diagonal) of bands with enough
-        shared q-grams. A band is two widths of diagonals, and bands overlap
-        by one width, so diagonals at most k apart meet in a band."""
+        """(text, item, lowest diagonal, highest diagonal) of bands with
+        enough shared q-grams; diagonals count from the text's start. A band
+        is two widths of diagonals, and bands overlap by one width, so
+        diagonals at most k apart meet in a band."""
         import numpy as np
 
+        ends = np.flatnonzero(codes == 0)
+        starts = np.concatenate([[0], ends[:-1] + 1])
+        span, middle, n_items = np.int64(1) << np.int64(31), np.int64(1) << np.int64(30), np.int64(max(1, len(self.ids)))
         kept_keys, kept_n = [], []
-        shift = np.int64(1) << np.int64(40)
         for text_at, item, item_at in self.hits(codes):
-            band = (text_at - item_at + shift // 2) // self.width[item]
-            key = item * shift + band
+            text = np.searchsorted(ends, text_at)
+            band = (text_at - starts[text] - item_at) // self.width[item] + middle
+            key = (text * n_items + item) * span + band
             keys, n = np.unique(np.concatenate([key, key - 1]), return_counts=True)
             kept_keys.append(keys)
             kept_n.append(n)
@@ -160,11 +164,11 @@ class BenchmarkIndex:
             return []
         keys, where = np.unique(np.concatenate(kept_keys), return_inverse=True)
         n = np.bincount(where, np.concatenate(kept_n))
-        item = keys // shift
+        text, item = np.divmod(keys // span, n_items)
         good = n >= self.needed[item]
-        item, band = item[good], keys[good] - item[good] * shift
-        low = band * self.width[item] - shift // 2
-        return list(zip(item.tolist(), low.tolist(), (low + 2 * self.width[item] - 1).tolist()))
+        text, item = text[good], item[good]
+        low = (keys[good] % span - middle) * self.width[item]
+        return list(zip(text.tolist(), item.tolist(), low.tolist(), (low + 2 * self.width[item] - 1).tolist()))
 
     def verified(self, codes, item: int, low: int, high: int):
         """(edits, region size, text place) of the item's best region inside
@@ -217,13 +221,11 @@ def find_regions(index: BenchmarkIndex, batch: list[str]) -> list[tuple]:
     codes = normalised(batch)
     ends = np.flatnonzero(codes == 0)
     best: dict[tuple, tuple] = {}
-    for item, low, high in index.bands(codes):
-        middle = (low + high) // 2 + len(index.codes[item]) // 2
-        for row in {int(np.searchsorted(ends, min(max(0, p), len(codes) - 1))) for p in (low, middle, high + len(index.codes[item]))}:
-            a = int(ends[row - 1]) + 1 if row else 0
-            got = index.verified(codes[a : int(ends[row])], item, low - a, high - a)
-            if got and (got < best.get((row, item), (1 << 30,))):
-                best[(row, item)] = got
+    for row, item, low, high in index.bands(codes):
+        text = codes[int(ends[row - 1]) + 1 if row else 0 : int(ends[row])]
+        got = index.verified(text, item, low, high)
+        if got and got < best.get((row, item), (1 << 30,)):
+            best[(row, item)] = got
     return [(row, index.ids[item], *got) for (row, item), got in sorted(best.items())]
 
 

@@ -94,6 +94,16 @@ def test_decontamination_finds_planted_items_and_blocks_agree(spark, texts):
     assert {(r.doc_id, r.item_id) for r in in_blocks.collect()} == got
 
 
+def test_regions_of_a_long_item_in_many_short_texts(texts):
+    item = " ".join(re.findall(r"[^\W_]+", " ".join(list(texts.values())[:8]).lower()))[:4000].strip()
+    index = decontam_qgram.BenchmarkIndex([(7, item)])
+    docs, held = [], set()
+    for s in range(0, len(item) - decontam_qgram.REGION, 50):
+        docs += ["tiny", item[s : s + decontam_qgram.REGION].upper(), ""]
+        held.add(len(docs) - 2)
+    assert {r[0] for r in decontam_qgram.find_regions(index, docs)} == held
+
+
 # --- 2: licences ----------------------------------------------------------
 def test_license_scan_against_all_places(spark):
     rng = random.Random(3)
