@@ -7,7 +7,9 @@ comparison). If two fingerprints differ in at most 3 bits, one half differs
 in at most 1. So each distinct fingerprint lies, per half, at its home anchor
 and is replicated to every anchor within covering radius plus that threshold,
 2 bits (at most 16); home rows meet replicas per anchor and the whole 64 bits
-are compared. Copies share one fingerprint and are collapsed first.
+are compared. Copies share one fingerprint and are collapsed first. Distinct
+fingerprints have at most 43,744 others within 3 bits, so links grow with the
+number of fingerprints, not with its square.
 
 Nulls and edges: a null or word-less text has fingerprint zero and is linked
 like any other; a class of documents without ids has a null component id;
