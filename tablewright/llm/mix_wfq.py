@@ -68,6 +68,11 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share
     return per.select("source", "source_size", "target")
 
 
+def shuffle_key(doc_id):
+    """A document's place in its source's queue: a seeded hash of its id."""
+    return F.md5(F.concat(F.lit(SEED), F.coalesce(doc_id.cast("string"), F.lit(""))).cast("binary"))
+
+
 def running_sum(rows: DataFrame, order: list[str], value: str, by: list[str], name: str) -> DataFrame:
     """``rows`` with ``name``: the sum of ``value`` over the rows of the same
     ``by`` up to and with this one, in ``order`` (which starts with ``by``).
@@ -93,7 +98,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
     document in the mix, its repeats counted), a row per document."""
     sizes = written(sized(docs).withColumn("row", F.monotonically_increasing_id()), "mix-sizes")
     targets = written(source_targets(sizes, weights, share, max_repeats).coalesce(1), "mix-targets")
-    queued = sizes.withColumn("shuffled", F.md5(F.concat(F.lit(SEED), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary")))
+    queued = sizes.withColumn("shuffled", shuffle_key(F.col("doc_id")))
     queued = running_sum(queued, ["source", "shuffled", "doc_id", "size", "row"], "size", ["source"], "cum")
     of_source = targets.select(F.col("source").alias("_source"), "source_size", "target")
     queued = queued.join(of_source, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
@@ -120,21 +125,36 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share
     """The mix itself, with the columns of ``docs``: a row for each time a
     document is taken, and the document a source has in service at the cut
     with the words it was given (its ``n_chars``, if there, made to fit).
-    Rows that repeat an id are given their shares in order of size and
-    text."""
-    shares = written(mix(docs, weights, share, max_repeats).select("doc_id", "size", "taken"), "mix-shares")
-    repeated = shares.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL")
-    # the document travels as one struct, so its columns clash with nothing here
+
+    A source's queue is taken up to one place, so the mix is stated by one
+    row per source: the whole passes and the last document of the next. Texts
+    stay where they are and look up their source. Rows that repeat an id, or
+    have none, are given their shares in order of size and text instead,
+    which shuffles them."""
+    shares = written(mix(docs, weights, share, max_repeats), "mix-shares")
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    rows = docs.select(F.struct(*docs.columns).alias("doc"), F.col("doc_id").alias("id"), F.col("text").alias("body"), size.alias("words"))
-    given = shares.select(F.col("doc_id").alias("of"), "taken")
-    same = F.col("id") == F.col("of")
-    if not repeated.isEmpty():
+    # the document travels as one struct, so its columns clash with nothing here
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), F.col("doc_id").alias("id"), F.col("source").alias("queue"), F.col("text").alias("body"), size.alias("words"))
+    if shares.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").isEmpty():
+        whole = F.floor(F.col("target") / F.col("source_size"))
+        place = F.struct(shuffle_key(F.col("doc_id")).alias("key"), "doc_id", "taken")
+        per = shares.where("size > 0").withColumn("whole", whole).groupBy("source").agg(
+            F.max("whole").alias("whole"), F.max(F.when(F.col("taken") > F.col("whole") * F.col("size"), place)).alias("last")
+        )
+        per = written(per.withColumnRenamed("source", "of").coalesce(1), "mix-cuts")
+        mine, last = F.struct(shuffle_key(F.col("id")).alias("key"), F.col("id").alias("doc_id")), F.struct("last.key", "last.doc_id")
+        taken = (
+            F.when(F.col("last").isNull() | (mine > last), F.col("whole") * F.col("words"))
+            .when(mine < last, (F.col("whole") + 1) * F.col("words"))
+            .otherwise(F.col("last.taken"))
+        )
+        rows = rows.join(per, F.col("queue").eqNullSafe(F.col("of"))).withColumn("taken", taken)
+    else:
         rows = rows.withColumn("copy", F.row_number().over(Window.partitionBy("id").orderBy("words", F.xxhash64("body"))))
         nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("size", "taken"))
         given = shares.select(F.col("doc_id").alias("of"), "taken", nth.alias("nth"))
-        same = F.col("id").eqNullSafe(F.col("of")) & (F.col("copy") == F.col("nth"))
-    rows = rows.join(given.where("taken > 0"), same)
+        rows = rows.join(given, F.col("id").eqNullSafe(F.col("of")) & (F.col("copy") == F.col("nth")))
+    rows = rows.where("words > 0 AND taken > 0")
     rows = rows.withColumn("served", F.explode(F.expr("transform(sequence(0L, (taken - 1) div words), p -> least(words, taken - p * words))")))
     cut = F.col("served") < F.col("words")
     pieces = F.slice(F.regexp_extract_all("body", F.lit(f"[\\x20\\x09-\\x0D]*{WORD}"), F.lit(0)), F.lit(1), F.col("served").cast("int"))
