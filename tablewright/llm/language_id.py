@@ -155,10 +155,15 @@ def train(docs: DataFrame, learnable: Column | None = None, sample_rows: int = 3
     given = docs.select("doc_id", "lang").where("doc_id IS NOT NULL AND lang IS NOT NULL")
     if learnable is not None:
         given = given.where(learnable)
-    n_langs = given.agg(F.count_distinct("lang")).first()[0]
-    each = max(1, sample_rows // max(1, n_langs))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = given.withColumn("k", F.row_number().over(order)).where(F.col("k") <= each).select("doc_id", "lang", "k")
+    sizes = written(given.groupBy("lang").agg(F.count("*").alias("n")).coalesce(1), "language-sizes")
+    each = max(1, sample_rows // max(1, sizes.count()))
+    # of a frequent language only low hashes, about four times what is needed,
+    # go into the ranking: no task ranks a whole language
+    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.col("share") * (1 << 30)
+    shares = sizes.select(F.col("lang").alias("_lang"), F.least(F.lit(1.0), F.lit(4.0 * each) / F.col("n")).alias("share"))
+    drawn = given.join(shares, F.col("lang") == F.col("_lang")).where(draw)
+    order = Window.partitionBy("lang").orderBy(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)), "doc_id")
+    picked = drawn.withColumn("k", F.row_number().over(order)).where(F.col("k") <= each).select("doc_id", "lang", "k")
     picked = written(picked.orderBy("k", "lang").limit(sample_rows).select("doc_id", F.col("lang").alias("given")).coalesce(1), "language-sample")
 
     def run(batches) -> Iterator:
