@@ -24,8 +24,11 @@ from __future__ import annotations
 import os
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from operator import sub
+from os.path import commonprefix
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,11 +46,23 @@ SPACE_OR_CHUNK = re.compile(r"[ \t-\r]+|[^ \t-\r]+")
 LATIN_WORD = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 WORD_SIGNS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]+)")
 #: Distinct pieces kept per worker and generation.
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES = 300_000
+
+#: Token pairs whose standing is remembered per worker.
+MOST_PAIRS = 400_000
+#: A token's last symbols that index its possible sizes; shorter tokens are
+#: always tried.
+TAIL = 4
+SHORT = (3, 2, 1)
 
 _COUNTERS: dict = {}
 
 
+def steps(counts: list[int]) -> bytes:
+    """Counts as 16-bit changes from each to the next."""
+    return array("h", map(sub, counts, [0, *counts])).tobytes()
+
+
 @lru_cache(maxsize=1)
 def combining_seconds() -> frozenset[str]:
     """Characters that may join the one before them in composed form."""
@@ -96,11 +111,12 @@ class PrefixCounter:
         with open(path, encoding="utf-8") as f:
             model = json.load(f)["model"]
         self.rank = {tuple(m) if isinstance(m, list) else tuple(m.split(" ")): i for i, m in enumerate(model["merges"])}
-        self.inner = {t for t in model["vocab"] if not t.endswith(END)}
-        self.final = {t[: -len(END)] for t in model["vocab"] if t.endswith(END)}
+        # token -> which tokens may stand before it ("": none), as learned
+        self.inner = {t: {"": True} for t in model["vocab"] if not t.endswith(END)}
+        self.final = {t[: -len(END)]: {"": True} for t in model["vocab"] if t.endswith(END)}
         self.inner_sizes, self.final_sizes = self._sizes(self.inner), self._sizes(self.final)
         self.solved: tuple = ("", [""], [0], [0])
-        self.adjacent: dict = {}
+        self.pairs = 0
         self.special = re.compile("|".join(re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()) or r"(?!)")
         self.pieces = regex.compile(PIECES)
         self.letter, self.number = regex.compile(r"\p{L}"), regex.compile(r"\p{N}")
@@ -109,14 +125,14 @@ class PrefixCounter:
         self.tables = _Tables(self._table, {})
 
     @staticmethod
-    def _sizes(tokens: set[str]) -> dict[str, tuple[int, ...]]:
-        """Last three symbols -> sizes of the tokens that can end in them,
-        longest first."""
+    def _sizes(tokens) -> dict[str, tuple[int, ...]]:
+        """Last symbols -> sizes of the tokens that can end in them, longest
+        first."""
         by: dict[str, set[int]] = {}
         for t in tokens:
-            if len(t) >= 3:
-                by.setdefault(t[-3:], set()).add(len(t))
-        return {tail: tuple(sorted(sizes | {1, 2}, reverse=True)) for tail, sizes in by.items()}
+            if len(t) >= TAIL:
+                by.setdefault(t[-TAIL:], set()).add(len(t))
+        return {tail: (*sorted(sizes, reverse=True), *SHORT) for tail, sizes in by.items()}
 
     # --- the dynamic programme -------------------------------------------
     def _merged(self, parts: list[str]) -> list[str]:
@@ -130,17 +146,11 @@ class PrefixCounter:
 
     def _stays(self, left: str, right: str, last: bool) -> bool:
         """Do these two tokens stand side by side after merging?"""
-        key = (left, right, last)
-        known = self.adjacent.get(key)
-        if known is None:
-            parts = list(left + right)
-            if last:
-                parts[-1] += END
-            known = self._merged(parts) == [left, right + END * last]
-            if len(self.adjacent) >= 500_000:
-                self.adjacent.clear()
-            self.adjacent[key] = known
-        return known
+        parts = list(left + right)
+        if last:
+            parts[-1] += END
+        self.pairs += 1
+        return self._merged(parts) == [left, right + END * last]
 
     def pretoken_counts(self, piece: str) -> list[int]:
         """Token counts of every prefix of one normalised pre-token. What the
@@ -148,53 +158,57 @@ class PrefixCounter:
         in sorted order where many are solved."""
         word = symbols(piece)
         n = len(word)
-        ends = None
-        if n != len(piece):
-            ends, at = set(), 0
-            for c in piece:
-                at += len(c.encode())
-                ends.add(at)
         before, last, count, whole = self.solved
-        same = 0
-        for x, y in zip(word, before):
-            if x != y:
-                break
-            same += 1
+        same = len(commonprefix((word, before)))
         del last[same + 1 :], count[same + 1 :], whole[same + 1 :]
-        adjacent, stays = self.adjacent, self._stays
+        inner, final, inner_sizes, final_sizes = self.inner, self.final, self.inner_sizes, self.final_sizes
         for i in range(same + 1, n + 1):
-            tail = word[max(0, i - 3) : i]
-            for size in self.inner_sizes.get(tail, (2, 1)) if i >= 3 else range(i, 0, -1):
+            tail = word[i - TAIL : i] if i >= TAIL else ""
+            for size in inner_sizes.get(tail, SHORT):
                 j = i - size
+                if j < 0:
+                    continue
                 t = word[j:i]
-                if j >= 0 and t in self.inner:
-                    known = j == 0 or adjacent.get((last[j], t, False))
-                    if known or known is None and stays(last[j], t, False):
+                after = inner.get(t)
+                if after is not None:
+                    known = after.get(last[j])
+                    if known is None:
+                        known = after[last[j]] = self._stays(last[j], t, False)
+                    if known:
                         last.append(t)
                         count.append(count[j] + 1)
                         break
-            for size in self.final_sizes.get(tail, (2, 1)) if i >= 3 else range(i, 0, -1):
+            for size in final_sizes.get(tail, SHORT):
                 j = i - size
+                if j < 0:
+                    continue
                 t = word[j:i]
-                if j >= 0 and t in self.final:
-                    known = j == 0 or adjacent.get((last[j], t, True))
-                    if known or known is None and stays(last[j], t, True):
+                after = final.get(t)
+                if after is not None:
+                    known = after.get(last[j])
+                    if known is None:
+                        known = after[last[j]] = self._stays(last[j], t, True)
+                    if known:
                         whole.append(count[j] + 1)
                         break
             else:
                 whole.append(0)  # inside a character: no text ends here
         self.solved = (word, last, count, whole)
-        return whole[1:] if ends is None else [whole[i] for i in range(1, n + 1) if i in ends]
+        if n == len(piece):
+            return whole[1:]
+        ends, out = 0, []
+        for c in piece:
+            ends += len(c.encode())
+            out.append(whole[ends])
+        return out
 
     def solve_words(self, words) -> None:
         """Tables of many Latin words, in sorted order."""
-        import numpy as np
-
         made: dict[str, list[str]] = {}
         for w in words:
             made.setdefault(w.lower(), []).append(w)
         for low in sorted(made):
-            table = np.diff(self.pretoken_counts(low), prepend=0).astype("<i2").tobytes()
+            table = steps(self.pretoken_counts(low))
             for w in made[low]:
                 self.tables[w] = table
 
@@ -269,11 +283,9 @@ class PrefixCounter:
         return out + [done + c for c in self._ordinary(chunk[at:])] if at < len(chunk) else out
 
     def _table(self, piece: str) -> bytes:
-        import numpy as np
-
         if piece[0] in " \t\n\r\v\f":
             return bytes(2 * len(piece))
-        return np.diff(self.chunk_counts(piece), prepend=0).astype("<i2").tobytes()
+        return steps(self.chunk_counts(piece))
 
     def changes(self, text: str) -> bytes:
         """One 16-bit change per code point."""
@@ -286,6 +298,11 @@ class PrefixCounter:
         """Solve the words that a batch of texts brings."""
         if len(self.tables) > self.cache_entries:
             self.tables = _Tables(self._table, dict(self.tables))
+        if self.pairs > MOST_PAIRS:
+            self.pairs = 0
+            for after in (*self.inner.values(), *self.final.values()):
+                after.clear()
+                after[""] = True
         have, older, new = self.tables, self.tables.older, set()
         for text in texts:
             for chunk in set(chunks_of(text)):
