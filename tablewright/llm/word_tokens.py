@@ -21,8 +21,8 @@ WORD = "[A-Za-zÀ-ÖØ-öø-ÿ]+"
 WORD_PUNCT = re.compile(f"({WORD})" + r"([!-&(-/:-@\[-`{-~]+)")
 WORD_ONLY = re.compile(WORD)
 #: Distinct words kept per worker and generation (two generations, each
-#: about 45 MB); the older generation goes when the newer one is full.
-CACHE_ENTRIES = 200_000
+#: about 70 MB); the older generation goes when the newer one is full.
+CACHE_ENTRIES = 260_000
 
 _ENCODERS: dict = {}
 
