@@ -7,8 +7,9 @@ edits shares at least ``m + 1 - q (k + 1)`` of its q-grams on diagonals (text
 place minus item place) that lie at most k apart. So each task looks up the
 q-grams of its texts in the benchmark's index, counts them per item in
 overlapping bands of diagonals, keeps bands that reach that number, and
-aligns the item's regions inside the band. Documents stay where they are;
-nothing is shuffled but the few matches.
+aligns inside the band the regions at every place of the item that reach it
+by themselves. Documents stay where they are; nothing is shuffled but the few
+matches.
 
 The benchmark is read in blocks of at most about ``block_chars`` characters,
 chosen by hash: each block's index is a broadcast of bounded size, and a
@@ -39,6 +40,10 @@ BLOCK_CHARS = 1 << 20
 #: Code units of text, and index hits, that are handled at a time.
 TEXT_BLOCK = 1 << 21
 HIT_BLOCK = 1 << 20
+#: Characters of the grams that a region must share before it is aligned.
+SHORT_Q = 5
+#: Region starts of an item that are aligned at a time.
+START_BLOCK = 1 << 12
 SCHEMA = "doc_id long, item_id long, edits int, region_chars int, text_place long"
 
 
@@ -172,45 +177,75 @@ class BenchmarkIndex:
 
     def verified(self, codes, item: int, low: int, high: int):
         """(edits, region size, text place) of the item's best region inside
-        a band, or None."""
+        a band, or None. Every region start is tried."""
+        import numpy as np
+
         whole, best = self.codes[item], None
         m = min(REGION, len(whole))
-        starts = list(range(0, len(whole) - m + 1, max(1, m // 2)))
-        if starts[-1] != len(whole) - m:
-            starts.append(len(whole) - m)
         k = edit_budget(m)
-        for s in starts:
-            a, b = max(0, s + low - k), min(len(codes), s + m + high + k)
-            if b - a < m - k:
+        for s in range(0, len(whole) - m + 1, START_BLOCK):
+            part = whole[s : s + START_BLOCK + m - 1]
+            # the text along the part on diagonals low - k to high + k; 0 beyond its ends
+            a, b = s + low - k, s + len(part) + high + k
+            if a >= len(codes) or b <= 0:
                 continue
-            edits, end = align(whole[s : s + m], codes[a:b], k)
-            if edits <= k and (best is None or edits < best[0]):
-                best = (edits, m, a + max(0, end - m))
-                if edits == 0:
+            text = np.zeros(b - a, dtype=np.uint8)
+            text[max(0, -a) : min(b, len(codes)) - a] = codes[max(0, a) : max(0, b)]
+            got = best_region(part, text, m, k)
+            if got and (best is None or got[0] < best[0]):
+                best = (got[0], m, max(0, a + got[1]))
+                if got[0] == 0:
                     break
         return best
 
 
-def align(pattern, text, k: int) -> tuple[int, int]:
-    """(edits, end in ``text``) of the substring nearest to ``pattern``. Rows
-    run over the pattern; ``text`` is the band and its margin, a few k wider
-    than the pattern. More than k edits need not be exact."""
+def _sums(x, n: int):
+    """The sums of n neighbours along the last axis."""
+    import numpy as np
+
+    ends = np.cumsum(x, axis=-1, dtype=np.int32)
+    ends[..., n:] -= ends[..., :-n].copy()
+    return ends[..., n - 1 :]
+
+
+def best_region(part, text, m: int, k: int) -> tuple[int, int] | None:
+    """(edits, place in ``text``) of the region of m characters of ``part``
+    that lies nearest to ``text`` on its diagonals, or None if none has at
+    most k edits. Only starts whose region has the shared q-grams that the
+    lemma demands, of Q and of SHORT_Q characters, are aligned, all of them at
+    once, and each as long as it has at most k edits."""
     import numpy as np
 
-    at = bytes(text).find(bytes(pattern))
-    if at >= 0:
-        return 0, at + len(pattern)
-    n = len(text)
-    steps = np.arange(n + 1)
-    row = np.zeros(n + 1, dtype=np.int64)  # a match may begin anywhere
-    for c in pattern:
-        new = row + 1
-        np.minimum(new[1:], row[:-1] + (text != c), out=new[1:])
-        row = np.minimum.accumulate(new - steps) + steps
-        if row.min() > k:
-            break
-    end = int(np.argmin(row))
-    return int(row[end]), end
+    n_diagonals = len(text) - len(part) + 1
+    differs = np.lib.stride_tricks.sliding_window_view(text, len(part)) != part  # diagonal, place in part
+    if differs.shape[1] < m:
+        return None
+    exact = _sums(differs, m) == 0
+    if exact.any():
+        start = int(np.argmax(exact.any(axis=0)))
+        return 0, start + int(np.argmax(exact[:, start]))
+    shared = (_sums(differs[k : n_diagonals - k], Q) == 0).sum(axis=0)
+    enough = _sums(shared, m - Q + 1) >= needed_hits(m)
+    if not enough.any():
+        return None
+    held = (_sums(differs, SHORT_Q) == 0).any(axis=0)
+    enough &= _sums(held, m - SHORT_Q + 1) >= m + 1 - SHORT_Q * (k + 1)
+    starts = np.flatnonzero(enough)
+    steps = np.arange(n_diagonals, dtype=np.int16)[:, None]
+    row = np.zeros((n_diagonals, len(starts)), dtype=np.int16)  # a match may begin on any diagonal
+    for i in range(m):
+        if i % 8 == 0:  # the least of a column never falls
+            alive = row.min(axis=0) <= k
+            if not alive.all():
+                row, starts = row[:, alive], starts[alive]
+            if not len(starts):
+                return None
+        new = row + differs[:, starts + i]
+        np.minimum(new[:-1], row[1:] + 1, out=new[:-1])
+        row = np.minimum.accumulate(new - steps, axis=0) + steps
+    edits = row.min(axis=0)
+    at = int(np.argmin(edits))
+    return (int(edits[at]), int(starts[at]) + int(np.argmin(row[:, at]))) if edits[at] <= k else None
 
 
 def find_regions(index: BenchmarkIndex, batch: list[str]) -> list[tuple]:

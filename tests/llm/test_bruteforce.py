@@ -104,6 +104,34 @@ def test_regions_of_a_long_item_in_many_short_texts(texts):
     assert {r[0] for r in decontam_qgram.find_regions(index, docs)} == held
 
 
+def test_a_region_is_found_at_every_place_of_an_item(texts):
+    item = " ".join(re.findall(r"[^\W_]+", " ".join(list(texts.values())[:2]).lower()))[:330].strip()
+    index = decontam_qgram.BenchmarkIndex([(7, item)])
+    docs = ["zq" + item[s : s + decontam_qgram.REGION].strip() + "zq" for s in range(len(item) - decontam_qgram.REGION + 1)]
+    whole = {i for i, d in enumerate(docs) if len(d) == decontam_qgram.REGION + 4}
+    assert len(whole) > 150 and whole <= {r[0] for r in decontam_qgram.find_regions(index, docs) if r[2] == 0}
+
+
+def test_edits_of_the_nearest_region_over_every_start(texts):
+    rng = random.Random(11)
+    item = " ".join(re.findall(r"[^\W_]+", " ".join(list(texts.values())[2:4]).lower()))[:150].strip()
+    index, m = decontam_qgram.BenchmarkIndex([(7, item)]), decontam_qgram.REGION
+    docs, want = [], {}
+    for i in range(24):
+        s = rng.randrange(len(item) - m - 5)
+        part = list(item[s : s + m + rng.randrange(6)])
+        for _ in range(rng.randrange(4, 13)):
+            at = rng.randrange(len(part))
+            part[at : at + 1] = rng.choice([[], ["x"], [part[at], "y"]])
+        docs.append("qj" + "".join(part) + "jq")
+        norm = bytes(decontam_qgram.normalised([docs[-1]]))[:-1]
+        codes = bytes(index.codes[0])
+        edits = min(nearest(codes[p : p + m], norm) for p in range(len(codes) - m + 1))
+        if edits <= decontam_qgram.edit_budget(m):
+            want[i] = edits
+    assert {r[0]: r[2] for r in decontam_qgram.find_regions(index, docs)} == want and 5 < len(want) < 24
+
+
 # --- 2: licences ----------------------------------------------------------
 def test_license_scan_against_all_places(spark):
     rng = random.Random(3)
