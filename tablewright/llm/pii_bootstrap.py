@@ -8,8 +8,9 @@ rounds: a pattern's confidence is the scored share of all that follows it in
 the corpus, an instance's score the noisy-or of its patterns. Identifiers in
 patterns of high confidence, base entities or not, are the result.
 
-What follows a pattern is counted over all texts for patterns that have
-enough instances; a fixed-size bit table picks candidates on the workers, and
+What follows a pattern (a word, a token inside a word as in "card #4111", an
+identifier) is counted over all texts for patterns that have enough
+instances, with the pattern cut as before an identifier; a fixed-size bit table picks candidates on the workers, and
 a join makes the choice exact. Edges and scores stay in Spark tables.
 
 Nulls and edges: a null text is empty (no spans); rows that repeat are each
@@ -42,6 +43,10 @@ TOKEN_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012
 #: Words of a context: up to white space, or with the sign that ends a label.
 CONTEXT_WORD = re.compile(r"[^\s:=]*[:=]|[^\s:=]+")
 TRIM = "\"'`()[]{}<>,;.!?*"
+#: Signs before a token that do not belong to it, and the starts of tokens
+#: inside a word: after such signs at its start, or after a sign of no token.
+LEAD = "._@/+-"
+INNER = re.compile(r"(?:^[_.@/+-]+|(?<=[^A-Za-z0-9_.@/+-])[_.@/+-]*)(?=[A-Za-z0-9])")
 #: Characters before an identifier in which its two words are looked for.
 REACH = 80
 TABLE_BITS = 20
@@ -93,7 +98,7 @@ def spans_text(spans) -> str:
 
 
 def context_words(text: str) -> list[str]:
-    return [w for w in (x.strip(TRIM) for x in CONTEXT_WORD.findall(text.lower())) if w]
+    return [w for w in (x.strip(TRIM).lower() for x in CONTEXT_WORD.findall(text)) if w]
 
 
 def pattern_before(text: str, start: int) -> str | None:
@@ -102,6 +107,41 @@ def pattern_before(text: str, start: int) -> str | None:
     return " ".join(words[-2:]) if len(words) >= 2 else None
 
 
+def patterns_before(text: str, starts: list[int]) -> list[str]:
+    """The pattern before every word, every token inside a word and every
+    identifier (its places in order in ``starts``), once for each place."""
+    out, n, i = [], len(starts), 0
+    older = newer = None
+    older_at = newer_at = 0
+    for m in CONTEXT_WORD.finditer(text):
+        raw, at, end = m[0], m.start(), m.end()
+        word = raw.strip(TRIM)
+        if not word:
+            continue
+        head = at + len(raw) - len(raw.lstrip(TRIM))
+        if older is not None:
+            # REACH cuts long words, also before an identifier
+            before = f"{older} {newer}" if head - older_at <= REACH else pattern_before(text, head)
+            if before:
+                out.append(before)
+        plain = word.isascii() and word.isalnum()
+        if newer is not None and (not plain or (i < n and starts[i] < end)):
+            places = [] if plain else [at + x.end() for x in INNER.finditer(raw[: REACH + 1])]
+            while i < n and starts[i] < end:
+                places.append(starts[i])
+                i += 1
+            for place in sorted(set(places)):
+                prefix = text[at:place].strip(TRIM).lower()
+                if prefix:  # else the word itself
+                    before = f"{newer} {prefix}" if place - newer_at <= REACH else pattern_before(text, place)
+                    if before:
+                        out.append(before)
+        older, older_at, newer, newer_at = newer, newer_at, word.lower(), at
+        while i < n and starts[i] < end:
+            i += 1
+    return out
+
+
 def other_identifiers(text: str, base) -> list[tuple[int, int]]:
     """(start, end) of identifier-like tokens that no base span overlaps."""
     out, done, i = [], 0, 0
@@ -115,8 +155,8 @@ def other_identifiers(text: str, base) -> list[tuple[int, int]]:
             b += 1
         done = b
         token = text[a:b]
-        a += len(token) - len(token.lstrip("._@/+-"))
-        token = text[a:b].rstrip("._@/+-")
+        a += len(token) - len(token.lstrip(LEAD))
+        token = text[a:b].rstrip(LEAD)
         b = a + len(token)
         if len(token) < 4 or sum(c.isdigit() for c in token) < 2:
             continue
@@ -156,9 +196,9 @@ def _slot(pattern: str) -> int:
 
 
 def pattern_totals(docs: DataFrame, patterns: DataFrame) -> DataFrame:
-    """(pattern, total): how often the corpus has a word after each of
-    ``patterns``. Workers count pairs of words whose hash is in a bit table
-    of fixed size; the join leaves the patterns asked for."""
+    """(pattern, total): how often the corpus has a word, token or identifier
+    after each of ``patterns``. Workers count pairs whose hash is in a bit
+    table of fixed size; the join leaves the patterns asked for."""
     spark = docs.sparkSession
     slots = patterns.select(F.crc32(F.col("pattern").cast("binary")).bitwiseAND(F.lit((1 << TABLE_BITS) - 1).cast("long")).alias("slot")).distinct()
     table = bytearray(1 << TABLE_BITS)
@@ -175,8 +215,9 @@ def pattern_totals(docs: DataFrame, patterns: DataFrame) -> DataFrame:
         bits, crc, mask, counts = wanted.value, zlib.crc32, (1 << TABLE_BITS) - 1, {}
         for b in batches:
             for text in b.column(0).to_pylist():
-                words = context_words(text)
-                for pair in map(" ".join, zip(words, words[1:-1])):
+                base = base_spans(text)
+                starts = sorted({a for a, *_ in base} | {a for a, _ in other_identifiers(text, base)})
+                for pair in patterns_before(text, starts):
                     if bits[crc(pair.encode("utf-8", "surrogatepass")) & mask]:
                         counts[pair] = counts.get(pair, 0) + 1
             if len(counts) > 100_000:

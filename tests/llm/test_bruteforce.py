@@ -187,6 +187,28 @@ def test_bootstrap_finds_unseen_identifiers_by_context(spark):
         assert got[d].base_sha256 == hashlib.sha256(base.encode()).hexdigest()
 
 
+def test_totals_cover_every_identifier_in_its_pattern(texts):
+    odd = ["pay by card #99887766 and card #-7712, card \u201c4012888888881881\u201d", "\u8acb\u806f\u7d61 \u90f5\u7bb1a1@b.com foo acct4012888888881881 or tel+15551234567", "see " + "w" * 90 + " ref 88120 (id:\"77120\") \u0130d \u0391\u03a3\u0391\u03a3 \u03a34411"]
+    for text in [*odd, *list(texts.values())[:150]]:
+        base = pii_bootstrap.base_spans(text)
+        starts = sorted({a for a, *_ in base} | {a for a, _ in pii_bootstrap.other_identifiers(text, base)})
+        want = Counter(p for p in (pii_bootstrap.pattern_before(text, a) for a in starts) if p)
+        got = Counter(pii_bootstrap.patterns_before(text, starts))
+        assert all(got[p] >= n for p, n in want.items()), want - got
+    places = pii_bootstrap.patterns_before("my card #one my card #two", [])
+    assert places.count("card #") == 2 and places.count("my card") == 2 and places.count("card #one") == 1
+
+
+def test_identifiers_that_touch_their_pattern_are_found(spark):
+    cards = ["4012888888881881", "4111111111111111", "5555555555554444", "378282246310005"]
+    docs = [(i, f"please use my card #{c} and \u8acb\u806f\u7d61 \u90f5\u7bb1a{i}@b.com or go to \u201cx{i}@b.com\u201d now") for i, c in enumerate(cards)]
+    docs += [(10, "please use my card #99887766 now"), (11, "\u8acb\u806f\u7d61 \u90f5\u7bb1zz9911 now"), (12, "or go to \u201cqq7788\u201d now")]
+    docs += [(20 + i, f"play the game #{c} now") for i, c in enumerate(cards)] + [(30 + i, "the game #winning team") for i in range(30)] + [(70, "the game #99887766 now")]
+    got = {r.doc_id: r for r in pii_bootstrap.personal_data(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    found = {d: [docs_text[int(a) : int(b)] for k, a, b in (x.split(":") for x in got[d].spans.split(",") if x) if k == "id"] for d, docs_text in docs}
+    assert (found[10], found[11], found[12], found[70]) == (["99887766"], ["zz9911"], ["qq7788"], [])
+
+
 # --- 4: token files -------------------------------------------------------
 def test_chunk_encoder_against_library():
     tok, enc = library(), word_tokens.ChunkEncoder(TOKENIZER, cache_entries=500)
