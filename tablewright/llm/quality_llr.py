@@ -28,6 +28,9 @@ BLANKS = " \t\n\x0b\x0c\r"
 #: Buckets of the multinomials: the size of every table that is broadcast.
 BUCKETS = 1 << 16
 MIN_WORDS = 50
+#: Repeated windows of a text that are looked up one by one; a text with more
+#: has its windows sorted (the same result).
+FEW_REPEATS = 32
 #: Ids of trusted documents that are broadcast; beyond it they are joined.
 BROADCAST_IDS = 2_000_000
 THRESHOLD = -0.1
@@ -43,48 +46,60 @@ def with_words(docs: DataFrame, *more: str | Column) -> DataFrame:
     return docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.coalesce("text", F.lit("")).alias("text"), words(F.col("text")).alias("w"), *more)
 
 
-def ngram_buckets(w: Column) -> Column:
-    """Bucket of every word and every pair of neighbouring words."""
-    single = F.transform(w, lambda x: F.pmod(F.xxhash64(x), F.lit(BUCKETS)).cast("int"))
-    pair = F.transform(F.arrays_zip(F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0))).alias("a"), F.slice(w, 2, F.greatest(F.size(w) - 1, F.lit(0))).alias("b")), lambda x: F.pmod(F.xxhash64(x["a"], x["b"]), F.lit(BUCKETS)).cast("int"))
-    return F.concat(single, pair)
-
-
-def repeated_words(rows: DataFrame) -> Column:
-    """Words inside 3-word windows that the text has twice or more: windows
-    are sorted by hash within the row, equal neighbours are repeats, and the
-    words they cover are counted along their sorted places."""
-    return F.expr(
-        """
-        CASE WHEN size(w) < 4 THEN 0L ELSE aggregate(
-          array_sort(transform(filter(
-            transform(sorted_windows, (x, i) -> struct(
-              x.p AS p,
-              coalesce(x.h = get(sorted_windows, i - 1).h, false) OR coalesce(x.h = get(sorted_windows, i + 1).h, false) AS twice)),
-            x -> x.twice), x -> x.p)),
-          struct(0L AS n, -3 AS last),
-          (s, p) -> struct(s.n + least(3, p - s.last) AS n, p AS last),
-          s -> s.n) END
-        """
-    )
+def ngrams(rows: DataFrame, *keep: str) -> DataFrame:
+    """A row per word of ``w``: ``single``, the word's bucket, and ``pair``,
+    that of the word and the next (null at the last). A text without words
+    keeps one row of nulls."""
+    places = rows.select(*keep, "w", F.posexplode_outer("w").alias("at", "word"))
+    single = F.pmod(F.xxhash64("word"), F.lit(BUCKETS)).cast("int")
+    following = F.get("w", F.col("at") + 1)
+    pair = F.pmod(F.xxhash64("word", following), F.lit(BUCKETS)).cast("int")
+    return places.select(*keep, F.when(F.col("at").isNotNull(), single).alias("single"), F.when(following.isNotNull(), pair).alias("pair"))
+
+
+def with_repeats(rows: DataFrame) -> DataFrame:
+    """``n_repeat_words`` of ``w``: words inside 3-word windows that the text
+    has twice or more. A text whose window hashes are all different ends
+    there. Where few of them repeat, each window is looked up among those;
+    else windows are sorted by hash and equal neighbours are repeats. Both
+    ways give the places of repeats; the words they cover are counted along
+    them."""
+    keep = rows.columns
+    hashes = "CASE WHEN size(w) >= 4 THEN transform(sequence(0, size(w) - 3), i -> xxhash64(w[i], w[i + 1], w[i + 2])) END"
+    ordered = "CASE WHEN size(array_distinct(h)) < size(h) THEN sort_array(h) END"
+    twice = "array_distinct(filter(ordered, (x, i) -> x = get(ordered, i + 1)))"
+    looked_up = "filter(sequence(0, size(h) - 1), i -> array_contains(twice, h[i]))"
+    windows = f"CASE WHEN size(twice) > {FEW_REPEATS} THEN sort_array(transform(h, (x, i) -> struct(x AS h, i AS p))) END"
+    neighbours = """
+        sort_array(transform(filter(
+          transform(windows, (x, i) -> struct(x.p AS p, coalesce(x.h = get(windows, i - 1).h, false) OR coalesce(x.h = get(windows, i + 1).h, false) AS twice)),
+          x -> x.twice), x -> x.p))
+    """
+    covered = "coalesce(aggregate(places, struct(0L AS n, -3 AS last), (s, p) -> struct(s.n + least(3, p - s.last) AS n, p AS last), s -> s.n), 0L)"
+    for name, sql in {
+        "h": hashes,
+        "ordered": ordered,
+        "twice": f"CASE WHEN ordered IS NOT NULL THEN {twice} END",
+        "windows": windows,
+        "places": f"CASE WHEN windows IS NOT NULL THEN {neighbours} WHEN twice IS NOT NULL THEN {looked_up} END",
+    }.items():
+        rows = rows.withColumn(name, F.expr(sql))
+    return rows.select(*keep, F.expr(covered).alias("n_repeat_words"))
 
 
 def base_counts(docs: DataFrame) -> DataFrame:
     """row, doc_id, w and the base counts of every document."""
-    rows = with_words(docs)
-    windows = F.expr("transform(sequence(0, size(w) - 3), i -> struct(xxhash64(w[i], w[i + 1], w[i + 2]) AS h, i AS p))")
-    rows = rows.withColumn("sorted_windows", F.when(F.size("w") >= 4, F.sort_array(windows)))
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(WORD_CHAR))
-    return rows.select(
+    counted = with_words(docs).withColumn("lines", lines).select(
         "row",
         "doc_id",
         "w",
         F.size("w").cast("long").alias("n_words"),
         F.char_length(F.array_join("w", "")).cast("long").alias("word_chars"),
         F.regexp_count("text", F.lit(SYMBOL)).cast("long").alias("n_symbols"),
-        (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
-        repeated_words(rows).cast("long").alias("n_repeat_words"),
+        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
     )
+    return with_repeats(counted)
 
 
 def log_ratios(docs: DataFrame, trusted: DataFrame) -> DataFrame:
@@ -93,7 +108,8 @@ def log_ratios(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     ids = written(trusted.select(F.col("doc_id").alias("_trusted")).where("_trusted IS NOT NULL").distinct(), "trusted-ids")
     few = ids.count() <= BROADCAST_IDS
     rows = with_words(docs).join(F.broadcast(ids) if few else ids, F.col("doc_id") == F.col("_trusted"), "left")
-    grams = rows.select(F.explode(ngram_buckets(F.col("w"))).alias("bucket"), F.col("_trusted").isNotNull().cast("int").alias("good"))
+    words_of = ngrams(rows.select("w", F.col("_trusted").isNotNull().cast("int").alias("good")), "good")
+    grams = words_of.select("good", F.explode(F.array("single", "pair")).alias("bucket")).where("bucket IS NOT NULL")
     counts = written(grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("good").alias("good")), "ngram-counts")
     total = counts.agg(F.sum("raw").alias("raw"), F.sum("good").alias("good")).first()
     raw, good = total["raw"] or 0, total["good"] or 0
@@ -105,11 +121,14 @@ def log_ratios(docs: DataFrame, trusted: DataFrame) -> DataFrame:
 def quality_rules(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, the base counts, base_failed, ratio (mean log-likelihood ratio
     of the text's n-grams) and kept, a row per document."""
-    ratios = written(log_ratios(docs, trusted).coalesce(1), "ngram-ratios")  # at most BUCKETS rows
-    rows = base_counts(docs)
+    ratios = F.broadcast(written(log_ratios(docs, trusted).coalesce(1), "ngram-ratios"))  # at most BUCKETS rows
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    grams = rows.select("row", "doc_id", *counts, F.explode_outer(ngram_buckets(F.col("w"))).alias("bucket"))
-    looked_up = grams.join(F.broadcast(ratios), "bucket", "left")
-    scored = looked_up.groupBy("row").agg(F.first("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in counts], F.coalesce(F.avg("ratio"), F.lit(0.0)).alias("ratio"))
+    places = ngrams(base_counts(docs), "row", "doc_id", *counts)
+    single = ratios.select(F.col("bucket").alias("single"), F.col("ratio").alias("r1"))
+    pair = ratios.select(F.col("bucket").alias("pair"), F.col("ratio").alias("r2"))
+    looked_up = places.join(single, "single", "left").join(pair, "pair", "left")
+    # a document's counts are part of its key: the buffer is one sum
+    scored = looked_up.groupBy("row", "doc_id", *counts).agg(F.sum(F.coalesce("r1", F.lit(0.0)) + F.coalesce("r2", F.lit(0.0))).alias("sum"))
+    ratio = F.when(F.col("n_words") > 0, F.col("sum") / (2 * F.col("n_words") - 1)).otherwise(0.0)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return scored.select("doc_id", *counts, failed.alias("base_failed"), "ratio", (~failed & (F.col("ratio") >= threshold)).alias("kept"))
+    return scored.select("doc_id", *counts, failed.alias("base_failed"), ratio.alias("ratio")).withColumn("kept", ~F.col("base_failed") & (F.col("ratio") >= threshold))

@@ -10,6 +10,7 @@ import zlib
 from array import array
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
@@ -47,21 +48,22 @@ def library():
 
 
 # --- 1: decontamination ---------------------------------------------------
-def nearest(pattern, text):
-    """Edits of the substring of ``text`` nearest to ``pattern``."""
-    row = [0] * (len(text) + 1)
-    for c in pattern:
-        new = [row[0] + 1]
-        for j, d in enumerate(text):
-            new.append(min(row[j + 1] + 1, new[j] + 1, row[j] + (c != d)))
-        row = new
-    return min(row)
+def nearest(patterns, text):
+    """Edits of the substring of ``text`` nearest to each of ``patterns``
+    (equally long): the plain table of edits, a row of it at a time."""
+    text, patterns = np.frombuffer(text, np.uint8), np.array([list(p) for p in patterns])
+    at = np.arange(len(text) + 1)
+    row = np.zeros((len(patterns), len(text) + 1), dtype=int)
+    for column in patterns.T:
+        best = row + 1
+        best[:, 1:] = np.minimum(best[:, 1:], row[:, :-1] + (column[:, None] != text))
+        row = np.minimum.accumulate(best - at, axis=1) + at
+    return row.min(axis=1)
 
 
 def regions(item):
     m = min(decontam_qgram.REGION, len(item))
-    starts = {*range(0, len(item) - m + 1, m // 2), len(item) - m}
-    return [item[s : s + m] for s in starts]
+    return [item[s : s + m] for s in range(len(item) - m + 1)]
 
 
 def test_decontamination_against_alignment_of_all_pairs(spark, texts):
@@ -78,7 +80,7 @@ def test_decontamination_against_alignment_of_all_pairs(spark, texts):
     docs += [(100 + i, t[:600]) for i, t in enumerate(list(texts.values())[:6])]
     norm = {d: bytes(decontam_qgram.normalised([t]))[:-1] for d, t in docs}
     pats = {i: bytes(decontam_qgram.normalised([t]))[:-1].rstrip(b" ") for i, t in items}
-    want = {(d, i) for d, t in norm.items() for i, p in pats.items() if any(nearest(r, t) <= decontam_qgram.edit_budget(len(r)) for r in regions(p))}
+    want = {(d, i) for d, t in norm.items() for i, p in pats.items() if min(nearest(regions(p), t)) <= decontam_qgram.edit_budget(len(regions(p)[0]))}
     found = decontam_qgram.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
     assert {(r.doc_id, r.item_id) for r in found.collect()} == want and 6 < len(want) < 30
 
@@ -126,7 +128,7 @@ def test_edits_of_the_nearest_region_over_every_start(texts):
         docs.append("qj" + "".join(part) + "jq")
         norm = bytes(decontam_qgram.normalised([docs[-1]]))[:-1]
         codes = bytes(index.codes[0])
-        edits = min(nearest(codes[p : p + m], norm) for p in range(len(codes) - m + 1))
+        edits = min(nearest([codes[p : p + m] for p in range(len(codes) - m + 1)], norm))
         if edits <= decontam_qgram.edit_budget(m):
             want[i] = edits
     assert {r[0]: r[2] for r in decontam_qgram.find_regions(index, docs)} == want and 5 < len(want) < 24
