@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontam_qgram, language_id, license_scan, mix_wfq, pii_bootstrap, prefix_counts, quality_gam, quality_llr, simhash_anchor, token_files
+from . import decontam_qgram, divergence_trees, html_tagpath, language_id, license_scan, mix_wfq, pii_bootstrap, prefix_counts, quality_gam, quality_llr, simhash_anchor, token_files, whiten_cholqr
 from .common import crc_bucket, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,3 +136,21 @@ FROM q LEFT JOIN k ON q.doc_id = k.doc_id
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document."""
     return mix_wfq.mix(documents(spark, sf_dir))
+
+
+@register("op11_divergence_audit", divergence_trees.ORACLE_SQL)
+def op11_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How every source differs from the others of its language, and where."""
+    return divergence_trees.divergence_audit(documents(spark, sf_dir))
+
+
+@register("op12_embedding_whitening")
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable embedding on the first 8 whitened components."""
+    return whiten_cholqr.whitened_embeddings(documents(spark, sf_dir, "embeddings"))
+
+
+@register("op13_html_extraction")
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_tagpath.extracted(documents(spark, sf_dir, "pages"))
