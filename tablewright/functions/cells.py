@@ -87,6 +87,12 @@ def double_value(col) -> Column:
     return F.when(is_float_text(col), stripped(col).try_cast("double"))
 
 
+def is_inexact(col) -> Column:
+    """An integer cell that a double would round (15 digits never are)."""
+    c = _c(col)
+    return F.when(F.char_length(c) > 15, F.coalesce(double_value(c).cast("decimal(38,0)") != int_value(c), F.lit(False))).otherwise(F.lit(False))
+
+
 def int_text(col) -> Column:
     """Canonical text of an integer cell; decimals only beyond int64."""
     lv = long_value(col)

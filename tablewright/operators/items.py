@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.cells import double_value, int_value, is_missing, long_value, parse_collection, render_cell
+from ..functions.cells import double_value, is_inexact, is_missing, long_value, parse_collection, render_cell
 from ..functions.patterns import NA_TOKENS
 
 COLLECTION_TAGS = ("SS", "NS", "BS", "L", "M")
@@ -65,20 +65,28 @@ def with_number_types(df: DataFrame, rows, na_tokens=NA_TOKENS) -> list[tuple]:
 
 def misfits(df: DataFrame, rows, na_tokens=NA_TOKENS):
     """A row's number of cells that are there but are not what the sidecar
-    says they are (they would become null)."""
+    says they are (they would become null). A number column without a dtype
+    is only held to be of numbers: ``inexact_cells`` is asked for once it is
+    known to be of doubles."""
     out = F.lit(0)
     for src, (_, tag, dtype) in zip(df.columns, rows):
         if tag == "S":
             continue
         c = F.col(f"`{src}`").cast("string")
         wrong = typed_column(c, tag, dtype).isNull()
-        if tag == "N" and dtype not in ("int64", "uint64"):
-            # a whole number that the double would round
-            wrong = wrong | F.coalesce(double_value(c).cast("decimal(38,0)") != int_value(c), F.lit(False))
+        if tag == "N" and dtype and dtype not in ("int64", "uint64"):
+            wrong = wrong | is_inexact(c)
         out = out + (~is_missing(c, na_tokens) & wrong).cast("int")
     return out
 
 
+def inexact_cells(columns: Sequence[str], na_tokens=NA_TOKENS):
+    """A row's number of whole numbers in ``columns`` that doubles would
+    round."""
+    cells = [F.col(f"`{c}`").cast("string") for c in columns]
+    return sum(((~is_missing(c, na_tokens) & is_inexact(c)).cast("int") for c in cells), F.lit(0))
+
+
 def apply_metadata(df: DataFrame, meta: DataFrame | Sequence, na_tokens=NA_TOKENS, keep: Sequence[str] = ()) -> DataFrame:
     """O-12: rename and type the data columns from the sidecar, by position.
 

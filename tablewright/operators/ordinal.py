@@ -22,6 +22,7 @@ fall back to ``checkpoint()``.)
 
 from __future__ import annotations
 
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -73,7 +74,7 @@ def with_ordinal_and_count(
 ) -> tuple[DataFrame, int]:
     """``with_ordinal`` plus the row count, read from the per-partition
     counts (one row per partition) instead of another pass over the data."""
-    if _is_file_order(df, order):
+    if is_file_order(df, order):
         return with_file_ordinal(df, name)
     cols = _order_cols(df, order)
     n = _partitions(df, num_partitions)
@@ -106,24 +107,55 @@ def with_ordinal_and_count(
     return out.drop("_pid", "_off", "_mid", "_tb"), _Count(counts)
 
 
+def file_splits(df: DataFrame, *more: Column) -> DataFrame:
+    """(_file, _block, _n, _first, _start, _in_file, _file_rows): every split
+    of a scan in file order, with its rows, their first ``_row``, the rows
+    before it in all files and in its own, and the file's rows; ``more``
+    aggregates are per split."""
+    counts = df.groupBy(*FILE_ORDER[:2]).agg(F.count(F.lit(1)).alias("_n"), F.min(FILE_ORDER[2]).alias("_first"), *more)
+    every = Window.orderBy(*FILE_ORDER[:2]).rowsBetween(Window.unboundedPreceding, -1)  # a row per split
+    own = Window.partitionBy(FILE_ORDER[0]).orderBy(FILE_ORDER[1])
+    return counts.select(
+        "*",
+        F.coalesce(F.sum("_n").over(every), F.lit(0)).alias("_start"),
+        F.coalesce(F.sum("_n").over(own.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_in_file"),
+        F.sum("_n").over(Window.partitionBy(FILE_ORDER[0])).alias("_file_rows"),
+    )
+
+
+def join_splits(df: DataFrame, splits: DataFrame, start: str, name: str) -> DataFrame:
+    """Add the position ``name`` = ``start`` of the row's split + its place in
+    the split, and the other columns of ``splits``. The scan that is numbered
+    must be cut as the one that was counted; if it was not (say, the number
+    of cores changed between them), the job fails rather than misnumber."""
+    of = {c: f"_of{c}" for c in FILE_ORDER[:2]}
+    named = splits.select(*[F.col(c).alias(of.get(c, c)) for c in splits.columns])
+    same = reduce(lambda a, b: a & b, [F.col(c) == F.col(o) for c, o in of.items()])
+    place = F.col(FILE_ORDER[2]) - F.col("_first")
+    changed = F.raise_error(F.lit("the files were cut differently when they were counted; set spark.sql.files.minPartitionNum")).cast("bigint")
+    out = df.join(named, same, "left")
+    return out.withColumn(name, F.when(place.between(F.lit(0), F.col("_n") - 1), F.col(start) + place).otherwise(changed))
+
+
 def with_file_ordinal(df: DataFrame, name: str = "_ordinal") -> tuple[DataFrame, "_Count"]:
     """O-30 for rows that are already in file order (a scan with ``_file``,
     ``_block`` and ``_row``): rows are counted per file and split, the counts
     are summed in order, and a row's position is its split's start plus its
     place in the split. Two scans, no sort, no shuffle of rows and no copy;
     the counts are one row per split."""
-    counts = df.groupBy(*FILE_ORDER[:2]).agg(F.count(F.lit(1)).alias("_n"), F.min(FILE_ORDER[2]).alias("_first"))
-    before = Window.orderBy(*FILE_ORDER[:2]).rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(*[F.col(c).alias(f"_of{c}") for c in FILE_ORDER[:2]], "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    path = scratch_path(df.sparkSession, "file-ordinal")
-    starts.coalesce(1).write.parquet(path)  # of known size: broadcast only if small
-    starts = df.sparkSession.read.schema(starts.schema).parquet(path)
-    same = (F.col(FILE_ORDER[0]) == F.col(f"_of{FILE_ORDER[0]}")) & (F.col(FILE_ORDER[1]) == F.col(f"_of{FILE_ORDER[1]}"))
-    out = df.join(starts, same).withColumn(name, F.col("_start") + F.col(FILE_ORDER[2]) - F.col("_first"))
-    return out.select(*df.columns, name), _Count(counts)
-
-
-def _is_file_order(df: DataFrame, order) -> bool:
+    splits = stored(file_splits(df), "file-ordinal")
+    return join_splits(df, splits, "_start", name).select(*df.columns, name), _Count(splits)
+
+
+def stored(small: DataFrame, name: str) -> DataFrame:
+    """A small table written to the shared folder: computed once, and of
+    known size, so that it is broadcast only if small."""
+    path = scratch_path(small.sparkSession, name)
+    small.coalesce(1).write.parquet(path)
+    return small.sparkSession.read.schema(small.schema).parquet(path)
+
+
+def is_file_order(df: DataFrame, order) -> bool:
     names = order if isinstance(order, (list, tuple)) else [order]
     return all(isinstance(o, str) for o in names) and tuple(names) == FILE_ORDER and set(FILE_ORDER) <= set(df.columns)
 

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.delimited import read_by_header
+
 
 def combine_parts(parts: Sequence[DataFrame], part_names: Sequence[str] | None = None, part_col: str | None = None) -> DataFrame:
     """O-50: append parts in name order, matching columns by name; a column
@@ -25,7 +27,7 @@ def combine_parts(parts: Sequence[DataFrame], part_names: Sequence[str] | None =
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)
 
 
-def union_table(spark, paths: Sequence[str], reader) -> DataFrame:
-    """O-51: all parts of one table as one multi-path scan (``reader`` is a
-    function ``(spark, paths) -> DataFrame``, e.g. ``read_delimited``)."""
+def union_table(spark, paths: Sequence[str], reader=read_by_header) -> DataFrame:
+    """O-51: all parts of one table, each read by its own header, by column
+    name (``reader`` is a function ``(spark, paths) -> DataFrame``)."""
     return reader(spark, list(paths))

@@ -10,6 +10,8 @@ parts 2x-1 and 2x of the next, so part numbers follow row order. Decisions:
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -63,15 +65,14 @@ def part_names(table: str, k: int) -> list[str]:
     return [part_name(table, p) for p in range(1, 2**k + 1)]
 
 
-def part_of(ordinal_col, n: int, k: int):
+def part_of(ordinal_col, n, k):
     """Part number of an ordinal: k halving steps by arithmetic, each going
     left (part 2p - 1) or right (part 2p) of the cut; no list of bounds, no
-    join."""
+    join. ``n`` and ``k`` are numbers or columns."""
     o = F.col(ordinal_col) if isinstance(ordinal_col, str) else ordinal_col
-    kind = "int" if k < 31 else "bigint"
-    if k == 0:
-        return F.lit(1).cast(kind)
-    state = F.struct(F.lit(0).cast("bigint").alias("lo"), F.lit(n).cast("bigint").alias("size"), F.lit(1).cast("bigint").alias("part"))
+    kind = "int" if isinstance(k, int) and k < 31 else "bigint"
+    n, k = (F.lit(x) if isinstance(x, int) else x for x in (n, k))
+    state = F.struct(F.lit(0).cast("bigint").alias("lo"), n.cast("bigint").alias("size"), F.lit(1).cast("bigint").alias("part"))
 
     def halve(s, _):
         cut = F.greatest(F.floor(s["size"] / 2) - 1, F.lit(0)).cast("bigint")
@@ -82,7 +83,8 @@ def part_of(ordinal_col, n: int, k: int):
             F.when(left, s["part"] * 2 - 1).otherwise(s["part"] * 2).alias("part"),
         )
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(k)), state, halve, lambda s: s["part"].cast(kind))
+    steps = F.when(k > 0, F.sequence(F.lit(1), F.greatest(k, F.lit(1)))).otherwise(F.array().cast("array<int>"))
+    return F.aggregate(steps, state, halve, lambda s: s["part"].cast(kind))
 
 
 def assign_parts(
@@ -103,36 +105,69 @@ def assign_parts(
     return out if ordinal_col else out.drop(name)
 
 
+PART_LIST = "_parts"
+PART_LIST_SCHEMA = "path string, name string, table_name string, part bigint, names array<string>, encoding string, sidecar string, length bigint"
+
+
 def write_parts(
     df: DataFrame,
     path: str,
     max_rows: int = DEFAULT_SPLIT_THRESHOLD,
     order=None,
-    header: bool = True,
     drop=(),
     table: str | None = None,
     sep: str = ",",
-) -> list[str]:
-    """O-44: write CSV parts of at most ``max_rows`` rows, contiguous in row
-    order, as files ``<table>_split__###.csv`` in ``path``, so that a folder load
-    reads them as one table.
-    ``table`` defaults to the folder's name. Spark writes the files; the
-    driver renames each. Returns the file paths in part order."""
-    from ..sinks.tables import rename_parts
-
-    parts = assign_parts(df, order, max_rows, ordinal_col="_pos")
-    folder, name = path.rstrip("/"), table or path.rstrip("/").rsplit("/", 1)[-1]
-    staging = f"{folder}/_staging_{name}"
-    # A part holds at most ``max_rows`` rows, so one task per part is bounded.
-    (
-        parts.repartition("part")
-        .sortWithinPartitions("part", "_pos")
-        .drop("_pos", *drop)
-        .write.mode("errorifexists")
-        .option("header", header)
-        .option("escape", '"')
-        .option("sep", sep)
-        .partitionBy("part")
-        .csv(staging)
+) -> DataFrame:
+    """O-44: CSV files of at most ``max_rows`` rows each, contiguous in row
+    order, and the list of them (``part_list``) that a folder load or the
+    catalogue of ``path`` reads: path, part number and the part's name
+    ``<table>_split__###.csv``. ``table`` defaults to the folder's name.
+
+    A part is written by one task, of bounded size. Every call writes a folder of its own and its list last, so a call
+    that stopped leaves nothing that is read, and a new call can follow."""
+    spark = df.sparkSession
+    name, attempt = table or path.rstrip("/").rsplit("/", 1)[-1], uuid.uuid4().hex
+    parts = assign_parts(df, order, max_rows, ordinal_col="_pos").repartition("part")
+    folder = f"{path.rstrip('/')}/{attempt}"
+    write_part_files(parts.drop(*drop), folder, sep)
+    listed = list_parts(spark, folder, name, [c for c in df.columns if c not in drop], None)
+    listed.write.parquet(f"{path.rstrip('/')}/{PART_LIST}/attempt={attempt}")
+    return part_list(spark, path)
+
+
+def write_part_files(parts: DataFrame, folder: str, sep: str, group: int = 0) -> None:
+    """Rows with ``part`` and ``_pos`` as CSV files under ``folder``, whose
+    paths sort by part number; cells are written as they are. ``group`` tells
+    parts apart that are written to one folder by several calls."""
+    padded = parts.withColumn("part", F.lpad(F.col("part").cast("string"), 12, "0")).withColumn("group", F.lit(group))
+    writer = padded.sortWithinPartitions("part", "group", "_pos").drop("_pos").write.mode("append").partitionBy("part", "group")
+    for option, value in {"header": True, "escape": '"', "sep": sep, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}.items():
+        writer = writer.option(option, value)
+    writer.csv(folder)
+
+
+def list_parts(spark, folder: str, table: str, names, sidecar: str | None, group: int = 0) -> DataFrame:
+    """The part files of one ``write_part_files``, from their listing alone."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").option("recursiveFileLookup", "true").load(folder).select("path", "length")
+    part = F.regexp_extract("path", rf"/part=([0-9]+)/group={group}/[^/]*$", 1)
+    files = files.where(part != "")
+    part = part.cast("bigint")
+    return files.select(
+        "path",
+        F.format_string(SPLIT_NAME_FORMAT.replace("%s", table.replace("%", "%%")), part).alias("name"),
+        F.lit(table).alias("table_name"),
+        part.alias("part"),
+        F.array(*[F.lit(n) for n in names]).cast("array<string>").alias("names"),
+        F.lit("UTF-8").alias("encoding"),
+        F.lit(sidecar).cast("string").alias("sidecar"),
+        "length",
     )
-    return rename_parts(df.sparkSession, staging, folder, name)
+
+
+def part_list(spark, path: str, attempts=None) -> DataFrame:
+    """The parts listed under ``path``: by all calls that wrote their list,
+    or by the given ones."""
+    parts = spark.read.schema(PART_LIST_SCHEMA + ", attempt string").parquet(f"{path.rstrip('/')}/{PART_LIST}")
+    if attempts is not None:
+        parts = parts.where(F.col("attempt").isin(list(attempts)))
+    return parts.drop("attempt").orderBy("table_name", "part", "path")

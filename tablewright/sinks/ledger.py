@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 LEDGER_SCHEMA = "path string, table_name string, n_rows bigint, status string, message string, ts timestamp"
 #: ``partial``: a row range of the file was loaded; ``profiled``: only its
-#: sidecar was written. Neither marks the file as loaded.
-STATUSES = ("done", "partial", "profiled", "failed", "pending")
+#: sidecar was written; ``split``: its parts are published, in the folder that
+#: the message names. None of them marks the file as loaded.
+STATUSES = ("done", "partial", "profiled", "split", "failed", "pending")
 
 
 def append_ledger(spark: SparkSession, ledger_path: str, rows: DataFrame) -> None:
@@ -48,10 +49,10 @@ def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
 
 def file_status(ledger: DataFrame) -> DataFrame:
     """Status per file: ``done`` once any attempt finished, else ``partial``,
-    ``profiled`` or ``failed``, in this order."""
-    had = {x: F.max(F.when(F.col("status") == x, 1)) == 1 for x in ("done", "partial", "profiled")}
+    ``profiled``, ``split`` or ``failed``, in this order."""
+    had = {x: F.max(F.when(F.col("status") == x, 1)) == 1 for x in ("done", "partial", "profiled", "split")}
     status = F.lit("failed")
-    for x in ("profiled", "partial", "done"):
+    for x in ("split", "profiled", "partial", "done"):
         status = F.when(had[x], F.lit(x)).otherwise(status)
     return ledger.groupBy("path").agg(status.alias("status"))
 

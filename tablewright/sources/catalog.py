@@ -50,10 +50,23 @@ def catalog_from_paths(listing: DataFrame, path_col: str = "path") -> DataFrame:
 
 def file_catalog(spark: SparkSession, path: str, glob: str = "*.csv", recursive: bool = False) -> DataFrame:
     """O-03: list + classify (``notes.txt`` and sub-folders are left out by
-    the glob; decision D12)."""
+    the glob; decision D12). A folder that parts were written to (O-44) is
+    catalogued from its part list."""
+    from ..operators.split import PART_LIST, part_list
+    from ..sinks.tables import path_exists
+
+    if path_exists(spark, f"{path.rstrip('/')}/{PART_LIST}"):
+        return catalog_of_parts(part_list(spark, path))
     return catalog_from_paths(list_files(spark, path, glob, recursive))
 
 
+def catalog_of_parts(parts: DataFrame) -> DataFrame:
+    """O-03 for a part list: names and part numbers are those of the list."""
+    return parts.select(
+        "path", "name", F.lit(False).alias("is_metadata"), F.col("name").alias("data_name"), "table_name", "part", "length", "names", "encoding", "sidecar"
+    )
+
+
 def data_files(catalog: DataFrame) -> DataFrame:
     return catalog.filter(~F.col("is_metadata"))
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,8 @@ ROW_COL = "_row"
 FILE_ORDER = (FILE_COL, BLOCK_COL, ROW_COL)
 #: The raw text of a record whose number of cells differs from the header's.
 CORRUPT_COL = "_corrupt"
+#: True for a record with more cells than its file's header.
+RAGGED_COL = "_ragged"
 
 
 def scan_path():
@@ -105,7 +108,8 @@ def read_delimited(
     reader = _reader(spark, sep, encoding, multi_line, header=True)
     if corrupt:
         schema = schema.add(CORRUPT_COL, T.StringType(), True)
-        reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COL)
+        # a record is only held against its header if all its cells are parsed
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COL).option("columnPruning", False)
     df = reader.schema(schema).csv(plist)
     if file_order:
         df = df.select(
@@ -155,6 +159,69 @@ def header_groups(spark: SparkSession, paths, with_encodings: bool = False):
     return (out, enc) if with_encodings else out
 
 
+class Layout(NamedTuple):
+    """How a file is read: its column names and its encoding."""
+
+    names: tuple[str, ...]
+    encoding: str
+
+
+def file_layouts(spark: SparkSession, paths, sep: str = ",", encoding: str | None = None, multi_line: bool = False) -> dict[str, Layout]:
+    """The layout of every file: one text pass over all of them and, per
+    different header, one small read. A header that goes on beyond its first
+    line (a quoted line break) is read for its file alone. Files without any
+    line have no layout."""
+    groups: dict[tuple, list[str]] = {}
+    for r in file_facts(spark, paths).orderBy("path").collect():
+        if r["header"] is None:
+            continue
+        open_quote = multi_line and r["header"].count('"') % 2
+        groups.setdefault((r["path"] if open_quote else "", r["header"], encoding or r["encoding"]), []).append(r["path"])
+    out = {}
+    for (_, _, enc), ps in groups.items():
+        layout = Layout(tuple(header_names(spark, ps, sep, enc, multi_line)), enc)
+        out |= dict.fromkeys(ps, layout)
+    return out
+
+
+def read_by_header(
+    spark: SparkSession,
+    paths,
+    sep: str = ",",
+    multi_line: bool = False,
+    file_order: bool = False,
+    encoding: str | None = None,
+    layouts: dict[str, Layout] | None = None,
+    ragged: bool = False,
+) -> DataFrame:
+    """O-01 over files of unlike headers: files of one layout are one scan,
+    read by that header, and the scans meet by column name; a column that a
+    file lacks is missing there. Columns come in the order in which the files,
+    by path, bring them. ``ragged`` adds ``_ragged``. ``layouts`` (of
+    ``file_layouts``) saves the pass that finds them."""
+    if layouts is None:
+        layouts = file_layouts(spark, paths, sep, encoding, multi_line)
+        known = sorted(layouts)
+    else:
+        known = [p for p in _paths(paths) if p in layouts]
+    if not known:
+        raise ValueError("no input file has a header")
+    groups: dict[Layout, list[str]] = {}
+    for p in known:
+        groups.setdefault(layouts[p], []).append(p)
+    frames, columns = [], {}
+    for layout, ps in groups.items():
+        df = read_delimited(spark, ps, sep, layout.encoding, multi_line, layout.names, file_order, corrupt=ragged)
+        if ragged:
+            # Spark reads a corrupt record's text only along with a data column
+            parsed = F.length(F.concat_ws("", F.col(f"`{layout.names[0]}`"))) >= 0
+            df = df.withColumn(RAGGED_COL, parsed & is_ragged(len(layout.names), sep)).drop(CORRUPT_COL)
+        columns |= dict.fromkeys(layout.names)
+        frames.append(df)
+    whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return whole.select(*[F.col(f"`{c}`") for c in columns], *[c for c in (*FILE_ORDER, RAGGED_COL) if c in whole.columns])
+
+
 def choose_encoding(spark: SparkSession, paths, fallback: str = "ISO-8859-1") -> DataFrame:
     """O-02: ``(path, encoding)``: UTF-8 when every line is valid UTF-8,
     else the fallback. One grouped pass over the raw lines of all files."""

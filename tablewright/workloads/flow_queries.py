@@ -18,6 +18,7 @@ from ..session import scratch_path
 from ..sinks.ledger import read_ledger
 from ..sinks.tables import land_as_files, path_exists, read_table
 from ..sources import delimited as D
+from ..sources.catalog import file_catalog
 from . import oracle as O
 from .common import TABLES, as_text, table
 from .queries import CUSTOMER_COLS, SPLIT_PARTS_SQL, THRESHOLD, register
@@ -83,7 +84,8 @@ def split_then_load_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "split-load")
     land_as_files(spark, table(spark, sf_dir, "orders").select(*ORDERS_COLS).orderBy("o_orderkey"), f"{root}/landing", "orders")
     out = _loaded(spark, root, "orders", split=True, max_rows_per_part=4000)
-    sizes = D.read_delimited(spark, f"{root}/warehouse/_split", file_order=True).groupBy(D.FILE_COL).count()
+    parts = [r[0] for r in file_catalog(spark, f"{root}/warehouse/_split").select("path").collect()]
+    sizes = D.read_delimited(spark, parts, file_order=True).groupBy(D.FILE_COL).count()
     if not sizes.where("count > 4000").isEmpty():
         raise RuntimeError("a part is over the threshold")
     return out

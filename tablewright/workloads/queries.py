@@ -560,14 +560,14 @@ def write_parts_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
 
     path = scratch_path(spark, "parts-lineitem")
-    S.write_parts(table(spark, sf_dir, "lineitem"), path, THRESHOLD, table="lineitem")
-    back = D.read_delimited(spark, path, file_order=True)
-    starts = back.groupBy(D.FILE_COL, D.BLOCK_COL).agg(F.count(F.lit(1)).alias("n"), F.min(D.ROW_COL).alias("first"))
-    w = Window.partitionBy(D.FILE_COL).orderBy(D.BLOCK_COL).rowsBetween(Window.unboundedPreceding, -1)
-    starts = starts.withColumn("before", F.coalesce(F.sum("n").over(w), F.lit(0)))
+    parts = S.write_parts(table(spark, sf_dir, "lineitem"), path, THRESHOLD, table="lineitem").select(F.col("path").alias(D.FILE_COL), F.col("name").alias("part_name"))
+    back = D.read_delimited(spark, [r[0] for r in parts.collect()], file_order=True).join(parts, D.FILE_COL)
+    starts = back.groupBy("part_name", D.FILE_COL, D.BLOCK_COL).agg(F.count(F.lit(1)).alias("n"), F.min(D.ROW_COL).alias("first"))
+    w = Window.partitionBy("part_name").orderBy(D.FILE_COL, D.BLOCK_COL).rowsBetween(Window.unboundedPreceding, -1)
+    starts = starts.withColumn("before", F.coalesce(F.sum("n").over(w), F.lit(0))).drop("part_name")
     placed = back.join(starts, [D.FILE_COL, D.BLOCK_COL])
     return placed.select(
-        base_name(F.col(D.FILE_COL)).alias("part_name"),
+        "part_name",
         (F.col("before") + F.col(D.ROW_COL) - F.col("first")).alias("place"),
         "l_orderkey",
         "l_partkey",
@@ -727,7 +727,7 @@ def union_load_new_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     root = scratch_path(spark, "union-load-new")
     paths = land_as_files(spark, table(spark, sf_dir, "orders").select(*ORDERS_PART_COLS, "o_orderdate"), f"{root}/landing", "orders", 4)
-    whole = T.union_table(spark, paths, D.read_delimited)
+    whole = T.union_table(spark, paths)
     load_new(whole, f"{root}/tables/orders")
     back = spark.read.parquet(f"{root}/tables/orders")
     return back.select(

@@ -1,6 +1,7 @@
 """Sources, sinks, flows and streaming: O-01, O-02, O-04, O-35, O-44, O-60 … O-65, O-73."""
 
 import os
+import shutil
 
 from pyspark.sql import functions as F
 
@@ -72,10 +73,16 @@ def test_write_parts(spark, tmp_dir):
     df = spark.range(0, 2500).withColumnRenamed("id", "k")
     from tablewright.operators.split import split_bounds
 
-    paths = write_parts(df, f"{tmp_dir}/parts", 1000, order="k", table="nums")
-    assert [os.path.basename(p) for p in paths] == [f"nums_split__00{i}.csv" for i in (1, 2, 3, 4)]
-    sizes = [D.read_delimited(spark, p).count() for p in paths]
-    assert sizes == [hi - lo for _, lo, hi in split_bounds(2500, 2)] and max(sizes) <= 1000
+    parts = write_parts(df, f"{tmp_dir}/parts", 1000, order="k", table="nums").collect()
+    names = [f"nums_split__00{i}.csv" for i in (1, 2, 3, 4)]
+    assert [p["name"] for p in parts] == names
+    rows = [sum(([int(r["k"]) for r in D.read_delimited(spark, p["path"]).collect()] for p in parts if p["name"] == n), []) for n in names]
+    assert [len(r) for r in rows] == [hi - lo for _, lo, hi in split_bounds(2500, 2)] and max(map(len, rows)) <= 1000
+    assert sum(rows, []) == list(range(2500))
+    # a call that stopped before its list leaves nothing that is read; the next one goes through
+    shutil.rmtree(f"{tmp_dir}/parts/_parts")
+    again = write_parts(df, f"{tmp_dir}/parts", 1000, order="k", table="nums").collect()
+    assert len(again) == len(parts) and not {p["path"] for p in again} & {p["path"] for p in parts}
 
 
 def test_stream_ingest_two_runs(spark, tmp_dir):
@@ -259,9 +266,8 @@ def test_write_profiles_and_split_folder(spark, tmp_dir):
     assert [w.rsplit("/", 1)[-1] for w in written] == ["metadata_alpha.csv"]  # beta already has one
     side = D.read_metadata(spark, written[0]).orderBy("column_index").collect()
     assert [(r["column_name"], r["AWS_column_dtype"]) for r in side] == [("id", "N"), ("v", "S")]
-    folder.split_folder(spark, inp, f"{tmp_dir}/parts", max_rows=10)
-    names = sorted(n for n in os.listdir(f"{tmp_dir}/parts") if n.startswith("alpha") and n.endswith(".csv"))
-    parts = [[int(r["id"]) for r in D.read_delimited(spark, f"{tmp_dir}/parts/{n}").collect()] for n in names]
+    listed = folder.split_folder(spark, inp, f"{tmp_dir}/parts", max_rows=10).where("table_name = 'alpha'").collect()
+    parts = [[int(r["id"]) for r in D.read_delimited(spark, p["path"]).collect()] for p in listed]
     assert max(map(len, parts)) <= 10 and sum(parts, []) == list(range(25))  # rows stay in order
 
 
@@ -307,3 +313,106 @@ def test_put_resumes_after_a_failed_driver(spark, tmp_dir, monkeypatch):
     tables.upsert_table(spark, path, spark.createDataFrame([(0, "new")], "k long, v string"), "k")  # the rerun
     back = {r["k"]: r["v"] for r in tables.read_table(spark, path).collect()}
     assert len(back) == 200 and back[0] == "new" and back[199] == "v199"
+
+
+def _statuses(report):
+    return {(r["table_name"], r["status"]): (r["n_files"], r["n_rows"]) for r in report.collect()}
+
+
+def test_split_load_reads_each_file_by_its_header(spark, tmp_dir):
+    inp, out = f"{tmp_dir}/in10", f"{tmp_dir}/wh10"
+    _write(f"{inp}/tab_split__001.csv", "id,a,b\n" + "".join(f"{i},{i * 10},x{i} \n" for i in range(30)))
+    _write(f"{inp}/tab_split__002.csv", "id,b,a\n" + "".join(f"{i},\" y{i}\",{i * 10}\n" for i in range(30, 40)))
+    _write(f"{inp}/tab_split__003.csv", "id,a\n1,2\n2,3,4\n")  # a record longer than its header
+    _write(f"{inp}/unused.csv", "k,v\n")
+    _write(f"{inp}/side.csv", "x,y\n1,5\n2,6\n3,7\n")
+    _write(f"{inp}/metadata_side.csv", "column_name,AWS_column_dtype\nkey,N\nlabel,S\n")
+    opts = LoadOptions(input_path=inp, output_path=out, split=True, max_rows_per_part=8)
+    rep = _statuses(folder.load_folder(spark, opts))
+    assert rep[("tab", "failed")][0] == 1 and rep[("unused", "done")] == (1, 0) and rep[("tab", "done")][1] == 40 and rep[("side", "done")][1] == 3
+    got = sorted((r["id"], r["a"], r["b"]) for r in tables.read_table(spark, f"{out}/tab").collect())
+    assert got == [(i, i * 10, f"x{i} " if i < 30 else f" y{i}") for i in range(40)]  # blanks in cells stay
+    assert sorted(tuple(r) for r in tables.read_table(spark, f"{out}/side").collect()) == [(1, "5"), (2, "6"), (3, "7")]
+    why = {os.path.basename(r["path"]): r["message"] for r in ledger.read_ledger(spark, f"{out}/_ledger").where("status = 'failed'").collect()}
+    assert why == {"tab_split__003.csv": "1 rows longer than the header"}
+    # a file that comes later is split and loaded by the next run, a mended one too
+    _write(f"{inp}/tab_split__003.csv", "id,a\n100,2\n")
+    _write(f"{inp}/tab_split__004.csv", "b,id\n" + "".join(f"z{i},{i}\n" for i in range(36, 50)))
+    rep = _statuses(folder.load_folder(spark, opts))
+    assert not [k for k in rep if k[1] != "done"] and rep[("tab", "done")][1] == 55
+    got = {r["id"]: (r["a"], r["b"]) for r in tables.read_table(spark, f"{out}/tab").collect()}
+    assert len(got) == 51 and got[36] == (None, "z36") and got[35] == (350, " y35") and got[100] == (2, None)  # the later file's rows win
+
+
+def test_a_split_that_stopped_is_done_again(spark, tmp_dir, monkeypatch):
+    inp, out = f"{tmp_dir}/in11", f"{tmp_dir}/wh11"
+    _write(f"{inp}/first.csv", "id,v\n" + "".join(f"{i},a{i}\n" for i in range(25)))
+    _write(f"{inp}/second.csv", "id,v\n" + "".join(f"{i},b{i}\n" for i in range(25)))
+    opts = LoadOptions(input_path=inp, output_path=out, split=True, max_rows_per_part=10)
+    real, calls = folder.split.list_parts, []
+
+    def lost(spark, where, table, *more):
+        calls.append(table)
+        if table == "second":
+            raise RuntimeError("driver lost")
+        return real(spark, where, table, *more)
+
+    monkeypatch.setattr(folder.split, "list_parts", lost)
+    rep = _statuses(folder.load_folder(spark, opts))
+    assert rep[("first", "done")][1] == 25 and ("second", "failed") in rep
+    monkeypatch.setattr(folder.split, "list_parts", real)
+    rep = _statuses(folder.load_folder(spark, opts))
+    assert rep == {("first", "done"): rep[("first", "done")], ("second", "done"): (4, 25)}
+    assert sorted(r["v"] for r in tables.read_table(spark, f"{out}/second").collect()) == sorted(f"b{i}" for i in range(25))
+    assert sorted(calls) == ["first", "second"]  # the second run did not split a again
+
+
+def test_tables_are_profiled_by_header(spark, tmp_dir):
+    inp = f"{tmp_dir}/in12"
+    _write(f"{inp}/t_split__001.csv", "id,a,b\n1,x,10\n")
+    _write(f"{inp}/t_split__002.csv", "id,b,a\n2,20,y\n3,-,z\n")
+    prof = {r["column_name"]: r for r in folder.profile_folder(spark, inp, per_file=False, na_tokens=("-",)).collect()}
+    assert {c: r["pandas_column_dtype"] for c, r in prof.items()} == {"id": "int64", "a": "object", "b": "float64"}
+    assert prof["b"]["missing_data_flag_list"] and prof["a"]["example_item_list"] == "x"
+    written = folder.write_profiles(spark, inp, f"{tmp_dir}/side12", na_tokens=("-",))
+    side = D.read_metadata(spark, written[1]).orderBy("column_index").collect()
+    assert [(r["column_name"], r["AWS_column_dtype"]) for r in side] == [("id", "N"), ("b", "N"), ("a", "S")]
+
+
+def test_headers_of_two_lines(spark, tmp_dir):
+    inp = f"{tmp_dir}/in13"
+    _write(f"{inp}/t_split__001.csv", 'id,"two\nlines",c\n1,a,x\n')
+    _write(f"{inp}/t_split__002.csv", 'id,"two\nother",c\n2,b,"y\ny"\n')
+    _write(f"{inp}/t_split__003.csv", 'c,id,"two\nlines"\nz,3,c\n')
+    df = D.read_by_header(spark, inp, multi_line=True)
+    assert df.columns == ["id", "two\nlines", "c", "two\nother"]
+    assert sorted(tuple(r) for r in df.collect()) == [("1", "a", "x", None), ("2", None, "y\ny", "b"), ("3", "c", "z", None)]
+
+
+def test_a_load_reads_its_text_three_times(spark, tmp_dir, monkeypatch):
+    """Headers and encodings; the gate with the types; the put."""
+    _write(f"{tmp_dir}/in14/tab.csv", "id,a\n" + "".join(f"{i},{i}.5\n" for i in range(50)))
+    listener, scans = [], []
+    real = profile.column_stats
+
+    def counted(df, *a, **k):
+        out = real(df, *a, **k)
+        listener.append(out._jdf.queryExecution().executedPlan().toString().count("FileScan csv"))
+        return out
+
+    monkeypatch.setattr(folder.profile, "column_stats", counted)
+    put = tables.upsert_table
+    monkeypatch.setattr(folder.tables, "upsert_table", lambda s, p, frame, *a, **k: (scans.append(frame._jdf.queryExecution().executedPlan().toString().count("FileScan csv")), put(s, p, frame, *a, **k))[1])
+    folder.load_folder(spark, LoadOptions(input_path=f"{tmp_dir}/in14", output_path=f"{tmp_dir}/wh14"))
+    assert listener == [1] and scans == [1]  # beside the pass of file_facts
+    assert tables.read_table(spark, f"{tmp_dir}/wh14/tab").count() == 50
+
+
+def test_whole_numbers_that_doubles_round_fail_their_file(spark, tmp_dir):
+    inp, out = f"{tmp_dir}/in15", f"{tmp_dir}/wh15"
+    _write(f"{inp}/tab_split__001.csv", "id,a\n1,9007199254740993\n")
+    _write(f"{inp}/tab_split__002.csv", "id,a\n2,0.5\n3,\n")
+    _write(f"{inp}/big.csv", "id,a\n1,9007199254740993\n")
+    rep = _statuses(folder.load_folder(spark, LoadOptions(input_path=inp, output_path=out)))
+    assert rep == {("tab", "failed"): (1, None), ("tab", "done"): (1, 2), ("big", "done"): (1, 1)}
+    assert [tuple(r) for r in tables.read_table(spark, f"{out}/big").collect()] == [(1, 9007199254740993)]
