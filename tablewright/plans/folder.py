@@ -194,13 +194,14 @@ def file_groups(spark: SparkSession, opts: LoadOptions, paths: list[str], layout
     return out
 
 
-def gate(spark: SparkSession, groups: list[FileGroup], opts: LoadOptions) -> Gated:
-    """The checks of a load, in one scan. An aggregate by file and key value
+def gate(spark: SparkSession, groups: list[FileGroup], opts: LoadOptions, key: str | None = None) -> Gated:
+    """The checks of a load, in one scan. ``key`` is the key of the table
+    where it exists, else the first column; a file without it misses it. An aggregate by file and key value
     yields each file's rows, key tests, records longer than the header and
     cells that are not what the sidecar says; what the data says of the types
     that are open is observed beside it. A faulty file fails as a whole, with
     the count."""
-    key = next(g.meta[0][0] if g.meta else g.columns[0] for g in groups)
+    key = key or next(g.meta[0][0] if g.meta else g.columns[0] for g in groups)
     scans, observed = [], []
     for df, cols, meta in groups:
         rows = [(c, None, None) for c in cols] if meta is None else [tuple(r) + (None,) * (3 - len(r)) for r in meta]
@@ -208,11 +209,11 @@ def gate(spark: SparkSession, groups: list[FileGroup], opts: LoadOptions) -> Gat
         bad = F.lit(0) if meta is None else items.misfits(df.select(*[F.col(f"`{c}`") for c in cols]), rows, opts.na_tokens)
         # Spark reads a corrupt record's text only along with a data column
         parsed = F.length(F.concat_ws("", F.col(f"`{cols[0]}`"))) >= 0
-        source = next((c for c, r in zip(cols, rows) if r[0] == key), cols[0])
+        source = next((F.col(f"`{c}`") for c, r in zip(cols, rows) if r[0] == key), F.lit(None).cast("string"))
         facts, aggs = profile.type_evidence(df, open_, opts.na_tokens)
         seen = Observation(f"types {uuid.uuid4().hex}")
         scan = facts.observe(seen, *aggs) if open_ else facts
-        scans.append(scan.select(FILE_COL, F.col(f"`{source}`").alias("_key"), (parsed & is_ragged(len(cols), opts.sep)).cast("int").alias("ragged"), bad.alias("misfit")))
+        scans.append(scan.select(FILE_COL, source.alias("_key"), (parsed & is_ragged(len(cols), opts.sep)).cast("int").alias("ragged"), bad.alias("misfit")))
         observed.append((rows, open_, seen))
     whole = reduce(DataFrame.unionByName, scans)
     stats = profile.column_stats(whole, ["_key"], None, [FILE_COL], opts.na_tokens, with_example=False, plan="one_scan", sums=("ragged", "misfit")).collect()
@@ -280,7 +281,8 @@ def _load_table(spark: SparkSession, opts: LoadOptions, table: str, todo: list[s
         todo = [p for p in todo if p in layouts]
         if not todo:
             return
-        frame, key, counts, failed = gate(spark, file_groups(spark, opts, todo, layouts, sidecar), opts)
+        target = f"{opts.output_path.rstrip('/')}/{table}"
+        frame, key, counts, failed = gate(spark, file_groups(spark, opts, todo, layouts, sidecar), opts, tables.key_of(spark, target))
         _log(spark, opts, [(p, table, None, "failed", why) for p, why in failed.items()])
         good = [p for p in todo if p not in failed]
         if not good:
@@ -292,7 +294,6 @@ def _load_table(spark: SparkSession, opts: LoadOptions, table: str, todo: list[s
             order, status, note = [F.col("_pos")], "partial", "rows [{}, {})".format(*opts.row_range)
             counts = {r[FILE_COL]: r["count"] for r in frame.groupBy(FILE_COL).count().collect()}
         schema = T.StructType([f for f in frame.schema.fields if f.name not in tables.ENGINE_COLS])
-        target = f"{opts.output_path.rstrip('/')}/{table}"
         tables.create_table(spark, schema, target, key)
         n_rows = sum(counts.get(p, 0) for p in good)
         if n_rows:

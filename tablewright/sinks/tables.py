@@ -83,6 +83,12 @@ def create_table(spark: SparkSession, meta, path: str, key: str | None = None) -
     return schema
 
 
+def key_of(spark: SparkSession, path: str) -> str | None:
+    """The key column of a keyed table; None where there is no table."""
+    held = _manifest(spark, path)
+    return held["key"][0] if held else None
+
+
 def existing_tables(spark: SparkSession, warehouse: str) -> DataFrame:
     """Tables present under a warehouse folder, as ``(table_name)``."""
     return spark.createDataFrame([(n,) for n in list_dirs(spark, warehouse)], "table_name string")
@@ -260,7 +266,7 @@ def upsert_table(
     that does not fit fails the put before anything is published. A batch
     applied twice gives the same table. A new table gets ``n_buckets``
     (default: by ``expected_rows`` or the batch); later the count doubles
-    until a bucket holds about ``rows_per_bucket``. Returns the number of
+    until a bucket holds about ``rows_per_bucket``, the batch included. Returns the number of
     buckets written."""
     from ..operators.upsert import last_per_key, upsert
 
@@ -281,7 +287,8 @@ def upsert_table(
         target = T.StructType([T.StructField(f.name, common_type(f.dataType, new_types[f.name], f.name) if f.name in new_types else f.dataType, True) for f in old.fields])
         target = T.StructType(target.fields + [T.StructField(f.name, f.dataType, True) for f in given.fields if f.name not in old.names])
         n = held["buckets"]
-        while sum(held["rows"].values()) > n * rows_per_bucket:
+        coming = expected_rows if expected_rows is not None else raw.count()
+        while sum(held["rows"].values()) + coming > n * rows_per_bucket:
             n *= 2
         widened = any(target[f.name].dataType != f.dataType for f in old.fields)
         everything = widened or n != held["buckets"]
@@ -311,28 +318,10 @@ def upsert_table(
     return len(written)
 
 
-def rename_parts(spark: SparkSession, staging: str, folder: str, table: str) -> list[str]:
-    """Files of a folder written by ``part`` (one file each), renamed to the
-    part names of ``table`` in ``folder``; paths in part order."""
-    from ..operators.split import part_name
-
-    jvm = spark.sparkContext._jvm
-    fs, sp = _fs(spark, staging)
-    dirs = sorted((int(st.getPath().getName()[5:]), st.getPath()) for st in fs.listStatus(sp) if st.getPath().getName().startswith("part="))
-    out = []
-    for part, d in dirs:
-        src = next(st.getPath() for st in fs.listStatus(d) if st.getPath().getName().endswith(".csv"))
-        dst = f"{folder}/{part_name(table, part)}"
-        if not fs.rename(src, jvm.org.apache.hadoop.fs.Path(dst)):
-            raise OSError(f"could not write {dst}")
-        out.append(dst)
-    fs.delete(sp, True)
-    return out
-
-
-def land_as_files(spark: SparkSession, df: DataFrame, folder: str, table: str, parts: int | None = None, sep: str = ",") -> list[str]:
+def land_as_files(spark: SparkSession, df: DataFrame, folder: str, table: str, parts: int | None = None, sep: str = ",", first: int | None = None) -> list[str]:
     """Write ``df`` as CSV files named like landed uploads (``table.csv`` or
-    ``table_split__###.csv``, in partition order) in ``folder``: Spark writes
+    ``table_split__###.csv``, in partition order, from part ``first`` on) in
+    ``folder``: Spark writes
     the part files, and the driver only renames them (one call per file).
     ``parts`` repartitions first; by default the frame's own partitioning
     (e.g. an ``orderBy``) is kept, so no task holds a whole table."""
@@ -345,8 +334,8 @@ def land_as_files(spark: SparkSession, df: DataFrame, folder: str, table: str, p
     files = sorted(str(s.getPath()) for s in fs.listStatus(sp) if s.getPath().getName().endswith(".csv"))
     jvm = spark.sparkContext._jvm
     names = []
-    for i, f in enumerate(files, start=1):
-        name = f"{table}.csv" if len(files) == 1 else part_name(table, i)
+    for i, f in enumerate(files, start=first or 1):
+        name = f"{table}.csv" if len(files) == 1 and first is None else part_name(table, i)
         dst = f"{folder.rstrip('/')}/{name}"
         if not fs.rename(jvm.org.apache.hadoop.fs.Path(f), jvm.org.apache.hadoop.fs.Path(dst)):
             raise OSError(f"could not land {f} as {dst}")

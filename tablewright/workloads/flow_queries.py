@@ -16,12 +16,13 @@ from ..options import LoadOptions
 from ..plans.folder import load_folder
 from ..session import scratch_path
 from ..sinks.ledger import read_ledger
-from ..sinks.tables import land_as_files, path_exists, read_table
+from ..sinks.tables import land_as_files, read_table
 from ..sources import delimited as D
 from ..sources.catalog import file_catalog
+from ..streaming.ingest import ingest_stream
 from . import oracle as O
 from .common import TABLES, as_text, table
-from .queries import CUSTOMER_COLS, SPLIT_PARTS_SQL, THRESHOLD, register
+from .queries import CUSTOMER_COLS, CUSTOMER_META, SPLIT_PARTS_SQL, THRESHOLD, register
 
 
 def _loaded(spark: SparkSession, root: str, name: str, want: str = "done", **options) -> DataFrame:
@@ -73,8 +74,14 @@ def split_parts_small_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-ORDERS_ALL = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority"
-ORDERS_COLS = ORDERS_ALL.split(", ")
+ORDERS_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+#: What a load of ``orders`` from files holds: timestamps stay text.
+ORDERS_ALL = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%g') AS o_orderdate, o_orderpriority"
+
+
+def _land(spark: SparkSession, df: DataFrame, folder: str, name: str, first: int) -> int:
+    """Land ``df`` as part files from ``first`` on; the next free part."""
+    return first + len(land_as_files(spark, df, folder, name, first=first))
 
 
 @register("split_then_load_orders", f"SELECT {ORDERS_ALL} FROM orders")
@@ -101,14 +108,41 @@ def split_then_load_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def load_reordered_parts_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O-51, O-65: parts of one table whose columns come in another order."""
     root = scratch_path(spark, "reordered")
-    c = table(spark, sf_dir, "customer").select(*CUSTOMER_COLS)
-    halves = {1: (CUSTOMER_COLS, c.where("c_custkey % 2 = 0")), 2: (["c_custkey", *reversed(CUSTOMER_COLS[1:])], c.where("c_custkey % 2 = 1"))}
-    for i, (cols, half) in halves.items():
-        path = land_as_files(spark, half.select(*cols).coalesce(1), f"{root}/part{i}", "customer")[0]
-        _move(spark, path, f"{root}/landing/customer_split__{i:03d}.csv")
+    _land_reordered(spark, table(spark, sf_dir, "customer").select(*CUSTOMER_COLS), f"{root}/landing", "customer")
     return _loaded(spark, root, "customer")
 
 
+def _land_reordered(spark: SparkSession, df: DataFrame, folder: str, name: str) -> int:
+    """Rows of even keys under the columns of ``df``, the others under the
+    key and the reverse of the rest; the next free part."""
+    key, *rest = df.columns
+    first = _land(spark, df.where(f"{key} % 2 = 0"), folder, name, 1)
+    return _land(spark, df.where(f"{key} % 2 <> 0").select(key, *reversed(rest)), folder, name, first)
+
+
+@register("split_load_reordered_orders", f"SELECT {ORDERS_ALL} FROM orders")
+def split_load_reordered_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-44, O-65, O-71: a split load of files of unlike headers, one of them
+    with a record too long. The first run loads the sound files and refuses
+    the other; it is replaced, another file comes, and the second run splits
+    and loads those two alone."""
+    root = scratch_path(spark, "split-reordered")
+    o = table(spark, sf_dir, "orders").select(*ORDERS_COLS)
+    first = _land_reordered(spark, o.where("o_custkey % 4 < 2"), f"{root}/landing", "orders")
+    _write_text(spark, f"{root}/landing/orders_split__{first:03d}.csv", "o_orderkey,o_custkey\n1,2\n2,3,4\n")
+    opts = LoadOptions(input_path=f"{root}/landing", output_path=f"{root}/warehouse", split=True, max_rows_per_part=3000)
+    before = {r["status"]: r["n_files"] for r in load_folder(spark, opts).collect()}
+    if before.get("failed") != 1 or "pending" in before:
+        raise RuntimeError(f"unexpected report: {before}")
+    _move(spark, f"{root}/landing/orders_split__{first:03d}.csv", f"{root}/old/orders.csv")
+    key, *rest = ORDERS_COLS
+    # the table's key is not the first column here
+    _land(spark, o.where("o_custkey % 4 >= 2").select(*rest, key), f"{root}/new", "orders", first)
+    for r in file_catalog(spark, f"{root}/new").select("path", "name").collect():
+        _move(spark, r["path"], f"{root}/landing/{r['name']}")
+    return _loaded(spark, root, "orders", split=True, max_rows_per_part=3000)
+
+
 def _move(spark: SparkSession, src: str, dst: str) -> None:
     from ..sinks.tables import _fs
 
@@ -121,14 +155,15 @@ def _move(spark: SparkSession, src: str, dst: str) -> None:
 
 @register(
     "load_bigkeys_minimal_sidecar",
-    "SELECT o_orderkey + 9007199254740992 AS order_key, o_custkey AS customer_key, o_totalprice AS total FROM orders",
+    "SELECT o_orderkey + 9007199254740992 AS order_key, o_custkey AS customer_key, o_totalprice AS total, o_orderstatus AS status, "
+    "o_orderpriority AS priority, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%g') AS day FROM orders",
 )
 def load_bigkeys_minimal_sidecar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O-12, O-65: keys beyond 2^53 under a sidecar without data types."""
     root = scratch_path(spark, "bigkeys")
-    o = table(spark, sf_dir, "orders").select((F.col("o_orderkey") + 9007199254740992).alias("k"), "o_custkey", "o_totalprice")
-    land_as_files(spark, o.coalesce(1), f"{root}/landing", "orders")
-    _write_text(spark, f"{root}/landing/metadata_orders.csv", "column_name,AWS_column_dtype,\norder_key,N,\ncustomer_key,N,\ntotal,N\n")
+    o = table(spark, sf_dir, "orders").select((F.col("o_orderkey") + 9007199254740992).alias("k"), "o_custkey", "o_totalprice", "o_orderstatus", "o_orderpriority", "o_orderdate")
+    land_as_files(spark, o, f"{root}/landing", "orders")
+    _write_text(spark, f"{root}/landing/metadata_orders.csv", "column_name,AWS_column_dtype,\norder_key,N,\ncustomer_key,N,\ntotal,N\nstatus,S\npriority,S\nday,S\n")
     return _loaded(spark, root, "orders")
 
 
@@ -142,11 +177,9 @@ def load_append_wider_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "wider")
     s = table(spark, sf_dir, "supplier")
     whole = s.where("s_suppkey % 2 = 0").select("s_suppkey", F.floor("s_acctbal").alias("s_acctbal"))
-    land_as_files(spark, whole.coalesce(1), f"{root}/a", "supplier")
-    land_as_files(spark, s.where("s_suppkey % 2 = 1").select("s_suppkey", "s_acctbal").coalesce(1), f"{root}/b", "supplier")
-    _move(spark, f"{root}/a/supplier.csv", f"{root}/landing/supplier_split__001.csv")
+    first = _land(spark, whole, f"{root}/landing", "supplier", 1)
     _loaded(spark, root, "supplier")
-    _move(spark, f"{root}/b/supplier.csv", f"{root}/landing/supplier_split__002.csv")
+    _land(spark, s.where("s_suppkey % 2 = 1").select("s_suppkey", "s_acctbal"), f"{root}/landing", "supplier", first)
     return _loaded(spark, root, "supplier", append=True)
 
 
@@ -163,38 +196,62 @@ def load_two_ranges_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _loaded(spark, root, "orders", want="partial", row_range=(400, 900))
 
 
-@register("load_rerun_remaining", "SELECT p_partkey, p_name, p_retailprice FROM part")
+PART_ALL = "SELECT p_partkey, p_name, p_brand, p_type, CAST(p_size AS BIGINT) AS p_size, p_retailprice FROM part"
+
+
+@register("load_rerun_remaining", PART_ALL)
 def load_rerun_remaining(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O-65, O-71 in a folder whose name has a blank: ``part`` fails its key
     test, is mended and loaded by a rerun that leaves ``region`` alone."""
     root = scratch_path(spark, "re run")
     root = root.replace("re run", "re run + more")
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
-    land_as_files(spark, table(spark, sf_dir, "region").coalesce(1), f"{root}/landing", "region")
-    land_as_files(spark, p.union(p).coalesce(1), f"{root}/landing", "part")
+    p = table(spark, sf_dir, "part")
+    land_as_files(spark, table(spark, sf_dir, "region"), f"{root}/landing", "region")
+    twice = p.union(p).repartition(2, "p_partkey")  # every key twice in its file
+    files = land_as_files(spark, twice, f"{root}/landing", "part")
     opts = LoadOptions(input_path=f"{root}/landing", output_path=f"{root}/warehouse")
     first = {r["table_name"]: r["status"] for r in load_folder(spark, opts).collect()}
     if first != {"region": "done", "part": "failed"}:
         raise RuntimeError(f"unexpected report: {first}")
-    _move(spark, f"{root}/landing/part.csv", f"{root}/old/part.csv")
-    land_as_files(spark, p.coalesce(1), f"{root}/landing", "part")
+    for i, path in enumerate(files):
+        _move(spark, path, f"{root}/old/part{i}.csv")
+    land_as_files(spark, p.repartition(2), f"{root}/landing", "part")
     return _loaded(spark, root, "part")
 
 
-@register("profile_then_load_part", "SELECT p_partkey, p_name, p_brand, CAST(p_size AS BIGINT) AS p_size, p_retailprice FROM part")
+@register("profile_then_load_part", PART_ALL)
 def profile_then_load_part(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O-35, O-63, O-65: a run that only profiles writes the sidecar file; the
     next run loads with it."""
     root = scratch_path(spark, "profile-load")
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size", "p_retailprice")
-    land_as_files(spark, p.orderBy("p_partkey").coalesce(1), f"{root}/landing", "part")
+    land_as_files(spark, table(spark, sf_dir, "part").orderBy("p_partkey"), f"{root}/landing", "part")
     opts = LoadOptions(input_path=f"{root}/landing", output_path=f"{root}/warehouse", profile_only=True)
     report = load_folder(spark, opts).collect()
-    if [r["status"] for r in report] != ["profiled"] or not path_exists(spark, f"{root}/landing/metadata_part.csv"):
+    sidecars = file_catalog(spark, f"{root}/landing").where("is_metadata").count()
+    if [(r["status"], r["n_files"]) for r in report] != [("profiled", sidecars)]:
         raise RuntimeError(f"no sidecar: {report}")
     return _loaded(spark, root, "part")
 
 
+@register("stream_gate_customer", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer".replace("c_nationkey", "CAST(c_nationkey AS BIGINT) AS c_nationkey"))
+def stream_gate_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-73: ``customer`` streamed from files of two column orders, with a
+    file that holds every key twice and one with records too long among them;
+    those two are refused and logged, the others make the table."""
+    root = scratch_path(spark, "stream-gate")
+    c = table(spark, sf_dir, "customer").select(*CUSTOMER_COLS)
+    n_good = _land_reordered(spark, c.repartition(2, "c_custkey"), f"{root}/landing", "customer") - 1
+    wrong = c.withColumn("c_name", F.lit("wrong"))
+    n_bad = len(land_as_files(spark, wrong.union(wrong).repartition(2, "c_custkey"), f"{root}/landing", "twice", first=1))
+    _write_text(spark, f"{root}/landing/long.csv", ",".join(CUSTOMER_COLS) + "\n1,wrong,1,1.0,x,and more\n")
+    args = [f"{root}/{x}" for x in ("table", "checkpoint", "ledger")]
+    ingest_stream(spark, f"{root}/landing", CUSTOMER_COLS, *args, meta=CUSTOMER_META, max_files_per_trigger=3, archive_dir=f"{root}/archive")
+    log = {r["status"]: r["n"] for r in read_ledger(spark, f"{root}/ledger").groupBy("status").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if log != {"done": n_good, "failed": n_bad + 1}:
+        raise RuntimeError(f"unexpected ledger: {log}")
+    return read_table(spark, f"{root}/table")
+
+
 @register("load_multiline_documents", "SELECT doc_id, text, lang, source, n_chars FROM documents")
 def load_multiline_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O-01, O-65: whole texts, with their quoted line breaks, through files

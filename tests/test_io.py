@@ -198,6 +198,14 @@ def test_buckets_grow_and_old_versions_go(spark, tmp_dir):
     assert tables._versions(spark, path) == [5, 6]
 
 
+def test_a_large_batch_after_a_small_one_is_many_buckets(spark, tmp_dir):
+    path = f"{tmp_dir}/sudden"
+    tables.upsert_table(spark, path, spark.range(5).withColumnRenamed("id", "k"), "k", rows_per_bucket=1000)
+    tables.upsert_table(spark, path, spark.range(100_000).withColumnRenamed("id", "k"), "k", rows_per_bucket=1000)
+    held = tables._manifest(spark, path)
+    assert held["buckets"] == 128 and len(held["folders"]) == 128 and sum(held["rows"].values()) == 100_000
+
+
 def test_a_reader_keeps_the_version_it_began_with(spark, tmp_dir):
     path = f"{tmp_dir}/versions"
     tables.upsert_table(spark, path, spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string"), "k", n_buckets=2)
@@ -416,3 +424,23 @@ def test_whole_numbers_that_doubles_round_fail_their_file(spark, tmp_dir):
     rep = _statuses(folder.load_folder(spark, LoadOptions(input_path=inp, output_path=out)))
     assert rep == {("tab", "failed"): (1, None), ("tab", "done"): (1, 2), ("big", "done"): (1, 1)}
     assert [tuple(r) for r in tables.read_table(spark, f"{out}/big").collect()] == [(1, 9007199254740993)]
+
+
+def test_stream_checks_each_file(spark, tmp_dir):
+    land = f"{tmp_dir}/landing"
+    _write(f"{land}/a.csv", "k,a,b\n1,10,x\n2,20,y\n")
+    _write(f"{land}/b.csv", "k,b,a\n3,z,30\n")  # another order
+    _write(f"{land}/c.csv", "k,a,b\n4,5,6,7\n")  # a record longer than the header
+    _write(f"{land}/d.csv", "k,a\n5,1\n")  # a column is not there
+    _write(f"{land}/e.csv", "k,a,b\n6,1,p\n6,2,q\n")  # a key twice
+    _write(f"{land}/f.csv", "k,a,b\n7,abc,p\n")  # not a number
+    _write(f"{land}/g.csv", "k,a,b\n8,80,café\n", "latin-1")
+    _write(f"{land}/h.csv", "")  # no bytes: the source does not deliver it
+    _write(f"{land}/i.csv", "k,a,b\n")
+    ingest_stream(spark, land, ["k", "a", "b"], f"{tmp_dir}/t", f"{tmp_dir}/ck", f"{tmp_dir}/led", meta=[("key", "N", "int64"), ("a", "N", None), ("b", "S")], max_files_per_trigger=4, archive_dir=f"{tmp_dir}/archive")
+    got = sorted(tuple(r) for r in tables.read_table(spark, f"{tmp_dir}/t").collect())
+    assert got == [(1, 10, "x"), (2, 20, "y"), (3, 30, "z"), (8, 80, "café")]
+    log = {os.path.basename(r["path"])[0]: r for r in ledger.read_ledger(spark, f"{tmp_dir}/led").collect()}
+    assert {k: r["status"] for k, r in log.items()} == {k: "done" if k in "abgi" else "failed" for k in "abcdefgi"}
+    assert log["c"]["message"].startswith("1 rows longer") and "columns" in log["d"]["message"] and "duplicate" in log["e"]["message"]
+    assert "1 cells" in log["f"]["message"] and log["b"]["n_rows"] == 1 and log["b"]["table_name"] == "b"
