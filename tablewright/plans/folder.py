@@ -62,7 +62,6 @@ def profile_folder(
     into one result. ``per_file=False`` profiles each table as a whole: its
     parts, each read by its own header, by column name and in file order."""
     catalog = cat.data_files(cat.file_catalog(spark, path))
-    outs = []
     paths_of = _table_files(catalog)
     # One text pass finds every file's header and encoding.
     layouts = file_layouts(spark, [p for ps in paths_of.values() for p in ps], sep, encoding, multi_line) if paths_of else {}
@@ -73,9 +72,9 @@ def profile_folder(
         units = [(None, ps) for ps in by_names.values()]
     else:
         units = [(t, [p for p in ps if p in layouts]) for t, ps in paths_of.items()]
-    for table, paths in units:
-        if not paths:
-            continue
+
+    def unit_profile(unit) -> DataFrame:
+        table, paths = unit
         df = read_by_header(spark, paths, sep, multi_line, file_order=True, layouts=layouts)
         cols = [c for c in df.columns if c not in FILE_ORDER]
         if per_file:
@@ -100,7 +99,9 @@ def profile_folder(
             )
             w = Window.partitionBy(*by, "table_name")
             prof = prof.withColumn("key_warnings", F.max(F.when(F.col("column_index") == 0, warn)).over(w))
-        outs.append(prof)
+        return prof
+
+    outs = _in_threads(unit_profile, [u for u in units if u[1]])
     if not outs:
         raise ValueError(f"no data files under {path}")
     return reduce(lambda a, b: a.unionByName(b), outs)
@@ -188,7 +189,7 @@ def file_groups(spark: SparkSession, opts: LoadOptions, paths: list[str], layout
         groups.setdefault((sidecar(p) or "", layouts[p]), []).append(p)
     out = []
     for (side, layout), ps in groups.items():
-        df = read_delimited(spark, ps, opts.sep, layout.encoding, opts.multi_line, layout.names, file_order=True, corrupt=True)
+        df = read_delimited(spark, ps, opts.sep, layout.encoding, opts.multi_line and layout.quotes, layout.names, file_order=True, corrupt=True)
         meta = items.sidecar_rows(read_metadata(spark, side, opts.sep)) if side else None
         out.append(FileGroup(df, list(layout.names), meta))
     return out

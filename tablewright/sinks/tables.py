@@ -329,7 +329,8 @@ def land_as_files(spark: SparkSession, df: DataFrame, folder: str, table: str, p
 
     staging = f"{folder.rstrip('/')}/_staging_{table}_{uuid.uuid4().hex[:8]}"
     out = df.repartition(parts) if parts else df
-    out.write.mode("errorifexists").option("header", True).option("escape", '"').option("sep", sep).csv(staging)
+    writer = out.write.mode("errorifexists").option("header", True).option("escape", '"').option("sep", sep)
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(staging)
     fs, sp = _fs(spark, staging)
     files = sorted(str(s.getPath()) for s in fs.listStatus(sp) if s.getPath().getName().endswith(".csv"))
     jvm = spark.sparkContext._jvm

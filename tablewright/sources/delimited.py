@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .records import parse_records, read_records
+
 FILE_COL = "_file"
 BLOCK_COL = "_block"
 ROW_COL = "_row"
@@ -82,7 +84,9 @@ def header_names(spark: SparkSession, paths, sep: str = ",", encoding: str | Non
     first = _reader(spark, sep, encoding, multi_line, header=False).csv(_paths(paths)[0]).limit(1).collect()
     if not first:
         return []
-    return dedupe_names([v for v in first[0]])
+    *names, last = first[0]
+    # a line break in the header can hide from the reader how lines end
+    return dedupe_names([*names, last[:-1] if multi_line and last and last.endswith("\r") else last])
 
 
 def read_delimited(
@@ -100,12 +104,19 @@ def read_delimited(
     recognised by ``is_missing``. ``file_order`` adds ``_file``, ``_block``
     and ``_row`` whose order is the file order (one split's rows are
     consecutive in ``_row``); ``corrupt`` adds ``_corrupt``, the text of
-    records with more or fewer cells than the header, else null."""
+    records with more or fewer cells than the header, else null.
+    ``multi_line``: quoted cells may hold line breaks; files are still read
+    by many tasks (``sources.records``; one pass over the text runs at once)."""
     plist = _paths(paths)
     if names is None:
         names = header_names(spark, plist, sep, encoding, multi_line)
     schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
-    reader = _reader(spark, sep, encoding, multi_line, header=True)
+    records = read_records(spark, plist, sep, encoding, scan_path()) if multi_line else None
+    if records is not None:
+        df = parse_records(records, schema.add(CORRUPT_COL, T.StringType()) if corrupt else schema, sep, CORRUPT_COL if corrupt else None)
+        corrupts = [CORRUPT_COL] if corrupt else []
+        return df.select(*[F.col(f"`{n}`") for n in names], *corrupts, *(FILE_ORDER if file_order else ()))
+    reader = _reader(spark, sep, encoding, False, header=True)
     if corrupt:
         schema = schema.add(CORRUPT_COL, T.StringType(), True)
         # a record is only held against its header if all its cells are parsed
@@ -122,10 +133,10 @@ def read_delimited(
 
 
 def file_facts(spark: SparkSession, paths, fallback: str = "ISO-8859-1") -> DataFrame:
-    """``(path, header, encoding)`` of every file from one text scan: the
-    first line (least position in the file's first split) and the O-02
-    encoding test, so grouping by header and choosing encodings cost one
-    read of the bytes, not two."""
+    """``(path, header, encoding, quotes)`` of every file from one text scan:
+    the first line (least position in the file's first split), the O-02
+    encoding test and whether there is a quote, so grouping by header and
+    choosing encodings cost one read of the bytes, not two."""
     lines = spark.read.text(_paths(paths)).select(
         scan_path().alias("path"),
         F.col("_metadata.file_block_start").alias("_b"),
@@ -137,8 +148,9 @@ def file_facts(spark: SparkSession, paths, fallback: str = "ISO-8859-1") -> Data
     facts = lines.groupBy("path").agg(
         F.min_by(F.when(first, F.col("value")), F.when(first, F.col("_r"))).alias("header"),
         F.when(F.bool_and(F.is_valid_utf8("value")), F.lit("UTF-8")).otherwise(F.lit(fallback)).alias("encoding"),
+        F.bool_or(F.contains("value", F.lit('"'))).alias("quotes"),
     )
-    return facts.select("path", F.regexp_replace("header", "\r$", "").alias("header"), "encoding")
+    return facts.select("path", F.regexp_replace("header", "\r$", "").alias("header"), "encoding", "quotes")
 
 
 def file_headers(spark: SparkSession, paths) -> DataFrame:
@@ -164,6 +176,7 @@ class Layout(NamedTuple):
 
     names: tuple[str, ...]
     encoding: str
+    quotes: bool = True  # without a quote, every line is a record
 
 
 def file_layouts(spark: SparkSession, paths, sep: str = ",", encoding: str | None = None, multi_line: bool = False) -> dict[str, Layout]:
@@ -176,11 +189,11 @@ def file_layouts(spark: SparkSession, paths, sep: str = ",", encoding: str | Non
         if r["header"] is None:
             continue
         open_quote = multi_line and r["header"].count('"') % 2
-        groups.setdefault((r["path"] if open_quote else "", r["header"], encoding or r["encoding"]), []).append(r["path"])
+        groups.setdefault((r["path"] if open_quote else "", r["header"], encoding or r["encoding"]), []).append(r)
     out = {}
-    for (_, _, enc), ps in groups.items():
-        layout = Layout(tuple(header_names(spark, ps, sep, enc, multi_line)), enc)
-        out |= dict.fromkeys(ps, layout)
+    for (_, _, enc), rs in groups.items():
+        names = tuple(header_names(spark, [rs[0]["path"]], sep, enc, multi_line))
+        out |= {r["path"]: Layout(names, enc, r["quotes"]) for r in rs}
     return out
 
 
@@ -211,7 +224,7 @@ def read_by_header(
         groups.setdefault(layouts[p], []).append(p)
     frames, columns = [], {}
     for layout, ps in groups.items():
-        df = read_delimited(spark, ps, sep, layout.encoding, multi_line, layout.names, file_order, corrupt=ragged)
+        df = read_delimited(spark, ps, sep, layout.encoding, multi_line and layout.quotes, layout.names, file_order, corrupt=ragged)
         if ragged:
             # Spark reads a corrupt record's text only along with a data column
             parsed = F.length(F.concat_ws("", F.col(f"`{layout.names[0]}`"))) >= 0
@@ -277,7 +290,10 @@ def read_metadata(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
 
 
 def preview(df: DataFrame, n: int = 5) -> DataFrame:
-    """O-05: the first rows (a limit is the feature here)."""
+    """O-05: the first rows, of a scan with its file order the first in that
+    order (a limit is the feature here)."""
+    if set(FILE_ORDER) <= set(df.columns):
+        df = df.orderBy(*FILE_ORDER)
     return df.limit(n)
 
 

@@ -81,7 +81,7 @@ def ingest_stream(
                 read.setdefault(layouts[p], []).append(p)
         groups = []
         for layout, ps in read.items():
-            df = read_delimited(spark, ps, sep, layout.encoding, multi_line, layout.names, file_order=True, corrupt=True)
+            df = read_delimited(spark, ps, sep, layout.encoding, multi_line and layout.quotes, layout.names, file_order=True, corrupt=True)
             by_name = df.select(*[F.col(f"`{n}`") for n in names], *FILE_ORDER, CORRUPT_COL)
             groups.append(FileGroup(by_name, names, rows))
         counts = {}

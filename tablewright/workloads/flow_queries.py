@@ -261,6 +261,28 @@ def load_multiline_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _loaded(spark, root, "documents", multi_line=True)
 
 
+@register("read_multiline_documents", "SELECT doc_id, text, lang, source, n_chars FROM documents")
+def read_multiline_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-01: ``documents`` as one file with quoted line breaks (one file is
+    the feature), read by as many tasks as it has blocks."""
+    root = scratch_path(spark, "one-file")
+    land_as_files(spark, table(spark, sf_dir, "documents").coalesce(1), root, "documents")
+    df = D.read_delimited(spark, root, multi_line=True)
+    return df.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", "lang", "source", F.col("n_chars").cast("bigint").alias("n_chars"))
+
+
+@register(
+    "preview_documents",
+    "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source, CAST(n_chars AS VARCHAR) AS n_chars FROM documents ORDER BY documents.doc_id LIMIT 20",
+)
+def preview_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-05: the first rows of landed files, in file order (the limit is the
+    feature)."""
+    root = scratch_path(spark, "preview")
+    land_as_files(spark, table(spark, sf_dir, "documents").orderBy("doc_id"), root, "documents")
+    return D.preview(D.read_by_header(spark, root, multi_line=True, file_order=True), 20).drop(*D.FILE_ORDER)
+
+
 KEYED_TABLES = [t for t in TABLES if t not in ("lineitem", "embeddings", "conversations")]
 
 

@@ -666,10 +666,31 @@ def _land_tables(spark: SparkSession, sf_dir: str, folder: str, parts: dict[str,
         land_as_files(spark, table(spark, sf_dir, t).select(*cols).orderBy(cols[0]), folder, t, parts.get(t))
 
 
+#: Every table with all its columns (a vector is no cell of a delimited
+#: file), and the columns that order its rows in the landed files.
+PROFILED = {
+    "region": ("r_regionkey, r_name", 1),
+    "nation": ("n_nationkey, n_name, n_regionkey", 1),
+    "customer": (", ".join(CUSTOMER_COLS), 1),
+    "supplier": ("s_suppkey, s_name, s_nationkey, s_acctbal", 1),
+    "part": ("p_partkey, p_name, p_brand, p_type, p_size, p_retailprice", 1),
+    "orders": (", ".join(ORDERS_COLS), 1),
+    "lineitem": (", ".join(LINEITEM_COLS), len(LINEITEM_COLS)),
+    "events": (", ".join(EVENTS_COLS), 1),
+    "documents": ("doc_id, text, lang, source, n_chars", 1),
+    "embeddings": ("vec_id, label", 1),
+    "pages": ("page_id, url, html", 1),
+    "benchmark": ("item_id, text", 1),
+    "labels": ("doc_id, quality, toxic", 1),
+    "conversations": ("conv_id, turn, role, text", 4),
+}
+
+
 def _profile_folder_sql() -> str:
     parts = []
-    for t, cols in FOLDER_TABLES.items():
-        inner = O.profile_sql(O.text_table_sql(t, cols, cols[0]), cols)
+    for t, (names, n_order) in PROFILED.items():
+        cols = names.split(", ")
+        inner = O.profile_sql(O.text_table_sql(t, cols, f"row({', '.join(cols[:n_order])})"), cols)
         parts.append(
             f"SELECT '{t}' AS table_name, column_index, column_name, AWS_column_dtype, pandas_column_dtype, "
             f"example_item_list, mixed_datatype_flag_list, missing_data_flag_list, duplicate_data_flag_list FROM ({inner})"
@@ -679,14 +700,19 @@ def _profile_folder_sql() -> str:
 
 @register("profile_folder_tables", _profile_folder_sql())
 def profile_folder_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """O-35 (with O-01…O-03, O-26, O-28): four tables landed as ordered CSV
+    """O-35 (with O-01…O-03, O-26, O-28): all tables landed as ordered CSV
     files (one or more parts each) in one folder, each profiled as a whole
-    in file order in one grouped job per table, with its key warnings."""
+    in file order in one grouped job per table, with its key warnings. Texts
+    keep their quoted line breaks."""
     from ..plans.folder import profile_folder
+    from ..sinks.tables import land_as_files
 
     root = scratch_path(spark, "folder-profile")
-    _land_tables(spark, sf_dir, root, {})
-    prof = profile_folder(spark, root, per_file=False)
+    for t, (names, n_order) in PROFILED.items():
+        cols = names.split(", ")
+        ordered = table(spark, sf_dir, t).select(*cols).orderBy(*cols[:n_order])
+        land_as_files(spark, as_text(ordered), root, t)
+    prof = profile_folder(spark, root, per_file=False, multi_line=True)
     return prof.select(
         "table_name", "column_index", "column_name", "AWS_column_dtype", "pandas_column_dtype", "example_item_list",
         "mixed_datatype_flag_list", "missing_data_flag_list", "duplicate_data_flag_list",

@@ -444,3 +444,50 @@ def test_stream_checks_each_file(spark, tmp_dir):
     assert {k: r["status"] for k, r in log.items()} == {k: "done" if k in "abgi" else "failed" for k in "abcdefgi"}
     assert log["c"]["message"].startswith("1 rows longer") and "columns" in log["d"]["message"] and "duplicate" in log["e"]["message"]
     assert "1 cells" in log["f"]["message"] and log["b"]["n_rows"] == 1 and log["b"]["table_name"] == "b"
+
+
+BITS = ["a", "é", "x y", ",", '"', "\n", "\n\n", '""', "12", "\t", "  ", ',"', "z" * 50, "\r\n"]
+
+
+def test_records_with_line_breaks_are_read_by_many_tasks(spark, tmp_dir):
+    import csv
+    import random
+
+    rng = random.Random(3)
+    rows = [[str(i), *("".join(rng.choice(BITS) for _ in range(rng.randrange(8))) for _ in range(3))] for i in range(1500)]
+    rows.insert(700, ["long", "\n".join(f"line {k}" for k in range(3000)), "b", "c"])  # over many blocks
+    rows.insert(900, ["longer", ('say ""' * 25_000 + "\n") * 8, "b", "c"])
+    rows.insert(1200, ["quotes", '"' * 9001, "b\n", "c"])
+    for name, end in (("n", "\n"), ("rn", "\r\n")):
+        path = f"{tmp_dir}/{name}.csv"
+        with open(path, "w", newline="", encoding="utf-8") as f:
+            out = csv.writer(f, lineterminator=end)
+            out.writerow(["id", "two\nlines", "b", "c"])
+            out.writerows(rows)
+            f.write(end * 3 + 'open,"never\nclosed')
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "30000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "10")
+    try:
+        for name in ("n", "rn"):
+            df = D.read_delimited(spark, f"{tmp_dir}/{name}.csv", multi_line=True, file_order=True)
+            assert df.columns[:4] == ["id", "two\nlines", "b", "c"] and df.rdd.getNumPartitions() > 20
+            got = [[r[0], *(x or "" for x in r[1:4])] for r in df.orderBy(*D.FILE_ORDER).collect()]
+            assert got == [*rows, ["open", "never\nclosed", "", ""]]
+            from tablewright.operators.ordinal import with_ordinal
+
+            numbered = with_ordinal(df, D.FILE_ORDER, "n").select("n", "id").orderBy("n").collect()
+            assert [r["n"] for r in numbered] == list(range(len(rows) + 1)) and [r["id"] for r in numbered][:-1] == [r[0] for r in rows]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_stray_quotes_and_long_records_of_multi_line_files(spark, tmp_dir):
+    path = f"{tmp_dir}/stray.csv"
+    _write(path, 'id,a\n1,5" pipe\n2,"x"y"\n3,"p\nq",r,"s\nt"\n \n4,"u""v"\n')
+    df = D.read_delimited(spark, path, multi_line=True, file_order=True, corrupt=True)
+    plain = spark.read.option("header", True).option("escape", '"').option("multiLine", True).schema("id string, a string").csv(path)
+    assert sorted(tuple(r)[:2] for r in df.collect()) == sorted(tuple(r) for r in plain.where("trim(id) <> ''").collect())
+    ragged = D.read_by_header(spark, path, multi_line=True, ragged=True).where("_ragged").collect()
+    assert [r["id"] for r in ragged] == ["3"]
