@@ -11,21 +11,23 @@ aligns inside the band the regions at every place of the item that reach it
 by themselves. Documents stay where they are; nothing is shuffled but the few
 matches.
 
-The benchmark is read in blocks of at most about ``block_chars`` characters,
-chosen by hash: each block's index is a broadcast of bounded size, and a
-larger benchmark takes more passes over the documents.
+The benchmark's different texts are read in blocks of at most about
+``block_chars`` characters, chosen by hash: each block's index is a broadcast
+of bounded size, and at most ``BLOCKS_AT_ONCE`` of them are held; a larger
+benchmark takes more passes over the documents.
 
 Nulls and edges: null or empty texts and items match nothing; items of fewer
-than ``min_chars`` normalised characters are too short to tell and are not
-searched; a repeated document or item gives a row for each pair; other
-columns are not read; an empty table on either side gives no match.
+than ``MIN_CHARS`` normalised characters hold no q-gram and are not searched;
+items of fewer than ``SHORT_ITEM`` must stand in a text exactly, at word
+edges; a repeated document or item gives a row for each pair; other columns
+are not read; an empty table on either side gives no match.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,7 +37,10 @@ from .common import python_ready, texts, written
 Q = 10
 ERROR_RATE = 0.08
 REGION = 100
-MIN_CHARS = 40
+#: Items of fewer normalised characters hold no q-gram and are not searched;
+#: shorter ones than SHORT_ITEM must stand in a text exactly, at word edges.
+MIN_CHARS = Q
+SHORT_ITEM = 40
 BLOCK_CHARS = 1 << 20
 #: Code units of text, and index hits, that are handled at a time.
 TEXT_BLOCK = 1 << 21
@@ -44,7 +49,9 @@ HIT_BLOCK = 1 << 20
 SHORT_Q = 5
 #: Region starts of an item that are aligned at a time.
 START_BLOCK = 1 << 12
-SCHEMA = "doc_id long, item_id long, edits int, region_chars int, text_place long"
+#: Blocks of the benchmark whose indexes are held at a time.
+BLOCKS_AT_ONCE = 8
+SCHEMA = "doc_id long, item long, edits int, region_chars int, text_place long"
 
 
 @lru_cache(maxsize=1)
@@ -248,6 +255,13 @@ def best_region(part, text, m: int, k: int) -> tuple[int, int] | None:
     return (int(edits[at]), int(starts[at]) + int(np.argmin(row[:, at]))) if edits[at] <= k else None
 
 
+def whole_words(text, item) -> tuple | None:
+    """(0, size, place) of the first place where the item stands in the text
+    between words."""
+    place = (b" " + text.tobytes() + b" ").find(b" " + item.tobytes() + b" ")
+    return (0, len(item), place) if place >= 0 else None
+
+
 def find_regions(index: BenchmarkIndex, batch: list[str]) -> list[tuple]:
     """(row in batch, item id, edits, region size, normalised text place), at
     most one for a text and item."""
@@ -258,25 +272,41 @@ def find_regions(index: BenchmarkIndex, batch: list[str]) -> list[tuple]:
     best: dict[tuple, tuple] = {}
     for row, item, low, high in index.bands(codes):
         text = codes[int(ends[row - 1]) + 1 if row else 0 : int(ends[row])]
+        if len(index.codes[item]) < SHORT_ITEM:
+            if (row, item) not in best and (got := whole_words(text, index.codes[item])):
+                best[(row, item)] = got
+            continue
         got = index.verified(text, item, low, high)
         if got and got < best.get((row, item), (1 << 30,)):
             best[(row, item)] = got
     return [(row, index.ids[item], *got) for (row, item), got in sorted(best.items())]
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """doc_id, item_id, edits, region_chars and text_place (in the normalised
-    text) for every document that holds a region of an item."""
-    spark = docs.sparkSession
-    python_ready(spark)
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text IS NOT NULL")
+def distinct_items(benchmark: DataFrame) -> DataFrame:
+    """(item, text): each text once, named by its hash."""
+    return benchmark.where("text IS NOT NULL").select(F.xxhash64("text").alias("item"), "text").dropDuplicates(["item", "text"])
+
+
+def indexed(items: DataFrame, block_chars: int) -> Iterator:
+    """Broadcast indexes of ``items``, of about ``block_chars`` characters
+    each; a block is read, and its index built, when it is asked for."""
+    spark = items.sparkSession
+    items = written(items, "benchmark-items")
     chars = items.agg(F.sum(F.char_length("text"))).first()[0] or 0
     n_blocks = max(1, math.ceil(chars / block_chars))
-    rows = texts(docs)
-    out = None
     for block in range(n_blocks):
-        mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == block)
-        index = spark.sparkContext.broadcast(BenchmarkIndex(sorted(((r[0], r[1]) for r in mine.collect()), key=str)))
+        mine = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n_blocks)) == block)
+        yield spark.sparkContext.broadcast(BenchmarkIndex(sorted((r[0], r[1]) for r in mine.collect())))
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """doc_id, item_id, edits, region_chars and text_place (in the normalised
+    text) for every document that holds a region of an item. Items of one
+    text are searched once."""
+    python_ready(docs.sparkSession)
+    rows = texts(docs)
+    parts, held = [], []
+    for index in indexed(distinct_items(benchmark), block_chars):
 
         def run(batches, index=index) -> Iterator:
             import pyarrow as pa
@@ -286,22 +316,43 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK
                 found = [(ids[r[0]], *r[1:]) for r in find_regions(index.value, b.column(1).to_pylist())]
                 cols = list(zip(*found)) or [()] * 5
                 kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["doc_id", "item_id", "edits", "region_chars", "text_place"])
-
-        found = rows.mapInArrow(run, SCHEMA)
-        out = found if out is None else out.unionByName(found)
-    return out
-
-
-def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the documents that hold a region of the benchmark.
-    Documents without an id are judged by their text alone."""
-    found = written(contaminated(docs, benchmark).select("doc_id").distinct(), "contaminated")
-    clean = docs.join(found, "doc_id", "left_anti").select(docs.columns)
-    if found.where("doc_id IS NULL").isEmpty():
-        return clean
-    # rows without an id: named by their text's hash for this judgement
-    unnamed = docs.where("doc_id IS NULL").select(F.struct(*docs.columns).alias("doc"), F.xxhash64("text").alias("doc_id"), "text")
-    dirty = written(contaminated(unnamed, benchmark).select("doc_id").distinct(), "contaminated")
-    rest = unnamed.join(dirty, "doc_id", "left_anti").select("doc.*")
-    return clean.where("doc_id IS NOT NULL").unionByName(rest)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["doc_id", "item", "edits", "region_chars", "text_place"])
+
+        parts.append(rows.mapInArrow(run, SCHEMA))
+        held.append(index)
+        if len(held) == BLOCKS_AT_ONCE:  # no more indexes than these at a time
+            done = written(reduce(DataFrame.unionByName, parts), "contaminated")
+            parts, held = [done], _dropped(held)
+    ids = benchmark.where("text IS NOT NULL").select(F.xxhash64("text").alias("item"), F.col("item_id").cast("long").alias("item_id"))
+    found = reduce(DataFrame.unionByName, parts)
+    return found.join(ids, "item").select("doc_id", "item_id", "edits", "region_chars", "text_place")
+
+
+def _dropped(held: list) -> list:
+    for index in held:
+        index.destroy()
+    return []
+
+
+def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """``docs`` without the rows whose text holds a region of the benchmark.
+    Each row is judged by its own text, where it lies: ids play no part."""
+    python_ready(docs.sparkSession)
+    at, kept, held = docs.columns.index("text"), docs, []
+    for index in indexed(distinct_items(benchmark), block_chars):
+
+        def run(batches, index=index) -> Iterator:
+            import numpy as np
+            import pyarrow as pa
+
+            for b in batches:
+                clean = np.ones(len(b), dtype=bool)
+                clean[[r[0] for r in find_regions(index.value, [t or "" for t in b.column(at).to_pylist()])]] = False
+                yield b.filter(pa.array(clean))
+
+        kept = kept.mapInArrow(run, docs.schema)
+        held.append(index)
+        if len(held) == BLOCKS_AT_ONCE:
+            kept = written(kept, "uncontaminated")
+            held = _dropped(held)
+    return kept

@@ -155,6 +155,7 @@ def train(docs: DataFrame, learnable: Column | None = None, sample_rows: int = 3
     given = docs.select("doc_id", "lang").where("doc_id IS NOT NULL AND lang IS NOT NULL")
     if learnable is not None:
         given = given.where(learnable)
+    given = given.distinct()  # rows that repeat an id are one
     sizes = written(given.groupBy("lang").agg(F.count("*").alias("n")).coalesce(1), "language-sizes")
     each = max(1, sample_rows // max(1, sizes.count()))
     # of a frequent language only low hashes, about four times what is needed,
@@ -178,8 +179,10 @@ def train(docs: DataFrame, learnable: Column | None = None, sample_rows: int = 3
                 rows.append((at.astype(np.int32), counts[at].astype(np.int32)))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([r[0] for r in rows], pa.list_(pa.int32())), pa.array([r[1] for r in rows], pa.list_(pa.int32()))], ["doc_id", "given", "buckets", "counts"])
 
-    # at most sample_rows ids: a bounded broadcast
-    rows = texts(docs, "lang").join(F.broadcast(picked), "doc_id").where("lang = given").select("doc_id", "given", "text")
+    # at most sample_rows ids: a bounded broadcast; of rows that share an id
+    # and a language one is learned from, combined before the shuffle
+    rows = texts(docs, "lang").join(F.broadcast(picked), "doc_id").where("lang = given")
+    rows = rows.groupBy("doc_id", "given").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     got = rows.mapInArrow(run, "doc_id long, given string, buckets array<int>, counts array<int>").toPandas()
     got = got.sort_values(["doc_id", "given"], kind="stable")
     return LanguageModel().fit([r for r in zip(got["buckets"], got["counts"], got["given"]) if len(r[0])])

@@ -97,6 +97,12 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
     """doc_id, source, size, source_size, target and taken (words of the
     document in the mix, its repeats counted), a row per document."""
     sizes = written(sized(docs).withColumn("row", F.monotonically_increasing_id()), "mix-sizes")
+    return mix_rows(sizes, weights, share, max_repeats).drop("row", "shuffled")
+
+
+def mix_rows(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, max_repeats: int = 2) -> DataFrame:
+    """``mix`` of (doc_id, source, size, row), with the row's number and its
+    place in its source's queue."""
     targets = written(source_targets(sizes, weights, share, max_repeats).coalesce(1), "mix-targets")
     queued = sizes.withColumn("shuffled", shuffle_key(F.col("doc_id")))
     queued = running_sum(queued, ["source", "shuffled", "doc_id", "size", "row"], "size", ["source"], "cum")
@@ -118,7 +124,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
     cut = F.least(F.col("words"), F.lit(budget) - (F.col("sent") - F.col("words")))
     taken = stream.withColumn("words", cut).where("words > 0").groupBy("row").agg(F.sum("words").alias("taken"))
     out = queued.join(taken, "row", "left")
-    return out.select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+    return out.select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "row", "shuffled")
 
 
 def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, max_repeats: int = 2) -> DataFrame:
@@ -127,33 +133,29 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share
     with the words it was given (its ``n_chars``, if there, made to fit).
 
     A source's queue is taken up to one place, so the mix is stated by one
-    row per source: the whole passes and the last document of the next. Texts
-    stay where they are and look up their source. Rows that repeat an id, or
-    have none, are given their shares in order of size and text instead,
-    which shuffles them."""
-    shares = written(mix(docs, weights, share, max_repeats), "mix-shares")
+    row per source: the whole passes and the last document of the next. The
+    documents are written once with a row number, which tells rows apart that
+    share an id or have none; they stay where they are and look up their
+    source."""
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     # the document travels as one struct, so its columns clash with nothing here
     rows = docs.select(F.struct(*docs.columns).alias("doc"), F.col("doc_id").alias("id"), F.col("source").alias("queue"), F.col("text").alias("body"), size.alias("words"))
-    if shares.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").isEmpty():
-        whole = F.floor(F.col("target") / F.col("source_size"))
-        place = F.struct(shuffle_key(F.col("doc_id")).alias("key"), "doc_id", "taken")
-        per = shares.where("size > 0").withColumn("whole", whole).groupBy("source").agg(
-            F.max("whole").alias("whole"), F.max(F.when(F.col("taken") > F.col("whole") * F.col("size"), place)).alias("last")
-        )
-        per = written(per.withColumnRenamed("source", "of").coalesce(1), "mix-cuts")
-        mine, last = F.struct(shuffle_key(F.col("id")).alias("key"), F.col("id").alias("doc_id")), F.struct("last.key", "last.doc_id")
-        taken = (
-            F.when(F.col("last").isNull() | (mine > last), F.col("whole") * F.col("words"))
-            .when(mine < last, (F.col("whole") + 1) * F.col("words"))
-            .otherwise(F.col("last.taken"))
-        )
-        rows = rows.join(per, F.col("queue").eqNullSafe(F.col("of"))).withColumn("taken", taken)
-    else:
-        rows = rows.withColumn("copy", F.row_number().over(Window.partitionBy("id").orderBy("words", F.xxhash64("body"))))
-        nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("size", "taken"))
-        given = shares.select(F.col("doc_id").alias("of"), "taken", nth.alias("nth"))
-        rows = rows.join(given, F.col("id").eqNullSafe(F.col("of")) & (F.col("copy") == F.col("nth")))
+    rows = written(rows.drop("body").withColumn("row", F.monotonically_increasing_id()), "mix-documents")
+    shares = mix_rows(rows.select(F.col("id").alias("doc_id"), F.col("queue").alias("source"), F.col("words").alias("size"), "row"), weights, share, max_repeats)
+    whole = F.floor(F.col("target") / F.col("source_size"))
+    place = F.struct(F.col("shuffled").alias("key"), F.col("doc_id").alias("id"), "size", "row", "taken")
+    per = shares.where("size > 0").withColumn("whole", whole).groupBy("source").agg(
+        F.max("whole").alias("whole"), F.max(F.when(F.col("taken") > F.col("whole") * F.col("size"), place)).alias("last")
+    )
+    per = written(per.withColumnRenamed("source", "of").coalesce(1), "mix-cuts")
+    mine = F.struct(shuffle_key(F.col("id")).alias("key"), "id", F.col("words").alias("size"), "row")
+    last = F.struct("last.key", "last.id", "last.size", "last.row")
+    taken = (
+        F.when(F.col("last").isNull() | (mine > last), F.col("whole") * F.col("words"))
+        .when(mine < last, (F.col("whole") + 1) * F.col("words"))
+        .otherwise(F.col("last.taken"))
+    )
+    rows = rows.join(per, F.col("queue").eqNullSafe(F.col("of"))).withColumn("taken", taken).withColumn("body", F.col("doc.text"))
     rows = rows.where("words > 0 AND taken > 0")
     rows = rows.withColumn("served", F.explode(F.expr("transform(sequence(0L, (taken - 1) div words), p -> least(words, taken - p * words))")))
     cut = F.col("served") < F.col("words")

@@ -210,6 +210,7 @@ def train(docs: DataFrame, labels: DataFrame, learnable: Column | None = None, s
     given = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).where("doc_id IS NOT NULL AND quality IN (0, 1)")
     if learnable is not None:
         given = given.where(learnable)
+    given = given.distinct()  # rows that repeat a label are one
     picked = written(given.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(sample_rows).coalesce(1), "quality-sample")
 
     def run(batches) -> Iterator:
@@ -219,8 +220,10 @@ def train(docs: DataFrame, labels: DataFrame, learnable: Column | None = None, s
             x = feature_matrix(b.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(list(x), pa.list_(pa.float64()))], ["doc_id", "quality", "x"])
 
-    # the picked rows are at most sample_rows ids: a bounded broadcast
-    rows = texts(docs).join(F.broadcast(picked), "doc_id").select("doc_id", "quality", "text")
+    # the picked rows are at most sample_rows ids: a bounded broadcast; of
+    # documents that share an id one is learned from, combined before the shuffle
+    rows = texts(docs).join(F.broadcast(picked), "doc_id")
+    rows = rows.groupBy("doc_id", "quality").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     got = rows.mapInArrow(run, "doc_id long, quality int, x array<double>").orderBy("doc_id", "quality", "x").toPandas()
     x = np.array(got["x"].tolist(), dtype=np.float64).reshape(len(got), len(FEATURES))
     return AdditiveModel().fit(x, got["quality"].to_numpy(dtype=np.float64))

@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import python_ready, texts, written
 from .components import connected_components
@@ -114,29 +115,56 @@ def linked_fingerprints(fps: DataFrame, max_bits: int = 3) -> DataFrame:
     return met.select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b")).distinct()
 
 
-def simhash_components(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
-    """doc_id, fp and component_id: the smallest doc_id that is reachable
-    over links of at most ``max_bits`` differing bits."""
-    marked = written(fingerprints(docs, shingle), "simhash-fp")
+def component_labels(marked: DataFrame, max_bits: int = 3) -> DataFrame:
+    """(fp, component, component_id) of the distinct fingerprints of
+    ``marked`` (doc_id, fp): the component's smallest fingerprint and the
+    smallest doc_id that is reachable."""
     classes = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
     links = linked_fingerprints(classes.select("fp"), max_bits)
     labels = connected_components(links)  # node, component: linked fingerprints only
     named = classes.join(labels.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    by_fp = named.select("fp", "component").join(least, "component").select("fp", "component_id")
-    return marked.join(by_fp, "fp").select("doc_id", "fp", "component_id")
+    return named.select("fp", "component").join(least, "component")
+
+
+def simhash_components(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
+    """doc_id, fp and component_id: the smallest doc_id that is reachable
+    over links of at most ``max_bits`` differing bits."""
+    marked = written(fingerprints(docs, shingle), "simhash-fp")
+    return marked.join(component_labels(marked, max_bits).select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+
+
+def with_fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
+    """(doc, doc_id, fp): every row as one struct beside its fingerprint."""
+    python_ready(docs.sparkSession)
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), "doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
+
+    def run(batches) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        for b in batches:
+            fps = np.array([fingerprint(t, shingle) for t in b.column(2).to_pylist()], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps.view(np.int64))], ["doc", "doc_id", "fp"])
+
+    out = T.StructType([rows.schema["doc"], rows.schema["doc_id"], T.StructField("fp", T.LongType())])
+    return rows.mapInArrow(run, out)
 
 
 def keep_one_per_component(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
-    """``docs`` with one document of each near-duplicate group: the one whose
-    id is the component's. Rows that repeat its id are reduced to one of
-    them; rows without an id cannot be named as copies and stay."""
-    comp = written(simhash_components(docs, shingle, max_bits), "simhash-components")
+    """``docs`` with one document of each near-duplicate group: that with the
+    smallest doc_id (rows without one last), and of rows that share that id
+    one with the smallest fingerprint. Rows are told by id and fingerprint
+    together, so an id that stands on two texts harms neither; rows without
+    an id are judged like others."""
+    rows = written(with_fingerprints(docs, shingle), "simhash-docs")
+    labels = component_labels(rows.select("doc_id", "fp"), max_bits)
+    named = rows.groupBy("doc_id", "fp").agg(F.count("*").alias("copies")).join(labels, "fp")
+    first = F.struct("fp", "copies")
+    stays = named.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component").agg(F.min(first).alias("first"), F.first("component_id").alias("stays_id"))
     # written, so that Spark knows its size when it chooses the join
-    gone = written(comp.where("doc_id <> component_id").select("doc_id").distinct(), "simhash-gone")
-    repeated = comp.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    if repeated.isEmpty():
-        return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
-    once = docs.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    rest = docs.join(gone.union(repeated), "doc_id", "left_anti")
-    return rest.select(docs.columns).unionByName(once.select(docs.columns))
+    stays = written(stays.select(F.col("first.fp").alias("stays_fp"), "stays_id", F.col("first.copies").alias("copies")), "simhash-stays")
+    kept = rows.join(stays, (F.col("fp") == F.col("stays_fp")) & F.col("doc_id").eqNullSafe(F.col("stays_id")))
+    once = kept.where("copies = 1").select("doc")
+    several = kept.where("copies > 1").groupBy("stays_fp", "stays_id").agg(F.first("doc").alias("doc")).select("doc")
+    return once.unionByName(several).select("doc.*")

@@ -57,15 +57,19 @@ def deserialize(raw: bytes, width: int) -> bytes:
 
 def train_dictionary(docs: DataFrame, tokenizer_path: str, end_id: int = 1, sample_docs: int = 2000, sample_chars: int = 20_000, dict_bytes: int = 64 << 10) -> bytes:
     """A zstandard dictionary from the id arrays of at most ``sample_docs``
-    documents of at most ``sample_chars`` characters, those with the smallest
-    hashed ids (the dictionary serves short documents; it only affects file
-    size). Empty if there is too little to train on."""
+    documents with the smallest hashed ids, among those of at most
+    ``sample_chars`` characters; only if these are too few also of longer
+    ones, cut to that length (the dictionary serves short documents; it only
+    affects file size). A corpus too small to train on gives the sample itself
+    as the dictionary's content; only a corpus without ids gives none."""
     import zstandard
 
-    picked = [r[0] for r in docs.where("doc_id IS NOT NULL").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs).collect()]
+    python_ready(docs.sparkSession)
+    text = F.coalesce(F.col("text"), F.lit(""))
+    named = docs.where("doc_id IS NOT NULL").select("doc_id", (F.char_length(text) > sample_chars).alias("long")).groupBy("doc_id").agg(F.bool_and("long").alias("long"))
+    picked = [r[0] for r in named.orderBy("long", F.xxhash64("doc_id"), "doc_id").limit(sample_docs).collect()]
     if not picked:
         return b""
-    python_ready(docs.sparkSession)
     width = id_width(tokenizer_path, end_id)
     end = array("I", [end_id]).tobytes()
 
@@ -76,12 +80,14 @@ def train_dictionary(docs: DataFrame, tokenizer_path: str, end_id: int = 1, samp
         for b in batches:
             yield pa.RecordBatch.from_pydict({"doc_id": b.column(0), "ids": pa.array([serialize(enc.encode(t) + end, width) for t in b.column(1).to_pylist()], pa.binary())})
 
-    chosen = texts(docs.where(F.col("doc_id").isin(picked) & (F.length("text") <= sample_chars))).dropDuplicates(["doc_id"])
+    # of rows that share an id the shortest, combined before the shuffle
+    chosen = docs.where(F.col("doc_id").isin(picked)).select("doc_id", F.left(text, F.lit(sample_chars)).alias("text"), F.char_length(text).alias("n"))
+    chosen = chosen.groupBy("doc_id").agg(F.min_by("text", F.struct("n", F.xxhash64("text"))).alias("text"))
     samples = [bytes(r[0]) for r in chosen.mapInArrow(encode, "doc_id long, ids binary").orderBy("doc_id").select("ids").collect()]
     try:
         return zstandard.train_dictionary(dict_bytes, samples).as_bytes()
-    except zstandard.ZstdError:
-        return b""
+    except zstandard.ZstdError:  # too few samples
+        return b"".join(samples)[-dict_bytes:].rjust(8, b"\0")
 
 
 def _codec(dictionary: bytes, level: int | None = None):

@@ -63,6 +63,69 @@ def test_decontamination(spark, docs, none):
     assert decontam_qgram.keep_uncontaminated(unnamed, bench(spark)).count() == len(ROWS) - 1
 
 
+def test_short_benchmark_items(spark):
+    items = spark.createDataFrame([(1, "What is the capital of France?"), (2, "ten letters"), (3, "too few"), (4, "What is the capital of France?")], "item_id long, text string")
+    texts = ["Q: what is the CAPITAL of france, A: Paris", "what is the capital of francelandia", "and often letters come", "ten letters", "too few", "what is a capital of france"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert rows(decontam_qgram.contaminated(docs, items), "doc_id", "item_id", "edits") == [(0, 1, 0), (0, 4, 0), (3, 2, 0)]
+    assert rows(decontam_qgram.keep_uncontaminated(docs, items), "doc_id") == [(1,), (2,), (4,), (5,)]
+    assert rows(decontam_qgram.keep_uncontaminated(docs, items, block_chars=4), "doc_id") == [(1,), (2,), (4,), (5,)]
+
+
+def shared_ids(spark):
+    """One id on many rows and on two texts, rows without ids."""
+    words = [f"w{i}" for i in range(400)]
+    text = lambda k: " ".join(words[k : k + 30])
+    found = [(1, text(0)), (2, text(0)), (2, text(100)), (None, text(100)), (None, text(200)), (None, text(200)), (3, "x " + ITEM), (3, text(300))]
+    return spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in found], SCHEMA), text
+
+
+def test_an_id_on_two_texts_harms_neither(spark):
+    docs, text = shared_ids(spark)
+    kept = simhash_anchor.keep_one_per_component(docs)
+    assert rows(kept, "doc_id", "text") == sorted([(1, text(0)), (2, text(100)), (None, text(200)), (3, "x " + ITEM), (3, text(300))], key=repr)
+    clean = decontam_qgram.keep_uncontaminated(docs, bench(spark))
+    assert clean.count() == 7 and clean.where("doc_id = 3").collect()[0].text == text(300)
+
+
+def test_mix_of_rows_that_share_ids(spark):
+    docs, _ = shared_ids(spark)
+    more = docs.union(docs.withColumn("source", F.lit(None).cast("string"))).union(docs.withColumn("source", F.lit("b")))
+    per = {r.source: (r.target, r.source_size) for r in mix_wfq.mix(more).select("source", "target", "source_size").distinct().collect()}
+    got = {}
+    for r in mix_wfq.mixed_documents(more).collect():
+        got[r.source] = got.get(r.source, 0) + len(r.text.split())
+    assert got.keys() == per.keys() and all(abs(got[s] - t) <= 1 for s, (t, _) in per.items())
+    again = sorted(map(repr, mix_wfq.mixed_documents(more).select("source", "text").collect()))
+    assert again == sorted(map(repr, mix_wfq.mixed_documents(more.repartition(1)).select("source", "text").collect()))
+
+
+def test_training_takes_one_row_of_an_id(spark):
+    """A third and more of the rows under one id, in documents and labels."""
+    text = "the river rose and the houses were lost in the morning rain "
+    docs = spark.createDataFrame([(7 if i < 400 else i, text + str(i), "en" if i % 2 else "de", "a", 1) for i in range(440)], SCHEMA)
+    marks = spark.createDataFrame([(7 if i < 400 else i, i % 2, 0) for i in range(440)], "doc_id long, quality int, toxic int")
+    seen = []
+    for module, model in ((language_id, "LanguageModel"), (quality_gam, "AdditiveModel")):
+        real = getattr(module, model).fit
+        try:
+            setattr(getattr(module, model), "fit", lambda self, *a, real=real: (seen.append(len(a[0])), real(self, *a))[1])
+            module.train(docs) if module is language_id else module.train(docs, marks)
+        finally:
+            setattr(getattr(module, model), "fit", real)
+    assert seen == [42, 42]
+
+
+def test_token_dictionary_of_few_or_long_documents(spark):
+    long = spark.createDataFrame([(i, f"{i} " + LONG[:30_000]) for i in range(12)], "doc_id long, text string")
+    few = spark.createDataFrame([(1, "a b c"), (1, "a b c d"), (2, None)], "doc_id long, text string")
+    for docs in (long, few):
+        path = scratch_path(spark, "dictionary")
+        token_files.write_token_files(docs, path, TOKENIZER)
+        assert len(token_files.read_dictionary(spark, path)) >= 8
+        assert token_files.read_token_files(spark, path).count() == docs.count()
+
+
 def test_license_scan(docs, none):
     got = {r.doc_id: r for r in license_scan.license_scan(docs).collect()}
     assert got[1][1:] == (0, 0, None, None, "", "", 0.0) and got[3].n_words == 0
