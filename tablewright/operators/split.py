@@ -123,11 +123,16 @@ def write_parts(
     catalogue of ``path`` reads: path, part number and the part's name
     ``<table>_split__###.csv``. ``table`` defaults to the folder's name.
 
-    A part is written by one task, of bounded size. Every call writes a folder of its own and its list last, so a call
+    Rows are shuffled once by their ordinal where that leaves them in order
+    (a part that a task's border cuts is then two files, in order), else a
+    part is one task's. Every call writes a folder of its own and its list last, so a call
     that stopped leaves nothing that is read, and a new call can follow."""
     spark = df.sparkSession
     name, attempt = table or path.rstrip("/").rsplit("/", 1)[-1], uuid.uuid4().hex
-    parts = assign_parts(df, order, max_rows, ordinal_col="_pos").repartition("part")
+    placed, count = with_ordinal_and_count(df, order, "_pos")
+    parts = placed.withColumn("part", part_of("_pos", int(count), split_plan(int(count), max_rows)))
+    if not count.in_order:
+        parts = parts.repartition("part")
     folder = f"{path.rstrip('/')}/{attempt}"
     write_part_files(parts.drop(*drop), folder, sep)
     listed = list_parts(spark, folder, name, [c for c in df.columns if c not in drop], None)

@@ -1,5 +1,7 @@
 """O-12 … O-17, O-30 … O-32, O-40 … O-43, O-50, O-61, O-03 … O-11, O-70 … O-72."""
 
+import re
+
 import pytest
 from conftest import text_frame
 from pyspark.sql import Window
@@ -225,3 +227,38 @@ def test_ordinal_stores_agree_and_void_falls_back(spark):
     voided = df.withColumn("v", F.lit(None))
     out = ordinal.with_ordinal(voided, ["a", "b"], "pos", 4)
     assert sorted(r["pos"] for r in out.collect()) == list(range(500))
+
+
+def test_ordinal_of_a_scan_needs_no_copy(spark, tmp_path):
+    """Hot values, nulls, identical rows and long texts over several files."""
+    rows = [(None if i % 7 == 0 else "hot" if i % 3 == 0 else f"{'long ' * 80}{i % 11}", float("nan") if i % 13 == 0 else -0.5 * (i % 5), i % 2 == 0) for i in range(3000)]
+    spark.createDataFrame(rows + rows[:500], "a string, b double, c boolean").repartition(4).write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    for order in (["a"], None, ["b", "a"], [F.upper("a"), "c"]):
+        out, n = ordinal.with_ordinal_and_count(df, order, "n", 6)
+        assert int(n) == 3500 and n.in_order
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") == 1 and "tw-scratch" not in plan and plan.count("Exchange") == 1
+        got = out.orderBy("n").collect()
+        assert [r["n"] for r in got] == list(range(3500))
+        keys = df.columns if order is None else order
+        want = df.orderBy(*keys).select(*df.columns).collect()
+        only = [k for k in keys if isinstance(k, str)]
+        assert [repr([r[k] for k in only]) for r in got] == [repr([r[k] for k in only]) for r in want]
+    sizes = [r[0] for r in ordinal.with_ordinal(df, ["a"], "n", 6).groupBy(F.spark_partition_id()).count().select("count").collect()]
+    assert max(sizes) < 2 * 3500 / 6 + 300  # a hot value is split
+    desc, n = ordinal.with_ordinal_and_count(df, [F.desc("b")], "n", 6)
+    assert not n.in_order and desc.count() == 3500
+
+
+def test_row_range_reads_little_more_than_the_slice(spark, tmp_path):
+    spark.range(200_000).selectExpr("(id * 7919) % 200000 AS k", "id AS v").repartition(5).write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    out = ordinal.row_range(df, "k", 120_000, 120_050, "n", 8)
+    assert [(r["k"], r["n"]) for r in out.orderBy("n").collect()] == [(i, i) for i in range(120_000, 120_050)]
+    plan = out._jdf.queryExecution()
+    assert "GreaterThanOrEqual(k" in plan.executedPlan().toString()  # the scan skips the rest
+    low = max(int(x) for x in re.findall(r"k#\d+L >= (\d+)", plan.optimizedPlan().toString()))
+    high = min(int(x) for x in re.findall(r"k#\d+L <= (\d+)", plan.optimizedPlan().toString()))
+    assert low <= 120_000 and high >= 120_049 and high - low <= 12_000
+    assert ordinal.row_range(df, "k", 300_000, 300_010).count() == 0 and ordinal.row_range(df, "k", 199_990, 10**9).count() == 10
