@@ -113,11 +113,12 @@ def double_text(d: Column) -> Column:
     return F.when(whole, d.cast("bigint").cast("string")).otherwise(d.cast("string"))
 
 
-def float_text(d: Column) -> Column:
+def float_text(d: Column, text: Column | None = None) -> Column:
     """Text of a double as Python prints it: plain decimals from 1e-4 up to
-    1e16, a two-digit exponent beyond. Spark's own text holds the same digits
-    with an exponent from 1e7 on and below 1e-3."""
-    text = d.cast("string")
+    1e16, a two-digit exponent beyond. Spark's own text (``text``, where it is
+    a column already) holds the same digits with an exponent from 1e7 on and
+    below 1e-3."""
+    text = d.cast("string") if text is None else text
     plain = F.regexp_replace(text.try_cast("decimal(38,21)").cast("string"), "0+$", "")
     plain = F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain)
     mantissa = F.regexp_replace(F.substring_index(text, "E", 1), r"\.0$", "")

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.cells import double_value, is_inexact, is_missing, long_value, parse_collection, render_cell
+from ..functions.cells import double_value, float_text, int_value, is_inexact, is_missing, long_value, parse_collection, render_cell
 from ..functions.patterns import NA_TOKENS
 
 COLLECTION_TAGS = ("SS", "NS", "BS", "L", "M")
@@ -106,6 +106,28 @@ def apply_metadata(df: DataFrame, meta: DataFrame | Sequence, na_tokens=NA_TOKEN
     return df.select(*out, *[F.col(f"`{k}`") for k in keep])
 
 
+def with_rendered(df: DataFrame, sources: Sequence[str], dtypes: Sequence[str], na_tokens=NA_TOKENS) -> DataFrame:
+    """``df`` with ``_v0``, ``_v1``, ...: O-13 of each source column, null for
+    a missing cell. The number test, the cast and the number's text are
+    columns of projections of their own, so each runs once per cell (nested
+    in the branches of one expression they ran up to four times)."""
+    cells = {i: F.col(f"`{c}`").cast("string") for i, c in enumerate(sources)}
+    out = df.withColumns({f"_c{i}": F.when(~is_missing(c, na_tokens), c) for i, c in cells.items()})
+    numbers = {"int64": long_value, "uint64": long_value, "float64": double_value}
+    out = out.withColumns({f"_n{i}": numbers[t](f"_c{i}") if t in numbers else F.lit(None) for i, t in enumerate(dtypes)})
+    out = out.withColumns({f"_t{i}": F.col(f"_n{i}").cast("string") for i in cells})
+    values = {}
+    for i, t in enumerate(dtypes):
+        if t == "float64":
+            v = float_text(F.col(f"_n{i}"), F.col(f"_t{i}"))
+        elif t in numbers:
+            v = F.when(F.col(f"_n{i}").isNotNull(), F.col(f"_t{i}")).otherwise(int_value(f"_c{i}").cast("string"))
+        else:
+            v = render_cell(F.col(f"_c{i}"), t)
+        values[f"_v{i}"] = v
+    return out.withColumns(values).drop(*[f"_{k}{i}" for k in "cnt" for i in cells])
+
+
 def tagged_cells(df: DataFrame, meta: DataFrame | Sequence, key: str | None = None, na_tokens=NA_TOKENS) -> DataFrame:
     """O-13, O-14 (long form): one row per present cell:
     ``(key, attribute, tag, value)``; missing cells are left out, values are
@@ -114,13 +136,9 @@ def tagged_cells(df: DataFrame, meta: DataFrame | Sequence, key: str | None = No
     cols = df.columns[: len(rows)]
     key = key or cols[0]
     keyname = rows[cols.index(key)][0]
-    rendered = []
-    for i, (src, (name, tag, dtype)) in enumerate(zip(cols, rows)):
-        c = F.col(f"`{src}`").cast("string")
-        v = F.when(is_missing(c, na_tokens), F.lit(None).cast("string")).otherwise(render_cell(c, dtype or ("object" if tag != "N" else "float64")))
-        rendered.append(v.alias(f"v{i}"))
-    base = df.select(F.col(f"`{key}`").alias(keyname), *rendered)
-    triples = ", ".join(f"{_sql_lit(n)}, {_sql_lit(t)}, `v{i}`" for i, (n, t, _) in enumerate(rows[: len(cols)]))
+    base = with_rendered(df, cols, [dtype or ("object" if tag != "N" else "float64") for _, tag, dtype in rows[: len(cols)]], na_tokens)
+    base = base.select(F.col(f"`{key}`").alias(keyname), *[f"_v{i}" for i in range(len(cols))])
+    triples = ", ".join(f"{_sql_lit(n)}, {_sql_lit(t)}, `_v{i}`" for i, (n, t, _) in enumerate(rows[: len(cols)]))
     long = base.select(keyname, F.expr(f"stack({len(cols)}, {triples})").alias("attribute", "tag", "value"))
     return long.filter(F.col("value").isNotNull() & (F.col("value") != ""))
 
@@ -135,10 +153,10 @@ def tagged_item(df: DataFrame, meta: DataFrame | Sequence, key: str | None = Non
     key = key or cols[0]
     keyname = rows[cols.index(key)][0]
     kinds = {"BOOL": "boolean", "SS": "array<string>", "NS": "array<double>", "BS": "array<binary>", "L": "array<string>", "M": "map<string,string>"}
+    df = with_rendered(df, cols, [dtype or ("object" if tag != "N" else "float64") for _, tag, dtype in rows[: len(cols)]], na_tokens)
     pairs = []
-    for src, (name, tag, dtype) in zip(cols, rows):
-        c = F.col(f"`{src}`").cast("string")
-        v = F.when(is_missing(c, na_tokens), F.lit(None).cast("string")).otherwise(render_cell(c, dtype or ("object" if tag != "N" else "float64")))
+    for i, (src, (name, tag, dtype)) in enumerate(zip(cols, rows)):
+        c, v = F.col(f"`{src}`").cast("string"), F.col(f"_v{i}")
         native = [(typed_column(c, tag, dtype) if t == tag else F.lit(None)).cast(kind).alias(t) for t, kind in kinds.items()]
         pairs += [F.lit(name), F.struct(F.lit(tag).alias("tag"), v.alias("value"), *native)]
     item = F.map_filter(F.create_map(*pairs), lambda k, s: s["value"].isNotNull() & (s["value"] != ""))
