@@ -57,8 +57,8 @@ def deserialize(raw: bytes, width: int) -> bytes:
 
 def train_dictionary(docs: DataFrame, tokenizer_path: str, end_id: int = 1, sample_docs: int = 2000, sample_chars: int = 20_000, dict_bytes: int = 64 << 10) -> bytes:
     """A zstandard dictionary from the id arrays of at most ``sample_docs``
-    documents with the smallest hashed ids, among those of at most
-    ``sample_chars`` characters; only if these are too few also of longer
+    documents: of the ``4 * sample_docs`` smallest hashed ids those of at most
+    ``sample_chars`` characters, and only if these are too few also longer
     ones, cut to that length (the dictionary serves short documents; it only
     affects file size). A corpus too small to train on gives the sample itself
     as the dictionary's content; only a corpus without ids gives none."""
@@ -66,8 +66,7 @@ def train_dictionary(docs: DataFrame, tokenizer_path: str, end_id: int = 1, samp
 
     python_ready(docs.sparkSession)
     text = F.coalesce(F.col("text"), F.lit(""))
-    named = docs.where("doc_id IS NOT NULL").select("doc_id", (F.char_length(text) > sample_chars).alias("long")).groupBy("doc_id").agg(F.bool_and("long").alias("long"))
-    picked = [r[0] for r in named.orderBy("long", F.xxhash64("doc_id"), "doc_id").limit(sample_docs).collect()]
+    picked = [r[0] for r in docs.where("doc_id IS NOT NULL").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(4 * sample_docs).collect()]
     if not picked:
         return b""
     width = id_width(tokenizer_path, end_id)
@@ -82,7 +81,8 @@ def train_dictionary(docs: DataFrame, tokenizer_path: str, end_id: int = 1, samp
 
     # of rows that share an id the shortest, combined before the shuffle
     chosen = docs.where(F.col("doc_id").isin(picked)).select("doc_id", F.left(text, F.lit(sample_chars)).alias("text"), F.char_length(text).alias("n"))
-    chosen = chosen.groupBy("doc_id").agg(F.min_by("text", F.struct("n", F.xxhash64("text"))).alias("text"))
+    chosen = chosen.groupBy("doc_id").agg(F.min_by("text", F.struct("n", F.xxhash64("text"))).alias("text"), F.min("n").alias("n"))
+    chosen = chosen.orderBy(F.col("n") > sample_chars, F.xxhash64("doc_id"), "doc_id").limit(sample_docs).select("doc_id", "text").repartition(8)
     samples = [bytes(r[0]) for r in chosen.mapInArrow(encode, "doc_id long, ids binary").orderBy("doc_id").select("ids").collect()]
     try:
         return zstandard.train_dictionary(dict_bytes, samples).as_bytes()
