@@ -157,14 +157,16 @@ def keep_one_per_component(docs: DataFrame, shingle: int = 3, max_bits: int = 3)
     one with the smallest fingerprint. Rows are told by id and fingerprint
     together, so an id that stands on two texts harms neither; rows without
     an id are judged like others."""
-    rows = written(with_fingerprints(docs, shingle), "simhash-docs")
-    labels = component_labels(rows.select("doc_id", "fp"), max_bits)
-    named = rows.groupBy("doc_id", "fp").agg(F.count("*").alias("copies")).join(labels, "fp")
-    first = F.struct("fp", "copies")
-    stays = named.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component").agg(F.min(first).alias("first"), F.first("component_id").alias("stays_id"))
+    marked = written(fingerprints(docs, shingle), "simhash-fp")
+    named = marked.groupBy("doc_id", "fp").agg(F.count("*").alias("copies")).join(component_labels(marked, max_bits), "fp")
+    stays = named.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component")
+    stays = stays.agg(F.min(F.struct("fp", "copies")).alias("first"), F.first("component_id").alias("stays_id"))
     # written, so that Spark knows its size when it chooses the join
     stays = written(stays.select(F.col("first.fp").alias("stays_fp"), "stays_id", F.col("first.copies").alias("copies")), "simhash-stays")
-    kept = rows.join(stays, (F.col("fp") == F.col("stays_fp")) & F.col("doc_id").eqNullSafe(F.col("stays_id")))
+    # the fingerprint of a text is the same in both passes: no copy of the texts is kept
+    kept = with_fingerprints(docs, shingle).join(stays, (F.col("fp") == F.col("stays_fp")) & F.col("doc_id").eqNullSafe(F.col("stays_id")))
     once = kept.where("copies = 1").select("doc")
+    if stays.where("copies > 1").isEmpty():
+        return once.select("doc.*")
     several = kept.where("copies > 1").groupBy("stays_fp", "stays_id").agg(F.first("doc").alias("doc")).select("doc")
     return once.unionByName(several).select("doc.*")
