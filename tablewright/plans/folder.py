@@ -335,7 +335,7 @@ def load_folder(spark: SparkSession, opts: LoadOptions, parallel_tables: int = 4
     catalog = sources
     if by_parts:
         split_sources(spark, opts, cat.data_files(sources), sidecars)
-        catalog = published_parts(spark, opts, sources)
+        catalog = published_parts(spark, opts)
     ledger = led.read_ledger(spark, opts.ledger)
     left = cat.remaining_files(catalog, ledger)
     if opts.profile_only:
@@ -445,7 +445,7 @@ def _parts_of(spark: SparkSession, opts: LoadOptions, ledger: DataFrame) -> Data
     return split.part_list(spark, _split_folder(opts), attempts)
 
 
-def published_parts(spark: SparkSession, opts: LoadOptions, sources: DataFrame) -> DataFrame:
+def published_parts(spark: SparkSession, opts: LoadOptions) -> DataFrame:
     """The catalogue of the published parts."""
     return cat.catalog_of_parts(_parts_of(spark, opts, led.read_ledger(spark, opts.ledger)))
 
