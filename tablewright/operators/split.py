@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -68,23 +69,32 @@ def part_names(table: str, k: int) -> list[str]:
 def part_of(ordinal_col, n, k):
     """Part number of an ordinal: k halving steps by arithmetic, each going
     left (part 2p - 1) or right (part 2p) of the cut; no list of bounds, no
-    join. ``n`` and ``k`` are numbers or columns."""
-    o = F.col(ordinal_col) if isinstance(ordinal_col, str) else ordinal_col
+    join. ``n`` and ``k`` are numbers or columns.
+
+    A step takes a whole Arrow batch of ordinals at once: as a fold per row
+    (``aggregate``, which is not compiled) the steps took most of a split."""
     kind = "int" if isinstance(k, int) and k < 31 else "bigint"
+
+    @F.arrow_udf("bigint")
+    def halved(o: pa.Array, n: pa.Array, k: pa.Array) -> pa.Array:
+        import numpy as np
+        import pyarrow.compute as pc
+
+        # a missing ordinal is beyond all cuts
+        rest = pc.fill_null(o, np.iinfo(np.int64).max).to_numpy(zero_copy_only=False).copy()
+        size, steps = (pc.fill_null(x, 0).to_numpy(zero_copy_only=False) for x in (n, k))
+        part = np.zeros(len(rest), dtype=np.int64)
+        for step in range(int(steps.max(initial=0))):
+            cut = np.maximum(size // 2 - 1, 0)
+            right, on = rest >= cut, step < steps
+            rest -= np.where(right & on, cut, 0)
+            size = np.where(on, np.where(right, size - cut, cut), size)
+            part = np.where(on, part * 2 + right, part)
+        return pa.array(part + 1)
+
+    o = F.col(ordinal_col) if isinstance(ordinal_col, str) else ordinal_col
     n, k = (F.lit(x) if isinstance(x, int) else x for x in (n, k))
-    state = F.struct(F.lit(0).cast("bigint").alias("lo"), n.cast("bigint").alias("size"), F.lit(1).cast("bigint").alias("part"))
-
-    def halve(s, _):
-        cut = F.greatest(F.floor(s["size"] / 2) - 1, F.lit(0)).cast("bigint")
-        left = o < s["lo"] + cut
-        return F.struct(
-            F.when(left, s["lo"]).otherwise(s["lo"] + cut).alias("lo"),
-            F.when(left, cut).otherwise(s["size"] - cut).alias("size"),
-            F.when(left, s["part"] * 2 - 1).otherwise(s["part"] * 2).alias("part"),
-        )
-
-    steps = F.when(k > 0, F.sequence(F.lit(1), F.greatest(k, F.lit(1)))).otherwise(F.array().cast("array<int>"))
-    return F.aggregate(steps, state, halve, lambda s: s["part"].cast(kind))
+    return halved(o.cast("bigint"), n.cast("bigint"), k.cast("bigint")).cast(kind)
 
 
 def assign_parts(

@@ -262,3 +262,17 @@ def test_row_range_reads_little_more_than_the_slice(spark, tmp_path):
     high = min(int(x) for x in re.findall(r"k#\d+L <= (\d+)", plan.optimizedPlan().toString()))
     assert low <= 120_000 and high >= 120_049 and high - low <= 12_000
     assert ordinal.row_range(df, "k", 300_000, 300_010).count() == 0 and ordinal.row_range(df, "k", 199_990, 10**9).count() == 10
+
+
+def test_part_of_takes_whole_batches(spark):
+    """Parts as the list of bounds has them, also with a plan per row, and no fold of steps for each row."""
+    from tablewright.operators import split
+
+    for n, k in ((5000, 11), (7, 3), (1003, 5), (1, 0)):
+        got = {r["id"]: r["part"] for r in spark.range(n).withColumn("part", split.part_of("id", n, k)).collect()}
+        assert got == {i: p for p, lo, hi in split.split_bounds(n, k) for i in range(lo, hi)}
+    rows = spark.createDataFrame([(i, n, k) for n, k in ((100, 3), (37, 0), (64, 2)) for i in range(n)], "o long, n long, k int")
+    out = rows.withColumn("part", split.part_of("o", F.col("n"), F.col("k")))
+    assert "lambda" not in out._jdf.queryExecution().optimizedPlan().toString()
+    for r in out.collect():
+        assert next(p for p, lo, hi in split.split_bounds(r["n"], r["k"]) if lo <= r["o"] < hi) == r["part"]
