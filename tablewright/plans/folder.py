@@ -273,7 +273,7 @@ def _open_types(groups: list[FileGroup], observed) -> tuple[list[list[tuple]], l
     return types, inexact
 
 
-def _load_table(spark: SparkSession, opts: LoadOptions, table: str, todo: list[str], layouts: dict[str, Layout], sidecar: Callable[[str], str | None]) -> None:
+def _load_table(spark: SparkSession, opts: LoadOptions, table: str, todo: list[str], layouts: dict[str, Layout], sidecar: Callable[[str], str | None], lengths: dict[str, int]) -> None:
     """One table of O-65. Files are read in groups of one header and one
     sidecar, each with its own names; groups meet by column name. Files that
     the gate refuses are logged with the reason; the others are put."""
@@ -290,6 +290,7 @@ def _load_table(spark: SparkSession, opts: LoadOptions, table: str, todo: list[s
             return
         order = [F.col(c) for c in FILE_ORDER]
         status, note = "done", None
+        n_bytes, n_all = sum(lengths[p] for p in good), sum(counts.get(p, 0) for p in good)
         if opts.row_range is not None:
             frame = ordinal.row_range(frame, FILE_ORDER, *opts.row_range, ordinal_name="_pos")
             order, status, note = [F.col("_pos")], "partial", "rows [{}, {})".format(*opts.row_range)
@@ -298,7 +299,7 @@ def _load_table(spark: SparkSession, opts: LoadOptions, table: str, todo: list[s
         tables.create_table(spark, schema, target, key)
         n_rows = sum(counts.get(p, 0) for p in good)
         if n_rows:
-            tables.upsert_table(spark, target, frame, key, order=order, expected_rows=n_rows)
+            tables.upsert_table(spark, target, frame, key, order=order, expected_rows=n_rows, expected_bytes=n_bytes * n_rows // n_all)
         # a file with a header alone has no row in the counts
         _log(spark, opts, [(p, table, counts.get(p, 0), status, note) for p in good])
     except Exception as e:  # the reference reports the table and moves on
@@ -356,9 +357,10 @@ def load_folder(spark: SparkSession, opts: LoadOptions, parallel_tables: int = 4
         else:
             layouts = file_layouts(spark, [p for _, ps in work for p in ps], opts.sep, opts.encoding, opts.multi_line) if work else {}
             sidecar = lambda p: _sidecar_of(p, sidecars)
+        lengths = {r["path"]: r["length"] for r in left.select("path", "length").collect()}  # as many rows as files
         # Tables are independent: their jobs are submitted from a few threads so
         # small tables do not leave the cluster idle.
-        _in_threads(lambda tw: _load_table(spark, opts, tw[0], tw[1], layouts, sidecar), work, parallel_tables)
+        _in_threads(lambda tw: _load_table(spark, opts, tw[0], tw[1], layouts, sidecar, lengths), work, parallel_tables)
     listing_rows = cat.data_files(catalog).select("path", "table_name", "is_metadata")
     ledger = led.read_ledger(spark, opts.ledger)
     if by_parts:  # sources of which no parts are published are to go, or failed

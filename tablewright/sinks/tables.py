@@ -14,7 +14,7 @@ import json
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -124,12 +124,31 @@ def write_keyed(df: DataFrame, path: str) -> None:
 
 BUCKET_COL = "_bucket"
 ROWS_PER_BUCKET = 2_000_000
+#: Bytes of cells in a bucket, which one task writes.
+BYTES_PER_BUCKET = 128 << 20
 MANIFESTS = "_manifest"
 
 
-def buckets_for(n_rows: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
-    """Bucket count of a new table: about ``rows_per_bucket`` rows each."""
-    return max(1, -(-int(n_rows) // rows_per_bucket))
+def buckets_for(n_rows: int, rows_per_bucket: int = ROWS_PER_BUCKET, n_bytes: int = 0) -> int:
+    """Bucket count of a new table: about ``rows_per_bucket`` rows each, of
+    about ``BYTES_PER_BUCKET`` in all."""
+    return max(1, -(-int(n_rows) // rows_per_bucket), -(-int(n_bytes) // BYTES_PER_BUCKET))
+
+
+def cell_bytes(df: DataFrame):
+    """Aggregate: the size of all cells, texts and binaries by length,
+    collections by their text, others by a width of 8."""
+
+    def size(f: T.StructField):
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            return F.coalesce(F.octet_length(c), F.lit(0))
+        if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            return F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
+        return F.lit(8)
+
+    sizes = [size(f).cast("bigint") for f in df.schema.fields if f.name not in ENGINE_COLS]
+    return F.coalesce(F.sum(sum(sizes, F.lit(0).cast("bigint"))), F.lit(0))
 
 
 def bucket_of(keys: Sequence[str], n_buckets: int):
@@ -246,6 +265,15 @@ def _as_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[(lossless(f.name, have[f.name], f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields])
 
 
+def _coming(batch: DataFrame, rows: int | None, size: int | None, rows_per_bucket: int) -> tuple[int, int, int]:
+    """Rows of a batch, the rows of a bucket, and the batch's bytes; counted
+    where they are not known."""
+    if rows is None or size is None:
+        found = batch.agg(F.count(F.lit(1)).alias("n"), cell_bytes(batch).alias("size")).first()
+        rows, size = found["n"] if rows is None else rows, found["size"] if size is None else size
+    return rows, rows_per_bucket, size
+
+
 def upsert_table(
     spark: SparkSession,
     path: str,
@@ -256,6 +284,7 @@ def upsert_table(
     n_buckets: int | None = None,
     expected_rows: int | None = None,
     rows_per_bucket: int = ROWS_PER_BUCKET,
+    expected_bytes: int | None = None,
 ) -> int:
     """O-61 on storage: put every batch row into the keyed table at ``path``
     (last row per key wins, whole-item replace).
@@ -265,9 +294,10 @@ def upsert_table(
     wider type widens the column (all buckets are then written anew); a type
     that does not fit fails the put before anything is published. A batch
     applied twice gives the same table. A new table gets ``n_buckets``
-    (default: by ``expected_rows`` or the batch); later the count doubles
-    until a bucket holds about ``rows_per_bucket``, the batch included. Returns the number of
-    buckets written."""
+    (default: by ``expected_rows`` and ``expected_bytes``, or the batch);
+    later the count doubles until a bucket holds about ``rows_per_bucket`` and
+    ``BYTES_PER_BUCKET``, the batch included: rows may be whole texts, and a
+    bucket is one task's. Returns the number of buckets written."""
     from ..operators.upsert import last_per_key, upsert
 
     keys = [key] if isinstance(key, str) else list(key)
@@ -279,7 +309,7 @@ def upsert_table(
         batch = last_per_key(batch, keys, order)
     given = schema or T.StructType([f for f in batch.schema.fields if f.name not in ENGINE_COLS])
     if held is None or not held["folders"]:
-        n = n_buckets or buckets_for(expected_rows if expected_rows is not None else batch.count(), rows_per_bucket)
+        n = n_buckets or buckets_for(*_coming(batch, expected_rows, expected_bytes, rows_per_bucket))
         target, everything = given, True
     else:
         old = T.StructType.fromJson(held["schema"])
@@ -287,8 +317,9 @@ def upsert_table(
         target = T.StructType([T.StructField(f.name, common_type(f.dataType, new_types[f.name], f.name) if f.name in new_types else f.dataType, True) for f in old.fields])
         target = T.StructType(target.fields + [T.StructField(f.name, f.dataType, True) for f in given.fields if f.name not in old.names])
         n = held["buckets"]
-        coming = expected_rows if expected_rows is not None else raw.count()
-        while sum(held["rows"].values()) + coming > n * rows_per_bucket:
+        coming, _, size = _coming(raw, expected_rows, expected_bytes, rows_per_bucket)
+        rows, size = sum(held["rows"].values()) + coming, sum(held.get("bytes", {}).values()) + size
+        while rows > n * rows_per_bucket or size > n * BYTES_PER_BUCKET:
             n *= 2
         widened = any(target[f.name].dataType != f.dataType for f in old.fields)
         everything = widened or n != held["buckets"]
@@ -304,16 +335,21 @@ def upsert_table(
     current = _as_schema(current, target).withColumn(BUCKET_COL, bucket_of(keys, n))
     put = f"data/{uuid.uuid4().hex}"
     # each bucket's rows in one task, so a bucket is one file
-    upsert(current, batch, keys).repartition(F.col(BUCKET_COL)).write.partitionBy(BUCKET_COL).parquet(f"{path.rstrip('/')}/{put}")
+    whole, sized = upsert(current, batch, keys), Observation(f"bytes {uuid.uuid4().hex}")
+    whole = whole.observe(sized, cell_bytes(whole).alias("bytes"))
+    dealt = whole.repartitionById(n, BUCKET_COL) if everything else whole.repartition(max(len(touched), 1), BUCKET_COL)
+    dealt.write.partitionBy(BUCKET_COL).parquet(f"{path.rstrip('/')}/{put}")
     rows = spark.read.schema(T.StructType([T.StructField(BUCKET_COL, T.IntegerType())])).parquet(f"{path.rstrip('/')}/{put}")
     written = {str(r[0]): r[1] for r in rows.groupBy(BUCKET_COL).count().collect()}
     if not written:
         return 0
     counts = {} if everything else {b: c for b, c in held["rows"].items() if b not in touched}
+    sizes = {} if everything else {b: c for b, c in held.get("bytes", {}).items() if b not in touched}
+    sizes |= {b: sized.get["bytes"] * c // sum(written.values()) for b, c in written.items()}
     folders = {} if everything else {b: f for b, f in folders.items() if b not in touched}
     folders |= {b: f"{put}/{BUCKET_COL}={b}" for b in written}
     version = held["version"] if held else None
-    _publish(spark, path, version, {"buckets": n, "key": keys, "schema": target.jsonValue(), "folders": folders, "rows": counts | written})
+    _publish(spark, path, version, {"buckets": n, "key": keys, "schema": target.jsonValue(), "folders": folders, "rows": counts | written, "bytes": sizes})
     _tidy(spark, path, 1 if version is None else version + 1)
     return len(written)
 

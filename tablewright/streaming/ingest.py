@@ -69,7 +69,8 @@ def ingest_stream(
             led.append_ledger(spark, ledger_path, frame.withColumn("table_name", table_name_of(base_name(F.col("path")))))
 
     def put_batch(batch: DataFrame, batch_id: int) -> None:
-        paths = sorted(r["path"] for r in batch.select("path").collect())  # at most max_files_per_trigger
+        lengths = {r["path"]: r["length"] for r in batch.select("path", "length").collect()}  # at most max_files_per_trigger
+        paths = sorted(lengths)
         if not paths:
             return
         layouts = file_layouts(spark, paths, sep, encoding, multi_line)
@@ -91,7 +92,7 @@ def ingest_stream(
             counts = gated.counts
             n_rows = sum(n for p, n in counts.items() if p not in failed)
             if n_rows:
-                tables.upsert_table(spark, table_path, gated.frame, gated.key, order=[F.col(c) for c in FILE_ORDER], expected_rows=n_rows, rows_per_bucket=rows_per_bucket)
+                tables.upsert_table(spark, table_path, gated.frame, gated.key, order=[F.col(c) for c in FILE_ORDER], expected_rows=n_rows, rows_per_bucket=rows_per_bucket, expected_bytes=sum(lengths[p] for p in counts if p not in failed))
         log([(p, None, "failed", failed[p]) if p in failed else (p, counts.get(p, 0), "done", f"batch {batch_id}") for p in paths])
 
     q = reader.load(input_path).writeStream.foreachBatch(put_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -1,8 +1,10 @@
 """Sources, sinks, flows and streaming: O-01, O-02, O-04, O-35, O-44, O-60 … O-65, O-73."""
 
+import glob
 import os
 import shutil
 
+import pytest
 from pyspark.sql import functions as F
 
 from tablewright.operators import profile
@@ -491,3 +493,73 @@ def test_stray_quotes_and_long_records_of_multi_line_files(spark, tmp_dir):
     assert sorted(tuple(r)[:2] for r in df.collect()) == sorted(tuple(r) for r in plain.where("trim(id) <> ''").collect())
     ragged = D.read_by_header(spark, path, multi_line=True, ragged=True).where("_ragged").collect()
     assert [r["id"] for r in ragged] == ["3"]
+
+
+def test_long_rows_make_more_buckets(spark, tmp_dir, monkeypatch):
+    """A bucket is one task's, so it is bounded in bytes, not in rows alone; a bucket is still one file."""
+    monkeypatch.setattr(tables, "BYTES_PER_BUCKET", 100_000)
+    path = f"{tmp_dir}/t"
+    rows = lambda a, b: spark.range(a, b).select(F.col("id").alias("k"), F.repeat(F.lit("x"), 992).alias("text"))
+    tables.upsert_table(spark, path, rows(0, 400), "k")
+    held = tables._manifest(spark, path)
+    assert held["buckets"] == 4 and sum(held["bytes"].values()) == pytest.approx(400_000, abs=4)
+    assert all(len(glob.glob(f"{path}/{f}/*.parquet")) == 1 for f in held["folders"].values())
+    tables.upsert_table(spark, path, rows(300, 1000), "k")
+    held = tables._manifest(spark, path)
+    assert held["buckets"] == 16 and tables.read_table(spark, path).select("k").distinct().count() == 1000
+    tables.upsert_table(spark, path, spark.createDataFrame([(5, "new")], "k long, text string"), "k")
+    assert tables._manifest(spark, path)["buckets"] == 16 and tables.read_table(spark, path).where("text = 'new'").count() == 1
+
+
+def test_folder_load_bounds_buckets_by_file_length(spark, tmp_dir, monkeypatch):
+    from tablewright.options import LoadOptions
+    from tablewright.plans.folder import load_folder
+
+    monkeypatch.setattr(tables, "BYTES_PER_BUCKET", 10_000)
+    rows = spark.range(100).select("id", F.repeat(F.lit("x\n"), 250).alias("text"))
+    tables.land_as_files(spark, rows, f"{tmp_dir}/landing", "notes")
+    load_folder(spark, LoadOptions(input_path=f"{tmp_dir}/landing", output_path=f"{tmp_dir}/out", multi_line=True)).collect()
+    assert tables._manifest(spark, f"{tmp_dir}/out/notes")["buckets"] >= 5
+    assert tables.read_table(spark, f"{tmp_dir}/out/notes").where(F.length("text") == 500).count() == 100
+
+
+def test_workers_take_lines_in_slices():
+    import pyarrow as pa
+
+    from tablewright.sources import records
+
+    batch = pa.RecordBatch.from_pydict({"value": ["x" * (1 << 20)] * 40})
+    parts = list(records.slices([batch, batch.slice(0, 0), batch.slice(0, 1)]))
+    assert sum(len(p) for p in parts) == 41 and max(p.nbytes for p in parts) <= records.SLICE_BYTES + (1 << 20)
+
+
+def test_landing_queries_use_more_than_one_task(spark, tmp_dir, monkeypatch):
+    """The landed tables of these queries are not written by one task."""
+    from tablewright.workloads import flow_queries as Q
+
+    seen = []
+    land = Q.land_as_files
+    monkeypatch.setattr(Q, "land_as_files", lambda s, df, folder, name, **kw: seen.append(len(out := land(s, df, folder, name, **kw))) or out)
+    d = spark.range(0, 400, 1, 4).select(F.col("id").alias("doc_id"), F.concat(F.lit('a "b"\n'), F.col("id")).alias("text"), F.lit("en").alias("lang"), F.lit("w").alias("source"), F.lit(5).cast("bigint").alias("n_chars"))
+    d.write.parquet(f"{tmp_dir}/documents.parquet")
+    got = Q.read_multiline_documents(spark, tmp_dir)
+    assert seen[0] > 1 and sorted(got.collect()) == sorted(d.collect())
+    o = spark.range(0, 2000, 1, 4).selectExpr("id AS o_orderkey", "id AS o_custkey", "'O' AS o_orderstatus", "1.5D AS o_totalprice", "timestamp_ntz'2020-01-01' AS o_orderdate", "'1' AS o_orderpriority")
+    o.write.parquet(f"{tmp_dir}/orders.parquet")
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert sorted(r[0] for r in Q.load_two_ranges_orders(spark, tmp_dir).collect()) == list(range(900))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    assert seen[1] > 1
+
+
+def test_scanned_paths_are_spelled_as_listed(spark, tmp_dir):
+    """Paths with and without characters that the scan's metadata encodes."""
+    from tablewright.sources import delimited as D
+
+    for name in ("plain+x", "a b+c%20d"):
+        tables.land_as_files(spark, spark.range(2), tmp_dir, name)
+    listed = {r["path"] for r in spark.read.format("binaryFile").load(f"{tmp_dir}/*.csv").select("path").collect()}
+    assert {r[0] for r in D.read_delimited(spark, tmp_dir, names=["id"], file_order=True).select(D.FILE_COL).distinct().collect()} <= listed
