@@ -60,6 +60,19 @@ def after_line(line: str, inside: bool, opener: str) -> bool:
         at += len(opener)
 
 
+#: Bytes of lines that a Python worker takes at once: what it makes of them
+#: (chosen lines, records, their order) stays small beside Arrow's batch.
+SLICE_BYTES = 4 << 20
+
+
+def slices(batches) -> Iterator:
+    """The batches in slices of about ``SLICE_BYTES``, none kept behind."""
+    for batch in batches:
+        n = max(1, len(batch) * SLICE_BYTES // max(batch.nbytes, 1))
+        for at in range(0, len(batch), n):
+            yield batch.slice(at, n)
+
+
 def block_runs(batch) -> Iterator[tuple]:
     """(file, block, first row, rows, lines) of each block's lines in a
     batch of (file, block, row, line)."""
@@ -177,7 +190,7 @@ def summaries(lines: DataFrame, opener: str, whole: bool = False) -> DataFrame:
             columns = list(zip(*[(*now, *b.row()) for b in cases]))
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
-        for batch in batches:
+        for batch in slices(batches):
             for file, block, _, text in block_runs(batch):
                 if (file, block) != now:
                     if cases:
@@ -234,7 +247,7 @@ def whole_records(lines: DataFrame, opener: str) -> DataFrame:
         import pyarrow as pa
 
         now, state = None, None
-        for batch in batches:
+        for batch in slices(batches):
             start = 0
             for file, block, _, text in block_runs(batch):
                 if (file, block) != now:
