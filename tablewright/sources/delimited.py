@@ -28,8 +28,10 @@ RAGGED_COL = "_ragged"
 
 def scan_path():
     """The path of a scanned file, spelled as the catalogue spells it (the
-    scan's metadata is URL-encoded)."""
-    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    scan's metadata is URL-encoded; without a ``%`` it is the path itself, and
+    decoding it for every row is saved)."""
+    path = F.col("_metadata.file_path")
+    return F.when(F.contains(path, F.lit("%")), F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))).otherwise(path)
 
 
 def is_ragged(n_columns: int, sep: str = ","):
