@@ -63,7 +63,7 @@ class _Known(dict):
     def __missing__(self, chunk: str):
         out = self.older.get(chunk)
         if out is None:
-            parts = WORD_PUNCT.fullmatch(chunk)
+            parts = None if chunk.isalpha() else WORD_PUNCT.fullmatch(chunk)
             out = self[parts[1]] + self[parts[2]] if parts else self.learn(chunk)
             if parts and len(chunk) > 8:
                 return out
@@ -83,10 +83,13 @@ class ChunkEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.model = self.tokenizer.model
+        self.id_bytes = [i.to_bytes(4, "little") for i in range(max(self.tokenizer.get_vocab(with_added_tokens=True).values(), default=-1) + 1)]
         self.cache_entries = cache_entries
         self.known = _Known(self._learn, {})
 
     def _learn(self, chunk: str) -> bytes:
+        if chunk.isalpha() and chunk.isascii():  # most new words: no test and no stand-ins
+            return b"".join([self.id_bytes[t.id] for t in self.model.tokenize(chunk.lower())])
         if WORD_ONLY.fullmatch(chunk):
             return array("I", [t.id for t in self.model.tokenize(symbols(chunk.lower()))]).tobytes()
         return array("I", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()

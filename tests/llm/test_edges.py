@@ -209,3 +209,21 @@ def test_mix(docs, none):
     assert mixed.columns == docs.columns
     assert sum(len(re.findall(mix_wfq.WORD, r.text)) for r in mixed.collect()) == int(1.5 * words)
     assert mix_wfq.mixed_documents(none).count() == 0
+
+
+def test_plain_words_are_learned_without_patterns(monkeypatch):
+    """ASCII words, most of what is new, go to the model at once; all chunks get the library's ids."""
+    import random
+    from array import array
+
+    import public_tokenizers
+    from tablewright.llm import word_tokens as W
+
+    enc = W.ChunkEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    want = lambda x: array("I", enc.tokenizer.encode(x, add_special_tokens=False).ids).tobytes()
+    rng = random.Random(5)
+    for x in ("".join(rng.choices("abcXYZéßıİªºǅ中٣ \t.,-!'_09", k=rng.randint(0, 14))) for _ in range(3000)):
+        assert enc.encode(x) == want(x), x
+    monkeypatch.setattr(W, "WORD_ONLY", None)
+    monkeypatch.setattr(W, "WORD_PUNCT", None)
+    assert enc.encode("Quixotic zyzzyva FLUMMOX") == want("Quixotic zyzzyva FLUMMOX")
